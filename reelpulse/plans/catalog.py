@@ -178,3 +178,188 @@ def q_ri_report(spark, d):
 def q_ri_orphans(spark, d):
     b = Bound(spark, d)
     return dq.orphans(b.watch(), b.movies(), "movie_id", "movie_id")
+
+
+# --- E: telemetry --------------------------------------------------------
+
+from reelpulse.operators import lakehouse as lh  # noqa: E402
+from reelpulse.operators import social as so  # noqa: E402
+from reelpulse.operators import telemetry as tm  # noqa: E402
+
+
+def _clean(spark, d):
+    return tm.clean_telemetry(bind.telemetry_raw(spark, d))
+
+
+@query("telemetry_clean")
+def q_telemetry_clean(spark, d):
+    return _clean(spark, d)
+
+
+@query("cleaning_funnel")
+def q_cleaning_funnel(spark, d):
+    return tm.cleaning_funnel(bind.telemetry_raw(spark, d))
+
+
+@query("top_users")
+def q_top_users(spark, d):
+    return tm.top_users(_clean(spark, d))
+
+
+@query("trending_videos")
+def q_trending_videos(spark, d):
+    return tm.trending_videos(_clean(spark, d))
+
+
+@query("telemetry_peak_hours")
+def q_telemetry_peak_hours(spark, d):
+    return tm.activity_by_hour(_clean(spark, d))
+
+
+@query("genre_watch_stats")
+def q_genre_watch_stats(spark, d):
+    return tm.genre_watch_stats(_clean(spark, d))
+
+
+@query("telemetry_anomalies")
+def q_telemetry_anomalies(spark, d):
+    return tm.anomalies(_clean(spark, d))
+
+
+@query("telemetry_anomalies_top")
+def q_telemetry_anomalies_top(spark, d):
+    return tm.anomalies(_clean(spark, d), n=10)
+
+
+# --- F: lakehouse --------------------------------------------------------
+
+def _bronze(spark, d, name):
+    return lh.to_bronze(getattr(bind, f"{name}_csv")(spark, d))
+
+
+@query("bronze_orders")
+def q_bronze_orders(spark, d):
+    """Raw landing through a real CSV file in the shared scratch area."""
+    from reelpulse.session import scratch_dir
+    from reelpulse.sources.io import read_raw_csv
+
+    path = scratch_dir(spark, "landing", "orders_csv", unique=True)
+    bind.orders_csv(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return lh.to_bronze(read_raw_csv(spark, path))
+
+
+@query("silver_orders")
+def q_silver_orders(spark, d):
+    return lh.silver_orders(_bronze(spark, d, "orders"), stamp=False)
+
+
+@query("silver_items")
+def q_silver_items(spark, d):
+    return lh.silver_items(_bronze(spark, d, "items"), stamp=False)
+
+
+@query("silver_products")
+def q_silver_products(spark, d):
+    return lh.silver_products(_bronze(spark, d, "products"), stamp=False)
+
+
+@query("silver_reviews")
+def q_silver_reviews(spark, d):
+    return lh.silver_reviews(_bronze(spark, d, "reviews"), stamp=False)
+
+
+@query("silver_schema_lock")
+def q_silver_schema_lock(spark, d):
+    """Overwrite a locked silver table twice: same schema (accepted), then
+    with an extra column (refused; the table keeps its rows)."""
+    from reelpulse.session import scratch_dir
+    from reelpulse.sources.io import SchemaLockError, write_layer
+
+    root = scratch_dir(spark, "lakehouse", unique=True)
+    items = lh.silver_items(_bronze(spark, d, "items"), stamp=False)
+    write_layer(items, root, "silver", "items", lock_schema=True)
+    outcome = []
+    for attempt, df in (("same_schema", items),
+                        ("changed_schema", items.withColumn("currency", F.lit("BRL")))):
+        try:
+            write_layer(df, root, "silver", "items", lock_schema=True)
+            outcome.append((attempt, True))
+        except SchemaLockError:
+            outcome.append((attempt, False))
+    stored = spark.read.parquet(f"{root}/silver/items")
+    attempts = F.array(*[
+        F.struct(F.lit(a).alias("attempt"), F.lit(ok).alias("accepted")) for a, ok in outcome
+    ])
+    return stored.agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(len(stored.columns)).alias("columns")
+    ).select(F.explode(attempts).alias("a"), "rows", "columns").select("a.*", "rows", "columns")
+
+
+def _silver(spark, d):
+    return (
+        lh.silver_orders(_bronze(spark, d, "orders")),
+        lh.silver_items(_bronze(spark, d, "items")),
+        lh.silver_products(_bronze(spark, d, "products")),
+        lh.silver_reviews(_bronze(spark, d, "reviews")),
+    )
+
+
+@query("gold_sales_daily")
+def q_gold_sales_daily(spark, d):
+    orders, items, _, _ = _silver(spark, d)
+    return lh.sales_daily(orders, items)
+
+
+@query("gold_category_performance")
+def q_gold_category_performance(spark, d):
+    _, items, products, _ = _silver(spark, d)
+    return lh.category_performance(items, products)
+
+
+@query("gold_product_satisfaction")
+def q_gold_product_satisfaction(spark, d):
+    _, items, products, reviews = _silver(spark, d)
+    return lh.product_satisfaction(reviews, items, products)
+
+
+# --- G: social documents -------------------------------------------------
+
+SOCIAL_AS_OF = "2024-06-30"
+
+
+def _social_users(spark, d):
+    return so.load_social_users(bind.social_users_csv(spark, d), F.lit(SOCIAL_AS_OF).cast("date"))
+
+
+def _social_posts(spark, d):
+    return so.load_social_posts(bind.social_posts_csv(spark, d))
+
+
+@query("social_users_load")
+def q_social_users_load(spark, d):
+    return _social_users(spark, d)
+
+
+@query("social_posts_load")
+def q_social_posts_load(spark, d):
+    return _social_posts(spark, d)
+
+
+@query("social_action_distribution")
+def q_social_action_distribution(spark, d):
+    return so.action_distribution(bind.social_feeds(spark, d))
+
+
+@query("social_top_categories")
+def q_social_top_categories(spark, d):
+    return so.top_categories(_social_posts(spark, d))
+
+
+@query("social_top_users")
+def q_social_top_users(spark, d):
+    return so.top_active_users(bind.social_feeds(spark, d))
+
+
+@query("social_top_users_detail")
+def q_social_top_users_detail(spark, d):
+    return so.top_active_users_detail(bind.social_feeds(spark, d), _social_users(spark, d))

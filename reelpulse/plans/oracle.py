@@ -308,3 +308,220 @@ sql("ri_report", " UNION ALL ".join([
 sql("ri_orphans", """
     SELECT f.* FROM fact_watch f
     WHERE NOT EXISTS (SELECT 1 FROM dim_movies m WHERE m.movie_id = f.movie_id)""")
+
+# --- E: telemetry --------------------------------------------------------
+
+TS_FMT = "%Y-%m-%d %H:%M:%S"
+TEL_COLS = "timestamp, user_id, video_id, genre, video_title, watch_time_minutes, device_type"
+
+CTES.update({
+    "telemetry_base": (f"""
+        SELECT CASE WHEN e.event_id % 40 = 3 THEN 'CORRUPT_TIMESTAMP'
+                    ELSE strftime(e.ts, '{TS_FMT}') END AS timestamp,
+               CASE WHEN e.event_id % 40 = 1 THEN '' ELSE 'USER_' || CAST(e.user_id AS VARCHAR) END AS user_id,
+               'V' || CAST(e.k AS VARCHAR) AS video_id,
+               p.p_type AS genre,
+               CASE WHEN e.event_id % 40 = 4 THEN '' ELSE p.p_name END AS video_title,
+               CASE WHEN e.event_id % 40 = 2 THEN -CAST(floor(e.value * 10) AS INTEGER)
+                    ELSE CAST(floor(e.value * 10) AS INTEGER) END AS watch_time_minutes,
+               {DEVICE.format(c='e.event_id')} AS device_type,
+               e.event_id
+        FROM ev e LEFT JOIN part p ON e.k = p.p_partkey""", ("ev",)),
+    "telemetry_raw": (f"""
+        SELECT {TEL_COLS} FROM telemetry_base
+        UNION ALL
+        SELECT {TEL_COLS} FROM telemetry_base WHERE event_id % 100 = 7""", ("telemetry_base",)),
+    "telemetry_clean": (f"""
+        SELECT try_strptime(timestamp, '{TS_FMT}') AS timestamp, user_id, video_id, genre,
+               video_title, watch_time_minutes, device_type
+        FROM (SELECT DISTINCT {TEL_COLS} FROM telemetry_raw)
+        WHERE user_id <> '' AND user_id IS NOT NULL AND video_title <> '' AND video_title IS NOT NULL
+          AND watch_time_minutes > 0 AND try_strptime(timestamp, '{TS_FMT}') IS NOT NULL""",
+                        ("telemetry_raw",)),
+})
+
+sql("telemetry_clean", "SELECT * FROM telemetry_clean")
+
+_FUNNEL_STEPS = ["raw", "deduplicated", "valid_user_title", "positive_minutes", "valid_timestamp"]
+_funnel_totals = f"""
+    SELECT CAST(SUM(_n) AS BIGINT) AS raw, COUNT(*) AS deduplicated,
+           COUNT(*) FILTER (WHERE _info) AS valid_user_title,
+           COUNT(*) FILTER (WHERE _info AND watch_time_minutes > 0) AS positive_minutes,
+           COUNT(*) FILTER (WHERE _info AND watch_time_minutes > 0
+                            AND try_strptime(timestamp, '{TS_FMT}') IS NOT NULL) AS valid_timestamp
+    FROM (SELECT {TEL_COLS}, COUNT(*) AS _n,
+                 (user_id <> '' AND user_id IS NOT NULL AND video_title <> '' AND video_title IS NOT NULL) AS _info
+          FROM telemetry_raw GROUP BY ALL)"""
+sql("cleaning_funnel", " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS step_no, '{s}' AS step, {s} AS \"rows\", "
+    f"{(_FUNNEL_STEPS[i - 1] if i else s)} - {s} AS removed, "
+    f"{rnd(f'CAST({s} AS DOUBLE) * 100.0 / CAST(raw AS DOUBLE)', 2)} AS pct_of_raw "
+    f"FROM ({_funnel_totals})"
+    for i, s in enumerate(_FUNNEL_STEPS)
+))
+
+sql("top_users", """
+    SELECT user_id, CAST(SUM(watch_time_minutes) AS BIGINT) AS Total_Minutes
+    FROM telemetry_clean GROUP BY user_id
+    ORDER BY Total_Minutes DESC, user_id ASC NULLS FIRST LIMIT 5""")
+
+sql("trending_videos", """
+    SELECT video_title, COUNT(*) AS Views FROM telemetry_clean GROUP BY video_title
+    ORDER BY Views DESC, video_title ASC NULLS FIRST LIMIT 5""")
+
+sql("telemetry_peak_hours", """
+    SELECT CAST(hour(timestamp) AS INTEGER) AS hour, COUNT(*) AS count
+    FROM telemetry_clean GROUP BY 1
+    ORDER BY count DESC, hour ASC NULLS FIRST LIMIT 5""")
+
+sql("genre_watch_stats", f"""
+    SELECT genre, CAST(SUM(watch_time_minutes) AS BIGINT) AS total,
+           {mean('watch_time_minutes')} AS average,
+           MIN(watch_time_minutes) AS shortest, MAX(watch_time_minutes) AS longest
+    FROM telemetry_clean GROUP BY genre""")
+
+sql("telemetry_anomalies", """
+    SELECT timestamp, user_id, video_title, watch_time_minutes, device_type
+    FROM telemetry_clean WHERE watch_time_minutes >= 1440""")
+
+sql("telemetry_anomalies_top", """
+    SELECT timestamp, user_id, video_title, watch_time_minutes, device_type
+    FROM telemetry_clean WHERE watch_time_minutes >= 1440
+    ORDER BY watch_time_minutes DESC, timestamp ASC NULLS FIRST, user_id ASC NULLS FIRST,
+             video_title ASC NULLS FIRST, device_type ASC NULLS FIRST
+    LIMIT 10""")
+
+# --- F: lakehouse --------------------------------------------------------
+
+CTES.update({
+    "orders_base": (f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+               o_orderstatus AS order_status,
+               CASE WHEN o_orderkey % 40 = 0 THEN 'not a time'
+                    ELSE strftime(o_orderdate, '{TS_FMT}') END AS order_purchase_timestamp,
+               o_orderkey
+        FROM orders""", ()),
+    "orders_csv": ("""
+        SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM orders_base
+        UNION ALL
+        SELECT order_id, customer_id, 'X', order_purchase_timestamp FROM orders_base
+        WHERE o_orderkey % 30 = 0""", ("orders_base",)),
+    "items_csv": (f"""
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
+               CAST(l_partkey AS VARCHAR) AS product_id,
+               CASE WHEN (l_orderkey * 7 + l_linenumber) % 60 = 0 THEN 'abc'
+                    WHEN (l_orderkey * 7 + l_linenumber) % 60 = 1 THEN '-1.00'
+                    ELSE printf('%.2f', l_extendedprice) END AS price,
+               printf('%.2f', {rnd('l_extendedprice * l_tax', 2)}) AS freight_value
+        FROM lineitem""", ()),
+    "products_csv": ("""
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+               CASE WHEN p_partkey % 20 = 0 THEN NULL ELSE p_type END AS product_category_name,
+               CAST(p_size AS VARCHAR) AS product_weight_g
+        FROM part""", ()),
+    "reviews_csv": ("""
+        SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+               CASE WHEN o_orderkey % 50 = 0 THEN 'bad' ELSE substr(o_orderpriority, 1, 1) END AS review_score
+        FROM orders""", ()),
+    "silver_orders": (f"""
+        SELECT order_id, customer_id, order_status,
+               try_strptime(order_purchase_timestamp, '{TS_FMT}') AS order_purchase_timestamp
+        FROM ({_first_row('orders_csv', 'order_id',
+                          ['order_id', 'customer_id', 'order_status', 'order_purchase_timestamp'])})""",
+                      ("orders_csv",)),
+    "silver_items": ("""
+        SELECT order_id, order_item_id, product_id, TRY_CAST(price AS DOUBLE) AS price,
+               TRY_CAST(freight_value AS DOUBLE) AS freight_value
+        FROM items_csv
+        WHERE TRY_CAST(price AS DOUBLE) >= 0 AND TRY_CAST(freight_value AS DOUBLE) >= 0""",
+                     ("items_csv",)),
+    "silver_products": ("""
+        SELECT product_id, COALESCE(product_category_name, 'unknown') AS product_category_name,
+               product_weight_g
+        FROM products_csv""", ("products_csv",)),
+    "silver_reviews": ("""
+        SELECT review_id, order_id, TRY_CAST(review_score AS INTEGER) AS review_score
+        FROM reviews_csv WHERE TRY_CAST(review_score AS INTEGER) IS NOT NULL""", ("reviews_csv",)),
+})
+
+sql("bronze_orders", "SELECT * FROM orders_csv")
+sql("silver_orders", "SELECT * FROM silver_orders")
+sql("silver_items", "SELECT * FROM silver_items")
+sql("silver_products", "SELECT * FROM silver_products")
+sql("silver_reviews", "SELECT * FROM silver_reviews")
+sql("silver_schema_lock", """
+    SELECT a.attempt, a.accepted, s."rows", s."columns"
+    FROM (SELECT 'same_schema' AS attempt, true AS accepted
+          UNION ALL SELECT 'changed_schema', false) a,
+         (SELECT COUNT(*) AS "rows", 5 AS "columns" FROM silver_items) s""")
+
+sql("gold_sales_daily", f"""
+    SELECT CAST(o.order_purchase_timestamp AS DATE) AS sales_date,
+           {dsum('i.price')} AS total_item_revenue,
+           {dsum('i.freight_value')} AS total_freight_cost,
+           COUNT(o.order_id) AS total_order_items_sold
+    FROM silver_orders o JOIN silver_items i ON o.order_id = i.order_id
+    GROUP BY 1""")
+
+sql("gold_category_performance", f"""
+    SELECT p.product_category_name, {dsum('i.price')} AS total_category_revenue,
+           COUNT(i.product_id) AS total_units_sold
+    FROM silver_items i JOIN silver_products p ON i.product_id = p.product_id
+    GROUP BY 1""")
+
+sql("gold_product_satisfaction", """
+    SELECT p.product_category_name,
+           CAST(SUM(r.review_score) AS DOUBLE) / CAST(COUNT(r.review_score) AS DOUBLE) AS avg_customer_rating,
+           COUNT(r.review_id) AS total_reviews_received
+    FROM silver_reviews r
+    JOIN silver_items i ON r.order_id = i.order_id
+    JOIN silver_products p ON i.product_id = p.product_id
+    GROUP BY 1""")
+
+# --- G: social documents -------------------------------------------------
+
+SOCIAL_AS_OF = "2024-06-30"
+
+CTES.update({
+    "social_users_csv": ("""
+        SELECT CAST(c.c_custkey AS INTEGER) AS UserID, c.c_name AS Name,
+               CASE WHEN c.c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender,
+               CASE WHEN c.c_custkey % 30 = 0 THEN 'unknown'
+                    ELSE strftime(DATE '1950-01-01' + CAST(c.c_custkey * 97 % 18000 AS INTEGER), '%Y-%m-%d')
+               END AS DOB,
+               'City-' || CAST(c.c_custkey % 50 AS VARCHAR) AS City,
+               n.n_name AS Country
+        FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""", ()),
+    "social_users": (f"""
+        SELECT UserID AS user_id, Name AS name, Gender AS gender,
+               CAST(year(DATE '{SOCIAL_AS_OF}') - year(try_strptime(DOB, '%Y-%m-%d')) AS INTEGER) AS age,
+               City AS city, Country AS country
+        FROM social_users_csv""", ("social_users_csv",)),
+    "social_posts": ("""
+        SELECT CAST(doc_id AS INTEGER) AS post_id, '2024-01-01 00:00:00' AS timestamp,
+               source AS category,
+               CASE WHEN n_chars % 3 = 0 THEN 'positive' WHEN n_chars % 3 = 1 THEN 'neutral'
+                    ELSE 'negative' END AS sentiment,
+               lang AS language,
+               CAST(n_chars % 1000 AS INTEGER) AS likes, CAST(n_chars % 100 AS INTEGER) AS comments,
+               CAST(n_chars % 10 AS INTEGER) AS shares, CAST(doc_id % 2 AS INTEGER) AS is_spam
+        FROM documents""", ()),
+    "social_feeds": ("""
+        SELECT event_id AS feed_id, user_id, CAST(k AS BIGINT) AS post_id, event_type AS action,
+               ts AS timestamp
+        FROM ev""", ("ev",)),
+})
+
+sql("social_users_load", "SELECT * FROM social_users")
+sql("social_posts_load", "SELECT * FROM social_posts")
+sql("social_action_distribution", "SELECT action, COUNT(*) AS count FROM social_feeds GROUP BY action")
+sql("social_top_categories", """
+    SELECT category, COUNT(*) AS posts FROM social_posts GROUP BY category
+    ORDER BY posts DESC, category ASC NULLS FIRST LIMIT 5""")
+_TOP_USERS = """
+    SELECT user_id, COUNT(*) AS total_actions FROM social_feeds GROUP BY user_id
+    ORDER BY total_actions DESC, user_id ASC NULLS FIRST LIMIT 5"""
+sql("social_top_users", _TOP_USERS)
+sql("social_top_users_detail", f"""
+    SELECT t.user_id, u.name, u.country, t.total_actions
+    FROM ({_TOP_USERS}) t JOIN social_users u ON t.user_id IS NOT DISTINCT FROM u.user_id""")
