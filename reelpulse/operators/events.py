@@ -61,7 +61,8 @@ def watch_facts(watch: DataFrame, movies: DataFrame) -> DataFrame:
     columns take part in the join, and Spark picks broadcast vs. shuffle
     from its size (AQE re-checks at run time).
     """
-    dim = movies.select("movie_id", F.col("duration_minutes").alias("_length"))
+    key_type = watch.schema["movie_id"].dataType
+    dim = movies.select(F.col("movie_id").cast(key_type).alias("movie_id"), F.col("duration_minutes").alias("_length"))
     joined = watch.join(dim, "movie_id", "left")
     return joined.withColumn(
         "progress_percentage", capped_progress("watch_duration_minutes", "_length")

@@ -315,3 +315,40 @@ def social_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("action"),
         F.col("ts").alias("timestamp"),
     )
+
+
+# --- raw producer CSVs (before normalising) -------------------------------
+
+def watch_history_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """watch_history.csv as text, with empty users (every 37th session),
+    empty durations (every 41st) and ratings ``4.0`` / ``-1`` / empty."""
+    w = watch_events(spark, sf_dir)
+    sid = F.col("session_id")
+    rating = F.col("movie_id") % 7
+    return w.select(
+        sid.cast("string").alias("session_id"),
+        F.when(sid % 37 == 0, "").otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.col("movie_id").cast("string").alias("movie_id"),
+        "device_type",
+        F.when(sid % 41 == 0, "").otherwise(F.col("watch_duration_minutes").cast("string")).alias("watch_duration_minutes"),
+        F.lit("").alias("progress_percentage"),
+        "action", "quality",
+        F.when(rating == 0, "4.0").when(rating == 1, "-1").when(rating == 2, "")
+        .otherwise(F.col("user_rating").cast("string")).alias("user_rating"),
+        "location_country",
+    )
+
+
+def search_logs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """search_logs.csv as text, with empty users and empty counts."""
+    s = search_events(spark, sf_dir)
+    sid = F.col("search_id")
+    return s.select(
+        sid.cast("string").alias("search_id"),
+        F.when(sid % 37 == 0, "").otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        "search_query",
+        F.when(sid % 41 == 0, "").otherwise(F.col("results_returned").cast("string")).alias("results_returned"),
+        F.coalesce(F.col("clicked_result_position").cast("string"), F.lit("")).alias("clicked_result_position"),
+        F.col("search_duration_seconds").cast("string").alias("search_duration_seconds"),
+        "had_typo", "device_type", "location_country",
+    )

@@ -363,3 +363,321 @@ def q_social_top_users(spark, d):
 @query("social_top_users_detail")
 def q_social_top_users_detail(spark, d):
     return so.top_active_users_detail(bind.social_feeds(spark, d), _social_users(spark, d))
+
+
+# --- H: serving ----------------------------------------------------------
+
+from reelpulse.operators import segment as sg  # noqa: E402
+from reelpulse.operators import serving as sv  # noqa: E402
+from reelpulse.streaming import ingest as st  # noqa: E402
+
+SPEED_FROM_KEY = "2024011600"  # hour key where the speed layer starts
+
+
+def _layers(b: Bound):
+    watch = b.watch()
+    return watch.filter(F.col("date_key") < SPEED_FROM_KEY), watch.filter(F.col("date_key") >= SPEED_FROM_KEY)
+
+
+@query("lambda_merge_genre")
+def q_lambda_merge_genre(spark, d):
+    """Batch genre report (before the cut) + live genre counts (after)."""
+    b = Bound(spark, d)
+    batch, speed = _layers(b)
+    movies = b.movies()
+    return sv.merge_batch_speed(
+        rp.genre_popularity(batch, movies), st.live_genre_counts(speed, movies),
+        "genre_primary", "watch_count",
+    )
+
+
+@query("lambda_merge_device")
+def q_lambda_merge_device(spark, d):
+    batch, speed = _layers(Bound(spark, d))
+    return sv.merge_batch_speed(rp.top_devices(batch), st.live_device_counts(speed), "device_type", "total_views")
+
+
+def _features(spark, d):
+    b = Bound(spark, d)
+    return sg.user_features(b.watch(), b.dates())
+
+
+@query("kpi_summary")
+def q_kpi_summary(spark, d):
+    return sv.kpi_summary(_features(spark, d))
+
+
+def _segments(spark, d):
+    return sg.user_segments(_features(spark, d))
+
+
+@query("segment_counts")
+def q_segment_counts(spark, d):
+    return sv.segment_counts(_segments(spark, d))
+
+
+@query("segment_profile")
+def q_segment_profile(spark, d):
+    return sv.segment_profile(_segments(spark, d))
+
+
+@query("segment_lookup")
+def q_segment_lookup(spark, d):
+    return sv.segment_lookup(_segments(spark, d), sg.NIGHT_OWL)
+
+
+@query("preview_sample")
+def q_preview_sample(spark, d):
+    return sv.preview(Bound(spark, d).watch(), 5)
+
+
+# --- D: segmentation -----------------------------------------------------
+
+@query("user_features")
+def q_user_features(spark, d):
+    return _features(spark, d)
+
+
+@query("scaled_features")
+def q_scaled_features(spark, d):
+    return sg.scaled_features(_features(spark, d))
+
+
+@query("kmeans_sweep")
+def q_kmeans_sweep(spark, d):
+    return sg.kmeans_sweep(sg.assemble_and_scale(_features(spark, d)))
+
+
+@query("user_segments")
+def q_user_segments(spark, d):
+    return _segments(spark, d)
+
+
+@query("cluster_counts")
+def q_cluster_counts(spark, d):
+    return sg.cluster_counts(sg.cluster(_features(spark, d)))
+
+
+@query("cluster_centroids")
+def q_cluster_centroids(spark, d):
+    return sg.cluster_centroids(sg.cluster(_features(spark, d)))
+
+
+# --- B: views, fallback, encoding ----------------------------------------
+
+@query("global_view_query")
+def q_global_view_query(spark, d):
+    b = Bound(spark, d)
+    wh.register_global_views(spark, {"rp_fact_watch": b.watch(), "rp_dim_date": b.dates()})
+    return spark.sql("""
+        SELECT device_type, COUNT(session_id) AS total_views
+        FROM global_temp.rp_fact_watch GROUP BY device_type""")
+
+
+@query("dim_fallback")
+def q_dim_fallback(spark, d):
+    """The dimension Parquet is absent, so the lookup falls back to the raw
+    movies CSV (cast and deduplicated)."""
+    from reelpulse.session import scratch_dir
+
+    root = scratch_dir(spark, "fallback", unique=True)
+    bind.movies_raw(spark, d).write.mode("overwrite").option("header", True).csv(f"{root}/movies_csv")
+    return wh.load_static_movies(spark, f"{root}/dim_movies", f"{root}/movies_csv")
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark, d):
+    return ev.parse_events(bind.clickstream_json(spark, d))
+
+
+@query("normalize_watch")
+def q_normalize_watch(spark, d):
+    return ev.normalize_watch(bind.watch_history_csv(spark, d))
+
+
+@query("normalize_search")
+def q_normalize_search(spark, d):
+    return ev.normalize_search(bind.search_logs_csv(spark, d))
+
+
+@query("fact_partition_roundtrip")
+def q_fact_partition_roundtrip(spark, d):
+    from reelpulse import schemas
+    from reelpulse.session import scratch_dir
+    from reelpulse.sources import io
+
+    path = scratch_dir(spark, "warehouse", "fact_watch_history", unique=True)
+    io.append_fact(st._conform(Bound(spark, d).watch(), schemas.WATCH_FACT), path, 0)
+    return io.read_fact(spark, path, "watch").groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- A: streaming --------------------------------------------------------
+
+def _land_clickstream(spark, d, root, files=4, subset=None):
+    values = bind.clickstream_json(spark, d)
+    if subset is not None:
+        part, parts = subset
+        values = values.filter(F.abs(F.xxhash64("event_id")) % parts == part)
+    (values.repartition(files, "event_id").select("value")
+     .write.mode("append").text(f"{root}/landing"))
+
+
+def _stream_env(spark, d):
+    from reelpulse.session import scratch_dir
+
+    root = scratch_dir(spark, "stream", unique=True)
+    Bound(spark, d).movies().write.mode("overwrite").parquet(f"{root}/dim_movies")
+    paths = st.IngestPaths(
+        watch=f"{root}/fact_watch_history", search=f"{root}/fact_search_logs",
+        serving_watch=f"{root}/serving/fact_watch_history", serving_search=f"{root}/serving/fact_search_logs",
+        checkpoint=f"{root}/checkpoints/combined",
+    )
+
+    def movies_loader():
+        return wh.load_static_movies(spark, f"{root}/dim_movies", f"{root}/movies_csv")
+
+    return root, paths, movies_loader
+
+
+_INGEST_RUNS: dict = {}
+
+
+def _shared_ingest(spark, d):
+    """One full ingest of the clickstream per application and input; the
+    read-back keys (watch, search, dual write) all inspect its output."""
+    from reelpulse.sources.io import path_exists
+
+    key = (spark.sparkContext.applicationId, d)
+    run = _INGEST_RUNS.get(key)
+    if run is None or not path_exists(spark, run[1].watch):
+        run = _run_ingest(spark, d, serving=True)
+        _INGEST_RUNS[key] = run
+    return run
+
+
+def _run_ingest(spark, d, files=4, per_trigger=2, listener=None, serving=False):
+    root, paths, loader = _stream_env(spark, d)
+    if not serving:
+        paths.serving_watch = paths.serving_search = None
+    _land_clickstream(spark, d, root, files)
+    values = st.event_stream(spark, "text", f"{root}/landing", max_per_trigger=per_trigger)
+    if listener is not None:
+        spark.streams.addListener(listener)
+    try:
+        q = st.start_ingest(st.refine(values), loader, paths, trigger={"availableNow": True}, name="ingest")
+        q.awaitTermination()
+    finally:
+        if listener is not None:
+            _drain(listener, expected=files // per_trigger)
+            spark.streams.removeListener(listener)
+    return root, paths
+
+
+def _drain(listener, expected, timeout=20.0):
+    import time
+
+    end = time.time() + timeout
+    while time.time() < end and len(listener.rows) < expected:
+        time.sleep(0.2)
+
+
+@query("stream_ingest_watch")
+def q_stream_ingest_watch(spark, d):
+    from reelpulse.sources import io
+
+    _, paths = _shared_ingest(spark, d)
+    return io.read_fact(spark, paths.watch, "watch")
+
+
+@query("stream_ingest_search")
+def q_stream_ingest_search(spark, d):
+    from reelpulse.sources import io
+
+    _, paths = _shared_ingest(spark, d)
+    return io.read_fact(spark, paths.search, "search")
+
+
+@query("stream_dual_write")
+def q_stream_dual_write(spark, d):
+    from reelpulse.sources import io
+
+    _, paths = _shared_ingest(spark, d)
+    frames = []
+    for target, table, path, kind in (
+        ("fact", "fact_watch_history", paths.watch, "watch"),
+        ("serving", "fact_watch_history", paths.serving_watch, "watch"),
+        ("fact", "fact_search_logs", paths.search, "search"),
+        ("serving", "fact_search_logs", paths.serving_search, "search"),
+    ):
+        frames.append(io.read_fact(spark, path, kind).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(target).alias("target"), F.lit(table).alias("table"), "rows"))
+    from functools import reduce
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query("stream_restart_exactly_once")
+def q_stream_restart_exactly_once(spark, d):
+    """Half the input, stop; the other half, restart on the same
+    checkpoint; then batch 0 is delivered again (a retried micro-batch).
+    Nothing may be lost or doubled."""
+    from functools import reduce
+
+    from reelpulse.sources import io
+
+    root, paths, loader = _stream_env(spark, d)
+    batch0_files = None
+    for half in (0, 1):
+        # one file per phase: phase 0 is exactly micro-batch 0
+        _land_clickstream(spark, d, root, files=1, subset=(half, 2))
+        if batch0_files is None:
+            batch0_files = spark.read.text(f"{root}/landing").inputFiles()
+        values = st.event_stream(spark, "text", f"{root}/landing", max_per_trigger=1)
+        q = st.start_ingest(st.refine(values), loader, paths, trigger={"availableNow": True})
+        q.awaitTermination()
+    replay = st.refine(spark.read.text(list(batch0_files)))
+    paths.serving_watch = paths.serving_search = None
+    st.batch_writer(loader, paths)(replay, 0)
+    frames = []
+    for table, path, kind, key in (("fact_watch_history", paths.watch, "watch", "session_id"),
+                                   ("fact_search_logs", paths.search, "search", "search_id")):
+        frames.append(io.read_fact(spark, path, kind).agg(
+            F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("distinct_ids")
+        ).select(F.lit(table).alias("table"), "rows", "distinct_ids"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _live(spark, d, make_counts):
+    root, paths, loader = _stream_env(spark, d)
+    _land_clickstream(spark, d, root, files=4)
+    values = st.event_stream(spark, "text", f"{root}/landing", max_per_trigger=2)
+    watch = st.refine(values).filter(F.col("event_type") == "watch")
+    report = f"{root}/reports/live"
+    q = st.start_live_count(make_counts(watch, loader()), report, f"{root}/checkpoints/live",
+                            trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(report)
+
+
+@query("stream_genre_counts")
+def q_stream_genre_counts(spark, d):
+    return _live(spark, d, lambda w, movies: st.live_genre_counts(w, movies))
+
+
+@query("stream_device_counts")
+def q_stream_device_counts(spark, d):
+    return _live(spark, d, lambda w, movies: st.live_device_counts(w))
+
+
+@query("stream_metrics")
+def q_stream_metrics(spark, d):
+    listener = st.MetricsListener()
+    _run_ingest(spark, d, files=4, per_trigger=2, listener=listener)
+    return listener.to_frame(spark)
+
+
+@query("compact_fact")
+def q_compact_fact(spark, d):
+    root, paths = _run_ingest(spark, d, files=4, per_trigger=1)
+    out = st.compact(spark, paths.watch, f"{root}/fact_watch_history_v2", "watch")
+    from reelpulse.sources import io
+    return io.read_fact(spark, out, "watch").groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))

@@ -525,3 +525,132 @@ sql("social_top_users", _TOP_USERS)
 sql("social_top_users_detail", f"""
     SELECT t.user_id, u.name, u.country, t.total_actions
     FROM ({_TOP_USERS}) t JOIN social_users u ON t.user_id IS NOT DISTINCT FROM u.user_id""")
+
+# --- H: serving ----------------------------------------------------------
+
+SPEED_FROM_KEY = "2024011600"
+
+sql("lambda_merge_genre", f"""
+    SELECT genre_primary, CAST(SUM(c) AS BIGINT) AS total FROM (
+        SELECT m.genre_primary, COUNT(f.session_id) AS c
+        FROM fact_watch f JOIN dim_movies m ON f.movie_id = m.movie_id
+        WHERE f.date_key < '{SPEED_FROM_KEY}' GROUP BY m.genre_primary
+        UNION ALL
+        SELECT m.genre_primary, COUNT(*) AS c
+        FROM fact_watch f LEFT JOIN dim_movies m ON f.movie_id = m.movie_id
+        WHERE f.date_key >= '{SPEED_FROM_KEY}' GROUP BY m.genre_primary)
+    WHERE genre_primary IS NOT NULL GROUP BY genre_primary""")
+
+sql("lambda_merge_device", f"""
+    SELECT device_type, CAST(SUM(c) AS BIGINT) AS total FROM (
+        SELECT device_type, COUNT(session_id) AS c FROM fact_watch
+        WHERE date_key < '{SPEED_FROM_KEY}' GROUP BY device_type
+        UNION ALL
+        SELECT device_type, COUNT(*) AS c FROM fact_watch
+        WHERE date_key >= '{SPEED_FROM_KEY}' GROUP BY device_type)
+    WHERE device_type IS NOT NULL GROUP BY device_type""")
+
+CTES["user_features"] = (f"""
+    SELECT f.user_id,
+           CAST(COUNT(f.session_id) AS DOUBLE) AS total_views,
+           COALESCE({dsum('f.watch_duration_minutes')}, 0.0) AS total_duration_minutes,
+           COALESCE({mean('f.progress_percentage')}, 0.0) AS avg_progress_percentage,
+           COALESCE(CAST(SUM(CASE WHEN d.is_night = true THEN 1 ELSE 0 END) AS DOUBLE)
+                    / CAST(COUNT(*) AS DOUBLE), 0.0) AS night_view_ratio
+    FROM fact_watch f JOIN dim_date d ON f.date_key = d.date_key
+    GROUP BY f.user_id""", ("fact_watch", "dim_date"))
+
+sql("user_features", "SELECT * FROM user_features")
+
+sql("kpi_summary", f"""
+    SELECT COUNT(*) AS total_users, {mean('total_duration_minutes')} AS avg_duration,
+           {mean('avg_progress_percentage')} AS avg_progress
+    FROM user_features""")
+
+_Z = ["total_views", "total_duration_minutes", "avg_progress_percentage", "night_view_ratio"]
+sql("scaled_features", "SELECT user_id, " + ", ".join(
+    f"{rnd(f'CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END', 6)} AS z_{c}"
+    for c in _Z) + " FROM user_features")
+
+# --- B: views, fallback, encoding ----------------------------------------
+
+sql("global_view_query", """
+    SELECT device_type, COUNT(session_id) AS total_views FROM fact_watch GROUP BY device_type""")
+
+sql("dim_fallback", """
+    SELECT DISTINCT CAST(movie_id AS VARCHAR) AS movie_id, duration_minutes, genre_primary
+    FROM movies_raw""")
+
+_WATCH_SEEN = "session_id % 97 <> 0 AND user_id IS NOT NULL"
+_SEARCH_SEEN = "search_id % 97 <> 0 AND user_id IS NOT NULL"
+
+sql("json_roundtrip", f"""
+    SELECT 'watch' AS event_type, strftime(event_ts, '{TS_FMT}') AS "current_timestamp",
+           CAST(user_id AS VARCHAR) AS user_id, CAST(session_id AS VARCHAR) AS session_id,
+           CAST(movie_id AS VARCHAR) AS movie_id, device_type, watch_duration_minutes,
+           progress_percentage, action, quality, user_rating,
+           NULL::VARCHAR AS search_id, NULL::VARCHAR AS search_query, NULL::INTEGER AS results_returned,
+           NULL::INTEGER AS clicked_result_position, NULL::DOUBLE AS search_duration_seconds,
+           NULL::VARCHAR AS had_typo, location_country,
+           date_trunc('second', event_ts) AS ts, strftime(event_ts, '%Y%m%d%H') AS date_key
+    FROM watch_events WHERE {_WATCH_SEEN}
+    UNION ALL
+    SELECT 'search', strftime(event_ts, '{TS_FMT}'), CAST(user_id AS VARCHAR), NULL, NULL, device_type,
+           NULL, NULL, NULL, NULL, NULL,
+           CAST(search_id AS VARCHAR), search_query, results_returned, clicked_result_position,
+           search_duration_seconds, had_typo, location_country,
+           date_trunc('second', event_ts), strftime(event_ts, '%Y%m%d%H')
+    FROM search_events WHERE {_SEARCH_SEEN}""")
+
+sql("normalize_watch", """
+    SELECT CAST(session_id AS VARCHAR) AS session_id,
+           CASE WHEN session_id % 37 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
+           CAST(movie_id AS VARCHAR) AS movie_id, device_type,
+           CASE WHEN session_id % 41 = 0 THEN 0.0 ELSE watch_duration_minutes END AS watch_duration_minutes,
+           0.0::DOUBLE AS progress_percentage, action, quality,
+           CASE WHEN movie_id % 7 IN (0, 1, 2) THEN NULL ELSE user_rating END AS user_rating,
+           location_country, 'watch' AS event_type
+    FROM watch_events""")
+
+sql("normalize_search", """
+    SELECT CAST(search_id AS VARCHAR) AS search_id,
+           CASE WHEN search_id % 37 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
+           search_query,
+           CASE WHEN search_id % 41 = 0 THEN 0 ELSE results_returned END AS results_returned,
+           clicked_result_position, search_duration_seconds, had_typo, device_type, location_country,
+           'search' AS event_type
+    FROM search_events""")
+
+sql("fact_partition_roundtrip", 'SELECT date_key, COUNT(*) AS "rows" FROM fact_watch GROUP BY date_key')
+
+# --- A: streaming --------------------------------------------------------
+
+CTES["stream_watch"] = (f"""
+    SELECT CAST(session_id AS VARCHAR) AS session_id, CAST(user_id AS VARCHAR) AS user_id,
+           CAST(movie_id AS VARCHAR) AS movie_id, device_type, watch_duration_minutes,
+           progress_percentage, action, quality, user_rating, location_country, date_key
+    FROM fact_watch WHERE {_WATCH_SEEN}""", ("fact_watch",))
+CTES["stream_search"] = (f"""
+    SELECT CAST(search_id AS VARCHAR) AS search_id, CAST(user_id AS VARCHAR) AS user_id, search_query,
+           results_returned, clicked_result_position, search_duration_seconds, had_typo,
+           device_type, location_country, date_key
+    FROM fact_search WHERE {_SEARCH_SEEN}""", ("fact_search",))
+
+sql("stream_ingest_watch", "SELECT * FROM stream_watch")
+sql("stream_ingest_search", "SELECT * FROM stream_search")
+sql("stream_dual_write", " UNION ALL ".join(
+    f"SELECT '{t}' AS target, '{tab}' AS \"table\", COUNT(*) AS \"rows\" FROM {src}"
+    for t in ("fact", "serving")
+    for tab, src in (("fact_watch_history", "stream_watch"), ("fact_search_logs", "stream_search"))))
+sql("stream_restart_exactly_once", """
+    SELECT 'fact_watch_history' AS "table", COUNT(*) AS "rows", COUNT(DISTINCT session_id) AS distinct_ids
+    FROM stream_watch
+    UNION ALL
+    SELECT 'fact_search_logs', COUNT(*), COUNT(DISTINCT search_id) FROM stream_search""")
+sql("stream_genre_counts", f"""
+    SELECT m.genre_primary, COUNT(*) AS count
+    FROM watch_events w LEFT JOIN dim_movies m ON w.movie_id = m.movie_id
+    WHERE w.{_WATCH_SEEN.replace(' AND ', ' AND w.')} GROUP BY m.genre_primary""")
+sql("stream_device_counts", f"""
+    SELECT device_type, COUNT(*) AS count FROM watch_events WHERE {_WATCH_SEEN} GROUP BY device_type""")
+sql("compact_fact", 'SELECT date_key, COUNT(*) AS "rows" FROM stream_watch GROUP BY date_key')

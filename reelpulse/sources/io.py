@@ -120,27 +120,37 @@ def save_dimension(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def batch_path(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={int(batch_id)}"
+
+
 def append_fact(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Land one micro-batch under ``batch_id=N/date_key=H``.
 
-    Dynamic partition overwrite replaces exactly this batch's partitions,
-    so a replayed batch (at-least-once delivery) rewrites its own files
-    instead of appending a second copy (trap T10).  Rows are clustered by
-    hour key first: one file per hour per batch.
+    The batch owns its directory and is written with a plain overwrite of
+    that directory, so a replayed batch (at-least-once delivery) replaces
+    its own files instead of appending a second copy (trap T10), and no
+    other batch is touched.  Rows are clustered by hour key first: one
+    file per hour per batch.
     """
-    from pyspark.sql import functions as F
-
+    # An explicit count: AQE must not fold the write into one task that
+    # would then open every hour's file in turn.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     (
-        df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-        .repartition("date_key")
+        df.repartition(n, "date_key")
         .write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "date_key")
-        .save(path)
+        .partitionBy("date_key")
+        .save(batch_path(path, batch_id))
     )
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int, kind: str = "watch") -> DataFrame:
+    """One landed batch, hour key kept as text."""
+    schema = schemas.WATCH_FACT if kind == "watch" else schemas.SEARCH_FACT
+    return spark.read.schema(schema).parquet(batch_path(path, batch_id))
+
+
 def verify_written(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     """Re-read a written table and return its row count."""
     return spark.read.format(fmt).load(path).count()
