@@ -17,12 +17,27 @@ from reelpulse.operators import warehouse as wh
 from reelpulse.plans import bind
 
 
+_WAREHOUSE: dict = {}
+
+
 class Bound:
-    """The logical tables of one scale-factor directory, built lazily."""
+    """The logical tables of one scale-factor directory.
+
+    Two layers, as in the reference pipeline: *built* tables are computed
+    from the driver's tables by the warehouse job (dimension builders, the
+    enriched facts); *stored* tables are those results written once per
+    application to the shared scratch area - dimensions as Parquet, facts
+    partitioned by hour key - and read back by the reports.  Reading
+    stored dimensions gives Spark their real file sizes, so the planner
+    broadcasts a dimension only when it is under the broadcast threshold
+    and shuffles otherwise; hour-range filters on ``dim_date`` can prune
+    fact partitions (dynamic partition pruning).
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.d = spark, sf_dir
 
+    # -- built ---------------------------------------------------------
     def movies_raw(self) -> DataFrame:
         return bind.movies_raw(self.spark, self.d)
 
@@ -36,13 +51,49 @@ class Bound:
         return wh.dim_users(self.users_raw())
 
     def watch(self) -> DataFrame:
-        return ev.watch_facts(bind.watch_events(self.spark, self.d), self.movies())
+        return ev.watch_facts(bind.watch_events(self.spark, self.d), self.dim_movies())
 
     def search(self) -> DataFrame:
         return ev.search_facts(bind.search_events(self.spark, self.d))
 
     def dates(self) -> DataFrame:
-        return wh.dim_date(self.watch(), self.search())
+        return wh.dim_date(self.fact_watch(), self.fact_search())
+
+    # -- stored --------------------------------------------------------
+    def _stored(self, name: str, build, partition_by: str | None = None) -> DataFrame:
+        from reelpulse.session import scratch_dir
+        from reelpulse.sources.io import path_exists
+
+        key = (self.spark.sparkContext.applicationId, self.d, name)
+        hit = _WAREHOUSE.get(key)
+        if hit is None or not path_exists(self.spark, hit[0]):
+            df = build()
+            path = scratch_dir(self.spark, "warehouse", name, unique=True)
+            writer = df.write.mode("overwrite")
+            if partition_by:
+                n = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+                writer = df.repartition(n, partition_by).write.mode("overwrite").partitionBy(partition_by)
+            writer.parquet(path)
+            hit = (path, df.schema)
+            _WAREHOUSE[key] = hit
+        path, schema = hit
+        # explicit schema: the hour key stays text (trap T1)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def dim_movies(self) -> DataFrame:
+        return self._stored("dim_movies", self.movies)
+
+    def dim_users(self) -> DataFrame:
+        return self._stored("dim_users", self.users)
+
+    def dim_date(self) -> DataFrame:
+        return self._stored("dim_date", self.dates)
+
+    def fact_watch(self) -> DataFrame:
+        return self._stored("fact_watch_history", self.watch, "date_key")
+
+    def fact_search(self) -> DataFrame:
+        return self._stored("fact_search_logs", self.search, "date_key")
 
 
 REGISTRY: dict = {}
@@ -59,35 +110,35 @@ def query(name):
 
 @query("top_devices")
 def q_top_devices(spark, d):
-    return rp.top_devices(Bound(spark, d).watch())
+    return rp.top_devices(Bound(spark, d).fact_watch())
 
 
 @query("genre_popularity")
 def q_genre_popularity(spark, d):
     b = Bound(spark, d)
-    return rp.genre_popularity(b.watch(), b.movies())
+    return rp.genre_popularity(b.fact_watch(), b.dim_movies())
 
 
 @query("peak_hours")
 def q_peak_hours(spark, d):
     b = Bound(spark, d)
-    return rp.peak_hours(b.watch(), b.dates())
+    return rp.peak_hours(b.fact_watch(), b.dim_date())
 
 
 @query("binge_genres")
 def q_binge_genres(spark, d):
     b = Bound(spark, d)
-    return rp.binge_genres(b.watch(), b.dates(), b.movies())
+    return rp.binge_genres(b.fact_watch(), b.dim_date(), b.dim_movies())
 
 
 @query("churn_risk")
 def q_churn_risk(spark, d):
-    return rp.churn_risk(Bound(spark, d).watch())
+    return rp.churn_risk(Bound(spark, d).fact_watch())
 
 
 @query("failed_searches")
 def q_failed_searches(spark, d):
-    return rp.failed_searches(Bound(spark, d).search())
+    return rp.failed_searches(Bound(spark, d).fact_search())
 
 
 # --- B: warehouse --------------------------------------------------------
@@ -133,7 +184,7 @@ def _dim_checks(b: Bound, raw: bool) -> dict:
 @query("dq_null_keys")
 def q_dq_null_keys(spark, d):
     b = Bound(spark, d)
-    return dq.null_keys({"fact_watch": (b.watch(), "movie_id"), **_dim_checks(b, raw=True)})
+    return dq.null_keys({"fact_watch": (b.fact_watch(), "movie_id"), **_dim_checks(b, raw=True)})
 
 
 @query("dq_duplicate_keys")
@@ -152,14 +203,14 @@ def q_dq_dimension_report(spark, d):
 def q_dq_row_counts(spark, d):
     b = Bound(spark, d)
     return dq.row_counts({
-        "dim_users": b.users(), "dim_movies": b.movies(), "dim_date": b.dates(),
-        "fact_watch_history": b.watch(), "fact_search_logs": b.search(),
+        "dim_users": b.dim_users(), "dim_movies": b.dim_movies(), "dim_date": b.dim_date(),
+        "fact_watch_history": b.fact_watch(), "fact_search_logs": b.fact_search(),
     })
 
 
 def _ri_checks(b: Bound):
-    watch, search = b.watch(), b.search()
-    users, movies, dates = b.users(), b.movies(), b.dates()
+    watch, search = b.fact_watch(), b.fact_search()
+    users, movies, dates = b.dim_users(), b.dim_movies(), b.dim_date()
     return [
         ("fact_watch_history", watch, "user_id", "dim_users", users, "user_id"),
         ("fact_watch_history", watch, "movie_id", "dim_movies", movies, "movie_id"),
@@ -177,7 +228,7 @@ def q_ri_report(spark, d):
 @query("ri_orphans")
 def q_ri_orphans(spark, d):
     b = Bound(spark, d)
-    return dq.orphans(b.watch(), b.movies(), "movie_id", "movie_id")
+    return dq.orphans(b.fact_watch(), b.dim_movies(), "movie_id", "movie_id")
 
 
 # --- E: telemetry --------------------------------------------------------
@@ -375,7 +426,7 @@ SPEED_FROM_KEY = "2024011600"  # hour key where the speed layer starts
 
 
 def _layers(b: Bound):
-    watch = b.watch()
+    watch = b.fact_watch()
     return watch.filter(F.col("date_key") < SPEED_FROM_KEY), watch.filter(F.col("date_key") >= SPEED_FROM_KEY)
 
 
@@ -384,7 +435,7 @@ def q_lambda_merge_genre(spark, d):
     """Batch genre report (before the cut) + live genre counts (after)."""
     b = Bound(spark, d)
     batch, speed = _layers(b)
-    movies = b.movies()
+    movies = b.dim_movies()
     return sv.merge_batch_speed(
         rp.genre_popularity(batch, movies), st.live_genre_counts(speed, movies),
         "genre_primary", "watch_count",
@@ -399,7 +450,7 @@ def q_lambda_merge_device(spark, d):
 
 def _features(spark, d):
     b = Bound(spark, d)
-    return sg.user_features(b.watch(), b.dates())
+    return sg.user_features(b.fact_watch(), b.dim_date())
 
 
 @query("kpi_summary")
@@ -428,7 +479,7 @@ def q_segment_lookup(spark, d):
 
 @query("preview_sample")
 def q_preview_sample(spark, d):
-    return sv.preview(Bound(spark, d).watch(), 5)
+    return sv.preview(Bound(spark, d).fact_watch(), 5)
 
 
 # --- D: segmentation -----------------------------------------------------
@@ -468,7 +519,7 @@ def q_cluster_centroids(spark, d):
 @query("global_view_query")
 def q_global_view_query(spark, d):
     b = Bound(spark, d)
-    wh.register_global_views(spark, {"rp_fact_watch": b.watch(), "rp_dim_date": b.dates()})
+    wh.register_global_views(spark, {"rp_fact_watch": b.fact_watch(), "rp_dim_date": b.dim_date()})
     return spark.sql("""
         SELECT device_type, COUNT(session_id) AS total_views
         FROM global_temp.rp_fact_watch GROUP BY device_type""")
@@ -526,7 +577,7 @@ def _stream_env(spark, d):
     from reelpulse.session import scratch_dir
 
     root = scratch_dir(spark, "stream", unique=True)
-    Bound(spark, d).movies().write.mode("overwrite").parquet(f"{root}/dim_movies")
+    Bound(spark, d).dim_movies().write.mode("overwrite").parquet(f"{root}/dim_movies")
     paths = st.IngestPaths(
         watch=f"{root}/fact_watch_history", search=f"{root}/fact_search_logs",
         serving_watch=f"{root}/serving/fact_watch_history", serving_search=f"{root}/serving/fact_search_logs",
