@@ -227,16 +227,18 @@ def orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def items_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order_items.csv as text: price = l_extendedprice, freight =
-    price * tax rounded to cents; every 60th line has a bad price."""
+    price * tax rounded to cents; every 60th line has a bad price.
+    (Text renderings of a double may differ between writers; the silver
+    layer parses them back to the same double.)"""
     li = read(spark, sf_dir, "lineitem")
     bad = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 60
-    price = F.format_string("%.2f", F.col("l_extendedprice"))
+    price = F.col("l_extendedprice").cast("string")
     return li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("string").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.when(bad == 0, "abc").when(bad == 1, "-1.00").otherwise(price).alias("price"),
-        F.format_string("%.2f", F.round(F.col("l_extendedprice") * F.col("l_tax"), 2)).alias("freight_value"),
+        F.round(F.col("l_extendedprice") * F.col("l_tax"), 2).cast("string").alias("freight_value"),
     )
 
 

@@ -411,8 +411,8 @@ CTES.update({
                CAST(l_partkey AS VARCHAR) AS product_id,
                CASE WHEN (l_orderkey * 7 + l_linenumber) % 60 = 0 THEN 'abc'
                     WHEN (l_orderkey * 7 + l_linenumber) % 60 = 1 THEN '-1.00'
-                    ELSE printf('%.2f', l_extendedprice) END AS price,
-               printf('%.2f', {rnd('l_extendedprice * l_tax', 2)}) AS freight_value
+                    ELSE CAST(l_extendedprice AS VARCHAR) END AS price,
+               CAST({rnd('l_extendedprice * l_tax', 2)} AS VARCHAR) AS freight_value
         FROM lineitem""", ()),
     "products_csv": ("""
         SELECT CAST(p_partkey AS VARCHAR) AS product_id,
