@@ -66,21 +66,35 @@ def row_counts(tables: dict) -> DataFrame:
 
 def orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
     """Fact rows whose foreign key has no dimension row.  A null key never
-    matches, so it counts as an orphan (trap T6)."""
+    matches, so it counts as an orphan (trap T6).
+
+    Null keys are orphans by definition, so they bypass the join: with a
+    shuffle join they would all hash to one reducer however many there are.
+    """
     keys = dim.select(F.col(pk).alias("_pk"))
-    return fact.join(keys, fact[fk] == keys["_pk"], "left_anti")
+    keyed = fact.filter(F.col(fk).isNotNull())
+    unmatched = keyed.join(keys, keyed[fk] == keys["_pk"], "left_anti")
+    return unmatched.unionByName(fact.filter(F.col(fk).isNull()))
 
 
 def ri_report(checks) -> DataFrame:
     """[(fact_name, fact_df, fk, dim_name, dim_df, pk)] -> one row per
-    check: fact, fk, dim, null_fk, unmatched_fk, orphans."""
+    check: fact, fk, dim, null_fk, unmatched_fk, orphans.
+
+    The fact is first counted per key value (map-side combined), so the
+    anti-join sees each distinct key once - a key holding a third of the
+    fact is one row, and the join input is the key cardinality, not the
+    fact size.
+    """
     frames = []
     for fact_name, fact, fk, dim_name, dim, pk in checks:
-        o = orphans(fact.select(fk), dim, fk, pk)
-        frames.append(o.agg(
-            F.count(F.when(F.col(fk).isNull(), 1)).alias("null_fk"),
-            F.count(F.col(fk)).alias("unmatched_fk"),
-            F.count(F.lit(1)).alias("orphans"),
+        per_key = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
+        keys = dim.select(F.col(pk).alias("_pk"))
+        missing = per_key.join(keys, per_key[fk] == keys["_pk"], "left_anti")
+        frames.append(missing.agg(
+            F.coalesce(F.sum(F.when(F.col(fk).isNull(), F.col("_n"))), F.lit(0)).cast("long").alias("null_fk"),
+            F.coalesce(F.sum(F.when(F.col(fk).isNotNull(), F.col("_n"))), F.lit(0)).cast("long").alias("unmatched_fk"),
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphans"),
         ).select(
             F.lit(fact_name).alias("fact"), F.lit(fk).alias("fk"), F.lit(dim_name).alias("dim"),
             "null_fk", "unmatched_fk", "orphans",
