@@ -18,16 +18,15 @@ from reelpulse.functions.columns import (
 )
 
 
-def to_json_value(df: DataFrame, time_cols=("current_timestamp",)) -> DataFrame:
-    """One JSON text per row (the producer's encoding).  Timestamps are
-    formatted first: ``to_json`` would write ISO text with a ``T``."""
-    cols = []
-    for name, typ in df.dtypes:
-        if name in time_cols and typ.startswith("timestamp"):
-            cols.append(F.date_format(name, EVENT_TIME_FORMAT).alias(name))
-        else:
-            cols.append(F.col(name))
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))
+def to_json_value(df: DataFrame, keep=()) -> DataFrame:
+    """One JSON text per row (the producer's encoding) in ``value``, next
+    to any ``keep`` columns.  Timestamps are formatted first: ``to_json``
+    would write ISO text with a ``T``."""
+    body = [
+        F.date_format(c, EVENT_TIME_FORMAT).alias(c) if t.startswith("timestamp") else F.col(c)
+        for c, t in df.dtypes if c not in keep
+    ]
+    return df.select(*keep, F.to_json(F.struct(*body)).alias("value"))
 
 
 def parse_events(values: DataFrame, schema=schemas.CLICKSTREAM) -> DataFrame:

@@ -168,42 +168,39 @@ def telemetry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clickstream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream values: every event as one JSON object, user nulled where
-    event_id % 97 = 0, and one ``not json`` line per 500 events."""
-    we = watch_events(spark, sf_dir)
-    se = search_events(spark, sf_dir)
-    ts_text = F.date_format("event_ts", EVENT_TIME_FORMAT)
+    """Stream values: every event as one JSON object (the producer's
+    encoding), user nulled where event_id % 97 = 0, and one ``not json``
+    line per 500 events."""
+    from reelpulse.operators.events import to_json_value
 
     def user(idcol):
         return F.when(F.col(idcol) % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("user_id").cast("string"))
 
-    watch = we.select(
+    watch = watch_events(spark, sf_dir).select(
         F.col("session_id").alias("event_id"),
-        F.to_json(F.struct(
-            F.lit("watch").alias("event_type"),
-            ts_text.alias("current_timestamp"),
-            user("session_id").alias("user_id"),
-            F.col("session_id").cast("string").alias("session_id"),
-            F.col("movie_id").cast("string").alias("movie_id"),
-            "device_type", "watch_duration_minutes", "progress_percentage",
-            "action", "quality", "user_rating", "location_country",
-        )).alias("value"),
+        F.lit("watch").alias("event_type"),
+        F.col("event_ts").alias("current_timestamp"),
+        user("session_id").alias("user_id"),
+        F.col("session_id").cast("string").alias("session_id"),
+        F.col("movie_id").cast("string").alias("movie_id"),
+        "device_type", "watch_duration_minutes", "progress_percentage",
+        "action", "quality", "user_rating", "location_country",
     )
-    search = se.select(
+    search = search_events(spark, sf_dir).select(
         F.col("search_id").alias("event_id"),
-        F.to_json(F.struct(
-            F.lit("search").alias("event_type"),
-            ts_text.alias("current_timestamp"),
-            user("search_id").alias("user_id"),
-            F.col("search_id").cast("string").alias("search_id"),
-            "search_query", "results_returned", "clicked_result_position",
-            "search_duration_seconds", "had_typo", "device_type", "location_country",
-        )).alias("value"),
+        F.lit("search").alias("event_type"),
+        F.col("event_ts").alias("current_timestamp"),
+        user("search_id").alias("user_id"),
+        F.col("search_id").cast("string").alias("search_id"),
+        "search_query", "results_returned", "clicked_result_position",
+        "search_duration_seconds", "had_typo", "device_type", "location_country",
     )
     junk = read(spark, sf_dir, "events").filter(F.col("event_id") % 500 == 0).select(
         (-F.col("event_id") - 1).alias("event_id"), F.lit("not json").alias("value")
     )
-    return watch.unionByName(search).unionByName(junk)
+
+    encode = lambda df: to_json_value(df, keep=("event_id",))
+    return encode(watch).unionByName(encode(search)).unionByName(junk)
 
 
 # --- e-commerce (lakehouse) ---------------------------------------------

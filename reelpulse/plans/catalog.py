@@ -67,13 +67,15 @@ class Bound:
         key = (self.spark.sparkContext.applicationId, self.d, name)
         hit = _WAREHOUSE.get(key)
         if hit is None or not path_exists(self.spark, hit[0]):
+            from reelpulse.sources.io import save_dimension
+
             df = build()
             path = scratch_dir(self.spark, "warehouse", name, unique=True)
-            writer = df.write.mode("overwrite")
             if partition_by:
                 n = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
-                writer = df.repartition(n, partition_by).write.mode("overwrite").partitionBy(partition_by)
-            writer.parquet(path)
+                df.repartition(n, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+            else:
+                save_dimension(df, path)
             # explicit schema: the hour key stays text (trap T1).  The frame
             # is kept, so the (immutable) table is listed once, not per query.
             hit = (path, self.spark.read.schema(df.schema).parquet(path))

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 # Batch defaults: AQE re-plans joins and coalesces shuffle partitions at run
 # time, skew-join splitting handles hot keys, UTC keeps hour buckets stable.
+# They fill only what the cluster (or the caller) left unset.
 BATCH_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -24,8 +25,9 @@ BATCH_DEFAULTS = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.ui.enabled": "false",
 }
+# Static settings can only be given when the application starts.
+STATIC_DEFAULTS = {"spark.ui.enabled": "false"}
 
 
 def build_session(
@@ -35,19 +37,28 @@ def build_session(
     driver_memory: str | None = None,
     extra: dict | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the batch defaults."""
+    """Create (or reuse) a session.  Explicit arguments are applied as
+    given; the batch defaults only where nothing is set yet."""
+    explicit = dict(extra or {})
+    if shuffle_partitions:
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        explicit["spark.driver.memory"] = driver_memory
+    active = SparkSession.getActiveSession()
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(BATCH_DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if driver_memory:
-        conf["spark.driver.memory"] = driver_memory
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
+    if active is None:
+        for k, v in {**STATIC_DEFAULTS, **explicit}.items():
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if active is not None:
+        for k, v in explicit.items():
+            if spark.conf.isModifiable(k):
+                spark.conf.set(k, v)
+    for k, v in BATCH_DEFAULTS.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -207,3 +207,38 @@ def compact(spark: SparkSession, fact_path: str, out_path: str, kind: str = "wat
         .parquet(out_path)
     )
     return out_path
+
+
+@dataclass
+class SpeedLayer:
+    ingest: object
+    genre: object
+    device: object
+
+    @property
+    def queries(self):
+        return [self.ingest, self.genre, self.device]
+
+    def await_any(self, spark: SparkSession, timeout: float | None = None) -> bool:
+        """Block until any of the three queries ends (or ``timeout``)."""
+        return spark.streams.awaitAnyTermination(timeout)
+
+    def stop(self) -> None:
+        for q in self.queries:
+            if q.isActive:
+                q.stop()
+
+
+def start_speed_layer(spark: SparkSession, values: DataFrame, movies_loader, paths: IngestPaths,
+                      genre_report: str, device_report: str, checkpoint_root: str,
+                      trigger: dict | None = None, serving_fmt: str = "parquet") -> SpeedLayer:
+    """The whole speed layer: the fact ingest and the two live counts, three
+    concurrent queries over one source, each with its own checkpoint."""
+    refined = refine(values)
+    watch = refined.filter(F.col("event_type") == "watch")
+    ingest = start_ingest(refined, movies_loader, paths, trigger, serving_fmt, name="ingest")
+    genre = start_live_count(live_genre_counts(watch, movies_loader()), genre_report,
+                             f"{checkpoint_root}/genre_hot", trigger, name="genre_hot")
+    device = start_live_count(live_device_counts(watch), device_report,
+                              f"{checkpoint_root}/device_hot", trigger, name="device_hot")
+    return SpeedLayer(ingest, genre, device)

@@ -113,3 +113,22 @@ def test_compaction_keeps_rows(spark, tmp_path):
     out = st.compact(spark, str(tmp_path / "f"), str(tmp_path / "f2"))
     assert rows(io.read_fact(spark, out, "watch")) == rows(df)
     assert len(spark.read.parquet(out).inputFiles()) == 3                 # one file per hour key
+
+
+def test_speed_layer_three_queries(spark, tmp_path):
+    lines = [_event(i, "watch" if i % 4 else "search") for i in range(16)]
+    landing = _land(tmp_path, [(0, lines[:8]), (1, lines[8:])])
+    paths = st.IngestPaths(watch=str(tmp_path / "w"), search=str(tmp_path / "s"), checkpoint=str(tmp_path / "chk/main"))
+    layer = st.start_speed_layer(
+        spark, st.event_stream(spark, "text", landing, max_per_trigger=1), lambda: _movies(spark), paths,
+        str(tmp_path / "genre"), str(tmp_path / "device"), str(tmp_path / "chk"), trigger={"availableNow": True})
+    try:
+        for q in layer.queries:
+            q.awaitTermination(120)
+        assert layer.await_any(spark, 1)
+    finally:
+        layer.stop()
+        spark.streams.resetTerminated()
+    watch_n = io.read_fact(spark, paths.watch, "watch").count()
+    assert spark.read.parquet(str(tmp_path / "device")).agg(F.sum("count")).first()[0] == watch_n
+    assert spark.read.parquet(str(tmp_path / "genre")).agg(F.sum("count")).first()[0] == watch_n

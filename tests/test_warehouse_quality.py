@@ -80,3 +80,16 @@ def test_ri_null_fk_is_orphan_trap_t6(spark):
     assert rows(dq.orphans(fact, dim, "fk", "pk")) == [(3,), (None,)]
     rep = dq.ri_report([("f", fact, "fk", "d", dim, "pk")]).first()
     assert (rep["null_fk"], rep["unmatched_fk"], rep["orphans"]) == (1, 1, 2)
+
+
+def test_views_and_written_counts(spark, tmp_path):
+    from reelpulse.sources import io
+
+    df = spark.createDataFrame([("TV", "s1"), ("TV", "s2"), ("Mobile", "s3")], "device_type string, session_id string")
+    wh.register_views(spark, {"fact_watch_t": df})
+    got = spark.sql("SELECT device_type, COUNT(session_id) AS n FROM fact_watch_t GROUP BY device_type")
+    assert rows(got) == [("Mobile", 1), ("TV", 2)]
+    wh.register_global_views(spark, {"fact_watch_g": df})
+    assert spark.newSession().sql("SELECT COUNT(*) FROM global_temp.fact_watch_g").first()[0] == 3
+    io.save_dimension(df, str(tmp_path / "dim"))
+    assert io.verify_written(spark, str(tmp_path / "dim")) == 3
