@@ -72,8 +72,8 @@ class Bound:
             df = build()
             path = scratch_dir(self.spark, "warehouse", name, unique=True)
             if partition_by:
-                n = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
-                df.repartition(n, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+                # rebalance: AQE splits a hot hour and coalesces small ones
+                df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
             else:
                 save_dimension(df, path)
             # explicit schema: the hour key stays text (trap T1).  The frame

@@ -179,33 +179,18 @@ class MetricsListener(StreamingQueryListener):
         return spark.createDataFrame(rows, schemas.METRICS)
 
 
-def compact(spark: SparkSession, fact_path: str, out_path: str, kind: str = "watch",
-            rows_per_file: int = 5_000_000) -> str:
-    """Fold the per-batch files of a fact table into about
-    ``rows_per_file`` rows per file, per hour key, written to a *new*
-    directory (never over the path being read); readers switch to
-    ``out_path`` afterwards.
-
-    Rows are counted per hour key first (one row per hour: a bounded
-    broadcast), so a hot hour is split over several salted buckets -
-    and tasks - instead of one task writing a third of the table.
+def compact(spark: SparkSession, fact_path: str, out_path: str, kind: str = "watch") -> str:
+    """Fold the per-batch files of a fact table into one table partitioned
+    by hour, written to a *new* directory (never over the path being read);
+    readers switch to ``out_path`` afterwards.
+
+    ``rebalance`` lets AQE size the output: small hours are coalesced
+    and a hot hour is split, each file close to
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (the compaction
+    target, e.g. 128 MB).
     """
     df = io.read_fact(spark, fact_path, kind)
-    buckets = (
-        df.groupBy("date_key").agg(F.count(F.lit(1)).alias("_rows"))
-        .select("date_key", F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(rows_per_file))).cast("int").alias("_files"))
-    )
-    salted = df.join(F.broadcast(buckets), df["date_key"].eqNullSafe(buckets["date_key"])).drop(buckets["date_key"])
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_files"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    (
-        salted.withColumn("_salt", salt)
-        .repartition(n, "date_key", "_salt")
-        .drop("_files", "_salt")
-        .write.mode("overwrite")
-        .partitionBy("date_key")
-        .parquet(out_path)
-    )
+    df.hint("rebalance", "date_key").write.mode("overwrite").partitionBy("date_key").parquet(out_path)
     return out_path
 
 

@@ -132,3 +132,15 @@ def test_speed_layer_three_queries(spark, tmp_path):
     watch_n = io.read_fact(spark, paths.watch, "watch").count()
     assert spark.read.parquet(str(tmp_path / "device")).agg(F.sum("count")).first()[0] == watch_n
     assert spark.read.parquet(str(tmp_path / "genre")).agg(F.sum("count")).first()[0] == watch_n
+
+
+def test_hot_hour_is_spread_over_tasks(spark, tmp_path):
+    from reelpulse.sources.io import spread_hot_keys
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "2024010100").otherwise(F.concat(F.lit("20240101"), F.lpad((F.col("id") % 23 + 1).cast("string"), 2, "0"))).alias("date_key"),
+        F.col("id"))
+    spread = spread_hot_keys(df, "date_key", rows_per_task=200)
+    per_task = spread.filter(F.col("date_key") == "2024010100").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 1000     # hot hour (1000 rows) split
+    assert spread.count() == 3000
