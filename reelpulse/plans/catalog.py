@@ -20,6 +20,39 @@ from reelpulse.plans import bind
 _WAREHOUSE: dict = {}
 
 
+def _materialize(spark: SparkSession, d: str, name: str, build, fmt: str = "parquet",
+                 partition_by: str | None = None, schema=None) -> DataFrame:
+    """Write ``build()`` once per application and input directory under the
+    shared scratch area and return the read-back frame (kept, so the
+    immutable table is listed once).  ``fmt="csv"`` lands a raw input
+    file with a header, as the upstream systems deliver it."""
+    from reelpulse.session import scratch_dir
+    from reelpulse.sources.io import path_exists, read_csv, save_dimension
+
+    key = (spark.sparkContext.applicationId, d, name)
+    hit = _WAREHOUSE.get(key)
+    if hit is None or not path_exists(spark, hit[0], fmt):
+        df = build()
+        path = scratch_dir(spark, "warehouse", name, unique=True)
+        if fmt == "csv":
+            df.write.mode("overwrite").option("header", True).csv(path)
+            back = read_csv(spark, path, schema) if schema is not None else None
+            if back is None:
+                from reelpulse.sources.io import read_raw_csv
+                back = read_raw_csv(spark, path)
+        elif partition_by:
+            # rebalance: AQE splits a hot hour and coalesces small ones
+            df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+            # explicit schema: the hour key stays text (trap T1)
+            back = spark.read.schema(df.schema).parquet(path)
+        else:
+            save_dimension(df, path)
+            back = spark.read.schema(df.schema).parquet(path)
+        hit = (path, back)
+        _WAREHOUSE[key] = hit
+    return hit[1]
+
+
 class Bound:
     """The logical tables of one scale-factor directory.
 
@@ -61,26 +94,7 @@ class Bound:
 
     # -- stored --------------------------------------------------------
     def _stored(self, name: str, build, partition_by: str | None = None) -> DataFrame:
-        from reelpulse.session import scratch_dir
-        from reelpulse.sources.io import path_exists
-
-        key = (self.spark.sparkContext.applicationId, self.d, name)
-        hit = _WAREHOUSE.get(key)
-        if hit is None or not path_exists(self.spark, hit[0]):
-            from reelpulse.sources.io import save_dimension
-
-            df = build()
-            path = scratch_dir(self.spark, "warehouse", name, unique=True)
-            if partition_by:
-                # rebalance: AQE splits a hot hour and coalesces small ones
-                df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-            else:
-                save_dimension(df, path)
-            # explicit schema: the hour key stays text (trap T1).  The frame
-            # is kept, so the (immutable) table is listed once, not per query.
-            hit = (path, self.spark.read.schema(df.schema).parquet(path))
-            _WAREHOUSE[key] = hit
-        return hit[1]
+        return _materialize(self.spark, self.d, name, build, partition_by=partition_by)
 
     def dim_movies(self) -> DataFrame:
         return self._stored("dim_movies", self.movies)
@@ -240,8 +254,16 @@ from reelpulse.operators import social as so  # noqa: E402
 from reelpulse.operators import telemetry as tm  # noqa: E402
 
 
+def _telemetry_raw(spark, d):
+    """The telemetry CSV as delivered, read with its declared schema."""
+    from reelpulse import schemas
+
+    return _materialize(spark, d, "telemetry_csv", lambda: bind.telemetry_raw(spark, d),
+                        fmt="csv", schema=schemas.TELEMETRY_RAW)
+
+
 def _clean(spark, d):
-    return tm.clean_telemetry(bind.telemetry_raw(spark, d))
+    return tm.clean_telemetry(_telemetry_raw(spark, d))
 
 
 @query("telemetry_clean")
@@ -251,7 +273,7 @@ def q_telemetry_clean(spark, d):
 
 @query("cleaning_funnel")
 def q_cleaning_funnel(spark, d):
-    return tm.cleaning_funnel(bind.telemetry_raw(spark, d))
+    return tm.cleaning_funnel(_telemetry_raw(spark, d))
 
 
 @query("top_users")
@@ -286,18 +308,32 @@ def q_telemetry_anomalies_top(spark, d):
 
 # --- F: lakehouse --------------------------------------------------------
 
+def _landing(spark, d, name):
+    """Raw e-commerce CSV as delivered (text columns)."""
+    return _materialize(spark, d, f"{name}_csv", lambda: getattr(bind, f"{name}_csv")(spark, d), fmt="csv")
+
+
 def _bronze(spark, d, name):
-    return lh.to_bronze(getattr(bind, f"{name}_csv")(spark, d))
+    """Stored bronze table: the landed CSV kept as raw text."""
+    return _materialize(spark, d, f"bronze_{name}", lambda: lh.to_bronze(_landing(spark, d, name)))
+
+
+SILVER = {"orders": lh.silver_orders, "items": lh.silver_items,
+          "products": lh.silver_products, "reviews": lh.silver_reviews}
+
+
+def _silver_stored(spark, d, name):
+    """Stored silver table, built from stored bronze (processing stamp on)."""
+    return _materialize(spark, d, f"silver_{name}", lambda: SILVER[name](_bronze(spark, d, name)))
 
 
 @query("bronze_orders")
 def q_bronze_orders(spark, d):
-    """Raw landing through a real CSV file in the shared scratch area."""
-    from reelpulse.session import scratch_dir
+    """Raw landing: the orders CSV read back with every column as text."""
     from reelpulse.sources.io import read_raw_csv
 
-    path = scratch_dir(spark, "landing", "orders_csv", unique=True)
-    bind.orders_csv(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    _landing(spark, d, "orders")
+    path = _WAREHOUSE[(spark.sparkContext.applicationId, d, "orders_csv")][0]
     return lh.to_bronze(read_raw_csv(spark, path))
 
 
@@ -349,12 +385,8 @@ def q_silver_schema_lock(spark, d):
 
 
 def _silver(spark, d):
-    return (
-        lh.silver_orders(_bronze(spark, d, "orders")),
-        lh.silver_items(_bronze(spark, d, "items")),
-        lh.silver_products(_bronze(spark, d, "products")),
-        lh.silver_reviews(_bronze(spark, d, "reviews")),
-    )
+    """Gold reads the stored silver layer, as the lakehouse job does."""
+    return tuple(_silver_stored(spark, d, n) for n in ("orders", "items", "products", "reviews"))
 
 
 @query("gold_sales_daily")
@@ -381,11 +413,19 @@ SOCIAL_AS_OF = "2024-06-30"
 
 
 def _social_users(spark, d):
-    return so.load_social_users(bind.social_users_csv(spark, d), F.lit(SOCIAL_AS_OF).cast("date"))
+    from reelpulse import schemas
+
+    raw = _materialize(spark, d, "social_users_csv", lambda: bind.social_users_csv(spark, d),
+                       fmt="csv", schema=schemas.SOCIAL_USERS_RAW)
+    return so.load_social_users(raw, F.lit(SOCIAL_AS_OF).cast("date"))
 
 
 def _social_posts(spark, d):
-    return so.load_social_posts(bind.social_posts_csv(spark, d))
+    from reelpulse import schemas
+
+    raw = _materialize(spark, d, "social_posts_csv", lambda: bind.social_posts_csv(spark, d),
+                       fmt="csv", schema=schemas.SOCIAL_POSTS_RAW)
+    return so.load_social_posts(raw)
 
 
 @query("social_users_load")
