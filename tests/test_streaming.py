@@ -144,3 +144,33 @@ def test_hot_hour_is_spread_over_tasks(spark, tmp_path):
     per_task = spread.filter(F.col("date_key") == "2024010100").groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) > 1 and max(r["count"] for r in per_task) < 1000     # hot hour (1000 rows) split
     assert spread.count() == 3000
+
+
+def test_compaction_splits_a_hot_hour(spark, tmp_path):
+    from reelpulse import schemas
+
+    df = spark.range(30000).select(
+        F.col("id").cast("string").alias("session_id"), F.lit("u").alias("user_id"), F.lit("m").alias("movie_id"),
+        F.lit("TV").alias("device_type"), F.col("id").cast("double").alias("watch_duration_minutes"),
+        F.lit(1.0).alias("progress_percentage"), F.lit("a").alias("action"), F.lit("HD").alias("quality"),
+        F.lit(1).alias("user_rating"), F.lit("VN").alias("location_country"),
+        F.when(F.col("id") % 3 == 0, "2024010100").otherwise(
+            F.concat(F.lit("202401"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"), F.lit("05"))).alias("date_key"),
+    ).select(*[f.name for f in schemas.WATCH_FACT.fields])
+    # the hot hour arrives over several micro-batches (several files)
+    for b in range(6):
+        io.append_fact(df.filter(F.col("session_id").cast("long") % 6 == b), str(tmp_path / "f"), b)
+    # AQE splits a skewed partition at map-task boundaries: one file per split
+    confs = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "1k"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        out = st.compact(spark, str(tmp_path / "f"), str(tmp_path / "f2"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    hot = [f for f in spark.read.parquet(out).inputFiles() if "date_key=2024010100" in f]
+    assert len(hot) > 1                                           # the hot hour is split
+    assert io.read_fact(spark, out, "watch").count() == 30000
