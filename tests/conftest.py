@@ -13,17 +13,17 @@ SF01 = "/root/testdata/sf0.01"
 def spark(tmp_path_factory):
     from reelpulse.session import build_session
 
-    chk = tmp_path_factory.mktemp("checkpoints")
     s = build_session(
         "local[*]",
         app="reelpulse-tests",
         shuffle_partitions=8,
         extra={
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": str(chk),
             "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
         },
     )
+    # scratch goes to the configured spark.checkpoint.dir; only when none is
+    # configured does reelpulse.session.scratch_dir pick a private temp dir
     yield s
     s.stop()
 
