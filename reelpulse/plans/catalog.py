@@ -635,17 +635,20 @@ def _stream_env(spark, d):
 _INGEST_RUNS: dict = {}
 
 
-def _shared_ingest(spark, d):
-    """One full ingest of the clickstream per application and input; the
-    read-back keys (watch, search, dual write) all inspect its output."""
+def _shared_ingest(spark, d, with_listener: bool = False):
+    """One full ingest of the clickstream per application and input (two
+    micro-batches, serving copy on, progress listener attached); the
+    read-back, dual-write, metrics and compaction keys all inspect it."""
     from reelpulse.sources.io import path_exists
 
     key = (spark.sparkContext.applicationId, d)
     run = _INGEST_RUNS.get(key)
     if run is None or not path_exists(spark, run[1].watch):
-        run = _run_ingest(spark, d, serving=True)
+        listener = st.MetricsListener()
+        root, paths = _run_ingest(spark, d, serving=True, listener=listener)
+        run = (root, paths, listener)
         _INGEST_RUNS[key] = run
-    return run
+    return run if with_listener else run[:2]
 
 
 def _run_ingest(spark, d, files=4, per_trigger=2, listener=None, serving=False):
@@ -763,14 +766,18 @@ def q_stream_device_counts(spark, d):
 
 @query("stream_metrics")
 def q_stream_metrics(spark, d):
-    listener = st.MetricsListener()
-    _run_ingest(spark, d, files=4, per_trigger=2, listener=listener)
+    """Progress rows of the ingest (one per micro-batch)."""
+    _, _, listener = _shared_ingest(spark, d, with_listener=True)
     return listener.to_frame(spark)
 
 
 @query("compact_fact")
 def q_compact_fact(spark, d):
-    root, paths = _run_ingest(spark, d, files=4, per_trigger=1)
-    out = st.compact(spark, paths.watch, f"{root}/fact_watch_history_v2", "watch")
+    """Fold the ingest's per-batch files (one per hour per batch) into a
+    new table version; rows per hour are unchanged."""
+    from reelpulse.session import scratch_dir
+
+    _, paths = _shared_ingest(spark, d)
+    out = st.compact(spark, paths.watch, scratch_dir(spark, "stream", "compacted", unique=True), "watch")
     from reelpulse.sources import io
     return io.read_fact(spark, out, "watch").groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))
