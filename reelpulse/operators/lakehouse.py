@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpulse.functions.columns import MEAN_DECIMAL, mean, parse_time
+from reelpulse.functions.columns import MEAN_DECIMAL, parse_time
 from reelpulse.operators.warehouse import dedupe_by_key
 
 UNKNOWN_CATEGORY = "unknown"
@@ -116,8 +116,3 @@ def product_satisfaction(reviews: DataFrame, items: DataFrame, products: DataFra
         .orderBy(F.desc("avg_customer_rating"), F.asc("product_category_name"))
     )
 
-
-__all__ = [
-    "to_bronze", "silver_orders", "silver_items", "silver_products", "silver_reviews",
-    "sales_daily", "category_performance", "product_satisfaction", "mean",
-]
