@@ -70,6 +70,20 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def pinned(loader):
+    """Load a dimension once, keep it cached and hand the same frame to
+    every batch - the reference's behaviour (STR-5).  The default is to
+    re-read per batch, so a long-running stream sees dimension updates."""
+    frame = []
+
+    def load():
+        if not frame:
+            frame.append(loader().persist())
+        return frame[0]
+
+    return load
+
+
 def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet",
                  log: BatchLog | None = None):
     """The foreachBatch body.

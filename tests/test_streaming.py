@@ -174,3 +174,14 @@ def test_compaction_splits_a_hot_hour(spark, tmp_path):
     hot = [f for f in spark.read.parquet(out).inputFiles() if "date_key=2024010100" in f]
     assert len(hot) > 1                                           # the hot hour is split
     assert io.read_fact(spark, out, "watch").count() == 30000
+
+
+def test_pinned_dimension_loads_once(spark):
+    calls = []
+
+    def loader():
+        calls.append(1)
+        return _movies(spark)
+
+    load = st.pinned(loader)
+    assert load() is load() and len(calls) == 1
