@@ -124,15 +124,20 @@ def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={int(batch_id)}"
 
 
-def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = 1_000_000) -> DataFrame:
+def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = 1_000_000,
+                    max_keys: int = 100_000) -> DataFrame:
     """Hash-cluster rows by ``key`` for a partitioned write, splitting hot
     keys: rows are counted per key and a key with more than
     ``rows_per_task`` rows is salted over that many buckets (tasks and
     files).  In a live stream most events of a batch share the current
     hour; without the salt one task would write nearly the whole batch.
 
-    Meant for hour keys: the per-key counts (one row per key) are the
-    broadcast side, bounded by the hours a batch can span.
+    Meant for hour keys.  The per-key counts (one row per key) are
+    broadcast only after checking there are at most ``max_keys`` of them
+    (a batch spans a bounded number of hours); beyond that the rows are
+    plainly hash-partitioned by key and AQE's skew handling is left to
+    split hot partitions.  Call it on a persisted frame (a micro-batch):
+    the counts and the write read it twice.
     """
     from pyspark.sql import functions as F
 
@@ -142,6 +147,8 @@ def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = 1_000_000) ->
         F.col(key).alias("_key"),
         F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(rows_per_task))).cast("long").alias("_buckets"),
     )
+    if counts.count() > max_keys:
+        return df.repartition(n, F.col(key))
     salted = df.join(F.broadcast(counts), df[key].eqNullSafe(counts["_key"]), "left")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_buckets"))
     # An explicit count: AQE must not fold a small batch into one task that

@@ -6,7 +6,7 @@ from reelpulse.operators import events as ev
 from reelpulse.sources import io
 from reelpulse.streaming import ingest as st
 
-from conftest import rows
+from conftest import plan_text, rows
 
 
 def _event(i, kind):
@@ -185,3 +185,12 @@ def test_pinned_dimension_loads_once(spark):
 
     load = st.pinned(loader)
     assert load() is load() and len(calls) == 1
+
+
+def test_spread_hot_keys_size_guard(spark):
+    from reelpulse.sources.io import spread_hot_keys
+
+    df = spark.range(500).select(F.col("id").cast("string").alias("k"), "id")
+    plain = spread_hot_keys(df, "k", rows_per_task=10, max_keys=100)      # 500 keys > 100: no broadcast
+    assert "BroadcastHashJoin" not in plan_text(plain, "simple")
+    assert plain.count() == 500
