@@ -93,3 +93,17 @@ def test_views_and_written_counts(spark, tmp_path):
     assert spark.newSession().sql("SELECT COUNT(*) FROM global_temp.fact_watch_g").first()[0] == 3
     io.save_dimension(df, str(tmp_path / "dim"))
     assert io.verify_written(spark, str(tmp_path / "dim")) == 3
+
+
+from hypothesis import given, settings, strategies as hs  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(hs.lists(hs.tuples(hs.sampled_from(["a", "b", "c", None]), hs.integers(0, 3), hs.one_of(hs.none(), hs.text("xy", max_size=2))),
+                max_size=30))
+def test_dedupe_idempotent_and_order_free(spark, data):
+    df = spark.createDataFrame(data, "k string, n int, v string")
+    once = wh.dedupe_by_key(df, "k")
+    assert rows(wh.dedupe_by_key(once, "k")) == rows(once)                 # idempotent
+    assert rows(wh.dedupe_by_key(df.orderBy(F.rand(3)), "k")) == rows(once)
+    assert once.count() == df.select("k").distinct().count()
