@@ -38,3 +38,36 @@ def test_reports_scan_only_needed_columns(spark):
 def test_dimensions_are_broadcast_by_size(spark):
     plan = plan_text(entry.queries()["peak_hours"](spark, SF001), "simple")
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("name,key", [
+    ("genre_popularity", "movie_id"), ("binge_genres", "movie_id"), ("ri_report", "movie_id"),
+    ("gold_sales_daily", "order_id"), ("gold_category_performance", "product_id"),
+])
+def test_fact_is_combined_before_the_shuffle(spark, name, key):
+    """A hot key collapses map-side: the fact is aggregated per join key
+    (partial aggregate) before it is shuffled on that key."""
+    plan = plan_text(entry.queries()[name](spark, SF001), "simple")
+    lines = plan.splitlines()
+    shuffles = [i for i, l in enumerate(lines) if "Exchange hashpartitioning(" + key in l]
+    assert shuffles, plan
+    assert any("partial_" in lines[i + 1] for i in shuffles), plan
+
+
+def test_dedup_is_an_aggregate_not_a_window(spark):
+    plan = plan_text(entry.queries()["dim_users"](spark, SF001), "simple")
+    assert "Window" not in plan and "partial_min" in plan
+
+
+def test_compaction_rebalances(spark, tmp_path):
+    from reelpulse.streaming import ingest as st
+    from reelpulse.sources import io as rio
+    from reelpulse import schemas
+
+    df = spark.createDataFrame([(str(i), "u", "m", "TV", 1.0, 1.0, "a", "HD", 1, "VN", "2024010100") for i in range(4)],
+                               schemas.WATCH_FACT)
+    rio.append_fact(df, str(tmp_path / "f"), 0)
+    plan = plan_text(rio.read_fact(spark, str(tmp_path / "f"), "watch").hint("rebalance", "date_key"), "simple")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    st.compact(spark, str(tmp_path / "f"), str(tmp_path / "g"))
+    assert rio.read_fact(spark, str(tmp_path / "g"), "watch").count() == 4
