@@ -119,8 +119,30 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
     return process
 
 
+class OwnershipError(RuntimeError):
+    """A fact path already belongs to another checkpoint."""
+
+
+def claim(spark: SparkSession, fact_path: str, checkpoint: str) -> None:
+    """Tie a fact path to one checkpoint.  Batch ids restart at 0 with a
+    new checkpoint, so a second writer on the same path would overwrite
+    the first writer's ``batch_id=N`` directories; the marker makes that
+    a refusal instead.  (Readers skip the ``_owner`` directory.)"""
+    marker = f"{fact_path}/_owner"
+    if io.path_exists(spark, marker, "text"):
+        owner = spark.read.text(marker).first()
+        if owner is not None and owner[0] != checkpoint:
+            raise OwnershipError(f"{fact_path} is written by checkpoint {owner[0]}, not {checkpoint}")
+        return
+    spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+
+
 def start_ingest(refined: DataFrame, movies_loader, paths: IngestPaths, trigger: dict | None = None,
                  serving_fmt: str = "parquet", log: BatchLog | None = None, name: str | None = None):
+    spark = refined.sparkSession
+    for target in (paths.watch, paths.search, paths.serving_watch, paths.serving_search):
+        if target:
+            claim(spark, target, paths.checkpoint)
     writer = refined.writeStream.foreachBatch(batch_writer(movies_loader, paths, serving_fmt, log))
     writer = writer.option("checkpointLocation", paths.checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
     if name:

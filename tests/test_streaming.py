@@ -194,3 +194,18 @@ def test_spread_hot_keys_size_guard(spark):
     plain = spread_hot_keys(df, "k", rows_per_task=10, max_keys=100)      # 500 keys > 100: no broadcast
     assert "BroadcastHashJoin" not in plan_text(plain, "simple")
     assert plain.count() == 500
+
+
+def test_second_checkpoint_cannot_take_over_a_fact_path(spark, tmp_path):
+    import pytest
+
+    landing = _land(tmp_path, [(0, [_event(i, "watch") for i in range(4)])])
+    paths = st.IngestPaths(watch=str(tmp_path / "w"), search=str(tmp_path / "s"), checkpoint=str(tmp_path / "chk1"))
+    values = st.refine(st.event_stream(spark, "text", landing))
+    st.start_ingest(values, lambda: _movies(spark), paths, trigger={"availableNow": True}).awaitTermination()
+    again = st.start_ingest(values, lambda: _movies(spark), paths, trigger={"availableNow": True})   # same owner
+    again.awaitTermination()
+    other = st.IngestPaths(watch=paths.watch, search=paths.search, checkpoint=str(tmp_path / "chk2"))
+    with pytest.raises(st.OwnershipError):
+        st.start_ingest(values, lambda: _movies(spark), other, trigger={"availableNow": True})
+    assert io.read_fact(spark, paths.watch, "watch").count() == 4
