@@ -92,12 +92,15 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
     ``finally``.  The movie dimension is re-read per batch by
     ``movies_loader`` so a long-running stream sees dimension updates.
     Facts land under ``batch_id=N/date_key=H``, each batch overwriting
-    only its own directory, so a retried batch replaces its own output; the serving copy is derived
-    from the fact just written, so both stores agree.
+    only its own directory, so a retried batch replaces its own output.
+    With a serving copy, the enriched batch is cached once and written to
+    both stores, so both receive the same rows; a failure between the two
+    writes is repaired by the retry of the whole batch.
     """
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
+        cached = []
         try:
             if log is not None:
                 # bounded by the number of event kinds
@@ -105,15 +108,17 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
             movies = movies_loader()
             watch = _conform(ev.watch_facts(ev.route(batch_df, "watch"), movies), schemas.WATCH_FACT)
             search = _conform(ev.search_facts(ev.route(batch_df, "search")), schemas.SEARCH_FACT)
-            io.append_fact(watch, paths.watch, batch_id)
-            io.append_fact(search, paths.search, batch_id)
-            spark = batch_df.sparkSession
-            for kind, fact_path, serving in (("watch", paths.watch, paths.serving_watch),
-                                             ("search", paths.search, paths.serving_search)):
+            for frame, fact_path, serving in ((watch, paths.watch, paths.serving_watch),
+                                              (search, paths.search, paths.serving_search)):
                 if serving:
-                    landed = io.read_batch(spark, fact_path, batch_id, kind)
-                    io.append_fact(landed, serving, batch_id, fmt=serving_fmt)
+                    frame = frame.persist()
+                    cached.append(frame)
+                io.append_fact(frame, fact_path, batch_id)
+                if serving:
+                    io.append_fact(frame, serving, batch_id, fmt=serving_fmt)
         finally:
+            for frame in cached:
+                frame.unpersist()
             batch_df.unpersist()
 
     return process
