@@ -7,14 +7,26 @@ names match the SQL in ``plans/oracle.py``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelpulse import schemas
 from reelpulse.operators import events as ev
+from reelpulse.operators import lakehouse as lh
 from reelpulse.operators import quality as dq
 from reelpulse.operators import reports as rp
+from reelpulse.operators import segment as sg
+from reelpulse.operators import serving as sv
+from reelpulse.operators import social as so
+from reelpulse.operators import telemetry as tm
 from reelpulse.operators import warehouse as wh
 from reelpulse.plans import bind
+from reelpulse.session import scratch_dir
+from reelpulse.sources import io
+from reelpulse.sources.io import path_exists, read_csv, read_raw_csv, save_dimension
+from reelpulse.streaming import ingest as st
 
 
 _WAREHOUSE: dict = {}
@@ -26,9 +38,6 @@ def _materialize(spark: SparkSession, d: str, name: str, build, fmt: str = "parq
     shared scratch area and return the read-back frame (kept, so the
     immutable table is listed once).  ``fmt="csv"`` lands a raw input
     file with a header, as the upstream systems deliver it."""
-    from reelpulse.session import scratch_dir
-    from reelpulse.sources.io import read_csv, save_dimension
-
     # Stored tables are immutable for the life of the application, so the
     # kept frame is trusted (no re-listing of a partitioned table per query).
     key = (spark.sparkContext.applicationId, d, name)
@@ -38,10 +47,7 @@ def _materialize(spark: SparkSession, d: str, name: str, build, fmt: str = "parq
         path = scratch_dir(spark, "warehouse", name, unique=True)
         if fmt == "csv":
             df.write.mode("overwrite").option("header", True).csv(path)
-            back = read_csv(spark, path, schema) if schema is not None else None
-            if back is None:
-                from reelpulse.sources.io import read_raw_csv
-                back = read_raw_csv(spark, path)
+            back = read_csv(spark, path, schema) if schema is not None else read_raw_csv(spark, path)
         elif partition_by:
             # rebalance: AQE splits a hot hour and coalesces small ones
             df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
@@ -252,14 +258,10 @@ def q_ri_orphans(spark, d):
 
 # --- E: telemetry --------------------------------------------------------
 
-from reelpulse.operators import lakehouse as lh  # noqa: E402
-from reelpulse.operators import social as so  # noqa: E402
-from reelpulse.operators import telemetry as tm  # noqa: E402
 
 
 def _telemetry_raw(spark, d):
     """The telemetry CSV as delivered, read with its declared schema."""
-    from reelpulse import schemas
 
     return _materialize(spark, d, "telemetry_csv", lambda: bind.telemetry_raw(spark, d),
                         fmt="csv", schema=schemas.TELEMETRY_RAW)
@@ -333,7 +335,6 @@ def _silver_stored(spark, d, name):
 @query("bronze_orders")
 def q_bronze_orders(spark, d):
     """Raw landing: the orders CSV read back with every column as text."""
-    from reelpulse.sources.io import read_raw_csv
 
     _landing(spark, d, "orders")
     path = _WAREHOUSE[(spark.sparkContext.applicationId, d, "orders_csv")][0]
@@ -364,19 +365,17 @@ def q_silver_reviews(spark, d):
 def q_silver_schema_lock(spark, d):
     """Overwrite a locked silver table twice: same schema (accepted), then
     with an extra column (refused; the table keeps its rows)."""
-    from reelpulse.session import scratch_dir
-    from reelpulse.sources.io import SchemaLockError, write_layer
 
     root = scratch_dir(spark, "lakehouse", unique=True)
     items = lh.silver_items(_bronze(spark, d, "items"), stamp=False)
-    write_layer(items, root, "silver", "items", lock_schema=True)
+    io.write_layer(items, root, "silver", "items", lock_schema=True)
     outcome = []
     for attempt, df in (("same_schema", items),
                         ("changed_schema", items.withColumn("currency", F.lit("BRL")))):
         try:
-            write_layer(df, root, "silver", "items", lock_schema=True)
+            io.write_layer(df, root, "silver", "items", lock_schema=True)
             outcome.append((attempt, True))
-        except SchemaLockError:
+        except io.SchemaLockError:
             outcome.append((attempt, False))
     stored = spark.read.parquet(f"{root}/silver/items")
     attempts = F.array(*[
@@ -416,7 +415,6 @@ SOCIAL_AS_OF = "2024-06-30"
 
 
 def _social_users(spark, d):
-    from reelpulse import schemas
 
     raw = _materialize(spark, d, "social_users_csv", lambda: bind.social_users_csv(spark, d),
                        fmt="csv", schema=schemas.SOCIAL_USERS_RAW)
@@ -424,7 +422,6 @@ def _social_users(spark, d):
 
 
 def _social_posts(spark, d):
-    from reelpulse import schemas
 
     raw = _materialize(spark, d, "social_posts_csv", lambda: bind.social_posts_csv(spark, d),
                        fmt="csv", schema=schemas.SOCIAL_POSTS_RAW)
@@ -463,9 +460,6 @@ def q_social_top_users_detail(spark, d):
 
 # --- H: serving ----------------------------------------------------------
 
-from reelpulse.operators import segment as sg  # noqa: E402
-from reelpulse.operators import serving as sv  # noqa: E402
-from reelpulse.streaming import ingest as st  # noqa: E402
 
 SPEED_FROM_KEY = "2024011600"  # hour key where the speed layer starts
 
@@ -574,7 +568,6 @@ def q_global_view_query(spark, d):
 def q_dim_fallback(spark, d):
     """The dimension Parquet is absent, so the lookup falls back to the raw
     movies CSV (cast and deduplicated)."""
-    from reelpulse.session import scratch_dir
 
     root = scratch_dir(spark, "fallback", unique=True)
     bind.movies_raw(spark, d).write.mode("overwrite").option("header", True).csv(f"{root}/movies_csv")
@@ -598,9 +591,6 @@ def q_normalize_search(spark, d):
 
 @query("fact_partition_roundtrip")
 def q_fact_partition_roundtrip(spark, d):
-    from reelpulse import schemas
-    from reelpulse.session import scratch_dir
-    from reelpulse.sources import io
 
     path = scratch_dir(spark, "warehouse", "fact_watch_history", unique=True)
     io.append_fact(st._conform(Bound(spark, d).watch(), schemas.WATCH_FACT), path, 0)
@@ -619,7 +609,6 @@ def _land_clickstream(spark, d, root, files=4, subset=None):
 
 
 def _stream_env(spark, d):
-    from reelpulse.session import scratch_dir
 
     root = scratch_dir(spark, "stream", unique=True)
     Bound(spark, d).dim_movies().write.mode("overwrite").parquet(f"{root}/dim_movies")
@@ -642,7 +631,6 @@ def _shared_ingest(spark, d, with_listener: bool = False):
     """One full ingest of the clickstream per application and input (two
     micro-batches, serving copy on, progress listener attached); the
     read-back, dual-write, metrics and compaction keys all inspect it."""
-    from reelpulse.sources.io import path_exists
 
     key = (spark.sparkContext.applicationId, d)
     run = _INGEST_RUNS.get(key)
@@ -682,7 +670,6 @@ def _drain(listener, expected, timeout=20.0):
 
 @query("stream_ingest_watch")
 def q_stream_ingest_watch(spark, d):
-    from reelpulse.sources import io
 
     _, paths = _shared_ingest(spark, d)
     return io.read_fact(spark, paths.watch, "watch")
@@ -690,7 +677,6 @@ def q_stream_ingest_watch(spark, d):
 
 @query("stream_ingest_search")
 def q_stream_ingest_search(spark, d):
-    from reelpulse.sources import io
 
     _, paths = _shared_ingest(spark, d)
     return io.read_fact(spark, paths.search, "search")
@@ -698,7 +684,6 @@ def q_stream_ingest_search(spark, d):
 
 @query("stream_dual_write")
 def q_stream_dual_write(spark, d):
-    from reelpulse.sources import io
 
     _, paths = _shared_ingest(spark, d)
     frames = []
@@ -710,7 +695,6 @@ def q_stream_dual_write(spark, d):
     ):
         frames.append(io.read_fact(spark, path, kind).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(target).alias("target"), F.lit(table).alias("table"), "rows"))
-    from functools import reduce
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -719,9 +703,7 @@ def q_stream_restart_exactly_once(spark, d):
     """Half the input, stop; the other half, restart on the same
     checkpoint; then batch 0 is delivered again (a retried micro-batch).
     Nothing may be lost or doubled."""
-    from functools import reduce
 
-    from reelpulse.sources import io
 
     root, paths, loader = _stream_env(spark, d)
     batch0_files = None
@@ -778,9 +760,7 @@ def q_stream_metrics(spark, d):
 def q_compact_fact(spark, d):
     """Fold the ingest's per-batch files (one per hour per batch) into a
     new table version; rows per hour are unchanged."""
-    from reelpulse.session import scratch_dir
 
     _, paths = _shared_ingest(spark, d)
     out = st.compact(spark, paths.watch, scratch_dir(spark, "stream", "compacted", unique=True), "watch")
-    from reelpulse.sources import io
     return io.read_fact(spark, out, "watch").groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))
