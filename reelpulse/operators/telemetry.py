@@ -43,7 +43,7 @@ def cleaning_funnel(raw: DataFrame) -> DataFrame:
     minutes = info & (F.col("watch_time_minutes") > 0)
     valid = minutes & parse_time("timestamp").isNotNull()
     totals = rows.agg(
-        F.sum("_n").cast("long").alias("raw"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("raw"),
         F.count(F.lit(1)).alias("deduplicated"),
         F.count(F.when(info, 1)).alias("valid_user_title"),
         F.count(F.when(minutes, 1)).alias("positive_minutes"),

@@ -344,7 +344,7 @@ sql("telemetry_clean", "SELECT * FROM telemetry_clean")
 
 _FUNNEL_STEPS = ["raw", "deduplicated", "valid_user_title", "positive_minutes", "valid_timestamp"]
 _funnel_totals = f"""
-    SELECT CAST(SUM(_n) AS BIGINT) AS raw, COUNT(*) AS deduplicated,
+    SELECT CAST(COALESCE(SUM(_n), 0) AS BIGINT) AS raw, COUNT(*) AS deduplicated,
            COUNT(*) FILTER (WHERE _info) AS valid_user_title,
            COUNT(*) FILTER (WHERE _info AND watch_time_minutes > 0) AS positive_minutes,
            COUNT(*) FILTER (WHERE _info AND watch_time_minutes > 0
