@@ -87,3 +87,11 @@ def test_segment_views(spark, features):
     assert sv.segment_profile(seg).count() == len(counts)
     kpi = sv.kpi_summary(seg).first()
     assert kpi["total_users"] == seg.count()
+
+
+def test_fewer_users_than_k(spark):
+    df = spark.createDataFrame([(1, 1.0, 10.0, 50.0, 0.1), (2, 5.0, 90.0, 20.0, 0.9)],
+                               "user_id long, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS))
+    out = {r["user_id"]: r["segment_name"] for r in sg.user_segments(df).collect()}
+    assert out == {1: sg.MOVIE_BUFF, 2: sg.NIGHT_OWL}
+    assert [r["k"] for r in sg.kmeans_sweep(sg.assemble_and_scale(df)).collect()] == [2]
