@@ -209,3 +209,14 @@ def test_second_checkpoint_cannot_take_over_a_fact_path(spark, tmp_path):
     with pytest.raises(st.OwnershipError):
         st.start_ingest(values, lambda: _movies(spark), other, trigger={"availableNow": True})
     assert io.read_fact(spark, paths.watch, "watch").count() == 4
+
+
+def test_late_event_lands_in_its_event_hour(spark, tmp_path):
+    late = json.loads(_event(1, "watch"))
+    late["current_timestamp"] = "2023-12-25 03:15:00"          # a week behind the others
+    landing = _land(tmp_path, [(0, [_event(2, "watch"), json.dumps(late)])])
+    paths = st.IngestPaths(watch=str(tmp_path / "w"), search=str(tmp_path / "s"), checkpoint=str(tmp_path / "chk"))
+    st.start_ingest(st.refine(st.event_stream(spark, "text", landing)), lambda: _movies(spark), paths,
+                    trigger={"availableNow": True}).awaitTermination()
+    keys = {r["date_key"] for r in io.read_fact(spark, paths.watch, "watch").select("date_key").collect()}
+    assert "2023122503" in keys and len(keys) == 2               # nothing dropped, no watermark
