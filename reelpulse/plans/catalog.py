@@ -23,7 +23,7 @@ from reelpulse.operators import social as so
 from reelpulse.operators import telemetry as tm
 from reelpulse.operators import warehouse as wh
 from reelpulse.plans import bind
-from reelpulse.session import scratch_dir
+from reelpulse.session import app_key, scratch_dir
 from reelpulse.sources import io
 from reelpulse.sources.io import path_exists, read_csv, read_raw_csv, save_dimension
 from reelpulse.streaming import ingest as st
@@ -40,7 +40,7 @@ def _materialize(spark: SparkSession, d: str, name: str, build, fmt: str = "parq
     file with a header, as the upstream systems deliver it."""
     # Stored tables are immutable for the life of the application, so the
     # kept frame is trusted (no re-listing of a partitioned table per query).
-    key = (spark.sparkContext.applicationId, d, name)
+    key = (app_key(spark), d, name)
     hit = _WAREHOUSE.get(key)
     if hit is None:
         df = build()
@@ -337,7 +337,7 @@ def q_bronze_orders(spark, d):
     """Raw landing: the orders CSV read back with every column as text."""
 
     _landing(spark, d, "orders")
-    path = _WAREHOUSE[(spark.sparkContext.applicationId, d, "orders_csv")][0]
+    path = _WAREHOUSE[(app_key(spark), d, "orders_csv")][0]
     return lh.to_bronze(read_raw_csv(spark, path))
 
 
@@ -632,7 +632,7 @@ def _shared_ingest(spark, d, with_listener: bool = False):
     micro-batches, serving copy on, progress listener attached); the
     read-back, dual-write, metrics and compaction keys all inspect it."""
 
-    key = (spark.sparkContext.applicationId, d)
+    key = (app_key(spark), d)
     run = _INGEST_RUNS.get(key)
     if run is None or not path_exists(spark, run[1].watch):
         listener = st.MetricsListener()

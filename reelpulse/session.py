@@ -63,6 +63,15 @@ def build_session(
     return spark
 
 
+def app_key(spark: SparkSession) -> str:
+    """An id for this application (works without a SparkContext, e.g.
+    under Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     for getter in (
         lambda: spark.conf.get("spark.checkpoint.dir", None),
@@ -89,11 +98,12 @@ def scratch_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     base = _configured_checkpoint_dir(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="reelpulse-")
-        spark.sparkContext.setCheckpointDir(base)
-        try:
-            spark.conf.set("spark.checkpoint.dir", base)
-        except Exception:
-            pass
+        for setter in (lambda: spark.sparkContext.setCheckpointDir(base),
+                       lambda: spark.conf.set("spark.checkpoint.dir", base)):
+            try:
+                setter()
+            except Exception:  # static conf or no SparkContext on this client
+                pass
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"
