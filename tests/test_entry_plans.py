@@ -71,3 +71,33 @@ def test_compaction_rebalances(spark, tmp_path):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
     st.compact(spark, str(tmp_path / "f"), str(tmp_path / "g"))
     assert rio.read_fact(spark, str(tmp_path / "g"), "watch").count() == 4
+
+
+def test_hot_key_is_split_when_the_dimension_is_too_big_to_broadcast(spark):
+    """Beyond the broadcast threshold the planner falls back to a sort-merge
+    join, and AQE splits the partition of a key holding a third of the
+    fact (here: the orphan anti-join)."""
+    from pyspark.sql import functions as F
+
+    from reelpulse.operators import quality as dq
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000 + 10000)
+        fact = spark.range(300000).select(hot.alias("movie_id"), F.rand(1).alias("x"))
+        dim = spark.range(5000).select(F.col("id").alias("movie_id"))
+        out = dq.orphans(fact, dim, "movie_id", "movie_id").select("movie_id")
+        assert len(out.collect()) == 200000
+        assert "SortMergeJoin(skew=true)" in plan_text(out, "simple")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
