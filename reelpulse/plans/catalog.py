@@ -762,5 +762,6 @@ def q_compact_fact(spark, d):
     new table version; rows per hour are unchanged."""
 
     _, paths = _shared_ingest(spark, d)
-    out = st.compact(spark, paths.watch, scratch_dir(spark, "stream", "compacted", unique=True), "watch")
+    st.compact(spark, paths.watch, scratch_dir(spark, "stream", "compacted", unique=True), "watch")
+    out = paths.watch  # readers now see the snapshot plus any newer batches
     return io.read_fact(spark, out, "watch").groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))

@@ -61,14 +61,46 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def read_fact(spark: SparkSession, path: str, kind: str = "watch") -> DataFrame:
+def compaction_mark(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """``(low, snapshot)`` if the fact table at ``path`` has been compacted:
+    batches up to ``low`` are folded into ``snapshot``."""
+    marker = f"{path}/_compacted"
+    if not path_exists(spark, marker, "text"):
+        return None
+    row = spark.read.text(marker).first()
+    if row is None:
+        return None
+    low, snapshot = row[0].split("\t", 1)
+    return int(low), snapshot
+
+
+def write_compaction_mark(spark: SparkSession, path: str, low: int, snapshot: str) -> None:
+    (spark.createDataFrame([(f"{int(low)}\t{snapshot}",)], "value string")
+     .coalesce(1).write.mode("overwrite").text(f"{path}/_compacted"))
+
+
+def read_fact(spark: SparkSession, path: str, kind: str = "watch", with_batch_id: bool = False) -> DataFrame:
     """Hive-partitioned fact table with the hour key read back as text
-    (partition discovery alone would infer an int - trap T1).  Batch
-    directories written by the idempotent stream writer are folded in."""
+    (partition discovery alone would infer an int - trap T1).
+
+    Batch directories written by the idempotent stream writer are read
+    together; after a compaction the snapshot replaces the folded batches
+    (``batch_id <= low``, pruned by partition) and newer batches are added.
+    Batch directories are never deleted, so a reader that misses the
+    marker still sees every row exactly once.
+    """
+    from pyspark.sql import functions as F
+
     schema = schemas.WATCH_FACT if kind == "watch" else schemas.SEARCH_FACT
     with_batch = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
-    df = spark.read.schema(with_batch).parquet(path)
-    return df.select(*[f.name for f in schema.fields])
+    cols = [f.name for f in with_batch.fields] if with_batch_id else [f.name for f in schema.fields]
+    batches = spark.read.schema(with_batch).parquet(path)
+    mark = compaction_mark(spark, path)
+    if mark is None:
+        return batches.select(*cols)
+    low, snapshot = mark
+    folded = spark.read.schema(with_batch).parquet(snapshot).select(*cols)
+    return folded.unionByName(batches.filter(F.col("batch_id") > low).select(*cols))
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str, fmt: str = "parquet") -> DataFrame:

@@ -99,6 +99,13 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
     """
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+
+        def folded(fact_path):
+            # a replay of a batch already folded into the compacted snapshot
+            mark = io.compaction_mark(spark, fact_path)
+            return mark is not None and batch_id <= mark[0]
+
         batch_df.persist()
         cached = []
         try:
@@ -113,7 +120,8 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
                 if serving:
                     frame = frame.persist()
                     cached.append(frame)
-                io.append_fact(frame, fact_path, batch_id)
+                if not folded(fact_path):
+                    io.append_fact(frame, fact_path, batch_id)
                 if serving:
                     io.append_fact(frame, serving, batch_id, fmt=serving_fmt)
         finally:
@@ -221,17 +229,29 @@ class MetricsListener(StreamingQueryListener):
 
 
 def compact(spark: SparkSession, fact_path: str, out_path: str, kind: str = "watch") -> str:
-    """Fold the per-batch files of a fact table into one table partitioned
-    by hour, written to a *new* directory (never over the path being read);
-    readers switch to ``out_path`` afterwards.
+    """Fold the landed micro-batches of a fact table into one snapshot
+    partitioned by hour, written to a *new* directory (never over the path
+    being read), then record a low-water mark: readers take the snapshot
+    plus only newer batches, and a replay of an already folded batch is
+    skipped by the writer.
 
     ``rebalance`` lets AQE size the output: small hours are coalesced
     and a hot hour is split, each file close to
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (the compaction
     target, e.g. 128 MB).
     """
-    df = io.read_fact(spark, fact_path, kind)
-    df.hint("rebalance", "date_key").write.mode("overwrite").partitionBy("date_key").parquet(out_path)
+    current = io.read_fact(spark, fact_path, kind, with_batch_id=True)
+    low = spark.read.parquet(fact_path).agg(F.max("batch_id")).first()[0]
+    if low is None:
+        raise ValueError(f"nothing to compact under {fact_path}")
+    # the snapshot so far plus the batches up to the new mark; a batch that
+    # lands meanwhile stays readable as a newer batch
+    upto = current.filter(F.col("batch_id").isNull() | (F.col("batch_id") <= low))
+    (
+        upto.drop("batch_id").hint("rebalance", "date_key")
+        .write.mode("overwrite").partitionBy("date_key").parquet(out_path)
+    )
+    io.write_compaction_mark(spark, fact_path, low, out_path)
     return out_path
 
 

@@ -220,3 +220,25 @@ def test_late_event_lands_in_its_event_hour(spark, tmp_path):
                     trigger={"availableNow": True}).awaitTermination()
     keys = {r["date_key"] for r in io.read_fact(spark, paths.watch, "watch").select("date_key").collect()}
     assert "2023122503" in keys and len(keys) == 2               # nothing dropped, no watermark
+
+
+def test_compaction_low_water_mark(spark, tmp_path):
+    paths = st.IngestPaths(watch=str(tmp_path / "w"), search=str(tmp_path / "s"), checkpoint=str(tmp_path / "chk"))
+    write = st.batch_writer(lambda: _movies(spark), paths)
+
+    def batch(lo, hi):
+        return ev.parse_events(spark.createDataFrame([(_event(i, "watch"),) for i in range(lo, hi)], "value string"))
+
+    write(batch(0, 5), 0)
+    write(batch(5, 9), 1)
+    st.compact(spark, paths.watch, str(tmp_path / "snap1"))
+    assert io.compaction_mark(spark, paths.watch) == (1, str(tmp_path / "snap1"))
+    ids = lambda: sorted(r["session_id"] for r in io.read_fact(spark, paths.watch, "watch").collect())
+    assert ids() == sorted(f"s{i}" for i in range(9))
+    write(batch(100, 103), 0)                       # late replay of folded batch 0: skipped
+    assert ids() == sorted(f"s{i}" for i in range(9))
+    write(batch(9, 12), 2)                          # a new batch after the mark
+    assert ids() == sorted(f"s{i}" for i in range(12))
+    st.compact(spark, paths.watch, str(tmp_path / "snap2"))
+    assert io.compaction_mark(spark, paths.watch)[0] == 2
+    assert ids() == sorted(f"s{i}" for i in range(12))
