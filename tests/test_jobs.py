@@ -66,3 +66,23 @@ def test_cli_telemetry(spark, tmp_path, capsys):
     assert jobs.main(["telemetry", "--csv", str(tmp_path / "tel.csv"), "--out", str(tmp_path / "out")]) == 0
     assert "valid_timestamp" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "out/telemetry_top_users")).count() == 5
+
+
+def test_stream_job(spark, tmp_path):
+    from reelpulse.plans.catalog import Bound
+
+    wh_root = str(tmp_path / "warehouse")
+    Bound(spark, SF001).dim_movies().write.parquet(f"{wh_root}/dim_movies")
+    bind.clickstream_json(spark, SF001).select("value").repartition(2).write.text(str(tmp_path / "landing"))
+    layer = jobs.run_stream(spark, "text", {"maxFilesPerTrigger": "1"}, wh_root, str(tmp_path / "reports"),
+                            str(tmp_path / "chk"), path=str(tmp_path / "landing"), trigger={"availableNow": True})
+    try:
+        for q in layer.queries:
+            q.awaitTermination(180)
+    finally:
+        layer.stop()
+        spark.streams.resetTerminated()
+    watch = io.read_fact(spark, f"{wh_root}/fact_watch_history", "watch")
+    devices = spark.read.parquet(str(tmp_path / "reports/report_top_devices_stream"))
+    assert devices.agg(F.sum("count")).first()[0] == watch.count() > 0
+    assert rows(io.read_fact(spark, str(tmp_path / "reports/fact_watch_history"), "watch")) == rows(watch)
