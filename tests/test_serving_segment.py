@@ -95,3 +95,23 @@ def test_fewer_users_than_k(spark):
     out = {r["user_id"]: r["segment_name"] for r in sg.user_segments(df).collect()}
     assert out == {1: sg.MOVIE_BUFF, 2: sg.NIGHT_OWL}
     assert [r["k"] for r in sg.kmeans_sweep(sg.assemble_and_scale(df)).collect()] == [2]
+
+
+def test_kmeans_against_brute_force(spark, features):
+    """Small fixture, brute force: every user sits in the cluster of its
+    nearest fitted centre, and the centroid report is the per-cluster mean
+    of the raw features."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    model, pred = sg.fit_clusters(features)
+    pdf = pred.select("user_id", "cluster_id", *FEATURE_COLUMNS, vector_to_array("features").alias("z")).toPandas()
+    centres = np.array([c for c in model.clusterCenters()])
+    z = np.stack(pdf["z"].to_numpy())
+    nearest = np.argmin(((z[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2), axis=1)
+    assert (nearest == pdf["cluster_id"].to_numpy()).all()
+    expected = pdf.groupby("cluster_id")[FEATURE_COLUMNS].mean()
+    for r in sg.cluster_centroids(pred).collect():
+        row = expected.loc[r["cluster_id"]]
+        assert r["total_views_center"] == pytest.approx(round(row["total_views"], 2), abs=0.006)
+        assert r["night_ratio_center"] == pytest.approx(round(row["night_view_ratio"], 4), abs=6e-5)
