@@ -110,6 +110,8 @@ def test_kmeans_against_brute_force(spark, features):
     z = np.stack(pdf["z"].to_numpy())
     nearest = np.argmin(((z[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2), axis=1)
     assert (nearest == pdf["cluster_id"].to_numpy()).all()
+    cost = ((z - centres[nearest]) ** 2).sum()
+    assert model.summary.trainingCost == pytest.approx(cost, rel=1e-9)
     expected = pdf.groupby("cluster_id")[FEATURE_COLUMNS].mean()
     for r in sg.cluster_centroids(pred).collect():
         row = expected.loc[r["cluster_id"]]
