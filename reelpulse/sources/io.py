@@ -143,9 +143,20 @@ def write_layer(df: DataFrame, root: str, layer: str, name: str, fmt: str = "par
     return path
 
 
+# Formats addressed by a path; anything else (a document-store connector)
+# is addressed by a collection name and configured from Spark conf
+# (connection URI, database), never from code.
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro", "delta"}
+
+
 def publish_report(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None) -> None:
-    """Overwrite a report table for the serving layer (one action)."""
-    df.write.format(fmt).options(**(options or {})).mode("overwrite").save(path)
+    """Overwrite a report table for the serving layer (one action).  For a
+    connector format ``path`` is the collection name."""
+    writer = df.write.format(fmt).options(**(options or {})).mode("overwrite")
+    if fmt in FILE_FORMATS:
+        writer.save(path)
+    else:
+        writer.option("collection", path.rstrip("/").rsplit("/", 1)[-1]).save()
 
 
 def save_dimension(df: DataFrame, path: str) -> None:
@@ -207,6 +218,25 @@ def append_fact(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
     )
 
 
+def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str = "parquet") -> None:
+    """The serving copy of one micro-batch.  File formats use the same
+    per-batch layout as the fact (a retry overwrites its own batch); a
+    document-store connector upserts each row by its event key
+    (``operationType=replace`` on ``idFieldList``), so a retried batch
+    replaces documents instead of appending duplicates."""
+    if fmt in FILE_FORMATS:
+        append_fact(df, target, batch_id, fmt)
+        return
+    (
+        df.write.format(fmt)
+        .option("collection", target.rstrip("/").rsplit("/", 1)[-1])
+        .option("operationType", "replace")
+        .option("idFieldList", key)
+        .mode("append")
+        .save()
+    )
+
+
 def read_batch(spark: SparkSession, path: str, batch_id: int, kind: str = "watch") -> DataFrame:
     """One landed batch, hour key kept as text."""
     schema = schemas.WATCH_FACT if kind == "watch" else schemas.SEARCH_FACT

@@ -115,15 +115,15 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
             movies = movies_loader()
             watch = _conform(ev.watch_facts(ev.route(batch_df, "watch"), movies), schemas.WATCH_FACT)
             search = _conform(ev.search_facts(ev.route(batch_df, "search")), schemas.SEARCH_FACT)
-            for frame, fact_path, serving in ((watch, paths.watch, paths.serving_watch),
-                                              (search, paths.search, paths.serving_search)):
+            for frame, fact_path, serving, key in ((watch, paths.watch, paths.serving_watch, "session_id"),
+                                                   (search, paths.search, paths.serving_search, "search_id")):
                 if serving:
                     frame = frame.persist()
                     cached.append(frame)
                 if not folded(fact_path):
                     io.append_fact(frame, fact_path, batch_id)
                 if serving:
-                    io.append_fact(frame, serving, batch_id, fmt=serving_fmt)
+                    io.write_serving(frame, serving, batch_id, key, fmt=serving_fmt)
         finally:
             for frame in cached:
                 frame.unpersist()
