@@ -183,7 +183,7 @@ def start_live_count(counts: DataFrame, report_path: str, checkpoint: str, trigg
     report, which is what a serving collection wants."""
 
     def overwrite(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.format(fmt).mode("overwrite").save(report_path)
+        io.publish_report(batch_df, report_path, fmt)
 
     writer = (
         counts.writeStream.outputMode("complete").foreachBatch(overwrite)
