@@ -6,6 +6,7 @@
     python -m reelpulse.jobs segments --warehouse <warehouse> --out <reports>
     python -m reelpulse.jobs telemetry --csv video_streaming.csv [--out <reports>]
     python -m reelpulse.jobs lakehouse --orders o.csv --items i.csv --products p.csv --reviews r.csv --root <lake>
+    python -m reelpulse.jobs serve --reports <reports>
     python -m reelpulse.jobs stream --source kafka --option kafka.bootstrap.servers=host:9092 \\
         --option subscribe=video-clickstream --warehouse <warehouse> --reports <reports>
 
@@ -146,6 +147,31 @@ def run_lakehouse(spark: SparkSession, csvs: dict[str, str], root: str, fmt: str
     return list(gold)
 
 
+def serving_views(spark: SparkSession, reports: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """What the dashboard shows, from the published collections: batch +
+    live genre and device totals, the KPI header and the segment views.
+    A collection that was never written reads as empty (with its schema),
+    so either layer alone still renders."""
+    from reelpulse.operators import serving as sv
+
+    def load(name, ddl):
+        return io.load_report(spark, f"{reports}/{name}", ddl, fmt)
+
+    genre_batch = load("report_genre_popularity", "genre_primary string, watch_count long")
+    genre_live = load("report_genre_popularity_stream", "genre_primary string, count long")
+    device_batch = load("report_top_devices", "device_type string, total_views long")
+    device_live = load("report_top_devices_stream", "device_type string, count long")
+    segments = load("ml_user_segments", "user_id long, total_views double, total_duration_minutes double, "
+                    "avg_progress_percentage double, night_view_ratio double, cluster_id int, segment_name string")
+    return {
+        "genre_totals": sv.merge_batch_speed(genre_batch, genre_live, "genre_primary", "watch_count"),
+        "device_totals": sv.merge_batch_speed(device_batch, device_live, "device_type", "total_views"),
+        "kpi": sv.kpi_summary(segments),
+        "segment_counts": sv.segment_counts(segments),
+        "segment_profile": sv.segment_profile(segments),
+    }
+
+
 def run_stream(spark: SparkSession, source: str, options: dict, warehouse: str, reports: str,
                checkpoints: str, path: str | None = None, trigger: dict | None = None,
                timeout: float | None = None):
@@ -191,6 +217,9 @@ def main(argv=None) -> int:
     for a in ("orders", "items", "products", "reviews", "root"):
         lk.add_argument(f"--{a}", required=True)
     lk.add_argument("--format", default="parquet")
+    v = sub.add_parser("serve")
+    v.add_argument("--reports", required=True)
+    v.add_argument("--format", default="parquet")
     s = sub.add_parser("stream")
     s.add_argument("--source", default="kafka")
     s.add_argument("--path")
@@ -216,6 +245,10 @@ def main(argv=None) -> int:
     elif args.job == "lakehouse":
         run_lakehouse(spark, {"orders": args.orders, "items": args.items, "products": args.products,
                               "reviews": args.reviews}, args.root, args.format)
+    elif args.job == "serve":
+        for name, df in serving_views(spark, args.reports, args.format).items():
+            print(f"== {name}")
+            df.show(20, truncate=False)
     elif args.job == "stream":
         opts = dict(o.split("=", 1) for o in args.option)
         run_stream(spark, args.source, opts, args.warehouse, args.reports, args.checkpoints,

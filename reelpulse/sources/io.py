@@ -18,6 +18,12 @@ class SchemaLockError(ValueError):
     """An overwrite would change a locked table's schema."""
 
 
+# Formats addressed by a path; anything else (a document-store connector)
+# is addressed by a collection name and configured from Spark conf
+# (connection URI, database), never from code.
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro", "delta"}
+
+
 def _is_missing_path(err: AnalysisException) -> bool:
     cond = None
     for attr in ("getCondition", "getErrorClass"):
@@ -107,12 +113,16 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str, fmt: str =
     return spark.read.format(fmt).load(f"{root}/{layer}/{name}")
 
 
-def load_report(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def load_report(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
     """A published report, minus any store-assigned ``_id``; a report that
-    was never written reads as an empty frame with its schema.  Any other
-    failure is raised."""
+    was never written reads as an empty frame with its schema (a
+    ``StructType`` or DDL string).  Any other failure is raised.  For a
+    connector format ``path`` names the collection."""
     try:
-        df = spark.read.format(fmt).load(path)
+        if fmt in FILE_FORMATS:
+            df = spark.read.format(fmt).load(path)
+        else:
+            df = spark.read.format(fmt).option("collection", path.rstrip("/").rsplit("/", 1)[-1]).load()
     except AnalysisException as err:
         if _is_missing_path(err):
             return spark.createDataFrame([], schema)
@@ -143,12 +153,6 @@ def write_layer(df: DataFrame, root: str, layer: str, name: str, fmt: str = "par
     return path
 
 
-# Formats addressed by a path; anything else (a document-store connector)
-# is addressed by a collection name and configured from Spark conf
-# (connection URI, database), never from code.
-FILE_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro", "delta"}
-
-
 def publish_report(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None) -> None:
     """Overwrite a report table for the serving layer (one action).  For a
     connector format ``path`` is the collection name."""

@@ -38,6 +38,13 @@ def test_warehouse_reports_segments(spark, tmp_path):
     assert users.count() == users.select("user_id").distinct().count() > 0
     assert "ml_cluster_centroids" in seg
 
+    # dashboard views: the live collections were never written -> batch only
+    views = jobs.serving_views(spark, out)
+    devices = dict(rows(views["device_totals"]))
+    assert devices == dict(rows(spark.read.parquet(f"{out}/report_top_devices")))
+    assert views["kpi"].first()["total_users"] == users.count()
+    assert sum(r["count"] for r in views["segment_counts"].collect()) == users.count()
+
 
 def test_telemetry_and_lakehouse_jobs(spark, tmp_path):
     bind.telemetry_raw(spark, SF001).write.option("header", True).csv(str(tmp_path / "tel.csv"))
