@@ -93,3 +93,9 @@ def test_stream_job(spark, tmp_path):
     devices = spark.read.parquet(str(tmp_path / "reports/report_top_devices_stream"))
     assert devices.agg(F.sum("count")).first()[0] == watch.count() > 0
     assert rows(io.read_fact(spark, str(tmp_path / "reports/fact_watch_history"), "watch")) == rows(watch)
+
+
+def test_cli_serve_with_nothing_published(spark, tmp_path, capsys):
+    assert jobs.main(["serve", "--reports", str(tmp_path / "empty")]) == 0
+    out = capsys.readouterr().out
+    assert "== genre_totals" in out and "== kpi" in out
