@@ -153,7 +153,10 @@ def claim(spark: SparkSession, fact_path: str, checkpoint: str) -> None:
 def start_ingest(refined: DataFrame, movies_loader, paths: IngestPaths, trigger: dict | None = None,
                  serving_fmt: str = "parquet", log: BatchLog | None = None, name: str | None = None):
     spark = refined.sparkSession
-    for target in (paths.watch, paths.search, paths.serving_watch, paths.serving_search):
+    # path-addressed targets only: a document-store copy upserts by key, so
+    # batch ids do not matter there
+    serving = (paths.serving_watch, paths.serving_search) if serving_fmt in io.FILE_FORMATS else ()
+    for target in (paths.watch, paths.search, *serving):
         if target:
             claim(spark, target, paths.checkpoint)
     writer = refined.writeStream.foreachBatch(batch_writer(movies_loader, paths, serving_fmt, log))
