@@ -1,8 +1,10 @@
 """Readers and writers by logical name.
 
 Formats are parameters: Parquet by default; ``delta`` (lakehouse) or a
-document-store connector when their jars are on the classpath.  Only this
-module and ``streaming`` write data.
+document-store connector when their jars are on the classpath.  Library
+writes go through this module and ``streaming``; ``plans/catalog`` also
+lands the test binding's inputs and stored tables under the shared
+scratch area.
 """
 
 from __future__ import annotations
