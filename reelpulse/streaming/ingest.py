@@ -166,18 +166,27 @@ def start_ingest(refined: DataFrame, movies_loader, paths: IngestPaths, trigger:
     return writer.start()
 
 
-def live_genre_counts(watch_events: DataFrame, movies: DataFrame) -> DataFrame:
+def _since(watch_events: DataFrame, since: str | None) -> DataFrame:
+    """Optional cut-off (trap T5b): the same events also reach the batch
+    facts, so a serving merge that adds both layers counts an event twice
+    unless the live side starts where the batch layer ends."""
+    if since is None:
+        return watch_events
+    return watch_events.filter(F.col("ts") >= F.to_timestamp(F.lit(since)))
+
+
+def live_genre_counts(watch_events: DataFrame, movies: DataFrame, since: str | None = None) -> DataFrame:
     """Running views per genre: stream-static left join (unknown movies
     count under a null genre), then an unbounded count.  State holds one
     row per genre."""
     m = movies.select(F.col("movie_id").cast(watch_events.schema["movie_id"].dataType).alias("movie_id"),
                       "genre_primary")
-    return watch_events.join(m, "movie_id", "left").groupBy("genre_primary").count()
+    return _since(watch_events, since).join(m, "movie_id", "left").groupBy("genre_primary").count()
 
 
-def live_device_counts(watch_events: DataFrame) -> DataFrame:
+def live_device_counts(watch_events: DataFrame, since: str | None = None) -> DataFrame:
     """Running views per device; state holds one row per device type."""
-    return watch_events.groupBy("device_type").count()
+    return _since(watch_events, since).groupBy("device_type").count()
 
 
 def start_live_count(counts: DataFrame, report_path: str, checkpoint: str, trigger: dict | None = None,

@@ -242,3 +242,11 @@ def test_compaction_low_water_mark(spark, tmp_path):
     st.compact(spark, paths.watch, str(tmp_path / "snap2"))
     assert io.compaction_mark(spark, paths.watch)[0] == 2
     assert ids() == sorted(f"s{i}" for i in range(12))
+
+
+def test_live_counts_since_cut_off(spark):
+    events = ev.parse_events(spark.createDataFrame([(_event(i, "watch"),) for i in range(6)], "value string"))
+    all_rows = dict(rows(st.live_device_counts(events)))
+    later = dict(rows(st.live_device_counts(events, since="2024-01-02 00:00:00")))
+    expected = events.filter(F.col("ts") >= "2024-01-02 00:00:00").count()
+    assert sum(later.values()) == expected < sum(all_rows.values())
