@@ -173,8 +173,18 @@ def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={int(batch_id)}"
 
 
+def key_buckets(df: DataFrame, key: str, rows_per_task: int = 1_000_000) -> DataFrame:
+    """One row per key value: how many salted buckets its rows need."""
+    from pyspark.sql import functions as F
+
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).select(
+        F.col(key).alias("_key"),
+        F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(rows_per_task))).cast("long").alias("_buckets"),
+    )
+
+
 def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = 1_000_000,
-                    max_keys: int = 100_000) -> DataFrame:
+                    max_keys: int = 100_000, buckets: DataFrame | None = None) -> DataFrame:
     """Hash-cluster rows by ``key`` for a partitioned write, splitting hot
     keys: rows are counted per key and a key with more than
     ``rows_per_task`` rows is salted over that many buckets (tasks and
@@ -192,10 +202,7 @@ def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = 1_000_000,
 
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).select(
-        F.col(key).alias("_key"),
-        F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(rows_per_task))).cast("long").alias("_buckets"),
-    )
+    counts = buckets if buckets is not None else key_buckets(df, key, rows_per_task)
     if counts.count() > max_keys:
         return df.repartition(n, F.col(key))
     salted = df.join(F.broadcast(counts), df[key].eqNullSafe(counts["_key"]), "left")
@@ -215,13 +222,19 @@ def append_fact(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
     other batch is touched.  Rows are clustered by hour key, hot hours
     spread over several tasks (``spread_hot_keys``).
     """
-    (
-        spread_hot_keys(df, "date_key", rows_per_task)
-        .write.format(fmt)
-        .mode("overwrite")
-        .partitionBy("date_key")
-        .save(batch_path(path, batch_id))
-    )
+    # the per-hour counts are cached: the size check and the broadcast
+    # then share one aggregation
+    buckets = key_buckets(df, "date_key", rows_per_task).persist()
+    try:
+        (
+            spread_hot_keys(df, "date_key", rows_per_task, buckets=buckets)
+            .write.format(fmt)
+            .mode("overwrite")
+            .partitionBy("date_key")
+            .save(batch_path(path, batch_id))
+        )
+    finally:
+        buckets.unpersist()
 
 
 def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str = "parquet") -> None:
