@@ -49,3 +49,28 @@ def test_merge_is_order_free_and_keeps_totals(spark, a, b):
     swapped = sv.merge_batch_speed(speed.withColumnRenamed("count", "total_views"),
                                    batch.withColumnRenamed("total_views", "count"), "device_type", "total_views")
     assert dict(rows(swapped)) == merged
+
+
+def _reference_progress(w, d):
+    """Plain-Python statement of the rule: no usable length -> 0.0; a null
+    watch time stays null; otherwise percent rounded half-up on the
+    shortest decimal text (Spark's ``round``), capped at 100."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    if d is None or d <= 0:
+        return 0.0
+    if w is None:
+        return None
+    pct = float(Decimal(repr(w / d * 100)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+    return 100.0 if pct > 100.0 else pct
+
+
+@settings(max_examples=10, deadline=None)
+@given(hs.lists(hs.tuples(hs.one_of(hs.none(), hs.integers(-500, 50000).map(lambda c: c / 100)),
+                          hs.one_of(hs.none(), hs.integers(-2, 60).map(lambda s: s * 5.0))), min_size=1, max_size=40))
+def test_capped_progress_matches_reference(spark, pairs):
+    from reelpulse.functions.columns import capped_progress
+
+    df = spark.createDataFrame(pairs, "w double, d double")
+    got = [r[0] for r in df.select(capped_progress("w", "d")).collect()]
+    assert got == [_reference_progress(w, d) for w, d in pairs]
