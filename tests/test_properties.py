@@ -74,3 +74,21 @@ def test_capped_progress_matches_reference(spark, pairs):
     df = spark.createDataFrame(pairs, "w double, d double")
     got = [r[0] for r in df.select(capped_progress("w", "d")).collect()]
     assert got == [_reference_progress(w, d) for w, d in pairs]
+
+
+@settings(max_examples=10, deadline=None)
+@given(hs.lists(hs.one_of(hs.none(), hs.integers(-20, 1200).map(lambda a: a / 10)), min_size=1, max_size=40))
+def test_age_group_matches_rule(spark, ages):
+    from reelpulse.functions.columns import age_group
+
+    def rule(a):
+        if a is not None and a < 18:
+            return "Children"
+        if a is not None and 18 <= a <= 35:
+            return "Young Adults"
+        if a is not None and 36 <= a <= 55:
+            return "Middle-aged"
+        return "Senior"            # null, (35, 36) and above 55
+
+    df = spark.createDataFrame([(a,) for a in ages], "age double")
+    assert [r[0] for r in df.select(age_group("age")).collect()] == [rule(a) for a in ages]
