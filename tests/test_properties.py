@@ -92,3 +92,22 @@ def test_age_group_matches_rule(spark, ages):
 
     df = spark.createDataFrame([(a,) for a in ages], "age double")
     assert [r[0] for r in df.select(age_group("age")).collect()] == [rule(a) for a in ages]
+
+
+def test_dim_date_against_python_calendar(spark):
+    import datetime as dt
+
+    from reelpulse.operators.warehouse import dim_date
+
+    start = dt.datetime(2024, 2, 26)          # a week across a leap day
+    keys = [(start + dt.timedelta(hours=h)).strftime("%Y%m%d%H") for h in range(24 * 8)]
+    facts = spark.createDataFrame([(k,) for k in keys], "date_key string")
+    got = {r["date_key"]: r for r in dim_date(facts, facts.limit(0)).collect()}
+    for k in keys:
+        t = dt.datetime.strptime(k, "%Y%m%d%H")
+        r = got[k]
+        assert (r["hour"], r["day"], r["month"], r["year"]) == (t.hour, t.day, t.month, t.year)
+        assert r["day_of_week"] == (t.weekday() + 1) % 7 + 1          # 1 = Sunday
+        assert r["day_name"] == t.strftime("%a")
+        assert r["is_weekend"] == (t.weekday() >= 5)
+        assert r["is_night"] == (t.hour >= 22 or t.hour <= 4)
