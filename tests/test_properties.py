@@ -111,3 +111,15 @@ def test_dim_date_against_python_calendar(spark):
         assert r["day_name"] == t.strftime("%a")
         assert r["is_weekend"] == (t.weekday() >= 5)
         assert r["is_night"] == (t.hour >= 22 or t.hour <= 4)
+
+
+@settings(max_examples=8, deadline=None)
+@given(hs.lists(hs.one_of(hs.none(), hs.sampled_from(["2024010100", "2024010101", "2024010102"])), max_size=60),
+       hs.integers(1, 7))
+def test_spread_hot_keys_keeps_every_row(spark, keys, per_task):
+    from reelpulse.sources.io import spread_hot_keys
+
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "date_key string, i long")
+    out = spread_hot_keys(df, "date_key", rows_per_task=per_task)
+    assert sorted(out.columns) == ["date_key", "i"]
+    assert sorted((r["i"], r["date_key"]) for r in out.collect()) == sorted((i, k) for i, k in enumerate(keys))
