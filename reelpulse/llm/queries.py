@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from reelpulse.llm import decontaminate, licenses, mix, shards
+from reelpulse.llm import backoff, balltree, decontaminate, licenses, mix, packing, pu_quality, shards, token_count
 
 QUERIES = {
+    "op2_stupid_backoff": backoff.op2_stupid_backoff,
+    "op3_token_counts": token_count.op3_token_counts,
+    "op4_balltree_topk": balltree.op4_balltree_topk,
     "op5_virtual_slots": shards.op5_virtual_slots,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_pu_quality": pu_quality.op7_pu_quality,
     "op8_license_index": licenses.op8_license_index,
+    "op9_pack_token_ids": packing.op9_pack_token_ids,
     "op10_systematic_mix": mix.op10_systematic_mix,
 }
 
 ORACLE = {
+    "op2_stupid_backoff": backoff.ORACLE_OP2,
+    "op4_balltree_topk": balltree.ORACLE_OP4,
     "op6_decontaminate": decontaminate.ORACLE_OP6,
     "op8_license_index": licenses.ORACLE_OP8,
     "op10_systematic_mix": mix.ORACLE_OP10,
