@@ -36,3 +36,35 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         h = mixed(h * _ODD + words[k:len(words) - n + 1 + k])
     return h
+
+
+def slices(texts: list, chars: int = 1 << 20):
+    """(start, stop) runs of a batch with about ``chars`` characters each, so
+    that a batch's words are never all in memory at once."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def shingle_sets(texts: list, width: int) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of its ``width``-word shingles; a
+    text with fewer words is one shingle, one without words has none."""
+    split = [plain_words(t) for t in texts]
+    flat = word_hashes([w for words in split for w in words])
+    hashes = ngram_hashes(flat, width)
+    out, at = [], 0
+    for words in split:
+        n = len(words)
+        if n >= width:
+            out.append(np.unique(hashes[at:at + n - width + 1]))
+        elif n:
+            out.append(ngram_hashes(flat[at:at + n], n))
+        else:
+            out.append(hashes[:0])
+        at += n
+    return out

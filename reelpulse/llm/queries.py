@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from reelpulse.llm import backoff, balltree, decontaminate, licenses, mix, packing, pu_quality, shards, token_count
+from reelpulse.llm import (
+    backoff,
+    balltree,
+    decontaminate,
+    jaccard_join,
+    licenses,
+    mix,
+    packing,
+    pu_quality,
+    shards,
+    token_count,
+)
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op2_stupid_backoff": backoff.op2_stupid_backoff,
     "op3_token_counts": token_count.op3_token_counts,
     "op4_balltree_topk": balltree.op4_balltree_topk,
@@ -17,6 +29,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_jaccard_join": jaccard_join.ORACLE_OP1,
     "op2_stupid_backoff": backoff.ORACLE_OP2,
     "op4_balltree_topk": balltree.ORACLE_OP4,
     "op6_decontaminate": decontaminate.ORACLE_OP6,

@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from reelpulse.llm.ngrams import slices
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary travels to every worker, so its size is checked.
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
@@ -158,15 +160,19 @@ def token_counts(docs: DataFrame, vocabulary: list[bytes] | None = None, id_col:
     def count(batches):
         memo: dict[bytes, int] = {}
         for batch in batches:
-            split = [(" " + t).encode().split() if t else [] for t in batch.column(1).to_pylist()]
-            fresh = list({w for words in split for w in words}.difference(memo))
-            if len(memo) + len(fresh) > MEMO_WORDS:
-                memo.clear()
-                fresh = list({w for words in split for w in words})
-            memo.update(zip(fresh, automaton.count_all([b" " + w for w in fresh]).tolist(), strict=True))
+            texts, n_words, n_tokens = batch.column(1).to_pylist(), [], []
+            for i, j in slices(texts):
+                split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts[i:j]]
+                seen = {w for words in split for w in words}
+                fresh = list(seen.difference(memo))
+                if len(memo) + len(fresh) > MEMO_WORDS:
+                    memo.clear()
+                    fresh = list(seen)
+                memo.update(zip(fresh, automaton.count_all([b" " + w for w in fresh]).tolist(), strict=True))
+                n_words += map(len, split)
+                n_tokens += [sum(map(memo.__getitem__, words)) for words in split]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(w) for w in split], pa.int64()),
-                 pa.array([sum(map(memo.__getitem__, w)) for w in split], pa.int64())],
+                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_tokens, pa.int64())],
                 names=["doc_id", "n_words", "n_tokens"])
 
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
