@@ -82,7 +82,8 @@ class Block:
             steps[hit] = np.minimum(self.place[hit], len(counts) - 1) - (n - 1)
         score += steps * math.log(alpha)
         docs = len(self.sizes)
-        return (np.bincount(self.doc, score, docs), np.bincount(self.doc, steps > 0, docs).astype(np.int64))
+        return (np.bincount(self.doc, score, docs).astype(np.float64),
+                np.bincount(self.doc, steps > 0, docs).astype(np.int64))
 
 
 def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count: int = MIN_COUNT,

@@ -85,17 +85,17 @@ def licence_word_places(docs: DataFrame, vocabulary: list[str], id_col: str = "d
 
 def template_matches(places: DataFrame, index: DataFrame) -> DataFrame:
     """Accepted alignments: rid, template, label, base, start, weight."""
-    n_docs = places.filter("pos < 0").agg(F.count("*").alias("n_docs"))
+    n_docs = places.filter("pos < 0").count()
     words = places.filter("pos >= 0")
     df = words.select("rid", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
-    idf = F.log((F.col("n_docs") + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
+    idf = F.log(F.lit(n_docs + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
     rarest = Window.partitionBy("template").orderBy(F.desc("idf"), "tpos")
     weighed = stored(
-        index.join(df, "word", "left").join(F.broadcast(n_docs))  # one row
+        index.join(df, "word", "left")
         .withColumn("idf", idf)
         .withColumn("anchor", F.row_number().over(rarest) == 1)
         .withColumn("weight", F.col("idf") / F.sum("idf").over(Window.partitionBy("template")))
-        .drop("df", "n_docs"),
+        .drop("df"),
         "license_index")
     votes = words.join(F.broadcast(weighed), "word")  # one row per template word
     return (

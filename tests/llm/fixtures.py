@@ -1,0 +1,59 @@
+"""Small tables with the awkward cases, and plain-Python rules to compare with."""
+
+import random
+import re
+
+from pyspark.sql import types as T
+
+DOC = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType()),
+])
+#: Extra columns whose names clash with names that the operators use inside.
+CLASHES = ["row", "size", "rep", "label", "shard", "copies", "words", "text_key", "rank", "item", "block"]
+
+
+def alnum(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+
+def plain(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def shingles(text, n=5):
+    w = plain(text)
+    return {tuple(w[i:i + n]) for i in range(max(len(w) - n + 1, 1))} if w else set()
+
+
+def corpus(seed=1, n=120):
+    """Rows with near copies, exact copies, nulls, blanks, short and long texts."""
+    rnd = random.Random(seed)
+    word = lambda: rnd.choice(["Alpha", "beta", "Gamma", "Éta", "iota", "of", "the", "x1", "Σ"]) + str(rnd.randrange(400))
+    texts = []
+    for _ in range(n):
+        kind = rnd.random()
+        if texts and kind < 0.25:
+            words = (rnd.choice(texts) or "one two three").split(" ")
+            for _ in range(rnd.randrange(4)):
+                words[rnd.randrange(len(words))] = word()
+            texts.append(" ".join(words))
+        elif texts and kind < 0.35:
+            texts.append(rnd.choice(texts))
+        else:
+            texts.append(" ".join(word() for _ in range(rnd.choice([3, 5, 40, 90, 200]))))
+    texts += [None, "", "  \t\n ", "one", "One", "two words", "\x00ctl\x1fchars, punct!", " ".join(word() for _ in range(9000))]
+    rows = [(i, t, "en", rnd.choice(["a", "b", "c", "\U0001F600", "ö", None, ""]), len(t or "")) for i, t in enumerate(texts)]
+    return rows + [rows[3], rows[3]]  # repeated rows
+
+
+def documents(spark, rows=None, extra=False):
+    df = spark.createDataFrame(corpus() if rows is None else rows, DOC)
+    if extra:
+        from pyspark.sql import functions as F
+
+        df = df.select("*", *[F.lit(7).alias(c) for c in CLASHES])
+    return df
