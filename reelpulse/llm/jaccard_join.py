@@ -15,14 +15,17 @@ Steps:
    and a hashed frequency table (a fixed number of counters) of the shingles of
    all documents.  Equal fingerprints make a class with one representative.
 2. A second pass emits every document's prefix.  Shingles that only one
-   fingerprint has are dropped; the rest are the inverted lists.
+   fingerprint has are dropped; the rest are the inverted lists.  The dropped
+   ones bound what a document can share with any other.
 3. Lists of many near copies would yield all pairs within a group.  So first
    each list is verified only against one of its documents (its pivot), in a few
    rounds with other pivots; documents that link get a common label, and lists
    whose documents all have one label need no more work.
 4. What is left is joined in full: on every list, documents whose label is not
    the list's most frequent one against all documents of other labels, shared
-   entries counted, and pairs with enough of them verified exactly.
+   entries counted, and pairs with enough of them verified exactly.  Sizes, the
+   shingles that nobody else has and parity bits of the sets rule out most pairs
+   inside the join.
 
 No candidate is dropped: a pair that is never compared lies in one component
 already.  Links found inside a component are therefore a spanning set of it, not
@@ -55,8 +58,9 @@ CHUNK = 4096
 #: Largest l, and the cost of verifying a pair in list entries.
 MAX_MATCH = 8
 VERIFY_COST = 8.0
-#: Pivot rounds at most, and the list entries of the full join per entry of the
-#: lists at which pivots are no longer worth another round.
+#: Pivot rounds at most (they also end when a round no longer halves the work of
+#: the full join), and the list entries of the full join per entry of the lists at
+#: which pivots are no longer worth another round.
 PIVOT_ROUNDS = 4
 FULL_JOIN_COST = 4
 
@@ -80,6 +84,13 @@ def choose_prefix(estimates: np.ndarray, percent: int = PERCENT) -> tuple[int, i
     return int(ls[best]), int(lengths[best])
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """256 bits as four longs; a bit is the parity of the shingles that fall on
+    it.  Two sets' bits differ in at most as many places as the sets do."""
+    odd = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Stored rows: doc_id, n, k1, k2 of every document, and the partial
     frequency tables of the tasks as (task, chunk, counts) rows."""
@@ -138,8 +149,8 @@ def frequency_table(rows: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Stored rows (k1, n, l, shingles): the prefix of every document that has
-    shingles, k1 being the first half of its fingerprint."""
+    """Stored rows (k1, n, l, shingles, bits): the prefix of every document that
+    has shingles, k1 being the first half of its fingerprint."""
     noise = np.float32(counters.mean())  # chance share of any counter
 
     def emit(batches):
@@ -155,31 +166,45 @@ def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent:
                     order = np.lexsort((s, counted))
                     l, length = choose_prefix(np.maximum(counted[order] - noise, 0), percent)
                     rows.append((int.from_bytes(xxh3_128_digest(s.tobytes())[:8], "little", signed=True),
-                                 len(s), l, s[order[:length]].view(np.int64)))
+                                 len(s), l, s[order[:length]].view(np.int64), parity_bits(s).tolist()))
                 flat = np.concatenate([r[3] for r in rows]) if rows else np.zeros(0, np.int64)
                 offsets = np.cumsum([0, *[len(r[3]) for r in rows]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                      pa.array([r[2] for r in rows], pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["k1", "n", "l", "shingles"])
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                     pa.array([r[4] for r in rows], pa.list_(pa.int64()))],
+                    names=["k1", "n", "l", "shingles", "bits"])
 
-    return stored(docs.mapInArrow(emit, "k1 long, n int, l int, shingles array<long>"), "prefixes")
+    return stored(docs.mapInArrow(emit, "k1 long, n int, l int, shingles array<long>, bits array<long>"), "prefixes")
 
 
-def inverted_lists(prefix_rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Stored lists (shingle, rep, n, l) of the shingles that at least two
-    different fingerprints have in their prefixes."""
-    entries = prefix_rows.select(F.explode("shingles").alias("shingle"), "k1", "n", "l")
+def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
+                   percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Stored lists (shingle, rep, n, l, cap) of the shingles that at least two
+    different fingerprints have in their prefixes, and stored (rep, bits) of
+    their documents.
+
+    ``cap`` is the most that a document can share with any other: its set less
+    the prefix shingles that nobody else has.  A document whose cap is below
+    what a link needs is on no list.
+    """
+    entries = prefix_rows.select(F.explode("shingles").alias("shingle"), "k1", "n", "l",
+                                 F.size("shingles").alias("length"))
     shared = stored(entries.groupBy("shingle").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
                     .filter("a <> b").select("shingle"), "shared_shingles")
     kept = stored(entries.join(shared, "shingle", "left_semi").distinct(), "list_entries")
-    return stored(kept.join(classes.select("k1", "rep"), "k1").select("shingle", "rep", "n", "l").distinct(), "lists")
+    cap = F.col("n") - F.col("length") + F.count(F.lit(1))
+    able = (kept.groupBy("k1", "n", "length").agg(cap.cast("int").alias("cap"))
+            .filter(100 * F.col("cap") >= percent * F.col("n")).select("k1", "cap"))
+    able = stored(able.join(classes.select("k1", "rep"), "k1"), "able")
+    bits = stored(prefix_rows.select("k1", "bits").join(able, "k1").groupBy("rep").agg(
+        F.min("bits").alias("bits")), "bits")
+    return stored(kept.join(able, "k1").select("shingle", "rep", "n", "l", "cap").distinct(), "lists"), bits
 
 
-def representative_sets(docs: DataFrame, lists: DataFrame, words: int = WORDS) -> DataFrame:
-    """Stored (rep, shingles): whole sets of the documents on any list."""
-    asked = stored(lists.select("rep").distinct(), "listed")
+def whole_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
+    """Stored (rep, shingles): the whole sets of the documents in ``ids``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def compute(batches):
@@ -193,12 +218,16 @@ def representative_sets(docs: DataFrame, lists: DataFrame, words: int = WORDS) -
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))],
                     names=["rep", "shingles"])
 
-    return stored(docs.join(asked, docs["doc_id"] == asked["rep"], "left_semi").select("doc_id", "text")
+    return stored(docs.join(ids, docs["doc_id"] == ids["rep"], "left_semi").select("doc_id", "text")
                   .mapInArrow(compute, f"rep {id_type}, shingles array<long>"), "sets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The (a, b) pairs whose whole sets are similar enough, stored."""
+def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The (a, b) pairs whose whole sets are similar enough, stored.  Only
+    documents of some pair are cut into shingles again."""
+    pairs = stored(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    sets = whole_sets(docs, stored(ids.distinct(), "pair_ids"), words)
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -207,26 +236,35 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
                   .select("a", "b").distinct(), "links")
 
 
-def _sizes_fit(n, m, percent):
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m))
+def _may_link(n, cap, other_n, other_cap, percent, apart=None):
+    """Whether two sets can share enough, by their sizes, their caps and, where
+    given, the places in which their parity bits differ."""
+    most = F.least(cap, other_cap)
+    if apart is not None:
+        most = F.least(most, F.floor((n + other_n - apart) / 2))
+    return 100 * most >= percent * (n + other_n - most)
 
 
 def pivot_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
     """Candidates of every open list with one of its documents.
 
-    ``lists`` has a label; a list with one label only is closed.  The pivot is
-    the document with the least hash, so lists with much the same documents pick
+    ``lists`` has a label; a list with one label only is closed.  The first
+    round's pivot is the document with the least part of its set to itself, the
+    others' the one with the least hash; lists with much the same documents pick
     the same one.
     """
+    own = F.round((F.col("n") - F.col("cap")) / F.col("n"), 3) if seed == 0 else F.lit(0.0)
     pivots = stored(
         lists.groupBy("shingle").agg(
-            F.min(F.struct(F.xxhash64(F.lit(seed), "rep").alias("h"), F.col("rep").alias("pivot"),
-                           F.col("n").alias("pn"), F.col("l").alias("pl"))).alias("p"),
+            F.min(F.struct(own.alias("own"), F.xxhash64(F.lit(seed), "rep").alias("h"), F.col("rep").alias("pivot"),
+                           F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("cap").alias("pcap"),
+                           F.col("label").alias("plabel"))).alias("p"),
             F.min("label").alias("first"), F.max("label").alias("last"))
-        .filter("first <> last").select("shingle", "p.pivot", "p.pn", "p.pl"), "pivots")
+        .filter("first <> last").select("shingle", "p.pivot", "p.pn", "p.pl", "p.pcap", "p.plabel"), "pivots")
     return (
         lists.join(pivots, "shingle")
-        .filter((F.col("rep") != F.col("pivot")) & _sizes_fit(F.col("n"), F.col("pn"), percent))
+        .filter((F.col("label") != F.col("plabel"))
+                & _may_link(F.col("n"), F.col("cap"), F.col("pn"), F.col("pcap"), percent))
         .groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(F.least("l", "pl")).alias("l"))
         .filter("hits >= l").select("a", "b")
@@ -244,20 +282,23 @@ def list_labels(lists: DataFrame) -> DataFrame:
                                      F.col("top.label").alias("main")), "open_lists")
 
 
-def full_pairs(lists: DataFrame, open_lists: DataFrame, percent: int) -> DataFrame:
+def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Candidates of different labels on the open lists, with all their shared
     entries counted: of any two such documents on a list, at least one is not of
     its main label."""
-    entries = stored(lists.join(open_lists.select("shingle", "main"), "shingle"), "open_entries")
+    entries = stored(lists.join(open_lists.select("shingle", "main"), "shingle").join(bits, "rep"), "open_entries")
     minor = entries.filter("label <> main").select(
-        "shingle", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("l").alias("al"), F.col("label").alias("la"))
+        "shingle", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("l").alias("al"),
+        F.col("cap").alias("ac"), F.col("label").alias("la"), F.col("bits").alias("abits"))
     other = entries.select(
-        "shingle", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("l").alias("bl"), F.col("label").alias("lb"),
+        "shingle", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("l").alias("bl"),
+        F.col("cap").alias("bc"), F.col("label").alias("lb"), F.col("bits").alias("bbits"),
         (F.col("label") == F.col("main")).alias("is_main"))
+    apart = sum((F.bit_count(F.col("abits")[i].bitwiseXOR(F.col("bbits")[i])) for i in range(4)), F.lit(0))
     return (
         minor.join(other, "shingle")
         .filter((F.col("la") != F.col("lb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
-                & _sizes_fit(F.col("an"), F.col("bn"), percent))
+                & _may_link(F.col("an"), F.col("ac"), F.col("bn"), F.col("bc"), percent, apart))
         .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(F.least("al", "bl")).alias("l"))
         .filter("hits >= l").select("a", "b")
@@ -266,12 +307,12 @@ def full_pairs(lists: DataFrame, open_lists: DataFrame, percent: int) -> DataFra
 
 def labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
     """``lists`` with the component of every document as its label."""
-    plain = lists.select("shingle", "rep", "n", "l")
+    plain = lists.select("shingle", "rep", "n", "l", "cap")
     if links is None:
         return plain.withColumn("label", F.col("rep"))
     found = components(links)
     return stored(plain.join(found, plain["rep"] == found["node"], "left").select(
-        "shingle", "rep", "n", "l", F.coalesce("component", "rep").alias("label")), "lists")
+        "shingle", "rep", "n", "l", "cap", F.coalesce("component", "rep").alias("label")), "lists")
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -284,21 +325,21 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     classes = stored(known.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("rep")), "classes")
     counters = frequency_table(rows)
-    lists = inverted_lists(prefixes(docs, counters, words, percent), classes)
-    sets = representative_sets(docs, lists, words)
+    lists, bits = inverted_lists(prefixes(docs, counters, words, percent), classes, percent)
 
     links, lists = None, labelled(lists, None)
-    entries = max(lists.count(), 1)
+    entries, before = max(lists.count(), 1), None
     for seed in range(PIVOT_ROUNDS):
-        found = verified(pivot_pairs(lists, seed, percent), sets, percent)
+        found = verified(pivot_pairs(lists, seed, percent), docs, words, percent)
         links = found if links is None else links.unionByName(found)
         lists = labelled(lists, links)
         open_lists = list_labels(lists)
         left = open_lists.agg(F.sum((F.col("size") - F.col("most")) * F.col("size"))).first()[0] or 0
-        if left <= FULL_JOIN_COST * entries:
+        if left <= FULL_JOIN_COST * entries or (before is not None and 2 * left > before):
             break
+        before = left
     if left:
-        links = links.unionByName(verified(full_pairs(lists, open_lists, percent), sets, percent))
+        links = links.unionByName(verified(full_pairs(lists, open_lists, bits, percent), docs, words, percent))
     members = known.join(classes, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
