@@ -39,6 +39,22 @@ BLOCK_ROWS = 2048
 ALL_WORDS = np.uint64(0)
 
 
+def packed(keys: np.ndarray) -> tuple[int, int, bytes]:
+    """Sorted distinct hashes as (first, width, differences of ``width`` bytes
+    each); neighbours among many hashes are close, so this is lossless and short."""
+    gaps = np.diff(keys)
+    width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
+    return int(keys[:1].view(np.int64)[0]), width, gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpacked(first: int, width: int, data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // width + 1, 8), np.uint8)
+    wide[1:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    keys = wide.view("<u8").reshape(-1)
+    keys[0] = np.array([first], np.int64).view(np.uint64)[0]
+    return np.cumsum(keys, dtype=np.uint64)
+
+
 class Block:
     """The n-grams of a block of documents."""
 
@@ -107,14 +123,18 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_cou
         keys, counts, _ = Block(table.column("text").to_pylist(), order).distinct()
         edges = bucket_edges(keys)
         parts = [(b, slice(i, j)) for b, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
+        short = [packed(keys[s]) for _, s in parts]
         return pa.table({
             "block": pa.array([table.column("block")[0].as_py()] * len(parts), pa.int32()),
             "bucket": pa.array([b for b, _ in parts], pa.int32()),
-            "hashes": pa.array([keys[s].tobytes() for _, s in parts], pa.binary()),
+            "first": pa.array([p[0] for p in short], pa.int64()),
+            "width": pa.array([p[1] for p in short], pa.int32()),
+            "hashes": pa.array([p[2] for p in short], pa.binary()),
             "counts": pa.array([counts[s].astype("<u4").tobytes() for _, s in parts], pa.binary())})
 
     def total(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")]
+        hashes = [unpacked(*x) for x in zip(*(table.column(c).to_pylist() for c in ("first", "width", "hashes")),
+                                            strict=True)]
         counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
         keys, where = np.unique(np.concatenate(hashes), return_inverse=True)
         sums = np.bincount(where, counts, len(keys)).astype("<u8")[where]
@@ -133,7 +153,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_cou
         return pa.table({"doc_id": texts.column("doc_id"), "n_words": pa.array(block.sizes),
                          "log_score": pa.array(log_score), "n_backoff": pa.array(n_backoff)})
 
-    asked = rows.groupBy("block").applyInArrow(explode, "block int, bucket int, hashes binary, counts binary")
+    asked = rows.groupBy("block").applyInArrow(explode, "block int, bucket int, first long, width int, hashes binary, counts binary")
     counted = asked.groupBy("bucket").applyInArrow(total, "block int, bucket int, totals binary")
     return rows.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         score, f"doc_id {id_type}, n_words long, log_score double, n_backoff long")
