@@ -1,16 +0,0 @@
-from reelpulse.functions.columns import (  # noqa: F401
-    age_group,
-    blank_to_null,
-    capped_progress,
-    digits_int,
-    exact_sum,
-    hour_bucket,
-    is_blank,
-    is_night_hour,
-    is_weekend_day,
-    mean,
-    number_or_default,
-    parse_time,
-    rounded_mean,
-    years_since,
-)

@@ -89,19 +89,10 @@ def years_since(date_text, as_of, fmt: str = "yyyy-MM-dd") -> Column:
     return (F.year(col(as_of)) - F.year(born)).cast("int")
 
 
-# Averages are taken over an exact decimal sum and divided once in double,
-# so the result does not depend on the order rows reach the aggregate.
-MEAN_DECIMAL = "decimal(38,12)"
+# Summation order moves the last bits of a double sum.  Reports round twice, so
+# that a mean which lies on a rounding boundary always falls to the same side.
+NOISE_DIGITS = 6
 
 
-def exact_sum(c) -> Column:
-    return F.sum(col(c).cast(MEAN_DECIMAL)).cast("double")
-
-
-def mean(c) -> Column:
-    c = col(c)
-    return F.try_divide(F.sum(c.cast(MEAN_DECIMAL)).cast("double"), F.count(c).cast("double"))
-
-
-def rounded_mean(c, digits: int = 2) -> Column:
-    return F.round(mean(c), digits)
+def rounded(c, digits: int = 2) -> Column:
+    return F.round(F.round(col(c), NOISE_DIGITS), digits)

@@ -6,7 +6,9 @@
     python -m reelpulse.jobs segments --warehouse <warehouse> --out <reports>
     python -m reelpulse.jobs telemetry --csv video_streaming.csv [--out <reports>]
     python -m reelpulse.jobs lakehouse --orders o.csv --items i.csv --products p.csv --reviews r.csv --root <lake>
-    python -m reelpulse.jobs serve --reports <reports>
+    python -m reelpulse.jobs social --users u.csv --posts p.csv --feeds <feeds> --out <reports>
+    python -m reelpulse.jobs publish --watch watch.csv --search search.csv --target <landing>
+    python -m reelpulse.jobs serve --reports <reports> [--segment <name>]
     python -m reelpulse.jobs stream --source kafka --option kafka.bootstrap.servers=host:9092 \\
         --option subscribe=video-clickstream --warehouse <warehouse> --reports <reports>
 
@@ -19,16 +21,22 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelpulse import schemas
+from reelpulse.functions.columns import EVENT_TIME_FORMAT
+from reelpulse.operators import events as ev
 from reelpulse.operators import lakehouse as lh
 from reelpulse.operators import quality as dq
 from reelpulse.operators import reports as rp
 from reelpulse.operators import segment as sg
+from reelpulse.operators import social as so
 from reelpulse.operators import telemetry as tm
 from reelpulse.operators import warehouse as wh
+from reelpulse.session import scratch_dir
 from reelpulse.sources import io
 
 
@@ -36,7 +44,8 @@ def build_warehouse(spark: SparkSession, users_csv: str, movies_csv: str, watch_
                     search_path: str, out: str) -> dict[str, DataFrame]:
     """CSV dimensions + landed facts -> star schema under ``out``:
     dim_users, dim_movies, dim_date, plus quality reports
-    (``dq_dimensions``, ``ri_report``).  Dimensions are registered as
+    (``written_rows`` of the re-read dimensions, ``dq_dimensions``,
+    ``ri_report``).  A dimension that reads back empty is an error.  Dimensions are registered as
     global views for other sessions of this application."""
     users = wh.dim_users(io.read_csv(spark, users_csv, schemas.USERS_RAW))
     movies = wh.dim_movies(io.read_csv(spark, movies_csv, schemas.MOVIES_RAW))
@@ -46,6 +55,12 @@ def build_warehouse(spark: SparkSession, users_csv: str, movies_csv: str, watch_
     io.save_dimension(movies, f"{out}/dim_movies")
     io.save_dimension(wh.dim_date(watch, search), f"{out}/dim_date")
     stored = {name: spark.read.parquet(f"{out}/{name}") for name in ("dim_users", "dim_movies", "dim_date")}
+    counts = {name: io.verify_written(spark, f"{out}/{name}") for name in stored}
+    io.publish_report(spark.createDataFrame(sorted(counts.items()), "table string, rows long"),
+                      f"{out}/_quality/written_rows")
+    empty = [name for name, n in counts.items() if not n]
+    if empty:
+        raise RuntimeError(f"written without rows: {', '.join(empty)}")
     stored["fact_watch"], stored["fact_search"] = watch, search
     checks = dq.dimension_report({
         "dim_users": (stored["dim_users"], "user_id"),
@@ -75,12 +90,18 @@ def _warehouse(spark: SparkSession, root: str, watch: str | None = None, search:
 
 
 def run_reports(spark: SparkSession, warehouse: str, out: str, fmt: str = "parquet",
-                watch: str | None = None, search: str | None = None) -> list[str]:
-    """The six BI reports, each published once."""
+                watch: str | None = None, search: str | None = None, until: str | None = None) -> list[str]:
+    """The six BI reports, each published once.
+
+    ``until`` (a full hour, ``yyyy-MM-dd HH:mm:ss``) ends the two reports that
+    serving adds to the live counts where the live counts begin (``since`` of
+    the stream job), so that no event is counted twice.
+    """
     fact_watch, fact_search, movies, dates = _warehouse(spark, warehouse, watch, search)
+    batch_side = fact_watch if until is None else fact_watch.filter(F.col("date_key") < _cut_key(until))
     reports = {
-        "report_top_devices": rp.top_devices(fact_watch),
-        "report_genre_popularity": rp.genre_popularity(fact_watch, movies),
+        "report_top_devices": rp.top_devices(batch_side),
+        "report_genre_popularity": rp.genre_popularity(batch_side, movies),
         "report_peak_hours": rp.peak_hours(fact_watch, dates),
         "report_binge_genres": rp.binge_genres(fact_watch, dates, movies),
         "report_churn_risk": rp.churn_risk(fact_watch),
@@ -91,27 +112,39 @@ def run_reports(spark: SparkSession, warehouse: str, out: str, fmt: str = "parqu
     return list(reports)
 
 
+def _cut_key(moment: str) -> str:
+    """Hour key of a cut between the batch and the live side."""
+    at = datetime.strptime(moment, "%Y-%m-%d %H:%M:%S")
+    if at.minute or at.second:
+        raise ValueError(f"the cut {moment} is not a full hour")
+    return at.strftime("%Y%m%d%H")
+
+
 def run_segments(spark: SparkSession, warehouse: str, out: str, fmt: str = "parquet",
                  watch: str | None = None, sweep: bool = True) -> list[str]:
     """Features -> K sweep (scores published) -> K-Means -> named segments."""
     fact_watch = io.read_fact(spark, watch or f"{warehouse}/fact_watch_history", "watch")
     dates = spark.read.parquet(f"{warehouse}/dim_date")
-    features = sg.user_features(fact_watch, dates)
+    io.save_dimension(sg.user_features(fact_watch, dates), f"{out}/ml_user_features")
+    features = spark.read.parquet(f"{out}/ml_user_features")
     written = []
     if sweep:
         io.publish_report(sg.kmeans_sweep(sg.assemble_and_scale(features)), f"{out}/ml_kmeans_sweep", fmt)
         written.append("ml_kmeans_sweep")
-    segments = sg.user_segments(features)
-    io.publish_report(segments, f"{out}/ml_user_segments", fmt)
-    stored = spark.read.format(fmt).load(f"{out}/ml_user_segments")
-    io.publish_report(sg.cluster_centroids(stored), f"{out}/ml_cluster_centroids", fmt)
+    io.save_dimension(sg.cluster(features), f"{out}/ml_clusters")
+    clusters = spark.read.parquet(f"{out}/ml_clusters")
+    io.publish_report(sg.named_segments(clusters), f"{out}/ml_user_segments", fmt)
+    io.publish_report(sg.cluster_centroids(clusters), f"{out}/ml_cluster_centroids", fmt)
     return written + ["ml_user_segments", "ml_cluster_centroids"]
 
 
 def run_telemetry(spark: SparkSession, csv: str, out: str | None = None, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Clean a dirty telemetry CSV and build its reports."""
     raw = io.read_csv(spark, csv, schemas.TELEMETRY_RAW)
-    clean = tm.clean_telemetry(raw)
+    # the clean table is stored once, so the reports do not each repeat the de-duplication
+    kept = f"{out}/telemetry_clean" if out else scratch_dir(spark, "telemetry_clean", unique=True)
+    io.save_dimension(tm.clean_telemetry(raw), kept)
+    clean = spark.read.parquet(kept)
     reports = {
         "telemetry_funnel": tm.cleaning_funnel(raw),
         "telemetry_top_users": tm.top_users(clean),
@@ -126,6 +159,37 @@ def run_telemetry(spark: SparkSession, csv: str, out: str | None = None, fmt: st
     return reports
 
 
+def run_social(spark: SparkSession, users_csv: str, posts_csv: str, feeds: str, out: str,
+               as_of: str | None = None, fmt: str = "parquet", feeds_fmt: str = "parquet") -> list[str]:
+    """Load the social documents (typed, ages as of a day, today by default)
+    and publish the collections and their rollups."""
+    day = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    users = so.load_social_users(io.read_csv(spark, users_csv, schemas.SOCIAL_USERS_RAW), day)
+    posts = so.load_social_posts(io.read_csv(spark, posts_csv, schemas.SOCIAL_POSTS_RAW))
+    actions = spark.read.format(feeds_fmt).load(feeds)
+    collections = {
+        "users": users, "posts": posts,
+        "action_distribution": so.action_distribution(actions),
+        "top_categories": so.top_categories(posts),
+        "top_users": so.top_active_users(actions),
+        "top_users_detail": so.top_active_users_detail(actions, users),
+    }
+    for name, df in collections.items():
+        io.publish_report(df, f"{out}/{name}", fmt)
+    return list(collections)
+
+
+def run_publish(spark: SparkSession, watch_csv: str, search_csv: str, target: str, fmt: str = "text",
+                options: dict | None = None) -> None:
+    """Clean the raw producer rows and publish them as JSON events, stamped
+    with the time of the run."""
+    now = F.date_format(F.current_timestamp(), EVENT_TIME_FORMAT)
+    watch = ev.normalize_watch(io.read_raw_csv(spark, watch_csv)).withColumn("current_timestamp", now)
+    search = ev.normalize_search(io.read_raw_csv(spark, search_csv)).withColumn("current_timestamp", now)
+    io.write_events(watch, target, "session_id", fmt, options)
+    io.write_events(search, target, "search_id", fmt, options)
+
+
 def run_lakehouse(spark: SparkSession, csvs: dict[str, str], root: str, fmt: str = "parquet") -> list[str]:
     """Bronze (raw text) -> silver (typed, schema-locked) -> gold KPIs; every
     layer is re-read from storage, as a lakehouse job does."""
@@ -147,9 +211,13 @@ def run_lakehouse(spark: SparkSession, csvs: dict[str, str], root: str, fmt: str
     return list(gold)
 
 
-def serving_views(spark: SparkSession, reports: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+def serving_views(spark: SparkSession, reports: str, fmt: str = "parquet",
+                  segment: str | None = None) -> dict[str, DataFrame]:
     """What the dashboard shows, from the published collections: batch +
-    live genre and device totals, the KPI header and the segment views.
+    live genre and device totals, the KPI header, the segment views, the list
+    of segment names and the users of one ``segment`` (of all, without one).
+    The totals count every event once if the batch reports end (``until``)
+    where the live counts begin (``since``).
     A collection that was never written reads as empty (with its schema),
     so either layer alone still renders."""
     from reelpulse.operators import serving as sv
@@ -169,14 +237,22 @@ def serving_views(spark: SparkSession, reports: str, fmt: str = "parquet") -> di
         "kpi": sv.kpi_summary(segments),
         "segment_counts": sv.segment_counts(segments),
         "segment_profile": sv.segment_profile(segments),
+        "segment_names": sv.segment_names(segments),
+        "segment_lookup": sv.segment_lookup(segments, segment),
     }
 
 
 def run_stream(spark: SparkSession, source: str, options: dict, warehouse: str, reports: str,
                checkpoints: str, path: str | None = None, trigger: dict | None = None,
-               timeout: float | None = None):
+               timeout: float | None = None, since: str | None = None, serving_fmt: str = "parquet",
+               serving_options: dict | None = None, report_fmt: str = "parquet",
+               report_options: dict | None = None):
     """The speed layer: ingest + live genre and device counts until any
-    query ends (or ``timeout`` seconds)."""
+    query ends (or ``timeout`` seconds).  ``since`` starts the live counts
+    where the batch reports end; the serving copy and the live reports may
+    each go to a document store."""
+    if since is not None:
+        _cut_key(since)
     from reelpulse.streaming import ingest as st
 
     paths = st.IngestPaths(
@@ -191,6 +267,7 @@ def run_stream(spark: SparkSession, source: str, options: dict, warehouse: str,
     layer = st.start_speed_layer(
         spark, st.event_stream(spark, source, path, options), movies, paths,
         f"{reports}/report_genre_popularity_stream", f"{reports}/report_top_devices_stream", checkpoints, trigger,
+        serving_fmt, serving_options, report_fmt, report_options, since,
     )
     layer.await_any(spark, timeout)
     return layer
@@ -206,6 +283,7 @@ def main(argv=None) -> int:
     r.add_argument("--warehouse", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--format", default="parquet")
+    r.add_argument("--until", help="end of the batch side of the served totals, a full hour")
     g = sub.add_parser("segments")
     g.add_argument("--warehouse", required=True)
     g.add_argument("--out", required=True)
@@ -220,6 +298,17 @@ def main(argv=None) -> int:
     v = sub.add_parser("serve")
     v.add_argument("--reports", required=True)
     v.add_argument("--format", default="parquet")
+    v.add_argument("--segment")
+    so_ = sub.add_parser("social")
+    for a in ("users", "posts", "feeds", "out"):
+        so_.add_argument(f"--{a}", required=True)
+    so_.add_argument("--as-of")
+    so_.add_argument("--format", default="parquet")
+    pb = sub.add_parser("publish")
+    for a in ("watch", "search", "target"):
+        pb.add_argument(f"--{a}", required=True)
+    pb.add_argument("--format", default="text")
+    pb.add_argument("--option", action="append", default=[])
     s = sub.add_parser("stream")
     s.add_argument("--source", default="kafka")
     s.add_argument("--path")
@@ -228,15 +317,23 @@ def main(argv=None) -> int:
     s.add_argument("--reports", required=True)
     s.add_argument("--checkpoints", required=True)
     s.add_argument("--timeout", type=float)
+    s.add_argument("--since", help="start of the live counts, a full hour")
+    s.add_argument("--serving-format", default="parquet")
+    s.add_argument("--serving-option", action="append", default=[])
+    s.add_argument("--report-format", default="parquet")
+    s.add_argument("--report-option", action="append", default=[])
     args = ap.parse_args(argv)
 
+    def pairs(options):
+        return dict(o.split("=", 1) for o in options)
+
     from reelpulse.session import build_session
 
     spark = build_session(app=f"reelpulse-{args.job}")
     if args.job == "warehouse":
         build_warehouse(spark, args.users, args.movies, args.watch, args.search, args.out)
     elif args.job == "reports":
-        run_reports(spark, args.warehouse, args.out, args.format)
+        run_reports(spark, args.warehouse, args.out, args.format, until=args.until)
     elif args.job == "segments":
         run_segments(spark, args.warehouse, args.out, args.format)
     elif args.job == "telemetry":
@@ -246,13 +343,18 @@ def main(argv=None) -> int:
         run_lakehouse(spark, {"orders": args.orders, "items": args.items, "products": args.products,
                               "reviews": args.reviews}, args.root, args.format)
     elif args.job == "serve":
-        for name, df in serving_views(spark, args.reports, args.format).items():
+        for name, df in serving_views(spark, args.reports, args.format, args.segment).items():
             print(f"== {name}")
             df.show(20, truncate=False)
+    elif args.job == "social":
+        run_social(spark, args.users, args.posts, args.feeds, args.out, args.as_of, args.format)
+    elif args.job == "publish":
+        run_publish(spark, args.watch, args.search, args.target, args.format, pairs(args.option))
     elif args.job == "stream":
-        opts = dict(o.split("=", 1) for o in args.option)
-        run_stream(spark, args.source, opts, args.warehouse, args.reports, args.checkpoints,
-                   path=args.path, timeout=args.timeout)
+        run_stream(spark, args.source, pairs(args.option), args.warehouse, args.reports, args.checkpoints,
+                   path=args.path, timeout=args.timeout, since=args.since,
+                   serving_fmt=args.serving_format, serving_options=pairs(args.serving_option),
+                   report_fmt=args.report_format, report_options=pairs(args.report_option))
     return 0
 
 

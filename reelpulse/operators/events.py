@@ -48,8 +48,14 @@ def route(events: DataFrame, kind: str) -> DataFrame:
     return events.filter(F.col("event_type") == kind)
 
 
+EVENT_KINDS = ("watch", "search")
+
+
 def event_stats(events: DataFrame) -> DataFrame:
-    return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+    """Events per kind.  The kind is free text from outside, so everything but
+    the known kinds is one row, ``other``."""
+    kind = F.when(F.col("event_type").isin(*EVENT_KINDS), F.col("event_type")).otherwise(F.lit("other"))
+    return events.groupBy(kind.alias("event_type")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def watch_facts(watch: DataFrame, movies: DataFrame) -> DataFrame:

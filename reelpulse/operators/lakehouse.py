@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpulse.functions.columns import MEAN_DECIMAL, parse_time
+from reelpulse.functions.columns import parse_time
 from reelpulse.operators.warehouse import dedupe_by_key
 
 UNKNOWN_CATEGORY = "unknown"
@@ -57,8 +57,8 @@ def silver_reviews(bronze: DataFrame, stamp: bool = True) -> DataFrame:
 def sales_daily(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Per purchase date: item revenue, freight, items sold (inner join)."""
     per_order = items.groupBy("order_id").agg(
-        F.sum(F.col("price").cast(MEAN_DECIMAL)).alias("_price"),
-        F.sum(F.col("freight_value").cast(MEAN_DECIMAL)).alias("_freight"),
+        F.sum("price").alias("_price"),
+        F.sum("freight_value").alias("_freight"),
         F.count(F.lit(1)).alias("_items"),
     )
     o = orders.select("order_id", F.col("order_purchase_timestamp").cast("date").alias("sales_date"))
@@ -66,8 +66,8 @@ def sales_daily(orders: DataFrame, items: DataFrame) -> DataFrame:
         o.join(per_order, "order_id")
         .groupBy("sales_date")
         .agg(
-            F.sum("_price").cast("double").alias("total_item_revenue"),
-            F.sum("_freight").cast("double").alias("total_freight_cost"),
+            F.sum("_price").alias("total_item_revenue"),
+            F.sum("_freight").alias("total_freight_cost"),
             F.sum("_items").cast("long").alias("total_order_items_sold"),
         )
         .orderBy(F.asc("sales_date"))
@@ -76,7 +76,7 @@ def sales_daily(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
     per_product = items.groupBy("product_id").agg(
-        F.sum(F.col("price").cast(MEAN_DECIMAL)).alias("_price"),
+        F.sum("price").alias("_price"),
         F.count("product_id").alias("_units"),
     )
     p = products.select("product_id", "product_category_name")
@@ -84,7 +84,7 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
         per_product.join(p, "product_id")
         .groupBy("product_category_name")
         .agg(
-            F.sum("_price").cast("double").alias("total_category_revenue"),
+            F.sum("_price").alias("total_category_revenue"),
             F.sum("_units").cast("long").alias("total_units_sold"),
         )
         .orderBy(F.desc("total_category_revenue"), F.asc("product_category_name"))
@@ -93,17 +93,18 @@ def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
 
 def product_satisfaction(reviews: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Mean review score per category.  An order-level review is counted
-    once per item of the order, as a plain join does (trap T8)."""
-    per_order_product = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("_items"))
+    once per item of the order, as a plain join does (trap T8).  Items and
+    reviews meet on the order, then shrink to one row per product."""
+    i = items.select("order_id", "product_id")
     r = reviews.select("order_id", "review_id", "review_score")
     p = products.select("product_id", "product_category_name")
     weighted = (
-        r.join(per_order_product, "order_id")
+        i.join(r, "order_id")
         .groupBy("product_id")
         .agg(
-            F.sum(F.col("review_score").cast("long") * F.col("_items")).alias("_score"),
-            F.sum(F.when(F.col("review_score").isNotNull(), F.col("_items"))).alias("_scored"),
-            F.sum(F.when(F.col("review_id").isNotNull(), F.col("_items"))).alias("_reviews"),
+            F.sum(F.col("review_score").cast("long")).alias("_score"),
+            F.count("review_score").alias("_scored"),
+            F.count("review_id").alias("_reviews"),
         )
     )
     return (

@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelpulse.functions.columns import (
-    MEAN_DECIMAL,
     NIGHT_END_HOUR,
     NIGHT_START_HOUR,
-    mean,
+    rounded,
 )
 
 
@@ -31,19 +30,18 @@ def top_devices(watch: DataFrame) -> DataFrame:
 def genre_popularity(watch: DataFrame, movies: DataFrame) -> DataFrame:
     """Inner fact-movies join, per genre: views, mean rating, mean minutes.
 
-    The fact is first reduced to one row per movie_id (exact decimal sums
-    and counts), so the join touches at most one row per movie instead
-    of every watch event; the per-genre means are rebuilt from those
-    partial sums and equal the row-level means exactly.
+    The fact is first reduced to one row per movie_id (sums and counts), so
+    the join touches at most one row per movie instead of every watch event;
+    the per-genre means are rebuilt from those partial sums.
     """
     per_movie = watch.groupBy("movie_id").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count("session_id").alias("_views"),
-        F.sum(F.col("watch_duration_minutes").cast(MEAN_DECIMAL)).alias("_dur_sum"),
+        F.sum("watch_duration_minutes").alias("_dur_sum"),
         F.count("watch_duration_minutes").alias("_dur_n"),
     )
     m = movies.select("movie_id", "genre_primary", "imdb_rating")
-    rating = F.col("imdb_rating").cast(MEAN_DECIMAL)
+    rating = F.col("imdb_rating")
     joined = per_movie.join(m, "movie_id")
     return (
         joined.groupBy("genre_primary")
@@ -57,8 +55,8 @@ def genre_popularity(watch: DataFrame, movies: DataFrame) -> DataFrame:
         .select(
             "genre_primary",
             "watch_count",
-            F.round(F.try_divide(F.col("_r_sum").cast("double"), F.col("_r_n").cast("double")), 2).alias("avg_imdb_rating"),
-            F.round(F.try_divide(F.col("_d_sum").cast("double"), F.col("_d_n").cast("double")), 2).alias("avg_watch_minutes"),
+            rounded(F.try_divide("_r_sum", "_r_n")).alias("avg_imdb_rating"),
+            rounded(F.try_divide("_d_sum", "_d_n")).alias("avg_watch_minutes"),
         )
         .orderBy(F.desc("watch_count"), F.asc("genre_primary"))
     )
@@ -78,19 +76,21 @@ def peak_hours(watch: DataFrame, dates: DataFrame) -> DataFrame:
         .groupBy("hour")
         .agg(
             F.countDistinct("user_id").alias("active_users"),
-            F.round(mean("progress_percentage"), 2).alias("avg_progress_pct"),
-            F.round(mean("watch_duration_minutes"), 2).alias("avg_watch_duration"),
+            rounded(F.avg("progress_percentage")).alias("avg_progress_pct"),
+            rounded(F.avg("watch_duration_minutes")).alias("avg_watch_duration"),
         )
         .orderBy(F.desc("active_users"), F.asc("hour"))
     )
 
 
 def night_filter(dates: DataFrame, night=(NIGHT_START_HOUR, NIGHT_END_HOUR)) -> DataFrame:
-    """Night hours as a range predicate on ``hour`` - the same rows as
-    ``is_night`` - which lets dynamic partition pruning skip day-time
-    ``date_key`` partitions of a partitioned fact table."""
+    """Night hours as a range predicate on ``hour`` - for the default window
+    the same rows as ``is_night`` - which lets dynamic partition pruning skip
+    day-time ``date_key`` partitions of a partitioned fact table.  A window
+    whose start lies after its end wraps midnight."""
     start, end = night
-    return dates.filter((F.col("hour") >= start) | (F.col("hour") <= end))
+    after, before = F.col("hour") >= start, F.col("hour") <= end
+    return dates.filter(after & before if start <= end else after | before)
 
 
 def binge_genres(watch: DataFrame, dates: DataFrame, movies: DataFrame, night=(NIGHT_START_HOUR, NIGHT_END_HOUR)) -> DataFrame:
@@ -101,8 +101,8 @@ def binge_genres(watch: DataFrame, dates: DataFrame, movies: DataFrame, night=(N
         f.join(nights, "date_key")
         .groupBy("movie_id")
         .agg(
-            F.sum(F.col("watch_duration_minutes").cast(MEAN_DECIMAL)).alias("_dur"),
-            F.sum(F.col("progress_percentage").cast(MEAN_DECIMAL)).alias("_p_sum"),
+            F.sum("watch_duration_minutes").alias("_dur"),
+            F.sum("progress_percentage").alias("_p_sum"),
             F.count("progress_percentage").alias("_p_n"),
         )
     )
@@ -113,8 +113,8 @@ def binge_genres(watch: DataFrame, dates: DataFrame, movies: DataFrame, night=(N
         .agg(F.sum("_dur").alias("_dur"), F.sum("_p_sum").alias("_p_sum"), F.sum("_p_n").alias("_p_n"))
         .select(
             "genre_primary",
-            F.round(F.col("_dur").cast("double"), 2).alias("total_watch_duration"),
-            F.round(F.try_divide(F.col("_p_sum").cast("double"), F.col("_p_n").cast("double")), 2).alias("avg_progress_pct"),
+            rounded("_dur").alias("total_watch_duration"),
+            rounded(F.try_divide("_p_sum", "_p_n")).alias("avg_progress_pct"),
         )
         .orderBy(F.desc("total_watch_duration"), F.asc("genre_primary"))
     )
@@ -129,8 +129,8 @@ def churn_risk(watch: DataFrame, max_progress: float = 10.0, action: str = "paus
         .groupBy(*keys)
         .agg(
             F.count("session_id").alias("drop_events"),
-            mean("progress_percentage").alias("avg_progress_at_drop"),
-            mean("watch_duration_minutes").alias("avg_watch_duration"),
+            F.avg("progress_percentage").alias("avg_progress_at_drop"),
+            F.avg("watch_duration_minutes").alias("avg_watch_duration"),
         )
         .orderBy(F.desc("drop_events"), *[F.asc(k) for k in keys])
     )

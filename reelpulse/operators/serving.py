@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpulse.functions.columns import mean
 from reelpulse.schemas import FEATURE_COLUMNS
 
 
@@ -34,8 +33,8 @@ def merge_batch_speed(batch: DataFrame, speed: DataFrame, key: str, batch_value:
 def kpi_summary(segments: DataFrame) -> DataFrame:
     return segments.agg(
         F.count(F.lit(1)).alias("total_users"),
-        mean("total_duration_minutes").alias("avg_duration"),
-        mean("avg_progress_percentage").alias("avg_progress"),
+        F.avg("total_duration_minutes").alias("avg_duration"),
+        F.avg("avg_progress_percentage").alias("avg_progress"),
     )
 
 
@@ -44,7 +43,7 @@ def segment_counts(segments: DataFrame) -> DataFrame:
 
 
 def segment_profile(segments: DataFrame) -> DataFrame:
-    return segments.groupBy("segment_name").agg(*[mean(c).alias(c) for c in FEATURE_COLUMNS])
+    return segments.groupBy("segment_name").agg(*[F.avg(c).alias(c) for c in FEATURE_COLUMNS])
 
 
 def segment_names(segments: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpulse.functions.columns import is_blank, mean, parse_time
+from reelpulse.functions.columns import is_blank, parse_time
 
 ANOMALY_MINUTES = 1440  # one sitting of a full day or more
 
@@ -71,31 +71,25 @@ def top_users(clean: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
+def _most_frequent(clean: DataFrame, key, name: str, count: str, n: int) -> DataFrame:
+    """The n values of ``key`` with most rows, ties by value."""
+    counted = clean.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias(count))
+    return counted.orderBy(F.desc(count), F.asc(name)).limit(n)
+
+
 def trending_videos(clean: DataFrame, n: int = 5) -> DataFrame:
-    return (
-        clean.groupBy("video_title")
-        .count()
-        .withColumnRenamed("count", "Views")
-        .orderBy(F.desc("Views"), F.asc("video_title"))
-        .limit(n)
-    )
+    return _most_frequent(clean, F.col("video_title"), "video_title", "Views", n)
 
 
 def activity_by_hour(clean: DataFrame, n: int = 5) -> DataFrame:
-    return (
-        clean.withColumn("hour", F.hour("timestamp"))
-        .groupBy("hour")
-        .count()
-        .orderBy(F.desc("count"), F.asc("hour"))
-        .limit(n)
-    )
+    return _most_frequent(clean, F.hour("timestamp"), "hour", "count", n)
 
 
 def genre_watch_stats(clean: DataFrame) -> DataFrame:
     m = "watch_time_minutes"
     return clean.groupBy("genre").agg(
         F.sum(m).alias("total"),
-        mean(m).alias("average"),
+        F.avg(m).alias("average"),
         F.min(m).alias("shortest"),
         F.max(m).alias("longest"),
     )

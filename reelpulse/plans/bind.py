@@ -25,7 +25,7 @@ DEVICES = ("TV", "Mobile", "Laptop", "Tablet")          # by event_id % 4
 QUALITIES = ("SD", "HD", "4K")                           # by event_id % 3
 WATCH_EVENT_TYPES = ("view", "click", "purchase")
 SEARCH_EVENT_TYPES = ("error", "signup")
-SPEED_LAYER_FROM = "2024-01-16 00:00:00"                 # batch | speed cut
+ORPHAN_SHIFT = 1_000_000_000                              # movie keys with k % 10 = 9 leave the dimension
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,12 +47,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """c_custkey -> nation name (nation is 25 rows: a bounded broadcast)."""
+    """c_custkey -> nation name."""
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         read(spark, sf_dir, "customer")
         .select("c_custkey", "c_nationkey")
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(F.col("c_custkey"), F.col("n_name").alias("location_country"))
     )
 
@@ -62,6 +62,12 @@ def _with_country(spark, sf_dir, ev: DataFrame) -> DataFrame:
     return ev.join(countries, ev["user_id"] == countries["c_custkey"], "left").drop("c_custkey")
 
 
+def _movie_key() -> F.Column:
+    """The movie key of an event; a tenth of the keys are orphans."""
+    k = F.col("k").cast("long")
+    return F.when(k % 10 == 9, k + ORPHAN_SHIFT).otherwise(k)
+
+
 def watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watch events as the stream delivers them (before enrichment)."""
     ev = events(spark, sf_dir).filter(F.col("event_type").isin(*WATCH_EVENT_TYPES))
@@ -69,7 +75,7 @@ def watch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("session_id"),
         "user_id",
-        F.col("k").cast("long").alias("movie_id"),
+        _movie_key().alias("movie_id"),
         _pick(F.col("event_id") % 4, DEVICES).alias("device_type"),
         F.col("value").alias("watch_duration_minutes"),
         F.lit(0.0).alias("progress_percentage"),
@@ -103,9 +109,9 @@ def search_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movies_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """movies.csv: part rows except p_partkey % 10 = 9 (so the fact has
-    real orphans), plus a re-release copy of every 25th key (duplicates)."""
-    part = read(spark, sf_dir, "part").filter(F.col("p_partkey") % 10 != 9)
+    """movies.csv: all part rows, plus a re-release copy of every 25th key
+    (duplicates)."""
+    part = read(spark, sf_dir, "part")
     base = part.select(
         F.col("p_partkey").alias("movie_id"),
         F.col("p_name").alias("title"),
@@ -129,7 +135,7 @@ def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust = read(spark, sf_dir, "customer")
     key = F.col("c_custkey")
-    base = cust.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+    base = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         key.alias("user_id"),
         (key % 70 + 10).cast("double").alias("age"),
         F.when(key % 2 == 0, "F").otherwise("M").alias("gender"),
@@ -173,37 +179,47 @@ def telemetry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clickstream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream values: every event as one JSON object (the producer's
     encoding), user nulled where event_id % 97 = 0, and one ``not json``
-    line per 500 events."""
+    line per 500 events.  One scan: the fields of the other kind are null,
+    and JSON leaves null fields out."""
     from reelpulse.operators.events import to_json_value
 
-    def user(idcol):
-        return F.when(F.col(idcol) % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("user_id").cast("string"))
-
-    watch = watch_events(spark, sf_dir).select(
-        F.col("session_id").alias("event_id"),
-        F.lit("watch").alias("event_type"),
-        F.col("event_ts").alias("current_timestamp"),
-        user("session_id").alias("user_id"),
-        F.col("session_id").cast("string").alias("session_id"),
-        F.col("movie_id").cast("string").alias("movie_id"),
-        "device_type", "watch_duration_minutes", "progress_percentage",
-        "action", "quality", "user_rating", "location_country",
-    )
-    search = search_events(spark, sf_dir).select(
-        F.col("search_id").alias("event_id"),
-        F.lit("search").alias("event_type"),
-        F.col("event_ts").alias("current_timestamp"),
-        user("search_id").alias("user_id"),
-        F.col("search_id").cast("string").alias("search_id"),
-        "search_query", "results_returned", "clicked_result_position",
-        "search_duration_seconds", "had_typo", "device_type", "location_country",
-    )
-    junk = read(spark, sf_dir, "events").filter(F.col("event_id") % 500 == 0).select(
-        (-F.col("event_id") - 1).alias("event_id"), F.lit("not json").alias("value")
+    ev = _with_country(spark, sf_dir, events(spark, sf_dir))
+    is_watch = F.col("event_type").isin(*WATCH_EVENT_TYPES)
+    is_search = F.col("event_type").isin(*SEARCH_EVENT_TYPES)
+    k, number = F.col("k"), F.col("event_id").cast("string")
+    watch = {
+        "session_id": number,
+        "movie_id": _movie_key().cast("string"),
+        "watch_duration_minutes": F.col("value"),
+        "progress_percentage": F.lit(0.0),
+        "action": F.when(F.col("event_type") == "click", "paused").otherwise(F.col("event_type")),
+        "quality": _pick(F.col("event_id") % 3, QUALITIES),
+        "user_rating": (k % 5 + 1).cast("int"),
+    }
+    search = {
+        "search_id": number,
+        "search_query": F.concat(F.lit("q"), k.cast("string")),
+        "results_returned": (k % 5).cast("int"),
+        "clicked_result_position": F.when(k % 5 != 0, (k % 3 + 1).cast("int")),
+        "search_duration_seconds": F.col("value"),
+        "had_typo": F.when(F.col("event_type") == "error", "True").otherwise("False"),
+    }
+    rows = ev.select(
+        "event_id",
+        F.when(is_watch, "watch").when(is_search, "search").alias("event_type"),
+        F.col("ts").alias("current_timestamp"),
+        F.when(F.col("event_id") % 97 != 0, F.col("user_id").cast("string")).alias("user_id"),
+        _pick(F.col("event_id") % 4, DEVICES).alias("device_type"),
+        "location_country",
+        *[F.when(is_watch, c).alias(name) for name, c in watch.items()],
+        *[F.when(is_search, c).alias(name) for name, c in search.items()],
     )
-
-    key = ("event_id",)
-    return to_json_value(watch, keep=key).unionByName(to_json_value(search, keep=key)).unionByName(junk)
+    known = F.col("event_type").isNotNull()
+    lines = to_json_value(rows.withColumn("_known", known), keep=("event_id", "_known")).select(
+        "event_id", F.explode(F.array_compact(F.array(
+            F.when(F.col("_known"), F.col("value")),
+            F.when(F.col("event_id") % 500 == 0, "not json")))).alias("value"))
+    return lines
 
 
 # --- e-commerce (lakehouse) ---------------------------------------------
@@ -278,7 +294,7 @@ def social_users_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     dob = F.date_format(
         F.date_add(F.to_date(F.lit("1950-01-01")), (key * 97 % 18000).cast("int")), "yyyy-MM-dd"
     )
-    return cust.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+    return cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         key.cast("int").alias("UserID"),
         F.col("c_name").alias("Name"),
         F.when(key % 2 == 0, "Female").otherwise("Male").alias("Gender"),

@@ -1,10 +1,9 @@
 """DuckDB SQL for every query key: the same binding and the same report,
 written independently as SQL over the driver's pre-registered views.
 
-Two helpers keep numeric results identical across engines:
-``mean(x)`` sums an exact decimal and divides once in double (as
-``functions.columns.mean`` does), and ``rnd(x, n)`` rounds half-up on the
-decimal representation, as Spark's ``round`` does for doubles.
+Sums and means are plain SUM and AVG.  ``rnd(x, n)`` rounds half-up on the
+decimal text of a double, as Spark's ``round`` does; ``report(x, n)`` rounds as
+``functions.columns.rounded`` does.
 """
 
 from __future__ import annotations
@@ -20,17 +19,20 @@ def rnd(expr: str, digits: int) -> str:
             f"ROUND(CAST(({expr}) AS DOUBLE), {digits}))")
 
 
+def report(expr: str, digits: int = 2) -> str:
+    return rnd(rnd(expr, 6), digits)
+
+
+def settled(expr: str) -> str:
+    return rnd(expr, 6)
+
+
 def dsum(expr: str) -> str:
-    """Exact decimal sum converted to the nearest double.  Each double
-    enters the sum through its shortest decimal text, as Spark's
-    double-to-decimal cast does (DuckDB's direct cast would keep binary
-    noise at the 12th decimal for large values)."""
-    dec = f"TRY_CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12))"
-    return f"CAST(CAST(SUM({dec}) AS VARCHAR) AS DOUBLE)"
+    return f"SUM({expr})"
 
 
 def mean(expr: str) -> str:
-    return f"({dsum(expr)} / CAST(COUNT({expr}) AS DOUBLE))"
+    return f"AVG({expr})"
 
 
 DEVICE = "CASE {c} % 4 WHEN 0 THEN 'TV' WHEN 1 THEN 'Mobile' WHEN 2 THEN 'Laptop' ELSE 'Tablet' END"
@@ -68,7 +70,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         SELECT c.c_custkey, n.n_name AS location_country
         FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""", ()),
     "watch_events": (f"""
-        SELECT e.event_id AS session_id, e.user_id, CAST(e.k AS BIGINT) AS movie_id,
+        SELECT e.event_id AS session_id, e.user_id, CASE WHEN e.k % 10 = 9 THEN CAST(e.k AS BIGINT) + 1000000000 ELSE CAST(e.k AS BIGINT) END AS movie_id,
                {DEVICE.format(c='e.event_id')} AS device_type,
                e.value AS watch_duration_minutes, 0.0::DOUBLE AS progress_percentage,
                CASE WHEN e.event_type = 'click' THEN 'paused' ELSE e.event_type END AS action,
@@ -100,7 +102,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                CAST(p_size AS DOUBLE) * 5.0 AS duration_minutes,
                p_retailprice / 100 AS imdb_rating,
                (p_partkey % 7 = 0) AS is_netflix_original
-        FROM part WHERE p_partkey % 10 <> 9""", ()),
+        FROM part""", ()),
     "movies_raw": ("""
         SELECT * FROM movies_base
         UNION ALL
@@ -191,22 +193,22 @@ sql("top_devices", """
 
 sql("genre_popularity", f"""
     SELECT m.genre_primary, COUNT(f.session_id) AS watch_count,
-           {rnd(mean('m.imdb_rating'), 2)} AS avg_imdb_rating,
-           {rnd(mean('f.watch_duration_minutes'), 2)} AS avg_watch_minutes
+           {report(mean('m.imdb_rating'))} AS avg_imdb_rating,
+           {report(mean('f.watch_duration_minutes'))} AS avg_watch_minutes
     FROM fact_watch f JOIN dim_movies m ON f.movie_id = m.movie_id
     GROUP BY m.genre_primary""")
 
 sql("peak_hours", f"""
     SELECT d.hour, COUNT(DISTINCT f.user_id) AS active_users,
-           {rnd(mean('f.progress_percentage'), 2)} AS avg_progress_pct,
-           {rnd(mean('f.watch_duration_minutes'), 2)} AS avg_watch_duration
+           {report(mean('f.progress_percentage'))} AS avg_progress_pct,
+           {report(mean('f.watch_duration_minutes'))} AS avg_watch_duration
     FROM fact_watch f JOIN dim_date d ON f.date_key = d.date_key
     GROUP BY d.hour""")
 
 sql("binge_genres", f"""
     SELECT m.genre_primary,
-           {rnd(dsum('f.watch_duration_minutes'), 2)} AS total_watch_duration,
-           {rnd(mean('f.progress_percentage'), 2)} AS avg_progress_pct
+           {report(dsum('f.watch_duration_minutes'))} AS total_watch_duration,
+           {report(mean('f.progress_percentage'))} AS avg_progress_pct
     FROM fact_watch f
     JOIN dim_date d ON f.date_key = d.date_key
     JOIN dim_movies m ON f.movie_id = m.movie_id
@@ -215,12 +217,17 @@ sql("binge_genres", f"""
 
 sql("churn_risk", f"""
     SELECT device_type, location_country, quality, COUNT(session_id) AS drop_events,
-           {mean('progress_percentage')} AS avg_progress_at_drop,
-           {mean('watch_duration_minutes')} AS avg_watch_duration
+           {settled(mean('progress_percentage'))} AS avg_progress_at_drop,
+           {settled(mean('watch_duration_minutes'))} AS avg_watch_duration
     FROM fact_watch
     WHERE progress_percentage < 10.0 AND action = 'paused'
     GROUP BY device_type, location_country, quality""")
 
+sql("genre_popularity_order", """
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY n DESC, genre_primary NULLS FIRST) AS INTEGER) AS position, genre_primary
+    FROM (SELECT m.genre_primary, COUNT(f.session_id) AS n
+          FROM fact_watch f JOIN dim_movies m ON f.movie_id = m.movie_id GROUP BY m.genre_primary)""")
+
 sql("failed_searches", """
     SELECT search_query, had_typo, COUNT(search_id) AS failed_count
     FROM fact_search WHERE results_returned = 0
@@ -380,7 +387,7 @@ sql("telemetry_peak_hours", """
 
 sql("genre_watch_stats", f"""
     SELECT genre, CAST(SUM(watch_time_minutes) AS BIGINT) AS total,
-           {mean('watch_time_minutes')} AS average,
+           {settled(mean('watch_time_minutes'))} AS average,
            MIN(watch_time_minutes) AS shortest, MAX(watch_time_minutes) AS longest
     FROM telemetry_clean GROUP BY genre""")
 
@@ -461,14 +468,23 @@ sql("silver_schema_lock", """
 
 sql("gold_sales_daily", f"""
     SELECT CAST(o.order_purchase_timestamp AS DATE) AS sales_date,
-           {dsum('i.price')} AS total_item_revenue,
-           {dsum('i.freight_value')} AS total_freight_cost,
+           {settled(dsum('i.price'))} AS total_item_revenue,
+           {settled(dsum('i.freight_value'))} AS total_freight_cost,
            COUNT(o.order_id) AS total_order_items_sold
     FROM silver_orders o JOIN silver_items i ON o.order_id = i.order_id
     GROUP BY 1""")
 
+sql("gold_sales_daily_order", """
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY d NULLS FIRST) AS INTEGER) AS position, d AS sales_date
+    FROM (SELECT DISTINCT CAST(o.order_purchase_timestamp AS DATE) AS d
+          FROM silver_orders o JOIN silver_items i ON o.order_id = i.order_id)""")
+
+sql("silver_stamp", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS \"rows\", COUNT(*) AS stamped FROM silver_{t}"
+    for t in ("orders", "items", "products", "reviews")))
+
 sql("gold_category_performance", f"""
-    SELECT p.product_category_name, {dsum('i.price')} AS total_category_revenue,
+    SELECT p.product_category_name, {settled(dsum('i.price'))} AS total_category_revenue,
            COUNT(i.product_id) AS total_units_sold
     FROM silver_items i JOIN silver_products p ON i.product_id = p.product_id
     GROUP BY 1""")
@@ -564,11 +580,43 @@ CTES["user_features"] = (f"""
     FROM fact_watch f JOIN dim_date d ON f.date_key = d.date_key
     GROUP BY f.user_id""", ("fact_watch", "dim_date"))
 
-sql("user_features", "SELECT * FROM user_features")
+_FEATURES = ["total_views", "total_duration_minutes", "avg_progress_percentage", "night_view_ratio"]
+sql("user_features", "SELECT user_id, " + ", ".join(f"{settled(c)} AS {c}" for c in _FEATURES) + " FROM user_features")
+
+CTES["rule_clusters"] = ("SELECT *, CAST(user_id % 3 AS INTEGER) AS cluster_id FROM user_features", ("user_features",))
+CTES["rule_centroids"] = (f"""
+    SELECT cluster_id, {report("AVG(total_views)")} AS total_views_center,
+           {report("AVG(total_duration_minutes)")} AS duration_center,
+           {report("AVG(avg_progress_percentage)")} AS progress_center,
+           {report("AVG(night_view_ratio)", 4)} AS night_ratio_center
+    FROM rule_clusters GROUP BY cluster_id""", ("rule_clusters",))
+CTES["rule_owl"] = ("""
+    SELECT cluster_id AS owl FROM rule_centroids ORDER BY night_ratio_center DESC, cluster_id LIMIT 1""",
+                    ("rule_centroids",))
+CTES["rule_fan"] = ("""
+    SELECT cluster_id AS fan FROM rule_centroids WHERE cluster_id <> (SELECT owl FROM rule_owl)
+    ORDER BY duration_center DESC, cluster_id LIMIT 1""", ("rule_owl",))
+CTES["rule_segments"] = ("""
+    SELECT *, CASE WHEN cluster_id = (SELECT owl FROM rule_owl) THEN 'Cú đêm'
+                   WHEN cluster_id = (SELECT fan FROM rule_fan) THEN 'Mọt phim'
+                   ELSE 'Xem giải trí' END AS segment_name
+    FROM rule_clusters""", ("rule_clusters", "rule_owl", "rule_fan"))
+_SETTLED_FEATURES = ", ".join(f"{settled(c)} AS {c}" for c in _FEATURES)
+sql("rule_cluster_counts", "SELECT cluster_id, COUNT(*) AS count FROM rule_clusters GROUP BY cluster_id")
+sql("rule_cluster_centroids", "SELECT * FROM rule_centroids")
+sql("rule_user_segments", f"SELECT user_id, {_SETTLED_FEATURES}, cluster_id, segment_name FROM rule_segments")
+sql("rule_segment_counts", "SELECT segment_name, COUNT(*) AS count FROM rule_segments GROUP BY segment_name")
+sql("rule_segment_names", "SELECT DISTINCT segment_name FROM rule_segments")
+sql("rule_segment_profile", "SELECT segment_name, " + ", ".join(
+    f"{settled(f'AVG({c})')} AS {c}" for c in _FEATURES) + " FROM rule_segments GROUP BY segment_name")
+sql("rule_segment_lookup", f"""
+    SELECT user_id, {_SETTLED_FEATURES}, segment_name FROM rule_segments WHERE segment_name = 'Cú đêm'""")
+sql("preview_sample", """
+    SELECT LEAST(5, COUNT(*)) AS "rows", LEAST(5, COUNT(*)) AS present FROM fact_watch""")
 
 sql("kpi_summary", f"""
-    SELECT COUNT(*) AS total_users, {mean('total_duration_minutes')} AS avg_duration,
-           {mean('avg_progress_percentage')} AS avg_progress
+    SELECT COUNT(*) AS total_users, {settled(mean('total_duration_minutes'))} AS avg_duration,
+           {settled(mean('avg_progress_percentage'))} AS avg_progress
     FROM user_features""")
 
 _Z = ["total_views", "total_duration_minutes", "avg_progress_percentage", "night_view_ratio"]
@@ -581,6 +629,10 @@ sql("scaled_features", "SELECT user_id, " + ", ".join(
 sql("global_view_query", """
     SELECT device_type, COUNT(session_id) AS total_views FROM fact_watch GROUP BY device_type""")
 
+sql("view_query", """
+    SELECT m.content_type, COUNT(f.session_id) AS total_views
+    FROM fact_watch f JOIN dim_movies m ON f.movie_id = m.movie_id GROUP BY m.content_type""")
+
 sql("dim_fallback", """
     SELECT DISTINCT CAST(movie_id AS VARCHAR) AS movie_id, duration_minutes, genre_primary
     FROM movies_raw""")
@@ -657,4 +709,9 @@ sql("stream_genre_counts", f"""
     WHERE w.{_WATCH_SEEN.replace(' AND ', ' AND w.')} GROUP BY m.genre_primary""")
 sql("stream_device_counts", f"""
     SELECT device_type, COUNT(*) AS count FROM watch_events WHERE {_WATCH_SEEN} GROUP BY device_type""")
+sql("stream_metrics", """
+    SELECT 'ingest' AS query_name,
+           CAST(COUNT(*) FILTER (event_type IN ('view', 'click', 'purchase', 'error', 'signup'))
+                + COUNT(*) FILTER (event_id % 500 = 0) AS BIGINT) AS input_rows
+    FROM events""")
 sql("compact_fact", 'SELECT date_key, COUNT(*) AS "rows" FROM stream_watch GROUP BY date_key')

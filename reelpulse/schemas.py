@@ -118,3 +118,5 @@ METRICS = _struct(
     ("query_id", S), ("query_name", S), ("batch_id", L), ("input_rows", L),
     ("input_rate", D), ("processed_rate", D), ("trigger_ms", L),
 )
+
+BATCH_STATS = _struct(("batch_id", L), ("event_type", S), ("count", L))

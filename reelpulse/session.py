@@ -7,7 +7,6 @@ we only fill in what is unset.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,15 +87,18 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def scratch_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A directory under the cluster's shared checkpoint location.
+    """A directory path under the cluster's shared checkpoint location.
 
     The location comes from ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set - local tests - do we pick a
-    private temp dir and register it as the checkpoint dir, so later
-    ``checkpoint()`` calls land in the same place.
+    checkpoint dir).  With neither set, a ``local`` master gets a private temp
+    dir, registered as the checkpoint dir so that later ``checkpoint()`` calls
+    land in the same place; on a cluster that is an error, because executors
+    would each write to their own disk.  Spark makes the directory on writing.
     """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="reelpulse-")
         for setter in (lambda: spark.sparkContext.setCheckpointDir(base),
                        lambda: spark.conf.set("spark.checkpoint.dir", base)):
@@ -107,8 +109,9 @@ def scratch_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"
-    if unique:
-        path = f"{path}/{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{path}/{uuid.uuid4().hex}" if unique else path
+
+
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "") or ""
+    return master == "local" or master.startswith("local[")

@@ -9,11 +9,14 @@ scratch area.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelpulse import schemas
+from reelpulse.sources import fs
 
 
 class SchemaLockError(ValueError):
@@ -34,7 +37,7 @@ def _is_missing_path(err: AnalysisException) -> bool:
             break
         except Exception:
             continue
-    return cond == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err)
+    return cond == "PATH_NOT_FOUND"
 
 
 def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -65,10 +68,6 @@ def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     return spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
-
-
 def compaction_mark(spark: SparkSession, path: str) -> tuple[int, str] | None:
     """``(low, snapshot)`` if the fact table at ``path`` has been compacted:
     batches up to ``low`` are folded into ``snapshot``."""
@@ -92,23 +91,43 @@ def read_fact(spark: SparkSession, path: str, kind: str = "watch", with_batch_id
     (partition discovery alone would infer an int - trap T1).
 
     Batch directories written by the idempotent stream writer are read
-    together; after a compaction the snapshot replaces the folded batches
-    (``batch_id <= low``, pruned by partition) and newer batches are added.
-    Batch directories are never deleted, so a reader that misses the
-    marker still sees every row exactly once.
+    together; after a compaction only the snapshot and the batches above
+    its mark are listed and read.  Folded batches stay for a grace period
+    (``expire_folded``), so a reader that has just missed the mark still
+    sees every row once.
     """
-    from pyspark.sql import functions as F
-
     schema = schemas.WATCH_FACT if kind == "watch" else schemas.SEARCH_FACT
     with_batch = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
     cols = [f.name for f in with_batch.fields] if with_batch_id else [f.name for f in schema.fields]
-    batches = spark.read.schema(with_batch).parquet(path)
     mark = compaction_mark(spark, path)
     if mark is None:
-        return batches.select(*cols)
+        return spark.read.schema(with_batch).parquet(path).select(*cols)
     low, snapshot = mark
     folded = spark.read.schema(with_batch).parquet(snapshot).select(*cols)
-    return folded.unionByName(batches.filter(F.col("batch_id") > low).select(*cols))
+    newer = [f"{path}/{name}" for name, batch, _ in batch_dirs(spark, path) if batch > low]
+    if not newer:
+        return folded
+    batches = spark.read.schema(with_batch).option("basePath", path).parquet(*newer)
+    return folded.unionByName(batches.select(*cols))
+
+
+def batch_dirs(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, batch id, modification time in ms) of the batch directories."""
+    return [(name, int(name.split("=", 1)[1]), at) for name, at in fs.list_dirs(spark, path)
+            if name.startswith("batch_id=")]
+
+
+def expire_folded(spark: SparkSession, path: str, grace_seconds: float = 86_400) -> int:
+    """Remove the batch directories that a compaction has folded, once the
+    mark is older than the grace period; returns how many."""
+    mark = compaction_mark(spark, path)
+    marked_at = dict(fs.list_dirs(spark, path)).get("_compacted")
+    if mark is None or marked_at is None or time.time() - marked_at / 1000 < grace_seconds:
+        return 0
+    old = [name for name, batch, _ in batch_dirs(spark, path) if batch <= mark[0]]
+    for name in old:
+        fs.remove(spark, f"{path}/{name}")
+    return len(old)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str, fmt: str = "parquet") -> DataFrame:
@@ -122,7 +141,11 @@ def load_report(spark: SparkSession, path: str, schema, fmt: str = "parquet") ->
     connector format ``path`` names the collection."""
     try:
         if fmt in FILE_FORMATS:
-            df = spark.read.format(fmt).load(path)
+            versions = report_versions(spark, path)
+            done = [v for v in versions if fs.exists(spark, f"{path}/{v}/_SUCCESS")]
+            if versions and not done:  # the first one is being written
+                return spark.createDataFrame([], schema)
+            df = spark.read.format(fmt).load(f"{path}/{done[-1]}" if done else path)
         else:
             df = spark.read.format(fmt).option("collection", path.rstrip("/").rsplit("/", 1)[-1]).load()
     except AnalysisException as err:
@@ -165,6 +188,31 @@ def publish_report(df: DataFrame, path: str, fmt: str = "parquet", options: dict
         writer.option("collection", path.rstrip("/").rsplit("/", 1)[-1]).save()
 
 
+def report_versions(spark: SparkSession, path: str) -> list[str]:
+    """Version directories of a report, oldest first."""
+    return sorted(name for name, _ in fs.list_dirs(spark, path) if name.startswith("version="))
+
+
+def publish_version(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None,
+                    keep: int = 3) -> None:
+    """Publish a report that readers poll while it is replaced.
+
+    A file report gets a new version directory; readers take the newest one
+    whose write is committed, so they see the old report or the new one and
+    never a half-written or missing one.  The last ``keep`` versions stay for
+    readers that are still at work.  A connector collection is overwritten.
+    """
+    if fmt not in FILE_FORMATS:
+        publish_report(df, path, fmt, options)
+        return
+    spark = df.sparkSession
+    versions = report_versions(spark, path)
+    number = int(versions[-1].split("=", 1)[1]) + 1 if versions else 0
+    df.write.format(fmt).options(**(options or {})).mode("overwrite").save(f"{path}/version={number:012d}")
+    for old in versions[: max(0, len(versions) + 1 - keep)]:
+        fs.remove(spark, f"{path}/{old}")
+
+
 def save_dimension(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -184,28 +232,24 @@ def key_buckets(df: DataFrame, key: str, rows_per_task: int = 1_000_000) -> Data
 
 
 def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = 1_000_000,
-                    max_keys: int = 100_000, buckets: DataFrame | None = None) -> DataFrame:
+                    buckets: DataFrame | None = None) -> DataFrame:
     """Hash-cluster rows by ``key`` for a partitioned write, splitting hot
     keys: rows are counted per key and a key with more than
     ``rows_per_task`` rows is salted over that many buckets (tasks and
     files).  In a live stream most events of a batch share the current
     hour; without the salt one task would write nearly the whole batch.
 
-    Meant for hour keys.  The per-key counts (one row per key) are
-    broadcast only after checking there are at most ``max_keys`` of them
-    (a batch spans a bounded number of hours); beyond that the rows are
-    plainly hash-partitioned by key and AQE's skew handling is left to
-    split hot partitions.  Call it on a persisted frame (a micro-batch):
-    the counts and the write read it twice.
+    The per-key counts (one row per key) are joined without a hint, so
+    Spark broadcasts them only while they are small; with more keys the
+    join is shuffled and the salt works just the same.  Call it on a
+    persisted frame (a micro-batch): the counts and the write read it twice.
     """
     from pyspark.sql import functions as F
 
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     counts = buckets if buckets is not None else key_buckets(df, key, rows_per_task)
-    if counts.count() > max_keys:
-        return df.repartition(n, F.col(key))
-    salted = df.join(F.broadcast(counts), df[key].eqNullSafe(counts["_key"]), "left")
+    salted = df.join(counts, df[key].eqNullSafe(counts["_key"]), "left")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_buckets"))
     # An explicit count: AQE must not fold a small batch into one task that
     # would then open every hour's file in turn.
@@ -222,8 +266,7 @@ def append_fact(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
     other batch is touched.  Rows are clustered by hour key, hot hours
     spread over several tasks (``spread_hot_keys``).
     """
-    # the per-hour counts are cached: the size check and the broadcast
-    # then share one aggregation
+    # the per-hour counts are cached, so that their size is known to the join
     buckets = key_buckets(df, "date_key", rows_per_task).persist()
     try:
         (
@@ -237,7 +280,25 @@ def append_fact(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
         buckets.unpersist()
 
 
-def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str = "parquet") -> None:
+def write_events(events: DataFrame, target: str, key: str, fmt: str = "text",
+                 options: dict | None = None) -> None:
+    """Publish events as one JSON object each: lines of text files, or the
+    ``value`` of a message topic (``fmt="kafka"``, broker and topic in
+    ``options``) with the ``key`` column as its message key."""
+    from pyspark.sql import functions as F
+
+    from reelpulse.operators.events import to_json_value
+
+    values = to_json_value(events.withColumn("_key", events[key].cast("string")), keep=("_key",))
+    if fmt in FILE_FORMATS:
+        values.select("value").write.format(fmt).options(**(options or {})).mode("append").save(target)
+    else:
+        (values.select(F.col("_key").alias("key"), "value")
+         .write.format(fmt).options(**(options or {})).save())
+
+
+def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str = "parquet",
+                  options: dict | None = None) -> None:
     """The serving copy of one micro-batch.  File formats use the same
     per-batch layout as the fact (a retry overwrites its own batch); a
     document-store connector upserts each row by its event key
@@ -248,6 +309,7 @@ def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str
         return
     (
         df.write.format(fmt)
+        .options(**(options or {}))
         .option("collection", target.rstrip("/").rsplit("/", 1)[-1])
         .option("operationType", "replace")
         .option("idFieldList", key)
@@ -256,12 +318,6 @@ def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str
     )
 
 
-def read_batch(spark: SparkSession, path: str, batch_id: int, kind: str = "watch") -> DataFrame:
-    """One landed batch, hour key kept as text."""
-    schema = schemas.WATCH_FACT if kind == "watch" else schemas.SEARCH_FACT
-    return spark.read.schema(schema).parquet(batch_path(path, batch_id))
-
-
 def verify_written(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     """Re-read a written table and return its row count."""
     return spark.read.format(fmt).load(path).count()

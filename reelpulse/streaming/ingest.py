@@ -13,7 +13,7 @@
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,15 +55,51 @@ class IngestPaths:
     checkpoint: str = ""
 
 
-@dataclass
-class BatchLog:
-    """Per-batch event counts, kept on the driver (one row per kind)."""
-    rows: list = field(default_factory=list)
-    lock: threading.Lock = field(default_factory=threading.Lock)
+class RowLog:
+    """A growing log of small driver-side rows.
+
+    With a ``path`` the rows are appended to a Parquet table there every
+    ``flush_every`` rows, so the driver holds no more than that; without one
+    only the last ``flush_every`` rows are kept.
+    """
+
+    def __init__(self, schema, path: str | None = None, flush_every: int = 1000):
+        self.schema, self.path, self.flush_every = schema, path, flush_every
+        self.seen, self._rows, self._lock = 0, [], threading.Lock()
+
+    @property
+    def rows(self) -> list:
+        with self._lock:
+            return list(self._rows)
+
+    def add(self, spark: SparkSession | None, rows) -> None:
+        with self._lock:
+            self._rows.extend(rows)
+            self.seen += len(rows)
+            if self.path is None:
+                del self._rows[: -self.flush_every]
+        if self.path is not None and len(self._rows) >= self.flush_every:
+            self.flush(spark)
+
+    def flush(self, spark: SparkSession) -> None:
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.path)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """All rows (without a ``path``, the kept ones)."""
+        if self.path is None:
+            return spark.createDataFrame(self.rows, self.schema)
+        self.flush(spark)
+        return io.load_report(spark, self.path, self.schema)
 
-    def add(self, batch_id, stats):
-        with self.lock:
-            self.rows.extend((batch_id, r["event_type"], r["count"]) for r in stats)
+
+class BatchLog(RowLog):
+    """Per-batch event counts: one row per known kind, and one for others."""
+
+    def __init__(self, path: str | None = None, flush_every: int = 1000):
+        super().__init__(schemas.BATCH_STATS, path, flush_every)
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
@@ -85,7 +121,7 @@ def pinned(loader):
 
 
 def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet",
-                 log: BatchLog | None = None):
+                 log: BatchLog | None = None, serving_options: dict | None = None):
     """The foreachBatch body.
 
     The batch is persisted once and reused by every branch, released in
@@ -110,8 +146,8 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
         cached = []
         try:
             if log is not None:
-                # bounded by the number of event kinds
-                log.add(batch_id, ev.event_stats(batch_df).collect())
+                # one row per known kind, one for all others
+                log.add(spark, [(batch_id, r["event_type"], r["count"]) for r in ev.event_stats(batch_df).collect()])
             movies = movies_loader()
             watch = _conform(ev.watch_facts(ev.route(batch_df, "watch"), movies), schemas.WATCH_FACT)
             search = _conform(ev.search_facts(ev.route(batch_df, "search")), schemas.SEARCH_FACT)
@@ -123,7 +159,7 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
                 if not folded(fact_path):
                     io.append_fact(frame, fact_path, batch_id)
                 if serving:
-                    io.write_serving(frame, serving, batch_id, key, fmt=serving_fmt)
+                    io.write_serving(frame, serving, batch_id, key, fmt=serving_fmt, options=serving_options)
         finally:
             for frame in cached:
                 frame.unpersist()
@@ -151,7 +187,8 @@ def claim(spark: SparkSession, fact_path: str, checkpoint: str) -> None:
 
 
 def start_ingest(refined: DataFrame, movies_loader, paths: IngestPaths, trigger: dict | None = None,
-                 serving_fmt: str = "parquet", log: BatchLog | None = None, name: str | None = None):
+                 serving_fmt: str = "parquet", log: BatchLog | None = None, name: str | None = None,
+                 serving_options: dict | None = None):
     spark = refined.sparkSession
     # path-addressed targets only: a document-store copy upserts by key, so
     # batch ids do not matter there
@@ -159,7 +196,8 @@ def start_ingest(refined: DataFrame, movies_loader, paths: IngestPaths, trigger:
     for target in (paths.watch, paths.search, *serving):
         if target:
             claim(spark, target, paths.checkpoint)
-    writer = refined.writeStream.foreachBatch(batch_writer(movies_loader, paths, serving_fmt, log))
+    writer = refined.writeStream.foreachBatch(batch_writer(movies_loader, paths, serving_fmt, log,
+                                                            serving_options))
     writer = writer.option("checkpointLocation", paths.checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
     if name:
         writer = writer.queryName(name)
@@ -190,15 +228,17 @@ def live_device_counts(watch_events: DataFrame, since: str | None = None) -> Dat
 
 
 def start_live_count(counts: DataFrame, report_path: str, checkpoint: str, trigger: dict | None = None,
-                     fmt: str = "parquet", name: str | None = None):
-    """Complete-mode sink: every trigger overwrites the whole (small)
-    report, which is what a serving collection wants."""
+                     fmt: str = "parquet", name: str | None = None, options: dict | None = None,
+                     finish=None):
+    """Complete-mode sink: every trigger publishes the whole (small) report
+    as a new version, so a reader never finds it missing.  ``finish`` turns
+    the state rows into the report rows, per trigger."""
 
-    def overwrite(batch_df: DataFrame, batch_id: int) -> None:
-        io.publish_report(batch_df, report_path, fmt)
+    def publish(batch_df: DataFrame, batch_id: int) -> None:
+        io.publish_version(finish(batch_df) if finish else batch_df, report_path, fmt, options)
 
     writer = (
-        counts.writeStream.outputMode("complete").foreachBatch(overwrite)
+        counts.writeStream.outputMode("complete").foreachBatch(publish)
         .option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
     )
     if name:
@@ -206,14 +246,32 @@ def start_live_count(counts: DataFrame, report_path: str, checkpoint: str, trigg
     return writer.start()
 
 
+def live_movie_counts(watch_events: DataFrame, since: str | None = None) -> DataFrame:
+    """Running views per movie; state holds one row per movie."""
+    return _since(watch_events, since).groupBy("movie_id").count()
+
+
+def genre_totals(movie_counts: DataFrame, movies: DataFrame) -> DataFrame:
+    """Views per genre of per-movie views; unknown movies count under a null
+    genre.  Run per trigger with a freshly read dimension, a long-running
+    stream follows dimension updates, for old views as well."""
+    m = movies.select(F.col("movie_id").cast(movie_counts.schema["movie_id"].dataType).alias("movie_id"),
+                      "genre_primary")
+    return movie_counts.join(m, "movie_id", "left").groupBy("genre_primary").agg(F.sum("count").alias("count"))
+
+
 class MetricsListener(StreamingQueryListener):
-    """Collects one row per progress event: query id and name, batch id,
-    input rows, input and processing rates, trigger time."""
+    """One row per progress event: query id and name, batch id, input rows,
+    input and processing rates, trigger time.  See ``RowLog`` for ``path``."""
 
-    def __init__(self):
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None, flush_every: int = 1000):
         super().__init__()
-        self.rows: list = []
-        self._lock = threading.Lock()
+        self._spark = spark
+        self.log = RowLog(schemas.METRICS, path, flush_every)
+
+    @property
+    def rows(self) -> list:
+        return self.log.rows
 
     def onQueryStarted(self, event):
         pass
@@ -221,12 +279,11 @@ class MetricsListener(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         durations = p.durationMs or {}
-        with self._lock:
-            self.rows.append((
-                str(p.id), p.name, int(p.batchId), int(p.numInputRows),
-                float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
-                int(durations.get("triggerExecution", 0)),
-            ))
+        self.log.add(self._spark, [(
+            str(p.id), p.name, int(p.batchId), int(p.numInputRows),
+            float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
+            int(durations.get("triggerExecution", 0)),
+        )])
 
     def onQueryIdle(self, event):
         pass
@@ -235,9 +292,7 @@ class MetricsListener(StreamingQueryListener):
         pass
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        with self._lock:
-            rows = list(self.rows)
-        return spark.createDataFrame(rows, schemas.METRICS)
+        return self.log.frame(spark)
 
 
 def compact(spark: SparkSession, fact_path: str, out_path: str, kind: str = "watch") -> str:
@@ -253,9 +308,10 @@ def compact(spark: SparkSession, fact_path: str, out_path: str, kind: str = "wat
     target, e.g. 128 MB).
     """
     current = io.read_fact(spark, fact_path, kind, with_batch_id=True)
-    low = spark.read.parquet(fact_path).agg(F.max("batch_id")).first()[0]
-    if low is None:
+    landed = [batch for _, batch, _ in io.batch_dirs(spark, fact_path)]
+    if not landed:
         raise ValueError(f"nothing to compact under {fact_path}")
+    low = max(landed)
     # the snapshot so far plus the batches up to the new mark; a batch that
     # lands meanwhile stays readable as a newer batch
     upto = current.filter(F.col("batch_id").isNull() | (F.col("batch_id") <= low))
@@ -289,14 +345,21 @@ class SpeedLayer:
 
 def start_speed_layer(spark: SparkSession, values: DataFrame, movies_loader, paths: IngestPaths,
                       genre_report: str, device_report: str, checkpoint_root: str,
-                      trigger: dict | None = None, serving_fmt: str = "parquet") -> SpeedLayer:
+                      trigger: dict | None = None, serving_fmt: str = "parquet",
+                      serving_options: dict | None = None, report_fmt: str = "parquet",
+                      report_options: dict | None = None, since: str | None = None) -> SpeedLayer:
     """The whole speed layer: the fact ingest and the two live counts, three
-    concurrent queries over one source, each with its own checkpoint."""
+    concurrent queries over one source, each with its own checkpoint.  The
+    live counts start at ``since``, where the batch reports end, so that the
+    serving merge counts every event once.  The genre report joins the movie
+    dimension as it stands at each trigger."""
     refined = refine(values)
     watch = refined.filter(F.col("event_type") == "watch")
-    ingest = start_ingest(refined, movies_loader, paths, trigger, serving_fmt, name="ingest")
-    genre = start_live_count(live_genre_counts(watch, movies_loader()), genre_report,
-                             f"{checkpoint_root}/genre_hot", trigger, name="genre_hot")
-    device = start_live_count(live_device_counts(watch), device_report,
-                              f"{checkpoint_root}/device_hot", trigger, name="device_hot")
+    ingest = start_ingest(refined, movies_loader, paths, trigger, serving_fmt, name="ingest",
+                          serving_options=serving_options)
+    genre = start_live_count(live_movie_counts(watch, since), genre_report, f"{checkpoint_root}/genre_hot", trigger,
+                             report_fmt, "genre_hot", report_options,
+                             finish=lambda counts: genre_totals(counts, movies_loader()))
+    device = start_live_count(live_device_counts(watch, since), device_report, f"{checkpoint_root}/device_hot",
+                              trigger, report_fmt, "device_hot", report_options)
     return SpeedLayer(ingest, genre, device)

@@ -55,8 +55,27 @@ def test_years_since_bad_date(spark):
     assert out == [34, None, None]
 
 
-def test_mean_is_order_independent(spark):
+def test_rounded_mean_is_order_independent(spark):
     vals = [0.1] * 10 + [1e6, -1e6] + [0.2] * 5
     a = spark.createDataFrame([(v,) for v in vals], "x double").repartition(7)
     b = spark.createDataFrame([(v,) for v in reversed(vals)], "x double").coalesce(1)
-    assert a.agg(C.mean("x")).first()[0] == b.agg(C.mean("x")).first()[0]
+    assert a.agg(C.rounded(F.avg("x"))).first()[0] == b.agg(C.rounded(F.avg("x"))).first()[0]
+
+
+def test_reports_carry_non_finite_and_huge_values(spark):
+    import math
+
+    from reelpulse.operators import reports as rp
+
+    def churn(*progress):
+        df = spark.createDataFrame([("TV", "x", "HD", "s", p, "paused", p) for p in progress],
+                                   "device_type string, location_country string, quality string, session_id string, "
+                                   "progress_percentage double, action string, watch_duration_minutes double")
+        return rp.churn_risk(df, max_progress=math.inf).first()
+
+    assert math.isnan(rp.churn_risk(spark.createDataFrame(
+        [("TV", "x", "HD", "s", 1.0, "paused", v) for v in (1.0, 3.0, float("nan"))],
+        "device_type string, location_country string, quality string, session_id string, "
+        "progress_percentage double, action string, watch_duration_minutes double")).first()["avg_watch_duration"])
+    assert churn(1.0, -math.inf)["avg_progress_at_drop"] == -math.inf
+    assert churn(1e27, 1e27)["avg_progress_at_drop"] == 1e27

@@ -90,7 +90,8 @@ def test_stream_job(spark, tmp_path):
         layer.stop()
         spark.streams.resetTerminated()
     watch = io.read_fact(spark, f"{wh_root}/fact_watch_history", "watch")
-    devices = spark.read.parquet(str(tmp_path / "reports/report_top_devices_stream"))
+    devices = io.load_report(spark, str(tmp_path / "reports/report_top_devices_stream"),
+                             "device_type string, count long")
     assert devices.agg(F.sum("count")).first()[0] == watch.count() > 0
     assert rows(io.read_fact(spark, str(tmp_path / "reports/fact_watch_history"), "watch")) == rows(watch)
 
@@ -99,3 +100,76 @@ def test_cli_serve_with_nothing_published(spark, tmp_path, capsys):
     assert jobs.main(["serve", "--reports", str(tmp_path / "empty")]) == 0
     out = capsys.readouterr().out
     assert "== genre_totals" in out and "== kpi" in out
+
+
+def test_batch_and_live_totals_count_every_event_once(spark, tmp_path):
+    """Reports up to the cut and live counts from the cut on, over one stream."""
+    from reelpulse.plans.catalog import Bound
+
+    cut = "2024-01-16 00:00:00"
+    b = Bound(spark, SF001)
+    root = str(tmp_path / "warehouse")
+    b.dim_movies().write.parquet(f"{root}/dim_movies")
+    b.dim_date().write.parquet(f"{root}/dim_date")
+    bind.clickstream_json(spark, SF001).select("value").write.text(str(tmp_path / "landing"))
+    reports = str(tmp_path / "reports")
+    layer = jobs.run_stream(spark, "text", {}, root, reports, str(tmp_path / "chk"), path=str(tmp_path / "landing"),
+                            trigger={"availableNow": True}, since=cut)
+    try:
+        for q in layer.queries:
+            q.awaitTermination(180)
+    finally:
+        layer.stop()
+        spark.streams.resetTerminated()
+    watch = io.read_fact(spark, f"{root}/fact_watch_history", "watch")
+    jobs.run_reports(spark, root, reports, until=cut)
+    views = jobs.serving_views(spark, reports)
+    assert views["device_totals"].agg(F.sum("total")).first()[0] == watch.count()
+    known = watch.join(b.dim_movies().select(F.col("movie_id").cast("string").alias("movie_id")), "movie_id").count()
+    assert views["genre_totals"].agg(F.sum("total")).first()[0] == known
+    live = io.load_report(spark, f"{reports}/report_top_devices_stream", "device_type string, count long")
+    assert 0 < live.agg(F.sum("count")).first()[0] < watch.count()
+
+
+def test_cut_must_be_a_full_hour():
+    import pytest
+
+    assert jobs._cut_key("2024-01-16 05:00:00") == "2024011605"
+    with pytest.raises(ValueError):
+        jobs._cut_key("2024-01-16 05:30:00")
+
+
+def test_social_and_publish_jobs(spark, tmp_path):
+    for name, df in (("users", bind.social_users_csv(spark, SF001)), ("posts", bind.social_posts_csv(spark, SF001)),
+                     ("watch", bind.watch_history_csv(spark, SF001)), ("search", bind.search_logs_csv(spark, SF001))):
+        df.write.option("header", True).csv(str(tmp_path / name))
+    bind.social_feeds(spark, SF001).write.parquet(str(tmp_path / "feeds"))
+    out = str(tmp_path / "out")
+    names = jobs.run_social(spark, str(tmp_path / "users"), str(tmp_path / "posts"), str(tmp_path / "feeds"), out,
+                            as_of="2024-06-30")
+    assert set(names) == {"users", "posts", "action_distribution", "top_categories", "top_users", "top_users_detail"}
+    assert spark.read.parquet(f"{out}/users").count() == spark.read.parquet(f"{SF001}/customer.parquet").count()
+    assert spark.read.parquet(f"{out}/top_users").count() == 5
+
+    from reelpulse.operators import events as ev
+
+    jobs.run_publish(spark, str(tmp_path / "watch"), str(tmp_path / "search"), str(tmp_path / "landing"))
+    lines = spark.read.text(str(tmp_path / "landing"))
+    back = ev.parse_events(lines)
+    cleaned = ev.normalize_watch(bind.watch_history_csv(spark, SF001)).filter("user_id is not null").count()
+    assert ev.route(back, "watch").count() == cleaned
+    assert back.filter("ts is null or (session_id is null and search_id is null)").count() == 0
+
+
+def test_warehouse_checks_what_it_wrote(spark, tmp_path):
+    import pytest
+
+    bind.movies_raw(spark, SF001).limit(0).write.option("header", True).csv(str(tmp_path / "movies"))
+    bind.users_raw(spark, SF001).write.option("header", True).csv(str(tmp_path / "users"))
+    from reelpulse.plans.catalog import Bound
+
+    Bound(spark, SF001).fact_watch().write.partitionBy("date_key").parquet(str(tmp_path / "watch"))
+    Bound(spark, SF001).fact_search().write.partitionBy("date_key").parquet(str(tmp_path / "search"))
+    with pytest.raises(RuntimeError, match="dim_movies"):
+        jobs.build_warehouse(spark, str(tmp_path / "users"), str(tmp_path / "movies"), str(tmp_path / "watch"),
+                             str(tmp_path / "search"), str(tmp_path / "out"))

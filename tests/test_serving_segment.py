@@ -59,7 +59,7 @@ def test_name_clusters_argmax_with_ties(spark):
         [(0, 1.0, 100.0, 1.0, 0.5), (1, 1.0, 300.0, 1.0, 0.5), (2, 1.0, 200.0, 1.0, 0.1)],
         "cluster_id int, total_views_center double, duration_center double, progress_center double, night_ratio_center double",
     )
-    names = sg.name_clusters(cent)
+    names = {r.cluster_id: r.segment_name for r in sg.cluster_names(cent).collect()}
     assert names == {0: sg.NIGHT_OWL, 1: sg.MOVIE_BUFF, 2: sg.CASUAL}   # tie on night ratio -> lowest id
 
 
@@ -89,12 +89,24 @@ def test_segment_views(spark, features):
     assert kpi["total_users"] == seg.count()
 
 
-def test_fewer_users_than_k(spark):
-    df = spark.createDataFrame([(1, 1.0, 10.0, 50.0, 0.1), (2, 5.0, 90.0, 20.0, 0.9)],
+def test_fewer_points_than_k(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, 1.0, 10.0, 50.0, 0.1), (2, 5.0, 90.0, 20.0, 0.9), (3, 5.0, 90.0, 20.0, 0.9)],
                                "user_id long, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS))
-    out = {r["user_id"]: r["segment_name"] for r in sg.user_segments(df).collect()}
-    assert out == {1: sg.MOVIE_BUFF, 2: sg.NIGHT_OWL}
-    assert [r["k"] for r in sg.kmeans_sweep(sg.assemble_and_scale(df)).collect()] == [2]
+    with pytest.raises(sg.TooFewPoints, match="K=3.*only 2"):
+        sg.cluster(df)
+    sweep = sg.kmeans_sweep(sg.assemble_and_scale(df)).collect()
+    assert [r["k"] for r in sweep] == list(range(2, 9))
+    assert sweep[0]["cost"] is not None and all(r["cost"] is None and r["silhouette"] is None for r in sweep[1:])
+
+
+def test_two_clusters_are_named(spark):
+    cent = spark.createDataFrame([(0, 1.0, 100.0, 1.0, 0.1), (1, 1.0, 300.0, 1.0, 0.5)],
+                                 "cluster_id int, total_views_center double, duration_center double, "
+                                 "progress_center double, night_ratio_center double")
+    assert {r.cluster_id: r.segment_name for r in sg.cluster_names(cent).collect()} == {1: sg.NIGHT_OWL, 0: sg.MOVIE_BUFF}
+    assert sg.cluster_names(cent.limit(0)).count() == 0
 
 
 def test_kmeans_against_brute_force(spark, features):

@@ -81,7 +81,7 @@ def test_live_counts_complete_mode(spark, tmp_path):
     q.awaitTermination()
     batch = ev.parse_events(spark.read.text(landing))
     expected = st.live_genre_counts(ev.route(batch, "watch"), _movies(spark))
-    assert rows(spark.read.parquet(report)) == rows(expected)      # unknown movie -> null genre row
+    assert rows(io.load_report(spark, report, "genre_primary string, count long")) == rows(expected)      # unknown movie -> null genre row
 
 
 def test_metrics_listener(spark, tmp_path):
@@ -130,8 +130,9 @@ def test_speed_layer_three_queries(spark, tmp_path):
         layer.stop()
         spark.streams.resetTerminated()
     watch_n = io.read_fact(spark, paths.watch, "watch").count()
-    assert spark.read.parquet(str(tmp_path / "device")).agg(F.sum("count")).first()[0] == watch_n
-    assert spark.read.parquet(str(tmp_path / "genre")).agg(F.sum("count")).first()[0] == watch_n
+    for name in ("device", "genre"):
+        report = io.load_report(spark, str(tmp_path / name), "key string, count long")
+        assert report.agg(F.sum("count")).first()[0] == watch_n
 
 
 def test_hot_hour_is_spread_over_tasks(spark, tmp_path):
@@ -187,13 +188,99 @@ def test_pinned_dimension_loads_once(spark):
     assert load() is load() and len(calls) == 1
 
 
-def test_spread_hot_keys_size_guard(spark):
+def test_hot_hour_is_spread_beside_many_keys(spark):
     from reelpulse.sources.io import spread_hot_keys
 
-    df = spark.range(500).select(F.col("id").cast("string").alias("k"), "id")
-    plain = spread_hot_keys(df, "k", rows_per_task=10, max_keys=100)      # 500 keys > 100: no broadcast
-    assert "BroadcastHashJoin" not in plan_text(plain, "simple")
-    assert plain.count() == 500
+    hot = spark.range(40_000).select(F.lit("hot").alias("k"), "id")
+    many = spark.range(120_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), "id")
+    out = spread_hot_keys(hot.unionByName(many), "k", rows_per_task=2000)
+    per_task = out.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 4 and max(r["count"] for r in per_task) < 20_000
+    assert out.count() == 160_000
+
+
+def test_readers_list_only_the_snapshot_and_newer_batches(spark, tmp_path):
+    from reelpulse import schemas
+    from reelpulse.sources import fs
+
+    path = str(tmp_path / "fact")
+
+    def land(batch):
+        rows_ = [(f"s{batch}_{i}", "u", "m", "TV", 1.0, 1.0, "view", "HD", 1, "X", f"20240101{i:02d}") for i in range(3)]
+        io.append_fact(spark.createDataFrame(rows_, schemas.WATCH_FACT), path, batch)
+
+    def listed():
+        return {f.split("/fact/")[1].split("/")[0] for f in io.read_fact(spark, path).inputFiles() if "/fact/" in f}
+
+    for batch in range(3):
+        land(batch)
+    assert listed() == {"batch_id=0", "batch_id=1", "batch_id=2"}
+    st.compact(spark, path, str(tmp_path / "snapshot"))
+    assert listed() == set() and io.read_fact(spark, path).count() == 9
+    land(3)
+    assert listed() == {"batch_id=3"} and io.read_fact(spark, path).count() == 12
+    assert io.expire_folded(spark, path) == 0  # still within the grace period
+    assert io.expire_folded(spark, path, grace_seconds=0) == 3
+    assert {n for n, _ in fs.list_dirs(spark, path) if n.startswith("batch")} == {"batch_id=3"}
+    assert io.read_fact(spark, path).count() == 12
+    st.compact(spark, path, str(tmp_path / "snapshot2"))
+    assert io.read_fact(spark, path).count() == 12
+
+
+def test_a_live_report_is_never_missing(spark, tmp_path):
+    path, schema = str(tmp_path / "report"), "n long"
+    assert io.load_report(spark, path, schema).count() == 0
+    for n in range(5):
+        old = io.load_report(spark, path, schema)
+        io.publish_version(spark.range(n).select(F.col("id").alias("n")), path)
+        assert io.load_report(spark, path, schema).count() == n
+        assert old.count() == max(n - 1, 0)  # the version a reader holds stays
+    assert len(io.report_versions(spark, path)) == 3
+    (tmp_path / "report" / "version=000000000099").mkdir()  # a write that has not been committed
+    assert io.load_report(spark, path, schema).count() == 4
+
+
+def test_logs_are_written_out(spark, tmp_path):
+    log = st.BatchLog(str(tmp_path / "log"), flush_every=4)
+    for batch in range(5):
+        log.add(spark, [(batch, "watch", 3), (batch, "other", 1)])
+        assert len(log.rows) < 4
+    assert log.frame(spark).count() == 10 and log.seen == 10
+    short = st.BatchLog(flush_every=3)
+    short.add(spark, [(i, "watch", 1) for i in range(9)])
+    assert [r[0] for r in short.rows] == [6, 7, 8]
+
+
+def test_unknown_kinds_are_one_row(spark):
+    events = spark.createDataFrame([("watch",), ("search",), ("a",), ("b",), (None,)], "event_type string")
+    assert rows(ev.event_stats(events)) == [("other", 3), ("search", 1), ("watch", 1)]
+
+
+def test_live_genres_follow_the_dimension(spark):
+    counts = spark.createDataFrame([("1", 4), ("2", 5), (None, 1)], "movie_id string, count long")
+    before = spark.createDataFrame([(1, "Drama")], "movie_id long, genre_primary string")
+    after = spark.createDataFrame([(1, "Action"), (2, "Action")], "movie_id long, genre_primary string")
+    assert rows(st.genre_totals(counts, before)) == rows(spark.createDataFrame([("Drama", 4), (None, 6)], "g string, c long"))
+    assert rows(st.genre_totals(counts, after)) == rows(spark.createDataFrame([("Action", 9), (None, 1)], "g string, c long"))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from reelpulse import session
+
+    monkeypatch.setattr(session, "_configured_checkpoint_dir", lambda s: None)
+    monkeypatch.setattr(session, "_is_local", lambda s: False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(spark, "x")
+
+
+def test_night_window_inside_a_day(spark):
+    from reelpulse.operators.reports import night_filter
+
+    hours = spark.range(24).select(F.col("id").cast("int").alias("hour"))
+    assert [r[0] for r in night_filter(hours, (1, 5)).orderBy("hour").collect()] == [1, 2, 3, 4, 5]
+    assert night_filter(hours).count() == 7
 
 
 def test_second_checkpoint_cannot_take_over_a_fact_path(spark, tmp_path):
