@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelpulse.session import scratch_dir
+from reelpulse.sources import fs
 
 # The two word definitions of the corpus operators.  A "plain"
 # word is a run of non-blank characters; an "alnum" word is a run of ASCII
@@ -33,6 +34,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            fs.remove(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters keep their case."""
     return F.translate(text, UPPER, UPPER.lower())

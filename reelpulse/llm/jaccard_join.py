@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from reelpulse.llm.common import stored
+from reelpulse.llm.common import drop_stored, stored
 from reelpulse.llm.components import components
 from reelpulse.llm.ngrams import shingle_sets, slices
 
@@ -55,6 +55,8 @@ PERCENT = 75
 #: Counters of the hashed frequency table (4 bytes each, sent to every task).
 COUNTER_BITS = 20
 CHUNK = 4096
+#: Parity bits of a set by its size, and of larger ones.
+BITS, MOST_BITS = ((96, 256), (200, 512)), 1024
 #: Largest l, and the cost of verifying a pair in list entries.
 MAX_MATCH = 8
 VERIFY_COST = 8.0
@@ -85,9 +87,11 @@ def choose_prefix(estimates: np.ndarray, percent: int = PERCENT) -> tuple[int, i
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """256 bits as four longs; a bit is the parity of the shingles that fall on
-    it.  Two sets' bits differ in at most as many places as the sets do."""
-    odd = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    """256 to 1024 bits as longs, more for larger sets; a bit is the parity of
+    the shingles that fall on it.  Two sets' bits, if equally many, differ in at
+    most as many places as the sets do."""
+    size = next((bits for most, bits in BITS if len(shingles) <= most), MOST_BITS)
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
@@ -200,7 +204,9 @@ def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
     able = stored(able.join(classes.select("k1", "rep"), "k1"), "able")
     bits = stored(prefix_rows.select("k1", "bits").join(able, "k1").groupBy("rep").agg(
         F.min("bits").alias("bits")), "bits")
-    return stored(kept.join(able, "k1").select("shingle", "rep", "n", "l", "cap").distinct(), "lists"), bits
+    lists = stored(kept.join(able, "k1").select("shingle", "rep", "n", "l", "cap").distinct(), "lists")
+    drop_stored(prefix_rows, shared, kept, able)
+    return lists, bits
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
@@ -232,8 +238,10 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return stored(both.filter(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared))
-                  .select("a", "b").distinct(), "links")
+    links = stored(both.filter(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared))
+                   .select("a", "b").distinct(), "links")
+    drop_stored(sets, pairs)
+    return links
 
 
 def _may_link(n, cap, other_n, other_cap, percent, apart=None):
@@ -286,21 +294,26 @@ def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent
     """Candidates of different labels on the open lists, with all their shared
     entries counted: of any two such documents on a list, at least one is not of
     its main label."""
-    entries = stored(lists.join(open_lists.select("shingle", "main"), "shingle").join(bits, "rep"), "open_entries")
-    minor = entries.filter("label <> main").select(
-        "shingle", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("l").alias("al"),
-        F.col("cap").alias("ac"), F.col("label").alias("la"), F.col("bits").alias("abits"))
-    other = entries.select(
-        "shingle", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("l").alias("bl"),
-        F.col("cap").alias("bc"), F.col("label").alias("lb"), F.col("bits").alias("bbits"),
-        (F.col("label") == F.col("main")).alias("is_main"))
-    apart = sum((F.bit_count(F.col("abits")[i].bitwiseXOR(F.col("bbits")[i])) for i in range(4)), F.lit(0))
+    n_bits = MOST_BITS // 64
+    longs = [F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(f"bits{i}") for i in range(n_bits)]
+    entries = stored(
+        lists.join(open_lists.select("shingle", "main"), "shingle").join(bits, "rep")
+        .select("shingle", "rep", "n", "l", "cap", "label", "main", F.size("bits").alias("n_bits"), *longs), "open_entries")
+
+    def side(prefix, rows):
+        return rows.select("shingle", *[F.col(c).alias(f"{prefix}_{c}") for c in rows.columns if c != "shingle"])
+
+    minor, other = side("a", entries.filter("label <> main")), side("b", entries)
+    differ = sum((F.bit_count(F.col(f"a_bits{i}").bitwiseXOR(F.col(f"b_bits{i}"))) for i in range(n_bits)), F.lit(0))
+    apart = F.when(F.col("a_n_bits") == F.col("b_n_bits"), differ).otherwise(0)
+    sizes = (F.col("a_n"), F.col("a_cap"), F.col("b_n"), F.col("b_cap"), percent)
     return (
         minor.join(other, "shingle")
-        .filter((F.col("la") != F.col("lb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
-                & _may_link(F.col("an"), F.col("ac"), F.col("bn"), F.col("bc"), percent, apart))
-        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .agg(F.count("*").alias("hits"), F.min(F.least("al", "bl")).alias("l"))
+        .filter((F.col("a_label") != F.col("b_label"))
+                & ((F.col("b_label") == F.col("b_main")) | (F.col("a_rep") < F.col("b_rep")))
+                & _may_link(*sizes) & _may_link(*sizes, apart))
+        .groupBy(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
+        .agg(F.count("*").alias("hits"), F.min(F.least("a_l", "b_l")).alias("l"))
         .filter("hits >= l").select("a", "b")
     )
 
