@@ -13,7 +13,7 @@ The model's n-gram counts cover all documents.  Everything is a join on n-grams:
 
 A word w after u v scores count(u v w) / count(u v) if count(u v w) reaches
 ``min_count``, else ``alpha`` times its score after v, down to
-count(w) / all words.  N-grams are told apart by 64-bit hashes.
+count(w) / all words.  N-grams are told apart by 56-bit hashes.
 
 Defined results: null and blank texts have 0 words and score 0; each input row
 gets one row, and repeated rows count like other documents; an empty table gives
@@ -35,6 +35,8 @@ ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
 BLOCK_ROWS = 2048
+#: Bits of an n-gram's hash.
+HASH_BITS = 56
 #: Key under which the number of all words is counted.
 ALL_WORDS = np.uint64(0)
 
@@ -55,6 +57,17 @@ def unpacked(first: int, width: int, data: bytes) -> np.ndarray:
     return np.cumsum(keys, dtype=np.uint64)
 
 
+def short_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts as one byte each; 255 stands for the next of the large ones."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype("<u8").tobytes()
+
+
+def full_counts(small: bytes, large: bytes) -> np.ndarray:
+    counts = np.frombuffer(small, np.uint8).astype(np.uint64)
+    counts[counts == 255] = np.frombuffer(large, "<u8")
+    return counts
+
+
 class Block:
     """The n-grams of a block of documents."""
 
@@ -75,7 +88,7 @@ class Block:
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct n-gram hashes of all orders (and ALL_WORDS, first),
         their counts, and the place of every n-gram among them."""
-        every = np.concatenate([h for _, h in self.grams])
+        every = np.concatenate([h for _, h in self.grams]) >> np.uint64(64 - HASH_BITS)
         keys, where, counts = np.unique(every, return_inverse=True, return_counts=True)
         keys = np.concatenate([[ALL_WORDS], keys])
         return keys, np.concatenate([[len(self.place)], counts]), where + 1
@@ -116,7 +129,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_cou
     rows = rows.withColumn("block", F.pmod(key, F.lit(blocks)).cast("int"))
 
     def bucket_edges(keys):
-        starts = np.arange(1, buckets, dtype=np.float64) * (2.0 ** 64 / buckets)
+        starts = np.arange(1, buckets, dtype=np.float64) * (2.0 ** HASH_BITS / buckets)
         return [0, *np.searchsorted(keys, starts.astype(np.uint64)).tolist(), len(keys)]
 
     def explode(table: pa.Table) -> pa.Table:
@@ -124,37 +137,41 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_cou
         edges = bucket_edges(keys)
         parts = [(b, slice(i, j)) for b, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
         short = [packed(keys[s]) for _, s in parts]
+        counted = [short_counts(counts[s]) for _, s in parts]
         return pa.table({
             "block": pa.array([table.column("block")[0].as_py()] * len(parts), pa.int32()),
             "bucket": pa.array([b for b, _ in parts], pa.int32()),
             "first": pa.array([p[0] for p in short], pa.int64()),
             "width": pa.array([p[1] for p in short], pa.int32()),
             "hashes": pa.array([p[2] for p in short], pa.binary()),
-            "counts": pa.array([counts[s].astype("<u4").tobytes() for _, s in parts], pa.binary())})
+            "counts": pa.array([c[0] for c in counted], pa.binary()),
+            "large": pa.array([c[1] for c in counted], pa.binary())})
 
     def total(table: pa.Table) -> pa.Table:
         hashes = [unpacked(*x) for x in zip(*(table.column(c).to_pylist() for c in ("first", "width", "hashes")),
                                             strict=True)]
-        counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
+        counts = np.concatenate([full_counts(*x) for x in zip(
+            *(table.column(c).to_pylist() for c in ("counts", "large")), strict=True)])
         keys, where = np.unique(np.concatenate(hashes), return_inverse=True)
-        sums = np.bincount(where, counts, len(keys)).astype("<u8")[where]
+        sums = np.bincount(where, counts, len(keys)).astype(np.uint64)[where]
         edges = np.cumsum([0, *map(len, hashes)])
+        summed = [short_counts(sums[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
         return pa.table({
             "block": table.column("block"), "bucket": table.column("bucket"),
-            "totals": pa.array([sums[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)], pa.binary())})
+            "totals": pa.array([c[0] for c in summed], pa.binary()),
+            "large": pa.array([c[1] for c in summed], pa.binary())})
 
     def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
         block = Block(texts.column("text").to_pylist(), order)
         _, _, where = block.distinct()
-        parts = sorted(zip(counted.column("bucket").to_pylist(), counted.column("totals"), strict=True),
-                       key=lambda p: p[0])
-        totals = np.concatenate([np.frombuffer(x.as_py(), "<u8") for _, x in parts])
+        parts = sorted(zip(*(counted.column(c).to_pylist() for c in ("bucket", "totals", "large")), strict=True))
+        totals = np.concatenate([full_counts(*x) for _, *x in parts])
         log_score, n_backoff = block.scores(totals, where, alpha, min_count)
         return pa.table({"doc_id": texts.column("doc_id"), "n_words": pa.array(block.sizes),
                          "log_score": pa.array(log_score), "n_backoff": pa.array(n_backoff)})
 
-    asked = rows.groupBy("block").applyInArrow(explode, "block int, bucket int, first long, width int, hashes binary, counts binary")
-    counted = asked.groupBy("bucket").applyInArrow(total, "block int, bucket int, totals binary")
+    asked = rows.groupBy("block").applyInArrow(explode, "block int, bucket int, first long, width int, hashes binary, counts binary, large binary")
+    counted = asked.groupBy("bucket").applyInArrow(total, "block int, bucket int, totals binary, large binary")
     return rows.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         score, f"doc_id {id_type}, n_words long, log_score double, n_backoff long")
 
