@@ -23,6 +23,7 @@ an empty result.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -41,29 +42,36 @@ HASH_BITS = 56
 ALL_WORDS = np.uint64(0)
 
 
-def packed(keys: np.ndarray) -> tuple[int, int, bytes]:
-    """Sorted distinct hashes as (first, width, differences of ``width`` bytes
-    each); neighbours among many hashes are close, so this is lossless and short."""
+def packed(keys: np.ndarray) -> tuple[int, int, bytes, bytes]:
+    """Sorted distinct hashes as (first, width, low, top): their differences, of
+    ``width`` bytes each.  Neighbours among many hashes are close, so this is
+    lossless and short; only the top bytes are not random, so only they are
+    compressed."""
     gaps = np.diff(keys)
     width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
-    return int(keys[:1].view(np.int64)[0]), width, gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    columns = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return (int(keys[:1].view(np.int64)[0]), width, columns[:, :-1].tobytes(),
+            zlib.compress(columns[:, -1].tobytes(), 1))
 
 
-def unpacked(first: int, width: int, data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // width + 1, 8), np.uint8)
-    wide[1:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+def unpacked(first: int, width: int, low: bytes, top: bytes) -> np.ndarray:
+    last = np.frombuffer(zlib.decompress(top), np.uint8)
+    wide = np.zeros((len(last) + 1, 8), np.uint8)
+    wide[1:, :width - 1] = np.frombuffer(low, np.uint8).reshape(len(last), width - 1)
+    wide[1:, width - 1] = last
     keys = wide.view("<u8").reshape(-1)
     keys[0] = np.array([first], np.int64).view(np.uint64)[0]
     return np.cumsum(keys, dtype=np.uint64)
 
 
 def short_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Counts as one byte each; 255 stands for the next of the large ones."""
-    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype("<u8").tobytes()
+    """Counts as one byte each, compressed; 255 stands for the next of the large
+    ones."""
+    return zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), 1), counts[counts >= 255].astype("<u8").tobytes()
 
 
 def full_counts(small: bytes, large: bytes) -> np.ndarray:
-    counts = np.frombuffer(small, np.uint8).astype(np.uint64)
+    counts = np.frombuffer(zlib.decompress(small), np.uint8).astype(np.uint64)
     counts[counts == 255] = np.frombuffer(large, "<u8")
     return counts
 
@@ -143,12 +151,13 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_cou
             "bucket": pa.array([b for b, _ in parts], pa.int32()),
             "first": pa.array([p[0] for p in short], pa.int64()),
             "width": pa.array([p[1] for p in short], pa.int32()),
-            "hashes": pa.array([p[2] for p in short], pa.binary()),
+            "low": pa.array([p[2] for p in short], pa.binary()),
+            "top": pa.array([p[3] for p in short], pa.binary()),
             "counts": pa.array([c[0] for c in counted], pa.binary()),
             "large": pa.array([c[1] for c in counted], pa.binary())})
 
     def total(table: pa.Table) -> pa.Table:
-        hashes = [unpacked(*x) for x in zip(*(table.column(c).to_pylist() for c in ("first", "width", "hashes")),
+        hashes = [unpacked(*x) for x in zip(*(table.column(c).to_pylist() for c in ("first", "width", "low", "top")),
                                             strict=True)]
         counts = np.concatenate([full_counts(*x) for x in zip(
             *(table.column(c).to_pylist() for c in ("counts", "large")), strict=True)])
@@ -170,7 +179,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_cou
         return pa.table({"doc_id": texts.column("doc_id"), "n_words": pa.array(block.sizes),
                          "log_score": pa.array(log_score), "n_backoff": pa.array(n_backoff)})
 
-    asked = rows.groupBy("block").applyInArrow(explode, "block int, bucket int, first long, width int, hashes binary, counts binary, large binary")
+    asked = rows.groupBy("block").applyInArrow(explode, "block int, bucket int, first long, width int, low binary, top binary, counts binary, large binary")
     counted = asked.groupBy("bucket").applyInArrow(total, "block int, bucket int, totals binary, large binary")
     return rows.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         score, f"doc_id {id_type}, n_words long, log_score double, n_backoff long")
