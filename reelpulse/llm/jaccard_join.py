@@ -14,9 +14,11 @@ Steps:
 1. One pass over whole texts: set size and 128-bit fingerprint of every document,
    and a hashed frequency table (a fixed number of counters) of the shingles of
    all documents.  Equal fingerprints make a class with one representative.
-2. A second pass emits every document's prefix.  Shingles that only one
-   fingerprint has are dropped; the rest are the inverted lists.  The dropped
-   ones bound what a document can share with any other.
+2. A second pass emits every document's prefix.  Shingles that are in only one
+   fingerprint's prefix are dropped; the rest are the inverted lists.  Of two
+   documents, the one whose prefix ends first in the global order has its dropped
+   shingles to itself (the other's prefix reaches past them), so they bound what
+   the two can share.  The other's dropped ones say nothing about the pair.
 3. Lists of many near copies would yield all pairs within a group.  So first
    each list is verified only against one of its documents (its pivot), in a few
    rounds with other pivots; documents that link get a common label, and lists
@@ -24,8 +26,8 @@ Steps:
 4. What is left is joined in full: on every list, documents whose label is not
    the list's most frequent one against all documents of other labels, shared
    entries counted, and pairs with enough of them verified exactly.  Sizes, the
-   shingles that nobody else has and parity bits of the sets rule out most pairs
-   inside the join.
+   dropped shingles and parity bits of the sets rule out most pairs inside the
+   join.
 
 No candidate is dropped: a pair that is never compared lies in one component
 already.  Links found inside a component are therefore a spanning set of it, not
@@ -65,6 +67,8 @@ VERIFY_COST = 8.0
 #: which pivots are no longer worth another round.
 PIVOT_ROUNDS = 4
 FULL_JOIN_COST = 4
+#: What a list entry has of its document.
+ENTRY = ("n", "l", "cap", "end_count", "end_hash")
 
 
 def needed(n, percent: int = PERCENT):
@@ -153,8 +157,9 @@ def frequency_table(rows: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Stored rows (k1, n, l, shingles, bits): the prefix of every document that
-    has shingles, k1 being the first half of its fingerprint."""
+    """Stored rows (k1, n, l, shingles, bits, end_count, end_hash): the prefix of
+    every document that has shingles, k1 being the first half of its fingerprint,
+    and the place in the global order where the prefix ends."""
     noise = np.float32(counters.mean())  # chance share of any counter
 
     def emit(batches):
@@ -167,31 +172,38 @@ def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent:
                     if not len(s):
                         continue
                     counted = counters[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-                    order = np.lexsort((s, counted))
+                    signed = s.view(np.int64)  # hashes compare as longs, as in Spark
+                    order = np.lexsort((signed, counted))
                     l, length = choose_prefix(np.maximum(counted[order] - noise, 0), percent)
                     rows.append((int.from_bytes(xxh3_128_digest(s.tobytes())[:8], "little", signed=True),
-                                 len(s), l, s[order[:length]].view(np.int64), parity_bits(s).tolist()))
+                                 len(s), l, signed[order[:length]], parity_bits(s).tolist(),
+                                 int(counted[order[length - 1]]), int(signed[order[length - 1]])))
                 flat = np.concatenate([r[3] for r in rows]) if rows else np.zeros(0, np.int64)
                 offsets = np.cumsum([0, *[len(r[3]) for r in rows]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                      pa.array([r[2] for r in rows], pa.int32()),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                     pa.array([r[4] for r in rows], pa.list_(pa.int64()))],
-                    names=["k1", "n", "l", "shingles", "bits"])
+                     pa.array([r[4] for r in rows], pa.list_(pa.int64())),
+                     pa.array([r[5] for r in rows], pa.int64()), pa.array([r[6] for r in rows], pa.int64())],
+                    names=["k1", "n", "l", "shingles", "bits", "end_count", "end_hash"])
 
-    return stored(docs.mapInArrow(emit, "k1 long, n int, l int, shingles array<long>, bits array<long>"), "prefixes")
+    return stored(docs.mapInArrow(emit, "k1 long, n int, l int, shingles array<long>, bits array<long>, "
+                                        "end_count long, end_hash long"), "prefixes")
 
 
 def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
                    percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Stored lists (shingle, rep, n, l, cap) of the shingles that at least two
-    different fingerprints have in their prefixes, and stored (rep, bits) of
-    their documents.
-
-    ``cap`` is the most that a document can share with any other: its set less
-    the prefix shingles that nobody else has.  A document whose cap is below
-    what a link needs is on no list.
+    """Stored lists (shingle, rep, n, l, cap, end_count, end_hash) of the shingles
+    that at least two different fingerprints have in their prefixes, and stored
+    (rep, bits) of their documents.
+
+    ``cap`` is a document's set less the shingles that are in its prefix only: the
+    most that it can share with a document whose prefix does not end before its
+    own.  With one whose prefix ends earlier it can share more, so a small cap
+    alone takes no document off the lists.  A list entry stays unless its cap is
+    too small for a link and no other document of the list with a sufficient cap
+    ends earlier: such an entry is in no pair that ``_may_link`` passes.
     """
     entries = prefix_rows.select(F.explode("shingles").alias("shingle"), "k1", "n", "l",
                                  F.size("shingles").alias("length"))
@@ -199,13 +211,18 @@ def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
                     .filter("a <> b").select("shingle"), "shared_shingles")
     kept = stored(entries.join(shared, "shingle", "left_semi").distinct(), "list_entries")
     cap = F.col("n") - F.col("length") + F.count(F.lit(1))
-    able = (kept.groupBy("k1", "n", "length").agg(cap.cast("int").alias("cap"))
-            .filter(100 * F.col("cap") >= percent * F.col("n")).select("k1", "cap"))
-    able = stored(able.join(classes.select("k1", "rep"), "k1"), "able")
-    bits = stored(prefix_rows.select("k1", "bits").join(able, "k1").groupBy("rep").agg(
+    caps = kept.groupBy("k1", "n", "length").agg(cap.cast("int").alias("cap")).select("k1", "cap")
+    caps = stored(caps.join(classes.select("k1", "rep"), "k1").join(
+        prefix_rows.select("k1", "end_count", "end_hash").distinct(), "k1"), "caps")
+    every = stored(kept.join(caps, "k1").select("shingle", "rep", *ENTRY).distinct(), "every_entry")
+    end, able = F.struct("end_count", "end_hash"), 100 * F.col("cap") >= percent * F.col("n")
+    earliest = (every.groupBy("shingle").agg(F.min(F.when(able, end)).alias("earliest"))
+                .filter("earliest is not null"))
+    lists = stored(every.join(earliest, "shingle").filter(able | (end > F.col("earliest")))
+                   .select("shingle", "rep", *ENTRY), "lists")
+    bits = stored(prefix_rows.select("k1", "bits").join(caps, "k1").groupBy("rep").agg(
         F.min("bits").alias("bits")), "bits")
-    lists = stored(kept.join(able, "k1").select("shingle", "rep", "n", "l", "cap").distinct(), "lists")
-    drop_stored(prefix_rows, shared, kept, able)
+    drop_stored(prefix_rows, shared, kept, caps, every)
     return lists, bits
 
 
@@ -244,10 +261,15 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
     return links
 
 
-def _may_link(n, cap, other_n, other_cap, percent, apart=None):
-    """Whether two sets can share enough, by their sizes, their caps and, where
-    given, the places in which their parity bits differ."""
-    most = F.least(cap, other_cap)
+def _may_link(mine, other, percent, apart=None):
+    """Whether two sets can share enough, by their sizes, the cap of the one whose
+    prefix ends first (the other's cap is no bound for the pair) and, where
+    given, the places in which their parity bits differ.  ``mine`` and ``other``
+    are the prefixes of their columns' names."""
+    n, cap, *end = (F.col(mine + c) for c in ("n", "cap", "end_count", "end_hash"))
+    other_n, other_cap, *other_end = (F.col(other + c) for c in ("n", "cap", "end_count", "end_hash"))
+    first = (end[0] < other_end[0]) | ((end[0] == other_end[0]) & (end[1] <= other_end[1]))
+    most = F.least(F.when(first, cap).otherwise(other_cap), n, other_n)
     if apart is not None:
         most = F.least(most, F.floor((n + other_n - apart) / 2))
     return 100 * most >= percent * (n + other_n - most)
@@ -265,14 +287,12 @@ def pivot_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
     pivots = stored(
         lists.groupBy("shingle").agg(
             F.min(F.struct(own.alias("own"), F.xxhash64(F.lit(seed), "rep").alias("h"), F.col("rep").alias("pivot"),
-                           F.col("n").alias("pn"), F.col("l").alias("pl"), F.col("cap").alias("pcap"),
-                           F.col("label").alias("plabel"))).alias("p"),
+                           *[F.col(c).alias("p" + c) for c in (*ENTRY, "label")])).alias("p"),
             F.min("label").alias("first"), F.max("label").alias("last"))
-        .filter("first <> last").select("shingle", "p.pivot", "p.pn", "p.pl", "p.pcap", "p.plabel"), "pivots")
+        .filter("first <> last").select("shingle", "p.pivot", *[f"p.p{c}" for c in (*ENTRY, "label")]), "pivots")
     return (
         lists.join(pivots, "shingle")
-        .filter((F.col("label") != F.col("plabel"))
-                & _may_link(F.col("n"), F.col("cap"), F.col("pn"), F.col("pcap"), percent))
+        .filter((F.col("label") != F.col("plabel")) & _may_link("", "p", percent))
         .groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(F.least("l", "pl")).alias("l"))
         .filter("hits >= l").select("a", "b")
@@ -298,7 +318,7 @@ def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent
     longs = [F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(f"bits{i}") for i in range(n_bits)]
     entries = stored(
         lists.join(open_lists.select("shingle", "main"), "shingle").join(bits, "rep")
-        .select("shingle", "rep", "n", "l", "cap", "label", "main", F.size("bits").alias("n_bits"), *longs), "open_entries")
+        .select("shingle", "rep", *ENTRY, "label", "main", F.size("bits").alias("n_bits"), *longs), "open_entries")
 
     def side(prefix, rows):
         return rows.select("shingle", *[F.col(c).alias(f"{prefix}_{c}") for c in rows.columns if c != "shingle"])
@@ -306,12 +326,11 @@ def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent
     minor, other = side("a", entries.filter("label <> main")), side("b", entries)
     differ = sum((F.bit_count(F.col(f"a_bits{i}").bitwiseXOR(F.col(f"b_bits{i}"))) for i in range(n_bits)), F.lit(0))
     apart = F.when(F.col("a_n_bits") == F.col("b_n_bits"), differ).otherwise(0)
-    sizes = (F.col("a_n"), F.col("a_cap"), F.col("b_n"), F.col("b_cap"), percent)
     return (
         minor.join(other, "shingle")
         .filter((F.col("a_label") != F.col("b_label"))
                 & ((F.col("b_label") == F.col("b_main")) | (F.col("a_rep") < F.col("b_rep")))
-                & _may_link(*sizes) & _may_link(*sizes, apart))
+                & _may_link("a_", "b_", percent) & _may_link("a_", "b_", percent, apart))
         .groupBy(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(F.least("a_l", "b_l")).alias("l"))
         .filter("hits >= l").select("a", "b")
@@ -320,12 +339,12 @@ def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent
 
 def labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
     """``lists`` with the component of every document as its label."""
-    plain = lists.select("shingle", "rep", "n", "l", "cap")
+    plain = lists.select("shingle", "rep", *ENTRY)
     if links is None:
         return plain.withColumn("label", F.col("rep"))
     found = components(links)
     return stored(plain.join(found, plain["rep"] == found["node"], "left").select(
-        "shingle", "rep", "n", "l", "cap", F.coalesce("component", "rep").alias("label")), "lists")
+        "shingle", "rep", *ENTRY, F.coalesce("component", "rep").alias("label")), "lists")
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:

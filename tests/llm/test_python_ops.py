@@ -75,6 +75,32 @@ def test_full_join_alone_finds_everything(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("alone", [False, True])
+def test_one_sided_copies_against_brute_force(spark, monkeypatch, alone):
+    """Texts contained in others: cut short, or with words added at an end or
+    inside, so that the differences are on one side."""
+    if alone:  # without pivots: all pairs come from the full join
+        monkeypatch.setattr(jaccard_join, "PIVOT_ROUNDS", 1)
+        monkeypatch.setattr(jaccard_join, "pivot_pairs",
+                            lambda lists, seed, percent: lists.select(lists.rep.alias("a"), lists.rep.alias("b")).limit(0))
+    rnd, texts = random.Random(11), []
+    word = lambda: "w" + str(rnd.randrange(10**6))
+    for length in [10, 12, 15, 20, 30, 50, 80, 120, 200, 300] * 3:
+        base = [word() for _ in range(length)]
+        extra = [word() for _ in range(rnd.randrange(1, max(2, length // 4)))]
+        at = rnd.randrange(length)
+        forms = [base[:length - len(extra)], base + extra, extra + base, base[:at] + extra + base[at:]]
+        copies = rnd.choice([1, 1, 1, 25])
+        for words in [base, *rnd.sample(forms, rnd.choice([1, 2]))]:
+            texts += [" ".join(words)] * (copies if words is base or rnd.random() < 0.3 else 1)
+    rnd.shuffle(texts)
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    distinct = {t: i for i, t in reversed(list(enumerate(texts)))}
+    first = brute_components([(i, t, None, None, None) for t, i in distinct.items()])
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {i: first[distinct[t]] for i, t in enumerate(texts)}
+
+
 def test_prefix_choice():
     flat = np.zeros(100)
     assert jaccard_join.choose_prefix(flat) == (1, 26)  # nothing to gain from a longer prefix
