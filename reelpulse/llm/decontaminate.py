@@ -4,11 +4,12 @@ The benchmark's windows (runs of ten words, or a shorter item as a whole) become
 a set of hashes with their words.  Every document's token windows are hashed and
 looked up in it; a hash hit is verified word by word, so the result is exact.
 The set is broadcast only when the benchmark's text is below a stated size;
-beyond it the same join is shuffled by hash.
+beyond it the same join is shuffled by hash, and a window's row then holds the
+window's own words only.
 
-Documents are scanned once: each row yields its windows and one marker row, so
-that documents without hits stay in the result and nothing has to be joined
-back.  Rows are told apart by id and text, so nulls and equal ids are safe.
+Each row yields its windows and, beside the join, one marker row, so that
+documents without hits stay in the result and nothing has to be joined back.
+Rows are told apart by id and text, so nulls and equal ids are safe.
 
 Defined results: null and empty texts have no words and no hits; repeated rows
 each give their row; benchmark rows without words are ignored, those with a
@@ -43,6 +44,37 @@ def benchmark_windows(bench: DataFrame, width: int = WINDOW, id_col: str = "item
     )
 
 
+def _broadcast_hits(rows: DataFrame, windows: DataFrame, grams: list) -> DataFrame:
+    """(doc_id, text_key, at, len, n_words, item) of every hit, and a marker row
+    with ``at`` -1 per row; documents stay where they are, in one scan."""
+    known = windows.unionByName(rows.sparkSession.range(1).select(
+        F.lit(None).cast(windows.schema["item"].dataType).alias("item"), F.lit(0).alias("w_len"),
+        F.array().cast("array<string>").alias("w_words"), F.lit(0).cast("long").alias("w_hash")))
+    marker = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("len"), F.lit(0).cast("long").alias("h")))
+    exploded = rows.select("doc_id", "text_key", "words", F.inline(F.concat(marker, *grams)))
+    return exploded.join(
+        F.broadcast(known), (F.col("len") == F.col("w_len")) & (F.col("h") == F.col("w_hash"))
+        & (F.slice("words", F.col("at") + 1 + F.when(F.col("at") < 0, 1).otherwise(0), F.col("len"))
+           == F.col("w_words"))).withColumn("n_words", F.when(F.col("at") < 0, F.size("words")))
+
+
+def _shuffled_hits(rows: DataFrame, windows: DataFrame, grams: list) -> DataFrame:
+    """The same rows by a shuffled join.  A window's row carries only its own
+    words, and the markers are added after the join, where no key is common to
+    all documents."""
+    markers = rows.select("doc_id", "text_key", F.lit(-1).alias("at"), F.lit(0).alias("len"),
+                          F.size("words").alias("n_words"),
+                          F.lit(None).cast(windows.schema["item"].dataType).alias("item"))
+    if not grams:  # a benchmark without words
+        return markers
+    own = rows.select("doc_id", "text_key", "words", F.inline(F.concat(*grams))).select(
+        "doc_id", "text_key", "at", "len", "h", F.slice("words", F.col("at") + 1, F.col("len")).alias("own_words"))
+    hits = own.join(windows, (F.col("len") == F.col("w_len")) & (F.col("h") == F.col("w_hash"))
+                    & (F.col("own_words") == F.col("w_words")))
+    return markers.unionByName(hits.select("doc_id", "text_key", "at", "len", F.lit(None).cast("int").alias("n_words"),
+                                           "item"))
+
+
 def window_hits(docs: DataFrame, bench: DataFrame, width: int = WINDOW, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Per distinct (doc_id, text) of ``docs``: doc_id, text_key, copies (equal
@@ -51,12 +83,7 @@ def window_hits(docs: DataFrame, bench: DataFrame, width: int = WINDOW, id_col:
     windows = benchmark_windows(bench, width)
     # at most `width` different lengths
     lengths = sorted(r[0] for r in windows.select("w_len").distinct().collect())
-    known = windows.unionByName(docs.sparkSession.range(1).select(
-        F.lit(None).cast(windows.schema["item"].dataType).alias("item"), F.lit(0).alias("w_len"),
-        F.array().cast("array<string>").alias("w_words"), F.lit(0).cast("long").alias("w_hash")))
     bench_bytes = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if bench_bytes <= BROADCAST_BYTES:
-        known = F.broadcast(known)
 
     def grams(length):
         made = F.transform(F.sequence(F.lit(0), F.size("words") - length), lambda i: F.struct(
@@ -64,18 +91,16 @@ def window_hits(docs: DataFrame, bench: DataFrame, width: int = WINDOW, id_col:
             F.xxhash64(F.slice("words", i + 1, F.lit(length))).alias("h")))
         return F.when(F.size("words") >= length, made).otherwise(F.array().cast("array<struct<at:int,len:int,h:bigint>>"))
 
-    marker = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("len"), F.lit(0).cast("long").alias("h")))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.lit(1), F.col(text_col)).alias("text_key"),
                        alnum_words(F.col(text_col)).alias("words"))
-    exploded = rows.select("doc_id", "text_key", "words",
-                           F.inline(F.concat(marker, *[grams(n) for n in lengths])))
-    hits = exploded.join(known, (F.col("len") == F.col("w_len")) & (F.col("h") == F.col("w_hash"))
-                         & (F.slice("words", F.col("at") + 1 + F.when(F.col("at") < 0, 1).otherwise(0), F.col("len"))
-                            == F.col("w_words")))
+    if bench_bytes <= BROADCAST_BYTES:
+        hits = _broadcast_hits(rows, windows, [grams(n) for n in lengths])
+    else:
+        hits = _shuffled_hits(rows, windows, [grams(n) for n in lengths])
     return (
         hits.groupBy("doc_id", "text_key")
         .agg(F.count(F.when(F.col("at") < 0, 1)).alias("copies"),
-             F.max(F.when(F.col("at") < 0, F.size("words"))).cast("long").alias("n_words"),
+             F.max("n_words").cast("long").alias("n_words"),
              F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "len"))).alias("spans"),
              F.collect_set("item").alias("items"))
         .select("doc_id", "text_key", "copies", "n_words", F.array_sort("spans").alias("spans"),

@@ -7,6 +7,7 @@ import zlib
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
+from conftest import plan_text  # noqa: E402
 from fixtures import CLASHES, alnum, corpus, documents, plain  # noqa: E402
 
 from reelpulse.llm import decontaminate, licenses, mix, shards  # noqa: E402
@@ -179,6 +180,27 @@ def test_removed_spans_leave_the_rest(spark):
     assert out[2] == "clean text." and out[3] is None
 
 
+def test_decontamination_shuffled(spark, monkeypatch):
+    """Beyond the broadcast size: the same rows, and no shuffled row holds a
+    document's whole word array."""
+    docs = documents(spark)
+    bench = docs.filter("doc_id % 7 = 0").selectExpr("doc_id AS item_id", "text")
+    want = by_row(decontaminate.contamination(docs, bench))
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    level = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontaminate.contamination(docs, bench)
+        shuffled = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]", plan_text(found))
+        assert by_row(found) == want
+        assert by_row(decontaminate.contamination(docs, bench.limit(0))) == sorted(
+            ((*r[:3], 0, [], []) for r in want), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", level)
+    assert any(re.search(r"\bown_words#", columns) for columns in shuffled)
+    assert not any(re.search(r"\bwords#", columns) for columns in shuffled)
+
+
 def test_decontamination_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     out = decontaminate.contamination(documents(spark), none).collect()
