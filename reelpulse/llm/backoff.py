@@ -36,12 +36,20 @@ ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
 BLOCK_ROWS = 2048
+#: Text bytes whose n-grams fall on one bucket, as expected.
+BUCKET_BYTES = 8 * 1024 * 1024
 #: Bits of an n-gram's hash.
 HASH_BITS = 56
 #: Key under which the number of all words is counted.
 ALL_WORDS = np.uint64(0)
 
 
+def bucket_count(text_bytes: int, partitions: int) -> int:
+    """Hash buckets: two per shuffle partition at least, and as many more as the
+    text needs, so that a bucket's n-grams do not grow with the input."""
+    return max(2 * partitions, math.ceil(text_bytes / BUCKET_BYTES))
+
+
 def packed(keys: np.ndarray) -> tuple[int, int, bytes, bytes]:
     """Sorted distinct hashes as (first, width, low, top): their differences, of
     ``width`` bytes each.  Neighbours among many hashes are close, so this is
@@ -129,8 +137,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_cou
     logs), n_backoff (words scored below the highest order they could have)."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    blocks = max(1, math.ceil(rows.count() / block_rows))
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_rows, text_bytes = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    blocks = max(1, math.ceil(n_rows / block_rows))
+    buckets = bucket_count(text_bytes or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     id_type = docs.schema[id_col].dataType.simpleString()
     key = F.coalesce(F.xxhash64(F.col("doc_id").cast("string")), F.lit(0)) if blocks > 1 else F.lit(0)
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(key)

@@ -164,6 +164,19 @@ def test_backoff_against_brute_force(spark):
             n, score, backed = want[r.doc_id]
             assert (r.n_words, r.n_backoff) == (n, backed) and r.log_score == pytest.approx(score)
     assert backoff.lm_scores(documents(spark, [])).count() == 0
+
+
+def test_backoff_buckets_follow_the_text(spark, monkeypatch):
+    assert backoff.bucket_count(0, 8) == 16
+    assert backoff.bucket_count(30 << 30, 8) * backoff.BUCKET_BYTES >= 30 << 30
+    rows, made, count = corpus(), [], backoff.bucket_count
+    monkeypatch.setattr(backoff, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(backoff, "bucket_count", lambda *a: made.append(count(*a)) or made[-1])
+    want = {row[0]: x for row, x in zip(rows, brute_scores([r[1] for r in rows]), strict=True)}
+    for r in backoff.lm_scores(documents(spark, rows), block_rows=30).collect():
+        n, score, backed = want[r.doc_id]
+        assert (r.n_words, r.n_backoff) == (n, backed) and r.log_score == pytest.approx(score)
+    assert made == [-(-sum(len((r[1] or "").encode()) for r in rows) // 2000)] and made[0] > 16
     blank = documents(spark, [(None, None, None, None, None), (None, " ", None, None, None)])
     assert [tuple(r) for r in backoff.lm_scores(blank).collect()] == [(None, 0, 0.0, 0)] * 2
 
