@@ -21,6 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -28,11 +29,14 @@ from reelpulse.llm.token_count import VOCABULARY, read_vocabulary
 
 SEQ_LEN = 2048
 RUN_TOKENS = 4_000_000
-#: Rows of a result batch, and the longest unbroken run given to the encoder.
+#: Rows of a result batch, and the longest match of SPLIT given to the encoder.
 BATCH_ROWS = 256
 MAX_UNBROKEN = 1000
 # Fixed value: how the vocabulary's tokenizer splits a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PATTERN = regex.compile(SPLIT)
+# A text without such a run has no match that is too long.
+UNBROKEN = re.compile(r"[^ \t\n\r\x0b\x0c]{%d}|\s{%d}" % (MAX_UNBROKEN, MAX_UNBROKEN))
 SCHEMA = ("pack_id long, n_tokens int, doc_ids array<{id}>, pieces array<int>, cu_seqlens array<int>, "
           "token_ids binary, position_ids binary")
 
@@ -92,16 +96,25 @@ def best_fit(lengths: list[int], seq_len: int) -> list[list[int]]:
 
 
 def bounded_parts(text: str) -> list[str]:
-    """``text`` in parts without an unbroken run over MAX_UNBROKEN characters
-    (the encoder's time grows with the square of such a run)."""
-    if len(text) <= MAX_UNBROKEN:
+    """``text`` in parts without a match of SPLIT over MAX_UNBROKEN characters
+    (the encoder's time grows with the square of a match).  Cuts are where matches
+    meet and inside the too long ones only, so every other match is encoded as in
+    the whole text."""
+    if len(text) <= MAX_UNBROKEN or not UNBROKEN.search(text):
         return [text]
-    parts, start = [], 0
-    for run in re.finditer(r"\S{%d,}|\s{%d,}" % (MAX_UNBROKEN + 1, MAX_UNBROKEN + 1), text):
-        for at in range(run.start() + MAX_UNBROKEN, run.end(), MAX_UNBROKEN):
-            parts.append(text[start:at])
-            start = at
-    parts.append(text[start:])
+    parts, start, before = [], 0, ""
+    for match in PATTERN.finditer(text):
+        if len(match[0]) > MAX_UNBROKEN:
+            # white space is split by what follows it, so the match before stays alone
+            last = match.start() - len(before) if before.isspace() else match.start()
+            cuts = [start, last, *range(match.start(), match.end(), MAX_UNBROKEN), match.end()]
+            parts += [text[i:j] for i, j in zip(cuts, cuts[1:], strict=False) if i < j]
+            start = match.end()
+            before = ""
+        else:
+            before = match[0]
+    if start < len(text):
+        parts.append(text[start:])
     return parts
 
 

@@ -289,6 +289,37 @@ def test_nonnegative_risk_and_edge_cases(spark):
 
 # -- packing ----------------------------------------------------------------
 
+def test_long_runs_keep_the_tokenizers_ids(spark):
+    """Unbroken runs of many short pattern matches, and matches around a long
+    one, have the ids of the text encoded at once."""
+    rnd = random.Random(3)
+    encoder = packing.make_encoder(packing.read_vocabulary(packing.VOCABULARY))
+    mixed = "".join(rnd.choice("ab1Z/+=.'sé") + rnd.choice("q7-_s") for _ in range(3000))
+    assert packing.bounded_parts(mixed) == [mixed]
+    want = {0: mixed, 1: "see https://x.org/" + mixed + " end", 2: "short"}
+    out = packing.packed(documents(spark, [(i, t, None, None, None) for i, t in want.items()])).collect()
+    ids = {}
+    for row in out:
+        tokens = np.frombuffer(row.token_ids, "<u2")
+        for doc, piece, a, b in zip(row.doc_ids, row.pieces, row.cu_seqlens, row.cu_seqlens[1:], strict=False):
+            ids.setdefault(doc, {})[piece] = tokens[a:b].tolist()
+    for i, text in want.items():
+        assert sum((ids[i][k] for k in sorted(ids[i])), []) == encoder.encode_ordinary(text)
+
+    split = packing.PATTERN.findall
+    for long in ("a" * 2500, " " + "b" * 1000, "7" * 1001, "'" * 2001, " " * 2500, "\n" * 1002, "\u3042" * 3000):
+        for before in ("", "x", "it's", "x \n", "\n\n", "  ", "\t\t ", "x\n "):
+            for after in ("", "s", "'s", " s", "\n\ny", "1", "  z"):
+                text = before + long + after
+                parts = packing.bounded_parts(text)
+                assert "".join(parts) == text
+                cut = [m for p in parts for m in split(p)]
+                assert max(map(len, cut)) <= packing.MAX_UNBROKEN
+                broken = [m[i:i + packing.MAX_UNBROKEN] for m in split(text)
+                          for i in range(0, len(m), packing.MAX_UNBROKEN)]
+                assert cut == broken
+
+
 def test_packing_round_trip(spark):
     rows = corpus(n=60) + [(900, "y" * 30_000 + " \n" * 3000, None, None, None), (901, "naïve \U0001F600 text", None, None, None)]
     docs = documents(spark, rows, extra=True)
