@@ -51,9 +51,15 @@ def route(events: DataFrame, kind: str) -> DataFrame:
 EVENT_KINDS = ("watch", "search")
 
 
+def kind_counts(events: DataFrame) -> DataFrame:
+    """Events of every event_type, null included.  The kind is free text from
+    outside, so the rows are not bounded; write them, do not collect them."""
+    return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+
+
 def event_stats(events: DataFrame) -> DataFrame:
-    """Events per kind.  The kind is free text from outside, so everything but
-    the known kinds is one row, ``other``."""
+    """A summary of at most three rows: the known kinds, and all others as
+    ``other``.  ``kind_counts`` has every kind."""
     kind = F.when(F.col("event_type").isin(*EVENT_KINDS), F.col("event_type")).otherwise(F.lit("other"))
     return events.groupBy(kind.alias("event_type")).agg(F.count(F.lit(1)).alias("count"))
 

@@ -215,7 +215,7 @@ def q_watch_progress(spark, d):
 @query("batch_event_stats")
 def q_batch_event_stats(spark, d):
     """Per-kind counts of one micro-batch: the parsed clickstream."""
-    return ev.event_stats(ev.parse_events(bind.clickstream_json(spark, d)))
+    return ev.kind_counts(ev.parse_events(bind.clickstream_json(spark, d)))
 
 
 # --- data quality --------------------------------------------------------

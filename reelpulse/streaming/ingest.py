@@ -96,11 +96,22 @@ class RowLog:
 
 
 class BatchLog(RowLog):
-    """Per-batch event counts: one row per known kind, and one for others."""
+    """Per-batch event counts: one row per event_type, null included."""
 
     def __init__(self, path: str | None = None, flush_every: int = 1000):
         super().__init__(schemas.BATCH_STATS, path, flush_every)
 
+    def append(self, batch_id: int, counts: DataFrame) -> None:
+        """Add the counts of a batch.  With a ``path`` the executors write them to
+        the table (``seen`` does not count them); without one they are read row by
+        row, and the last ``flush_every`` are kept."""
+        stats = _conform(counts.withColumn("batch_id", F.lit(batch_id)), self.schema)
+        if self.path is not None:
+            stats.write.mode("append").parquet(self.path)
+            return
+        for row in stats.toLocalIterator():
+            self.add(None, [tuple(row)])
+
 
 def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -146,8 +157,7 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
         cached = []
         try:
             if log is not None:
-                # one row per known kind, one for all others
-                log.add(spark, [(batch_id, r["event_type"], r["count"]) for r in ev.event_stats(batch_df).collect()])
+                log.append(batch_id, ev.kind_counts(batch_df))
             movies = movies_loader()
             watch = _conform(ev.watch_facts(ev.route(batch_df, "watch"), movies), schemas.WATCH_FACT)
             search = _conform(ev.search_facts(ev.route(batch_df, "search")), schemas.SEARCH_FACT)

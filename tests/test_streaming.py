@@ -251,6 +251,18 @@ def test_logs_are_written_out(spark, tmp_path):
     assert [r[0] for r in short.rows] == [6, 7, 8]
 
 
+def test_batch_log_has_every_kind(spark, tmp_path):
+    lines = [json.dumps(json.loads(_event(i, "watch")) | {"event_type": kind})
+             for i, kind in enumerate(["watch", "search", "watch", "pause", "like", "like", None])]
+    batch = ev.parse_events(spark.createDataFrame([(x,) for x in lines], "value string"))
+    want = [(4, "like", 2), (4, "pause", 1), (4, "search", 1), (4, "watch", 2), (4, None, 1)]
+    for log in (st.BatchLog(str(tmp_path / "log")), st.BatchLog()):
+        name = "spooled" if log.path else "kept"
+        paths = st.IngestPaths(watch=str(tmp_path / name / "w"), search=str(tmp_path / name / "s"))
+        st.batch_writer(lambda: _movies(spark), paths, log=log)(batch, 4)
+        assert rows(log.frame(spark)) == want
+
+
 def test_unknown_kinds_are_one_row(spark):
     events = spark.createDataFrame([("watch",), ("search",), ("a",), ("b",), (None,)], "event_type string")
     assert rows(ev.event_stats(events)) == [("other", 3), ("search", 1), ("watch", 1)]
