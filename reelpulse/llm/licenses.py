@@ -4,16 +4,14 @@ The index holds the words of licence templates with their positions.  One pass
 over the texts finds the places of licence words (an ``IN`` filter inside the
 exploded word stream) and stores them; the rest works on that small table:
 
-* document frequencies of the licence words over all documents give their IDF;
-* each template is looked up by its highest-IDF word (its anchor): every place
-  of that word in a file proposes one alignment, file position minus template
-  position;
-* the postings of the template's other words are intersected by that same
-  relative position: one count per (file, template, alignment);
-* an alignment counts when all words of the template's mandatory phrase stand
-  at their places.
-
-An anchor is a word of the mandatory phrase, so no place of a phrase is missed.
+* every place of a licence word votes for each template that has the word, with
+  its alignment, file position minus template position: one count per (file,
+  template, alignment);
+* an alignment counts when all words of the template stand at their places.
+
+This is an exact phrase scan: a template is its own mandatory phrase.  IDF and
+anchors are computed but change no result, as an alignment with all words has
+the anchor too; there is no lookup by a file's rare words and no share threshold.
 
 Defined results: null text is empty; every input row gets its row, repeated rows
 too; files without licence words get zero places, null positions, empty labels.
