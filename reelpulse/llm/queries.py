@@ -8,6 +8,7 @@ from reelpulse.llm import (
     decontaminate,
     jaccard_join,
     licenses,
+    merkle,
     mix,
     packing,
     pu_quality,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_license_index": licenses.op8_license_index,
     "op9_pack_token_ids": packing.op9_pack_token_ids,
     "op10_systematic_mix": mix.op10_systematic_mix,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op6_decontaminate": decontaminate.ORACLE_OP6,
     "op8_license_index": licenses.ORACLE_OP8,
     "op10_systematic_mix": mix.ORACLE_OP10,
+    "op13_merkle_manifest": merkle.ORACLE_OP13,
 }
