@@ -6,6 +6,7 @@ from reelpulse.llm import (
     backoff,
     balltree,
     decontaminate,
+    ffd_packing,
     jaccard_join,
     licenses,
     merkle,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_license_index": licenses.op8_license_index,
     "op9_pack_token_ids": packing.op9_pack_token_ids,
     "op10_systematic_mix": mix.op10_systematic_mix,
+    "op12_ffd_packing": ffd_packing.op12_ffd_packing,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
