@@ -12,6 +12,7 @@ from reelpulse.llm import (
     merkle,
     mix,
     packing,
+    phrases,
     pu_quality,
     shards,
     token_count,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_license_index": licenses.op8_license_index,
     "op9_pack_token_ids": packing.op9_pack_token_ids,
     "op10_systematic_mix": mix.op10_systematic_mix,
+    "op11_phrases": phrases.op11_phrases,
     "op12_ffd_packing": ffd_packing.op12_ffd_packing,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
@@ -39,5 +41,6 @@ ORACLE = {
     "op6_decontaminate": decontaminate.ORACLE_OP6,
     "op8_license_index": licenses.ORACLE_OP8,
     "op10_systematic_mix": mix.ORACLE_OP10,
+    "op11_phrases": phrases.ORACLE_OP11,
     "op13_merkle_manifest": merkle.ORACLE_OP13,
 }
