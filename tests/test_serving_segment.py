@@ -64,7 +64,7 @@ def test_name_clusters_argmax_with_ties(spark):
 
 
 def test_sweep_scores(spark, features):
-    sweep = sg.kmeans_sweep(sg.assemble_and_scale(features), 2, 4).collect()
+    sweep = sg.kmeans_sweep(features, 2, 4).collect()
     assert [r["k"] for r in sweep] == [2, 3, 4]
     assert all(-1.0 <= r["silhouette"] <= 1.0 for r in sweep)
     assert sweep[-1]["cost"] <= sweep[0]["cost"]
@@ -96,7 +96,7 @@ def test_fewer_points_than_k(spark):
                                "user_id long, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS))
     with pytest.raises(sg.TooFewPoints, match="K=3.*only 2"):
         sg.cluster(df)
-    sweep = sg.kmeans_sweep(sg.assemble_and_scale(df)).collect()
+    sweep = sg.kmeans_sweep(df).collect()
     assert [r["k"] for r in sweep] == list(range(2, 9))
     assert sweep[0]["cost"] is not None and all(r["cost"] is None and r["silhouette"] is None for r in sweep[1:])
 
@@ -114,16 +114,17 @@ def test_kmeans_against_brute_force(spark, features):
     nearest fitted centre, and the centroid report is the per-cluster mean
     of the raw features."""
     import numpy as np
-    from pyspark.ml.functions import vector_to_array
 
-    model, pred = sg.fit_clusters(features)
-    pdf = pred.select("user_id", "cluster_id", *FEATURE_COLUMNS, vector_to_array("features").alias("z")).toPandas()
-    centres = np.array([c for c in model.clusterCenters()])
+    centres, pred = sg.fit_clusters(features)
+    pdf = pred.select("user_id", "cluster_id", "cost", *FEATURE_COLUMNS, "z").toPandas()
+    centres = np.array(centres)
     z = np.stack(pdf["z"].to_numpy())
-    nearest = np.argmin(((z[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2), axis=1)
-    assert (nearest == pdf["cluster_id"].to_numpy()).all()
-    cost = ((z - centres[nearest]) ** 2).sum()
-    assert model.summary.trainingCost == pytest.approx(cost, rel=1e-9)
+    distances = ((z[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    assert (np.argmin(distances, axis=1) == pdf["cluster_id"].to_numpy()).all()
+    assert pdf["cost"].sum() == pytest.approx(distances.min(axis=1).sum(), rel=1e-9)
+    # the centres are the means of their users: the fit has converged
+    for c in range(3):
+        assert centres[c] == pytest.approx(z[pdf["cluster_id"] == c].mean(axis=0), abs=1e-3)
     expected = pdf.groupby("cluster_id")[FEATURE_COLUMNS].mean()
     for r in sg.cluster_centroids(pred).collect():
         row = expected.loc[r["cluster_id"]]
@@ -131,6 +132,45 @@ def test_kmeans_against_brute_force(spark, features):
         assert r["night_ratio_center"] == pytest.approx(round(row["night_view_ratio"], 4), abs=6e-5)
 
 
+def test_clusters_do_not_depend_on_partitions(spark, features):
+    results, seeds = [], []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (2, 8, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            dealt = features.orderBy(F.rand(n)).repartition(n)
+            seeds.append(sg.seed_points(sg.points(dealt), 8))
+            results.append(rows(sg.cluster(dealt).select("user_id", "cluster_id")))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] == results[2]
+    assert seeds[0] == seeds[1] == seeds[2] and len({tuple(s) for s in seeds[0]}) == 8
+
+
+def test_silhouette_against_all_pairs(spark):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(2)
+    data = [(i, [rnd.gauss(3 * (i % 4), 1) for _ in range(4)], i % 4) for i in range(60)] + [(99, [9.0] * 4, 7)]
+    df = spark.createDataFrame(data, "user_id long, z array<double>, cluster_id int").repartition(5)
+    z, label = np.array([r[1] for r in data]), np.array([r[2] for r in data])
+    d = ((z[:, None, :] - z[None, :, :]) ** 2).sum(2)
+    each = []
+    for i in range(len(z)):
+        own = label == label[i]
+        if own.sum() == 1:
+            each.append(0.0)
+            continue
+        a = d[i, own].sum() / (own.sum() - 1)
+        b = min(d[i, label == c].mean() for c in set(label) - {label[i]})
+        each.append((b - a) / max(a, b))
+    assert sg.silhouette(df).first()[0] == pytest.approx(np.mean(each), rel=1e-9)
+    assert sg.silhouette(df.filter("cluster_id = 1")).first()[0] is None
+    assert sg.silhouette(df.limit(0)).first()[0] is None
+
+
 def test_connector_formats_use_collections(spark, monkeypatch):
     """A document-store format is addressed by collection and upserts by
     key; checked on the writer calls (no connector jar here)."""
