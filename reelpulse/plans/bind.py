@@ -370,3 +370,10 @@ def search_logs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("search_duration_seconds").cast("string").alias("search_duration_seconds"),
         "had_typo", "device_type", "location_country",
     )
+
+
+def mistyped_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clickstream_json`` with a text in a number field of every event whose id
+    is divisible by 89."""
+    value = F.regexp_replace("value", r'"(user_rating|results_returned)":\d+', r'"$1":"many"')
+    return clickstream_json(spark, sf_dir).withColumn("value", F.when(F.col("event_id") % 89 == 0, value).otherwise(F.col("value")))

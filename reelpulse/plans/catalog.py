@@ -25,10 +25,11 @@ from reelpulse.operators import serving as sv
 from reelpulse.operators import social as so
 from reelpulse.operators import telemetry as tm
 from reelpulse.operators import warehouse as wh
+from reelpulse.operators.ranking import ranked
 from reelpulse.plans import bind
 from reelpulse.session import app_key, scratch_dir
-from reelpulse.sources import io
-from reelpulse.sources.io import path_exists, read_csv, read_raw_csv, save_dimension
+from reelpulse.sources import io, manifest
+from reelpulse.sources.io import path_exists, read_csv, read_raw_csv
 from reelpulse.streaming import ingest as st
 
 
@@ -57,7 +58,7 @@ def _materialize(spark: SparkSession, d: str, name: str, build, fmt: str = "parq
             # explicit schema: the hour key stays text (trap T1)
             back = spark.read.schema(df.schema).parquet(path)
         else:
-            save_dimension(df, path)
+            df.write.mode("overwrite").parquet(path)
             back = spark.read.schema(df.schema).parquet(path)
         hit = (path, back)
         _WAREHOUSE[key] = hit
@@ -135,10 +136,9 @@ def settled(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, SETTLED_DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def positions(df: DataFrame) -> DataFrame:
-    """An ordered report with each row's place in it, counted from 1."""
-    placed = df.withColumn("_at", F.monotonically_increasing_id())
-    return placed.withColumn("position", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+def positions(df: DataFrame, *order) -> DataFrame:
+    """A report with each row's place in its order, counted from 1."""
+    return ranked(df, order, rank_col="position").withColumn("position", (F.col("position") + 1).cast("int"))
 
 
 def query(name):
@@ -182,7 +182,8 @@ def q_churn_risk(spark, d):
 def q_genre_popularity_order(spark, d):
     """The report's own order: places of the genres."""
     b = Bound(spark, d)
-    return positions(rp.genre_popularity(b.fact_watch(), b.dim_movies())).select("position", "genre_primary")
+    report = rp.genre_popularity(b.fact_watch(), b.dim_movies())
+    return positions(report, F.desc("watch_count"), F.asc_nulls_first("genre_primary")).select("position", "genre_primary")
 
 
 @query("failed_searches")
@@ -279,6 +280,13 @@ def q_ri_report(spark, d):
     return dq.ri_report(_ri_checks(Bound(spark, d)))
 
 
+@query("ri_samples")
+def q_ri_samples(spark, d):
+    """Five sample orphans for each of the five foreign keys."""
+    ids = {"fact_watch_history": "session_id", "fact_search_logs": "search_id"}
+    return dq.ri_samples([(name, fact, ids[name], *rest) for name, fact, *rest in _ri_checks(Bound(spark, d))])
+
+
 @query("ri_orphans")
 def q_ri_orphans(spark, d):
     b = Bound(spark, d)
@@ -440,7 +448,7 @@ def q_gold_sales_daily(spark, d):
 @query("gold_sales_daily_order")
 def q_gold_sales_daily_order(spark, d):
     orders, items, _, _ = _silver(spark, d)
-    return positions(lh.sales_daily(orders, items)).select("position", "sales_date")
+    return positions(lh.sales_daily(orders, items), F.asc_nulls_first("sales_date")).select("position", "sales_date")
 
 
 @query("gold_category_performance")
@@ -519,7 +527,7 @@ def _published(spark, batch, live, key, value):
     """Both layers as the serving side sees them: published and loaded."""
     root = scratch_dir(spark, "reports", unique=True)
     io.publish_report(batch, f"{root}/batch")
-    io.publish_version(live, f"{root}/live")
+    io.publish_report(live, f"{root}/live")
     return (io.load_report(spark, f"{root}/batch", f"{key} string, {value} long"),
             io.load_report(spark, f"{root}/live", f"{key} string, count long"))
 
@@ -642,12 +650,19 @@ def q_scaled_features(spark, d):
 
 @query("kmeans_sweep")
 def q_kmeans_sweep(spark, d):
-    return sg.kmeans_sweep(sg.assemble_and_scale(_features(spark, d)))
+    return settled(sg.kmeans_sweep(_features(spark, d)))
+
+
+@query("rule_silhouette")
+def q_rule_silhouette(spark, d):
+    """The silhouette of a clustering that SQL can state without a fit."""
+    ruled = sg.points(_features(spark, d)).withColumn("cluster_id", (F.col("user_id") % 3).cast("int"))
+    return settled(sg.silhouette(ruled))
 
 
 @query("user_segments")
 def q_user_segments(spark, d):
-    return _segments(spark, d)
+    return settled(_segments(spark, d))
 
 
 @query("cluster_counts")
@@ -715,10 +730,10 @@ def q_fact_partition_roundtrip(spark, d):
 
 # --- A: streaming --------------------------------------------------------
 
-def _land_clickstream(spark, d, root, subset=None):
+def _land_clickstream(spark, d, root, subset=None, values=None):
     """Land the clickstream, as many files as Spark has tasks for it; returns
     the number of landed files so far."""
-    values = bind.clickstream_json(spark, d)
+    values = bind.clickstream_json(spark, d) if values is None else values
     if subset is not None:
         part, parts = subset
         values = values.filter(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == part)
@@ -747,9 +762,9 @@ _INGEST_RUNS: dict = {}
 
 def _shared_ingest(spark, d, with_listener: bool = False):
     """One full ingest of the clickstream per application and input (half of
-    the landed files per micro-batch, serving copy on, progress listener
-    attached); the
-    read-back, dual-write, metrics and compaction keys all inspect it."""
+    the landed files per micro-batch, serving copy, batch log and progress
+    listener attached); the read-back, dual-write, log and metrics keys all
+    inspect it."""
 
     key = (app_key(spark), d)
     run = _INGEST_RUNS.get(key)
@@ -761,17 +776,24 @@ def _shared_ingest(spark, d, with_listener: bool = False):
     return run if with_listener else run[:2]
 
 
-def _run_ingest(spark, d, listener=None, serving=False):
+def _run_ingest(spark, d, listener=None, serving=False, values=None, before_batch=None):
     root, paths, loader = _stream_env(spark, d)
     if not serving:
         paths.serving_watch = paths.serving_search = None
-    files = _land_clickstream(spark, d, root)
+
+    def movies():
+        if before_batch:
+            before_batch(paths)
+        return loader()
+
+    files = _land_clickstream(spark, d, root, values=values)
     per_trigger = -(-files // 2)
     values = st.event_stream(spark, "text", f"{root}/landing", max_per_trigger=per_trigger)
     if listener is not None:
         spark.streams.addListener(listener)
     try:
-        q = st.start_ingest(st.refine(values), loader, paths, trigger={"availableNow": True}, name="ingest")
+        q = st.start_ingest(st.refine(values), movies, paths, trigger={"availableNow": True}, name="ingest",
+                            log=st.BatchLog(f"{root}/batch_log"))
         q.awaitTermination()
     finally:
         if listener is not None:
@@ -847,45 +869,120 @@ def q_stream_restart_exactly_once(spark, d):
     return reduce(DataFrame.unionByName, frames)
 
 
-def _live(spark, d, make_counts, finish=None):
+def _live_source(spark, d):
     root, paths, loader = _stream_env(spark, d)
     files = _land_clickstream(spark, d, root)
     values = st.event_stream(spark, "text", f"{root}/landing", max_per_trigger=-(-files // 2))
-    watch = st.refine(values).filter(F.col("event_type") == "watch")
+    return root, loader, st.refine(values).filter(F.col("event_type") == "watch")
+
+
+def _live(spark, d, make_counts):
+    root, loader, watch = _live_source(spark, d)
     report = f"{root}/reports/live"
-    q = st.start_live_count(make_counts(watch), report, f"{root}/checkpoints/live", trigger={"availableNow": True},
-                            finish=finish and (lambda counts: finish(counts, loader())))
-    q.awaitTermination()
+    st.start_live_count(make_counts(watch, loader), report, f"{root}/checkpoints/live",
+                        trigger={"availableNow": True}).awaitTermination()
     return report
 
 
 @query("stream_genre_counts")
 def q_stream_genre_counts(spark, d):
-    report = _live(spark, d, st.live_movie_counts, st.genre_totals)
+    """Live views per genre from per-batch deltas.  The dimension changes once
+    while the stream runs (every genre is renamed before the second batch), and
+    back at the end: views counted before move with their movies."""
+    root, _, watch = _live_source(spark, d)
+    right, dim, calls = Bound(spark, d).dim_movies(), f"{root}/dim_versions", []
+    io.publish_report(right.withColumn("genre_primary", F.concat(F.lit("old "), "genre_primary")), dim)
+
+    def movies():
+        calls.append(1)
+        if len(calls) == 2:
+            io.publish_report(right, dim)
+        return wh.load_static_movies(spark, dim, f"{root}/movies_csv")
+
+    report = f"{root}/reports/live"
+    st.start_live_genres(watch, movies, f"{root}/genre_deltas", report, f"{root}/checkpoints/live",
+                         trigger={"availableNow": True}, dimension_version=lambda: manifest.latest(spark, dim).version
+                         ).awaitTermination()
+    if len(calls) < 2:  # one micro-batch only: the same batch again, with the new dimension
+        io.publish_report(right, dim)
+        st.genre_writer(movies, f"{root}/genre_deltas", report, lambda: manifest.latest(spark, dim).version)(
+            spark.createDataFrame([], "movie_id string"), 0)
+    return io.load_report(spark, report, "genre_primary string, count long")
+
+
+@query("stream_static_join")
+def q_stream_static_join(spark, d):
+    """The stream-static join inside the running count (complete mode)."""
+    report = _live(spark, d, lambda watch, loader: st.live_genre_counts(watch, loader()))
     return io.load_report(spark, report, "genre_primary string, count long")
 
 
 @query("stream_device_counts")
 def q_stream_device_counts(spark, d):
-    report = _live(spark, d, st.live_device_counts)
+    report = _live(spark, d, lambda watch, _: st.live_device_counts(watch))
     return io.load_report(spark, report, "device_type string, count long")
 
 
+_REJECT_SUMS = ("records", "malformed", "null_user", "mistyped")
+
+
 @query("stream_metrics")
 def q_stream_metrics(spark, d):
-    """Input rows of the ingest, from the stored progress rows (one per
-    micro-batch)."""
+    """The ingest's stored progress rows: sums of input rows and rejects, and
+    whether the batch ids are 0, 1, 2, ... each once."""
     _, _, listener = _shared_ingest(spark, d, with_listener=True)
     rows = listener.to_frame(spark).filter("input_rows > 0")
-    return rows.groupBy("query_name").agg(F.sum("input_rows").alias("input_rows"))
+    return rows.groupBy("query_name").agg(
+        *[F.sum(c).alias(c) for c in ("input_rows", *_REJECT_SUMS)],
+        ((F.max("batch_id") + 1 == F.count(F.lit(1))) & (F.min("batch_id") == 0)).alias("every_batch_once"))
+
+
+@query("stream_rejects")
+def q_stream_rejects(spark, d):
+    """Reject counts per micro-batch of a stream with malformed lines, events
+    without a user and mistyped fields, summed from the stored rows."""
+    listener = st.MetricsListener(spark, scratch_dir(spark, "stream", "rejects", unique=True))
+    _run_ingest(spark, d, listener=listener, values=bind.mistyped_clickstream(spark, d))
+    return listener.to_frame(spark).agg(*[F.sum(c).alias(c) for c in _REJECT_SUMS])
+
+
+@query("stream_batch_log")
+def q_stream_batch_log(spark, d):
+    """Events per kind from the ingest's batch log; batch 0 is logged again, as a
+    retry does, and must not count twice."""
+    root, _ = _shared_ingest(spark, d)
+    log = st.BatchLog(f"{root}/batch_log")
+    log.append(0, log.frame(spark).filter("batch_id = 0").select("event_type", "count"))
+    return log.frame(spark).groupBy("event_type").agg(F.sum("count").alias("count"))
 
 
 @query("compact_fact")
 def q_compact_fact(spark, d):
-    """Fold the ingest's per-batch files (one per hour per batch) into a
-    new table version; rows per hour are unchanged."""
-
-    _, paths = _shared_ingest(spark, d)
-    st.compact(spark, paths.watch, scratch_dir(spark, "stream", "compacted", unique=True), "watch")
-    out = paths.watch  # readers now see the snapshot plus any newer batches
-    return io.read_fact(spark, out, "watch").groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))
+    """Compactions while the ingest runs (one in the middle of every micro-batch
+    after the first) and after it, then the folded folders expire; rows per hour
+    are unchanged."""
+    def in_flight(paths):
+        state = manifest.latest(spark, paths.watch)
+        if state is not None and state.batches:
+            st.compact(spark, paths.watch)
+
+    _, paths = _run_ingest(spark, d, before_batch=in_flight)
+    st.compact(spark, paths.watch)
+    io.expire_folded(spark, paths.watch, grace_seconds=0)
+    return io.read_fact(spark, paths.watch, "watch").groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("report_replace")
+def q_report_replace(spark, d):
+    """A published report replaced over an existing one: readers get the new rows
+    only, and a reader that leased the old version still has all of its rows."""
+    watch = Bound(spark, d).fact_watch()
+    path = scratch_dir(spark, "reports", "replaced", unique=True)
+    old = rp.top_devices(watch.filter("session_id % 2 = 0"))
+    io.publish_report(old, path)
+    with manifest.reading(spark, path) as held:
+        io.publish_report(rp.top_devices(watch), path, grace_seconds=0)
+        kept = spark.read.parquet(manifest.resolve(path, held.snapshot)).count()
+        if kept != old.count():
+            raise AssertionError("the leased version has lost rows")
+    return io.load_table(spark, path)

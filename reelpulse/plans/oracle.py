@@ -168,14 +168,14 @@ def with_ctes(select: str, extra: dict | None = None) -> str:
             visit(dep)
         needed.append(name)
 
-    text = select + " ".join(sql for sql, _ in (extra or {}).values())
+    text = " ".join([select, *(sql for sql, _ in (extra or {}).values())])
     for name in table:
         if re.search(rf"\b{name}\b", text):
             visit(name)
     if not needed:
         return select
     body = ",\n".join(f"{n} AS ({table[n][0]})" for n in needed)
-    return f"WITH {body}\n{select}"
+    return f"WITH RECURSIVE {body}\n{select}"
 
 
 SQL: dict[str, str] = {}
@@ -320,6 +320,22 @@ sql("ri_orphans", """
     SELECT f.* FROM fact_watch f
     WHERE NOT EXISTS (SELECT 1 FROM dim_movies m WHERE m.movie_id = f.movie_id)""")
 
+_SAMPLES = []
+for _fact, _src, _id, _fk, _dim, _pk in (
+        ("fact_watch_history", "fact_watch", "session_id", "user_id", "dim_users", "user_id"),
+        ("fact_watch_history", "fact_watch", "session_id", "movie_id", "dim_movies", "movie_id"),
+        ("fact_watch_history", "fact_watch", "session_id", "date_key", "dim_date", "date_key"),
+        ("fact_search_logs", "fact_search", "search_id", "user_id", "dim_users", "user_id"),
+        ("fact_search_logs", "fact_search", "search_id", "date_key", "dim_date", "date_key")):
+    _SAMPLES.append(f"""
+        SELECT * FROM (
+            SELECT '{_fact}' AS fact, '{_fk}' AS fk, '{_dim}' AS dim, CAST(f.{_id} AS VARCHAR) AS sample_id,
+                   CAST(f.{_fk} AS VARCHAR) AS fk_value,
+                   CASE WHEN f.{_fk} IS NULL THEN 'null' ELSE 'unmatched' END AS reason
+            FROM {_src} f WHERE NOT EXISTS (SELECT 1 FROM {_dim} d WHERE d.{_pk} = f.{_fk})
+            ORDER BY f.{_id} NULLS LAST, f.{_fk} NULLS FIRST LIMIT 5)""")
+sql("ri_samples", " UNION ALL ".join(_SAMPLES))
+
 # --- E: telemetry --------------------------------------------------------
 
 TS_FMT = "%Y-%m-%d %H:%M:%S"
@@ -624,6 +640,96 @@ sql("scaled_features", "SELECT user_id, " + ", ".join(
     f"{rnd(f'CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END', 6)} AS z_{c}"
     for c in _Z) + " FROM user_features")
 
+# --- D: K-Means in SQL ---------------------------------------------------
+# The same points, seeds and Lloyd steps: seeds farthest first in the order of the
+# MD5 of the id; every K starts from the first K seeds; at most 20 steps, until no
+# centre moves by more than 1e-4; an empty cluster keeps its centre.
+_ZS = ["z1", "z2", "z3", "z4"]
+
+
+def _sq(a: str, b: str) -> str:
+    return " + ".join(f"({a}.{z} - {b}.{z}) * ({a}.{z} - {b}.{z})" for z in _ZS)
+
+
+CTES["km_points"] = (f"""
+    SELECT user_id, md5(CAST(user_id AS VARCHAR)) AS h, """ + ", ".join(
+    f"round(CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END, 9) AS {z}"
+    for c, z in zip(_FEATURES, _ZS, strict=True)) + " FROM user_features", ("user_features",))
+for _j in range(8):
+    _near = " , ".join(f"({_sq('p', f's{i}')})" for i in range(_j))
+    _from = "km_points p" + "".join(f" CROSS JOIN km_seed{i} s{i}" for i in range(_j))
+    _rank = f"LEAST({_near}, 1e300) DESC, p.h, p.user_id" if _j else "p.h, p.user_id"
+    CTES[f"km_seed{_j}"] = (f"SELECT p.z1, p.z2, p.z3, p.z4 FROM {_from} ORDER BY {_rank} LIMIT 1",
+                            ("km_points", *(f"km_seed{i}" for i in range(_j))))
+CTES["km_seeds"] = (" UNION ALL ".join(f"SELECT {j} AS j, * FROM km_seed{j}" for j in range(8)),
+                    tuple(f"km_seed{j}" for j in range(8)))
+CTES["km_steps"] = (f"""
+    SELECT 0 AS it, k, j, z1, z2, z3, z4, CAST(1e300 AS DOUBLE) AS moved
+    FROM km_seeds JOIN (SELECT UNNEST(range(2, 9)) AS k) ks ON j < k
+    UNION ALL
+    SELECT it, k, j, m1, m2, m3, m4, MAX(step) OVER (PARTITION BY k) AS moved
+    FROM (
+        SELECT c.it + 1 AS it, c.k, c.j, COALESCE(m.z1, c.z1) AS m1, COALESCE(m.z2, c.z2) AS m2,
+               COALESCE(m.z3, c.z3) AS m3, COALESCE(m.z4, c.z4) AS m4, COALESCE({_sq('m', 'c')}, 0.0) AS step
+        FROM km_steps c LEFT JOIN (
+            SELECT k, j, AVG(z1) AS z1, AVG(z2) AS z2, AVG(z3) AS z3, AVG(z4) AS z4
+            FROM (SELECT p.*, c.k, c.j, ROW_NUMBER() OVER (PARTITION BY c.k, p.user_id ORDER BY {_sq('p', 'c')}, c.j) AS near
+                  FROM km_points p CROSS JOIN km_steps c WHERE c.it < 20 AND c.moved > 1e-8)
+            WHERE near = 1 GROUP BY k, j) m ON m.k = c.k AND m.j = c.j
+        WHERE c.it < 20 AND c.moved > 1e-8)""", ("km_points", "km_seeds"))
+CTES["km_assigned"] = (f"""
+    SELECT * FROM (
+        SELECT p.*, c.k, CAST(c.j AS INTEGER) AS cluster_id, {_sq('p', 'c')} AS cost,
+               ROW_NUMBER() OVER (PARTITION BY c.k, p.user_id ORDER BY {_sq('p', 'c')}, c.j) AS near
+        FROM km_points p CROSS JOIN (SELECT * FROM km_steps QUALIFY it = MAX(it) OVER (PARTITION BY k)) c)
+    WHERE near = 1""", ("km_points", "km_steps"))
+_NORM = " + ".join(f"{z} * {z}" for z in _ZS)
+
+
+def _silhouettes(source: str) -> str:
+    """Mean silhouette per k of rows (k, cluster_id, z1..z4) over all pairs' means."""
+    dot = " + ".join(f"p.{z} * g.y{z}" for z in _ZS)
+    return f"""
+        SELECT k, AVG(CASE WHEN n = 1 OR a = b THEN 0.0 WHEN a < b THEN 1 - a / b ELSE b / a - 1 END) AS silhouette
+        FROM (
+            SELECT p.k, p.user_id, MAX(g.n) FILTER (WHERE g.cluster_id = p.cluster_id) AS n,
+                   MAX(d * g.n / GREATEST(g.n - 1, 1)) FILTER (WHERE g.cluster_id = p.cluster_id) AS a,
+                   MIN(d) FILTER (WHERE g.cluster_id <> p.cluster_id) AS b
+            FROM (SELECT p.k, p.user_id, p.cluster_id, g.cluster_id AS other, ({_NORM}) + g.s / g.n - 2.0 * ({dot}) / g.n AS d
+                  FROM {source} p JOIN groups_of g ON g.k = p.k) p
+            JOIN groups_of g ON g.k = p.k AND g.cluster_id = p.other GROUP BY p.k, p.user_id)
+        GROUP BY k"""
+
+
+def _groups_of(source: str) -> str:
+    sums = ", ".join(f"SUM({z}) AS y{z}" for z in _ZS)
+    return f"SELECT k, cluster_id, COUNT(*) AS n, SUM({_NORM}) AS s, {sums} FROM {source} GROUP BY k, cluster_id"
+
+
+CTES["groups_of"] = (_groups_of("km_assigned"), ("km_assigned",))
+CTES["km_silhouette"] = (_silhouettes("km_assigned"), ("km_assigned", "groups_of"))
+sql("kmeans_sweep", f"""
+    SELECT CAST(c.k AS INTEGER) AS k, {settled('c.cost')} AS cost, {settled('s.silhouette')} AS silhouette
+    FROM (SELECT k, SUM(cost) AS cost FROM km_assigned GROUP BY k) c JOIN km_silhouette s ON s.k = c.k""")
+SQL["rule_silhouette"] = with_ctes(f"""
+    SELECT {settled('silhouette')} AS silhouette FROM km_silhouette""", {
+    "km_assigned": ("SELECT 0 AS k, *, CAST(user_id % 3 AS INTEGER) AS cluster_id FROM km_points", ("km_points",))})
+CTES["fit_clusters"] = ("""
+    SELECT f.*, a.cluster_id FROM user_features f JOIN km_assigned a ON a.user_id = f.user_id AND a.k = 3""",
+                        ("user_features", "km_assigned"))
+for _name in ("centroids", "owl", "fan", "segments"):
+    _text, _deps = CTES[f"rule_{_name}"]
+    _fit = lambda x: re.sub(r"\brule_(clusters|centroids|owl|fan|segments)\b", r"fit_\1", x)
+    CTES[f"fit_{_name}"] = (_fit(_text), tuple(_fit(x) for x in _deps))
+sql("cluster_counts", "SELECT cluster_id, COUNT(*) AS count FROM fit_clusters GROUP BY cluster_id")
+sql("cluster_centroids", "SELECT * FROM fit_centroids")
+sql("user_segments", f"SELECT user_id, {_SETTLED_FEATURES}, cluster_id, segment_name FROM fit_segments")
+sql("segment_counts", "SELECT segment_name, COUNT(*) AS count FROM fit_segments GROUP BY segment_name")
+sql("segment_profile", "SELECT segment_name, " + ", ".join(
+    f"{settled(f'AVG({c})')} AS {c}" for c in _FEATURES) + " FROM fit_segments GROUP BY segment_name")
+sql("segment_lookup", f"""
+    SELECT user_id, {_SETTLED_FEATURES}, segment_name FROM fit_segments WHERE segment_name = 'Cú đêm'""")
+
 # --- B: views, fallback, encoding ----------------------------------------
 
 sql("global_view_query", """
@@ -709,9 +815,20 @@ sql("stream_genre_counts", f"""
     WHERE w.{_WATCH_SEEN.replace(' AND ', ' AND w.')} GROUP BY m.genre_primary""")
 sql("stream_device_counts", f"""
     SELECT device_type, COUNT(*) AS count FROM watch_events WHERE {_WATCH_SEEN} GROUP BY device_type""")
-sql("stream_metrics", """
-    SELECT 'ingest' AS query_name,
-           CAST(COUNT(*) FILTER (event_type IN ('view', 'click', 'purchase', 'error', 'signup'))
-                + COUNT(*) FILTER (event_id % 500 = 0) AS BIGINT) AS input_rows
+SQL["stream_static_join"] = SQL["stream_genre_counts"]
+_LINES = """COUNT(*) FILTER (event_type IN ('view', 'click', 'purchase', 'error', 'signup'))"""
+_INPUT = f"CAST({_LINES} + COUNT(*) FILTER (event_id % 500 = 0) AS BIGINT)"
+_COUNTED = f"""{_INPUT} AS records, CAST(COUNT(*) FILTER (event_id % 500 = 0) AS BIGINT) AS malformed,
+           CAST(COUNT(*) FILTER (event_type IN ('view', 'click', 'purchase', 'error', 'signup')
+                AND (event_id % 97 = 0 OR user_id IS NULL)) AS BIGINT) AS null_user"""
+sql("stream_metrics", f"""
+    SELECT 'ingest' AS query_name, {_INPUT} AS input_rows, {_COUNTED}, CAST(0 AS BIGINT) AS mistyped, true AS every_batch_once
     FROM events""")
+sql("stream_rejects", f"""
+    SELECT {_COUNTED}, CAST(COUNT(*) FILTER (event_id % 89 = 0
+           AND event_type IN ('view', 'click', 'purchase', 'error', 'signup')) AS BIGINT) AS mistyped
+    FROM events""")
+SQL["stream_batch_log"] = SQL["batch_event_stats"]
+sql("report_replace", """
+    SELECT device_type, COUNT(session_id) AS total_views FROM fact_watch GROUP BY device_type""")
 sql("compact_fact", 'SELECT date_key, COUNT(*) AS "rows" FROM stream_watch GROUP BY date_key')
