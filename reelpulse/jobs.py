@@ -9,6 +9,7 @@
     python -m reelpulse.jobs social --users u.csv --posts p.csv --feeds <feeds> --out <reports>
     python -m reelpulse.jobs publish --watch watch.csv --search search.csv --target <landing>
     python -m reelpulse.jobs serve --reports <reports> [--segment <name>]
+    python -m reelpulse.jobs compact --warehouse <warehouse> [--reports <reports>]
     python -m reelpulse.jobs stream --source kafka --option kafka.bootstrap.servers=host:9092 \\
         --option subscribe=video-clickstream --warehouse <warehouse> --reports <reports>
 
@@ -37,7 +38,8 @@ from reelpulse.operators import social as so
 from reelpulse.operators import telemetry as tm
 from reelpulse.operators import warehouse as wh
 from reelpulse.session import scratch_dir
-from reelpulse.sources import io
+from reelpulse.sources import fs, io, manifest
+from reelpulse.streaming import ingest as st
 
 
 def build_warehouse(spark: SparkSession, users_csv: str, movies_csv: str, watch_path: str,
@@ -54,7 +56,7 @@ def build_warehouse(spark: SparkSession, users_csv: str, movies_csv: str, watch_
     io.save_dimension(users, f"{out}/dim_users")
     io.save_dimension(movies, f"{out}/dim_movies")
     io.save_dimension(wh.dim_date(watch, search), f"{out}/dim_date")
-    stored = {name: spark.read.parquet(f"{out}/{name}") for name in ("dim_users", "dim_movies", "dim_date")}
+    stored = {name: io.load_table(spark, f"{out}/{name}") for name in ("dim_users", "dim_movies", "dim_date")}
     counts = {name: io.verify_written(spark, f"{out}/{name}") for name in stored}
     io.publish_report(spark.createDataFrame(sorted(counts.items()), "table string, rows long"),
                       f"{out}/_quality/written_rows")
@@ -84,8 +86,8 @@ def _warehouse(spark: SparkSession, root: str, watch: str | None = None, search:
     return (
         io.read_fact(spark, watch or f"{root}/fact_watch_history", "watch"),
         io.read_fact(spark, search or f"{root}/fact_search_logs", "search"),
-        spark.read.parquet(f"{root}/dim_movies"),
-        spark.read.parquet(f"{root}/dim_date"),
+        io.load_table(spark, f"{root}/dim_movies"),
+        io.load_table(spark, f"{root}/dim_date"),
     )
 
 
@@ -124,15 +126,15 @@ def run_segments(spark: SparkSession, warehouse: str, out: str, fmt: str = "parq
                  watch: str | None = None, sweep: bool = True) -> list[str]:
     """Features -> K sweep (scores published) -> K-Means -> named segments."""
     fact_watch = io.read_fact(spark, watch or f"{warehouse}/fact_watch_history", "watch")
-    dates = spark.read.parquet(f"{warehouse}/dim_date")
+    dates = io.load_table(spark, f"{warehouse}/dim_date")
     io.save_dimension(sg.user_features(fact_watch, dates), f"{out}/ml_user_features")
-    features = spark.read.parquet(f"{out}/ml_user_features")
+    features = io.load_table(spark, f"{out}/ml_user_features")
     written = []
     if sweep:
-        io.publish_report(sg.kmeans_sweep(sg.assemble_and_scale(features)), f"{out}/ml_kmeans_sweep", fmt)
+        io.publish_report(sg.kmeans_sweep(features), f"{out}/ml_kmeans_sweep", fmt)
         written.append("ml_kmeans_sweep")
     io.save_dimension(sg.cluster(features), f"{out}/ml_clusters")
-    clusters = spark.read.parquet(f"{out}/ml_clusters")
+    clusters = io.load_table(spark, f"{out}/ml_clusters")
     io.publish_report(sg.named_segments(clusters), f"{out}/ml_user_segments", fmt)
     io.publish_report(sg.cluster_centroids(clusters), f"{out}/ml_cluster_centroids", fmt)
     return written + ["ml_user_segments", "ml_cluster_centroids"]
@@ -144,7 +146,7 @@ def run_telemetry(spark: SparkSession, csv: str, out: str | None = None, fmt: st
     # the clean table is stored once, so the reports do not each repeat the de-duplication
     kept = f"{out}/telemetry_clean" if out else scratch_dir(spark, "telemetry_clean", unique=True)
     io.save_dimension(tm.clean_telemetry(raw), kept)
-    clean = spark.read.parquet(kept)
+    clean = io.load_table(spark, kept)
     reports = {
         "telemetry_funnel": tm.cleaning_funnel(raw),
         "telemetry_top_users": tm.top_users(clean),
@@ -180,14 +182,36 @@ def run_social(spark: SparkSession, users_csv: str, posts_csv: str, feeds: str,
 
 
 def run_publish(spark: SparkSession, watch_csv: str, search_csv: str, target: str, fmt: str = "text",
-                options: dict | None = None) -> None:
+                options: dict | None = None, run: str | None = None) -> bool:
     """Clean the raw producer rows and publish them as JSON events, stamped
-    with the time of the run."""
+    with the time of the run.  ``run`` names the publication (by default the input
+    files as they are now): a rerun of the same one publishes nothing and returns
+    False."""
     now = F.date_format(F.current_timestamp(), EVENT_TIME_FORMAT)
-    watch = ev.normalize_watch(io.read_raw_csv(spark, watch_csv)).withColumn("current_timestamp", now)
-    search = ev.normalize_search(io.read_raw_csv(spark, search_csv)).withColumn("current_timestamp", now)
-    io.write_events(watch, target, "session_id", fmt, options)
-    io.write_events(search, target, "search_id", fmt, options)
+    raw = io.read_raw_csv(spark, watch_csv), io.read_raw_csv(spark, search_csv)
+    watch = ev.normalize_watch(raw[0]).withColumn("current_timestamp", now)
+    search = ev.normalize_search(raw[1]).withColumn("current_timestamp", now)
+    run = run or fs.fingerprint(spark, [f for df in raw for f in df.inputFiles()])
+    return io.publish_events([(watch, "session_id"), (search, "search_id")], target, run, fmt, options)
+
+
+def run_compact(spark: SparkSession, warehouse: str, reports: str | None = None,
+                grace_seconds: float = 86_400) -> dict[str, int]:
+    """Fold the landed batches of both facts (with ``reports``, of their serving
+    copies too), and remove what no version within the grace period names.
+    Returns the number of folded batches per table.  It may run beside the stream."""
+    folded = {}
+    for root in filter(None, (warehouse, reports)):
+        for name, kind in (("fact_watch_history", "watch"), ("fact_search_logs", "search")):
+            path = f"{root}/{name}"
+            state = manifest.latest(spark, path)
+            if state is None:
+                continue
+            folded[path] = len(state.batches)
+            if state.batches:
+                st.compact(spark, path, kind=kind)
+            io.expire_folded(spark, path, grace_seconds)
+    return folded
 
 
 def run_lakehouse(spark: SparkSession, csvs: dict[str, str], root: str, fmt: str = "parquet") -> list[str]:
@@ -250,11 +274,11 @@ def run_stream(spark: SparkSession, source: str, options: dict, warehouse: str,
     """The speed layer: ingest + live genre and device counts until any
     query ends (or ``timeout`` seconds).  ``since`` starts the live counts
     where the batch reports end; the serving copy and the live reports may
-    each go to a document store."""
+    each go to a document store.  The ingest's counts per event kind and the
+    progress of all queries, with the rejected records of each batch, are kept
+    below ``checkpoints``.  Call ``stop`` on the returned layer."""
     if since is not None:
         _cut_key(since)
-    from reelpulse.streaming import ingest as st
-
     paths = st.IngestPaths(
         watch=f"{warehouse}/fact_watch_history", search=f"{warehouse}/fact_search_logs",
         serving_watch=f"{reports}/fact_watch_history", serving_search=f"{reports}/fact_search_logs",
@@ -264,11 +288,23 @@ def run_stream(spark: SparkSession, source: str, options: dict, warehouse: str,
     def movies():
         return wh.load_static_movies(spark, f"{warehouse}/dim_movies", f"{warehouse}/movies.csv")
 
-    layer = st.start_speed_layer(
-        spark, st.event_stream(spark, source, path, options), movies, paths,
-        f"{reports}/report_genre_popularity_stream", f"{reports}/report_top_devices_stream", checkpoints, trigger,
-        serving_fmt, serving_options, report_fmt, report_options, since,
-    )
+    def dimension_version():
+        state = manifest.latest(spark, f"{warehouse}/dim_movies")
+        return None if state is None else state.version
+
+    listener = st.MetricsListener(spark, f"{checkpoints}/progress", flush_every=100)
+    spark.streams.addListener(listener)
+    try:
+        layer = st.start_speed_layer(
+            spark, st.event_stream(spark, source, path, options), movies, paths,
+            f"{reports}/report_genre_popularity_stream", f"{reports}/report_top_devices_stream", checkpoints, trigger,
+            serving_fmt, serving_options, report_fmt, report_options, since,
+            log=st.BatchLog(f"{checkpoints}/batch_log"), dimension_version=dimension_version,
+        )
+    except Exception:
+        spark.streams.removeListener(listener)
+        raise
+    layer.listener = listener
     layer.await_any(spark, timeout)
     return layer
 
@@ -309,6 +345,11 @@ def main(argv=None) -> int:
         pb.add_argument(f"--{a}", required=True)
     pb.add_argument("--format", default="text")
     pb.add_argument("--option", action="append", default=[])
+    pb.add_argument("--run", help="name of this publication; a second one of the same name is refused")
+    cp = sub.add_parser("compact")
+    cp.add_argument("--warehouse", required=True)
+    cp.add_argument("--reports")
+    cp.add_argument("--grace-hours", type=float, default=24)
     s = sub.add_parser("stream")
     s.add_argument("--source", default="kafka")
     s.add_argument("--path")
@@ -349,12 +390,17 @@ def main(argv=None) -> int:
     elif args.job == "social":
         run_social(spark, args.users, args.posts, args.feeds, args.out, args.as_of, args.format)
     elif args.job == "publish":
-        run_publish(spark, args.watch, args.search, args.target, args.format, pairs(args.option))
+        if not run_publish(spark, args.watch, args.search, args.target, args.format, pairs(args.option), args.run):
+            print("already published")
+    elif args.job == "compact":
+        for path, n in run_compact(spark, args.warehouse, args.reports, args.grace_hours * 3600).items():
+            print(f"{path}: {n} batches folded")
     elif args.job == "stream":
-        run_stream(spark, args.source, pairs(args.option), args.warehouse, args.reports, args.checkpoints,
+        layer = run_stream(spark, args.source, pairs(args.option), args.warehouse, args.reports, args.checkpoints,
                    path=args.path, timeout=args.timeout, since=args.since,
                    serving_fmt=args.serving_format, serving_options=pairs(args.serving_option),
                    report_fmt=args.report_format, report_options=pairs(args.report_option))
+        layer.stop()
     return 0
 
 

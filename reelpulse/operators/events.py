@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelpulse import schemas
 from reelpulse.functions.columns import (
@@ -16,6 +17,7 @@ from reelpulse.functions.columns import (
     number_or_default,
     parse_time,
 )
+from reelpulse.operators.joins import spread_lookup
 
 
 def to_json_value(df: DataFrame, keep=()) -> DataFrame:
@@ -29,13 +31,48 @@ def to_json_value(df: DataFrame, keep=()) -> DataFrame:
     return df.select(*keep, F.to_json(F.struct(*body)).alias("value"))
 
 
-def parse_events(values: DataFrame, schema=schemas.CLICKSTREAM) -> DataFrame:
+_CORRUPT = "_corrupt_record"
+#: Name of the reject counts in a query's progress.
+REJECTS = "rejects"
+
+
+def reject_counts(schema=schemas.CLICKSTREAM) -> list:
+    """Aggregates over parsed rows (see ``parse_events``): ``records`` in all, of
+    these ``malformed`` ones (not a JSON object), ``null_user`` ones (an object without
+    a user), and ``mistyped`` fields (a value that its type cannot take; the
+    row stays, the field is null).  Only rows that the parser marked are looked at
+    twice."""
+    fields = F.from_json(F.col(_CORRUPT), "map<string,string>")
+    malformed = F.col(_CORRUPT).isNotNull() & fields.isNull() | F.col("_missing")
+    wrong = F.lit(0)
+    for f in schema.fields:
+        if f.dataType.typeName() != "string":
+            wrong = wrong + F.coalesce(fields[f.name].isNotNull() & F.col(f.name).isNull(), F.lit(False)).cast("int")
+
+    def total(what):
+        return F.coalesce(F.sum(what), F.lit(0)).cast("long")
+
+    return [F.count(F.lit(1)).alias("records"), total(malformed.cast("int")).alias("malformed"),
+            total((~malformed & F.col("user_id").isNull()).cast("int")).alias("null_user"),
+            total(F.when(F.col(_CORRUPT).isNotNull(), wrong).otherwise(0)).alias("mistyped")]
+
+
+def parse_events(values: DataFrame, schema=schemas.CLICKSTREAM, observe: str | None = None) -> DataFrame:
     """JSON text -> flat event columns + ``ts`` + hour ``date_key``.
 
     Malformed JSON parses to an all-null struct and is removed by the
-    null-user filter; a badly typed field only nulls itself (trap T3).
+    null-user filter; a badly typed field only nulls itself (trap T3).  With
+    ``observe`` the reject counts of each run (of a stream: each micro-batch) are
+    reported as observed metrics under that name.
     """
-    parsed = values.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
+    value = F.col("value").cast("string")
+    if observe is None:
+        parsed = values.select(F.from_json(value, schema).alias("data")).select("data.*")
+    else:
+        marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+        parsed = values.select(F.from_json(value, marked, {"columnNameOfCorruptRecord": _CORRUPT}).alias("data"),
+                               (value.isNull() | (F.trim(value) == "")).alias("_missing")).select("data.*", "_missing")
+        parsed = parsed.observe(observe, *reject_counts(schema)).drop(_CORRUPT, "_missing")
     return (
         parsed.filter(F.col("user_id").isNotNull())
         .withColumn("ts", parse_time("current_timestamp"))
@@ -64,17 +101,19 @@ def event_stats(events: DataFrame) -> DataFrame:
     return events.groupBy(kind.alias("event_type")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def watch_facts(watch: DataFrame, movies: DataFrame) -> DataFrame:
+def watch_facts(watch: DataFrame, movies: DataFrame, spread: bool = False) -> DataFrame:
     """Watch events left-joined to the movie dimension with the capped
     progress percentage; unknown movies keep their rows (progress 0.0).
 
     ``movies`` is a dimension keyed by movie_id; only its two needed
     columns take part in the join, and Spark picks broadcast vs. shuffle
-    from its size (AQE re-checks at run time).
+    from its size (AQE re-checks at run time, and splits a hot movie).
+    ``spread`` is for a micro-batch, which runs without AQE: null keys go past
+    the join and hot movies are dealt to several tasks.
     """
     key_type = watch.schema["movie_id"].dataType
     dim = movies.select(F.col("movie_id").cast(key_type).alias("movie_id"), F.col("duration_minutes").alias("_length"))
-    joined = watch.join(dim, "movie_id", "left")
+    joined = spread_lookup(watch, dim, "movie_id") if spread else watch.join(dim, "movie_id", "left")
     return joined.withColumn(
         "progress_percentage", capped_progress("watch_duration_minutes", "_length")
     ).select(*schemas.WATCH_FACT_COLUMNS)

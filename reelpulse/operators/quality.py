@@ -75,6 +75,26 @@ def orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
     return fact.join(keys, fact[fk] == keys["_pk"], "left_anti")
 
 
+def ri_samples(checks, per_key: int = 5) -> DataFrame:
+    """[(fact_name, fact_df, id column, fk, dim_name, dim_df, pk)] -> for each check
+    the ``per_key`` orphans with the smallest ids: fact, fk, dim, sample_id, fk_value
+    (text, null for a null key), reason (``null`` or ``unmatched``).
+
+    ``orderBy(...).limit`` is a bounded heap in every task whose few rows are then
+    merged, so however many orphans there are, none but the samples is sorted
+    or moved.
+    """
+    frames = []
+    for fact_name, fact, id_col, fk, dim_name, dim, pk in checks:
+        found = orphans(fact.select(F.col(id_col).alias("sample_id"), F.col(fk)), dim, fk, pk)
+        few = found.orderBy(F.col("sample_id").asc_nulls_last(), F.col(fk).asc_nulls_first()).limit(per_key)
+        frames.append(few.select(
+            F.lit(fact_name).alias("fact"), F.lit(fk).alias("fk"), F.lit(dim_name).alias("dim"),
+            F.col("sample_id").cast("string").alias("sample_id"), F.col(fk).cast("string").alias("fk_value"),
+            F.when(F.col(fk).isNull(), "null").otherwise("unmatched").alias("reason")))
+    return _union(frames)
+
+
 def ri_report(checks) -> DataFrame:
     """[(fact_name, fact_df, fk, dim_name, dim_df, pk)] -> one row per
     check: fact, fk, dim, null_fk, unmatched_fk, orphans.

@@ -64,12 +64,12 @@ def dim_date(watch: DataFrame, search: DataFrame) -> DataFrame:
 
 
 def load_static_movies(spark: SparkSession, parquet_path: str, csv_path: str) -> DataFrame:
-    """Movie lookup for the stream: the dimension's Parquet, or - only when
-    that path does not exist - the raw CSV, cast and deduplicated (T9)."""
-    from reelpulse.sources.io import path_exists
+    """Movie lookup for the stream: the newest version of the dimension, or -
+    only when that table does not exist - the raw CSV, cast and deduplicated (T9)."""
+    from reelpulse.sources.io import load_table, table_exists
 
-    if path_exists(spark, parquet_path):
-        return spark.read.parquet(parquet_path).select("movie_id", "duration_minutes", "genre_primary")
+    if table_exists(spark, parquet_path):
+        return load_table(spark, parquet_path).select("movie_id", "duration_minutes", "genre_primary")
     raw = spark.read.option("header", True).schema(schemas.MOVIES_RAW).csv(csv_path)
     return dedupe_by_key(
         raw.select("movie_id", F.col("duration_minutes").cast("double"), "genre_primary"), "movie_id"

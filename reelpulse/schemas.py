@@ -117,6 +117,10 @@ FEATURE_COLUMNS = [
 METRICS = _struct(
     ("query_id", S), ("query_name", S), ("batch_id", L), ("input_rows", L),
     ("input_rate", D), ("processed_rate", D), ("trigger_ms", L),
+    ("records", L), ("malformed", L), ("null_user", L), ("mistyped", L),
 )
 
+# Views per movie of one micro-batch.
+MOVIE_DELTA = _struct(("movie_id", S), ("count", L))
+
 BATCH_STATS = _struct(("batch_id", L), ("event_type", S), ("count", L))

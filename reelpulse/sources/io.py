@@ -9,14 +9,14 @@ scratch area.
 
 from __future__ import annotations
 
-import time
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelpulse import schemas
-from reelpulse.sources import fs
+from reelpulse.sources import fs, manifest
 
 
 class SchemaLockError(ValueError):
@@ -27,6 +27,8 @@ class SchemaLockError(ValueError):
 # is addressed by a collection name and configured from Spark conf
 # (connection URI, database), never from code.
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro", "delta"}
+#: Hours of a micro-batch that get a folder each; rows of older ones are late.
+RECENT_HOURS = 24
 
 
 def _is_missing_path(err: AnalysisException) -> bool:
@@ -50,6 +52,11 @@ def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         raise
 
 
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether a published table (any committed version) or a plain folder is there."""
+    return bool(manifest.versions(spark, path)) or path_exists(spark, path, fmt)
+
+
 # --- sources -------------------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -69,71 +76,66 @@ def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> Dat
 
 
 def compaction_mark(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """``(low, snapshot)`` if the fact table at ``path`` has been compacted:
-    batches up to ``low`` are folded into ``snapshot``."""
-    marker = f"{path}/_compacted"
-    if not path_exists(spark, marker, "text"):
-        return None
-    row = spark.read.text(marker).first()
-    if row is None:
+    """``(high, snapshot)`` if the fact table at ``path`` has been compacted: the
+    highest folded batch and the snapshot's folder."""
+    state = manifest.latest(spark, path)
+    if state is None or state.snapshot is None:
         return None
-    low, snapshot = row[0].split("\t", 1)
-    return int(low), snapshot
-
-
-def write_compaction_mark(spark: SparkSession, path: str, low: int, snapshot: str) -> None:
-    (spark.createDataFrame([(f"{int(low)}\t{snapshot}",)], "value string")
-     .coalesce(1).write.mode("overwrite").text(f"{path}/_compacted"))
+    return state.folded[-1][1], manifest.resolve(path, state.snapshot)
 
 
-def read_fact(spark: SparkSession, path: str, kind: str = "watch", with_batch_id: bool = False) -> DataFrame:
-    """Hive-partitioned fact table with the hour key read back as text
-    (partition discovery alone would infer an int - trap T1).
+def read_fact(spark: SparkSession, path: str, kind: str = "watch", with_batch_id: bool = False,
+              state: manifest.State | None = None) -> DataFrame:
+    """A fact table with the hour key read back as text (partition discovery
+    alone would infer an int - trap T1).
 
-    Batch directories written by the idempotent stream writer are read
-    together; after a compaction only the snapshot and the batches above
-    its mark are listed and read.  Folded batches stay for a grace period
-    (``expire_folded``), so a reader that has just missed the mark still
-    sees every row once.
+    The folders are those of one manifest version (``state``, by default the
+    newest): the snapshot, and the batches that are not folded into it, each with
+    its late rows.  A batch that is being written is in no version, and a folded
+    one only in the snapshot, so a reader sees every committed row once.  A table
+    without a manifest is read as a plain partitioned folder.
     """
     schema = schemas.WATCH_FACT if kind == "watch" else schemas.SEARCH_FACT
     with_batch = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
     cols = [f.name for f in with_batch.fields] if with_batch_id else [f.name for f in schema.fields]
-    mark = compaction_mark(spark, path)
-    if mark is None:
-        return spark.read.schema(with_batch).parquet(path).select(*cols)
-    low, snapshot = mark
-    folded = spark.read.schema(with_batch).parquet(snapshot).select(*cols)
-    newer = [f"{path}/{name}" for name, batch, _ in batch_dirs(spark, path) if batch > low]
-    if not newer:
-        return folded
-    batches = spark.read.schema(with_batch).option("basePath", path).parquet(*newer)
-    return folded.unionByName(batches.select(*cols))
-
-
-def batch_dirs(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """(name, batch id, modification time in ms) of the batch directories."""
-    return [(name, int(name.split("=", 1)[1]), at) for name, at in fs.list_dirs(spark, path)
-            if name.startswith("batch_id=")]
-
-
-def expire_folded(spark: SparkSession, path: str, grace_seconds: float = 86_400) -> int:
-    """Remove the batch directories that a compaction has folded, once the
-    mark is older than the grace period; returns how many."""
-    mark = compaction_mark(spark, path)
-    marked_at = dict(fs.list_dirs(spark, path)).get("_compacted")
-    if mark is None or marked_at is None or time.time() - marked_at / 1000 < grace_seconds:
-        return 0
-    old = [name for name, batch, _ in batch_dirs(spark, path) if batch <= mark[0]]
-    for name in old:
-        fs.remove(spark, f"{path}/{name}")
-    return len(old)
+    state = state or manifest.latest(spark, path)
+    reader = spark.read.schema(with_batch)
+    if state is None:
+        return reader.parquet(path).select(*cols)
+    frames = []
+    if state.snapshot:
+        frames.append(reader.parquet(manifest.resolve(path, state.snapshot)))
+    # folders of one shape are read together: hourly, late, and from before manifests
+    shapes: dict = {}
+    for folder in (f for folders in state.batches.values() for f in folders):
+        base = f"{path}/{manifest.LATE}" if folder.startswith(manifest.LATE) else path
+        shapes.setdefault((base, "/attempt=" in folder), []).append(f"{path}/{folder}")
+    for (base, _), folders in sorted(shapes.items()):
+        frames.append(spark.read.schema(with_batch).option("basePath", base).parquet(*folders))
+    if not frames:
+        return spark.createDataFrame([], with_batch).select(*cols)
+    out = frames[0].select(*cols)
+    for frame in frames[1:]:
+        out = out.unionByName(frame.select(*cols))
+    return out
+
+
+def expire_folded(spark: SparkSession, path: str, grace_seconds: float = manifest.GRACE_SECONDS) -> int:
+    """Remove the folders of a fact table that no version within the grace period
+    names (folded batches, replaced snapshots, abandoned attempts); returns how many."""
+    return manifest.expire(spark, path, grace_seconds)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(f"{root}/{layer}/{name}")
 
 
+def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest version of a published table, or a plain folder as it is."""
+    state = manifest.latest(spark, path) if fmt != "delta" else None
+    return spark.read.format(fmt).load(path if state is None else manifest.resolve(path, state.snapshot))
+
+
 def load_report(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
     """A published report, minus any store-assigned ``_id``; a report that
     was never written reads as an empty frame with its schema (a
@@ -141,15 +143,11 @@ def load_report(spark: SparkSession, path: str, schema, fmt: str = "parquet") ->
     connector format ``path`` names the collection."""
     try:
         if fmt in FILE_FORMATS:
-            versions = report_versions(spark, path)
-            done = [v for v in versions if fs.exists(spark, f"{path}/{v}/_SUCCESS")]
-            if versions and not done:  # the first one is being written
-                return spark.createDataFrame([], schema)
-            df = spark.read.format(fmt).load(f"{path}/{done[-1]}" if done else path)
+            df = load_table(spark, path, fmt)
         else:
             df = spark.read.format(fmt).option("collection", path.rstrip("/").rsplit("/", 1)[-1]).load()
     except AnalysisException as err:
-        if _is_missing_path(err):
+        if _is_missing_path(err) and not manifest.versions(spark, path):
             return spark.createDataFrame([], schema)
         raise
     if "_id" in df.columns:
@@ -178,47 +176,32 @@ def write_layer(df: DataFrame, root: str, layer: str, name: str, fmt: str = "par
     return path
 
 
-def publish_report(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None) -> None:
-    """Overwrite a report table for the serving layer (one action).  For a
-    connector format ``path`` is the collection name."""
-    writer = df.write.format(fmt).options(**(options or {})).mode("overwrite")
-    if fmt in FILE_FORMATS:
-        writer.save(path)
-    else:
-        writer.option("collection", path.rstrip("/").rsplit("/", 1)[-1]).save()
-
+def publish_report(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None,
+                   grace_seconds: float = 3600, note: dict | None = None) -> None:
+    """Replace a published table (one action).
 
-def report_versions(spark: SparkSession, path: str) -> list[str]:
-    """Version directories of a report, oldest first."""
-    return sorted(name for name, _ in fs.list_dirs(spark, path) if name.startswith("version="))
-
-
-def publish_version(df: DataFrame, path: str, fmt: str = "parquet", options: dict | None = None,
-                    keep: int = 3) -> None:
-    """Publish a report that readers poll while it is replaced.
-
-    A file report gets a new version directory; readers take the newest one
-    whose write is committed, so they see the old report or the new one and
-    never a half-written or missing one.  The last ``keep`` versions stay for
-    readers that are still at work.  A connector collection is overwritten.
+    A file table gets a new version folder, and a manifest version then names it:
+    a reader finds the old table or the new one, never a missing, empty or half
+    written one.  A replaced version stays for ``grace_seconds``, and as long as a
+    reader has it leased (``manifest.reading``).  A connector collection (``path``
+    is its name) and a Delta table are overwritten by their own means.
     """
+    writer = df.write.format(fmt).options(**(options or {})).mode("overwrite")
     if fmt not in FILE_FORMATS:
-        publish_report(df, path, fmt, options)
+        writer.option("collection", path.rstrip("/").rsplit("/", 1)[-1]).save()
+        return
+    if fmt == "delta":
+        writer.save(path)
         return
     spark = df.sparkSession
-    versions = report_versions(spark, path)
-    number = int(versions[-1].split("=", 1)[1]) + 1 if versions else 0
-    df.write.format(fmt).options(**(options or {})).mode("overwrite").save(f"{path}/version={number:012d}")
-    for old in versions[: max(0, len(versions) + 1 - keep)]:
-        fs.remove(spark, f"{path}/{old}")
+    folder = manifest.new_folder("version=")
+    writer.save(f"{path}/{folder}")
+    manifest.commit(spark, path, lambda s: replace(s, snapshot=folder, note=note or {}))
+    manifest.expire(spark, path, grace_seconds)
 
 
 def save_dimension(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={int(batch_id)}"
+    publish_report(df, path)
 
 
 def key_buckets(df: DataFrame, key: str, rows_per_task: int = 1_000_000) -> DataFrame:
@@ -257,27 +240,92 @@ def spread_hot_keys(df: DataFrame, key: str, rows_per_task: int = 1_000_000,
 
 
 def append_fact(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
-                rows_per_task: int = 1_000_000) -> None:
-    """Land one micro-batch under ``batch_id=N/date_key=H``.
-
-    The batch owns its directory and is written with a plain overwrite of
-    that directory, so a replayed batch (at-least-once delivery) replaces
-    its own files instead of appending a second copy (trap T10), and no
-    other batch is touched.  Rows are clustered by hour key, hot hours
-    spread over several tasks (``spread_hot_keys``).
+                rows_per_task: int = 1_000_000, recent_hours: int = RECENT_HOURS) -> bool:
+    """Land one micro-batch and commit it to the table's manifest.
+
+    Each attempt writes folders of its own, ``batch_id=N/attempt=X/date_key=H``;
+    they count only when the manifest names them, and it takes a batch id once, so
+    a replayed batch (at-least-once delivery, trap T10) or an attempt that was
+    given up changes nothing; returns whether this attempt was committed.  Rows
+    are clustered by hour key, hot hours spread over several tasks
+    (``spread_hot_keys``).
+
+    Only the batch's ``recent_hours`` newest hours get a folder each.  Rows of
+    older hours (late events) go to one folder of the late lane, where the hour is
+    a column; compaction folds them into their hours.  So a batch opens a bounded
+    number of folders however far back its events reach.
     """
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    if manifest.ensure(spark, path).has(batch_id):
+        return False
     # the per-hour counts are cached, so that their size is known to the join
     buckets = key_buckets(df, "date_key", rows_per_task).persist()
     try:
-        (
-            spread_hot_keys(df, "date_key", rows_per_task, buckets=buckets)
-            .write.format(fmt)
-            .mode("overwrite")
-            .partitionBy("date_key")
-            .save(batch_path(path, batch_id))
-        )
+        newest = (buckets.filter(F.col("_key").isNotNull()).orderBy(F.desc("_key")).limit(recent_hours + 1)
+                  .agg(F.count("_key"), F.min("_key")).first())
+        first_late = newest[1] if newest[0] > recent_hours else None
+        attempt = manifest.new_folder(f"batch_id={int(batch_id)}/attempt=")
+        folders = [attempt]
+        rows = spread_hot_keys(df, "date_key", rows_per_task, buckets=buckets)
+        if first_late is not None:
+            late = F.coalesce(F.col("date_key") <= first_late, F.lit(False))
+            folders.append(f"{manifest.LATE}/{attempt}")
+            df.filter(late).write.format(fmt).mode("overwrite").save(f"{path}/{folders[-1]}")
+            rows = rows.filter(~late)
+        rows.write.format(fmt).mode("overwrite").partitionBy("date_key").save(f"{path}/{attempt}")
     finally:
         buckets.unpersist()
+    done = manifest.commit(spark, path, lambda s: None if s.has(batch_id) else s.with_batch(batch_id, folders))
+    return done.batches.get(batch_id) == folders
+
+
+def append_batch(df: DataFrame, path: str, batch_id: int) -> bool:
+    """Commit the rows of a batch to a table that takes every batch id once; a
+    retried batch is refused (False).  For logs and deltas, a few rows each."""
+    spark = df.sparkSession
+    if manifest.ensure(spark, path).has(batch_id):
+        return False
+    folder = manifest.new_folder(f"batch_id={int(batch_id)}/attempt=")
+    df.write.parquet(f"{path}/{folder}")
+    done = manifest.commit(spark, path, lambda s: None if s.has(batch_id) else s.with_batch(batch_id, [folder]))
+    return done.batches.get(batch_id) == [folder]
+
+
+def read_batches(spark: SparkSession, path: str, schema, state: manifest.State | None = None,
+                 only: int | None = None) -> DataFrame:
+    """Rows of all committed batches of such a table, or of one that is not folded."""
+    state = state or manifest.latest(spark, path) or manifest.State()
+    folders = [f for b, fs_ in state.batches.items() if only in (None, b) for f in fs_]
+    if state.snapshot and only is None:
+        folders.append(state.snapshot)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    # no partition columns: each folder is a table of its own
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(
+        *(manifest.resolve(path, f) for f in folders))
+
+
+def fold_batches(spark: SparkSession, path: str, schema, merge=None, at_least: int = 64,
+                 grace_seconds: float = 3600) -> bool:
+    """Rewrite such a table as one snapshot once it has ``at_least`` batches;
+    ``merge`` may combine rows.  Batches that commit meanwhile stay beside it."""
+    base = manifest.latest(spark, path)
+    if base is None or len(base.batches) < at_least:
+        return False
+    rows = read_batches(spark, path, schema, base)
+    folder = manifest.new_folder("_snapshots/")
+    (merge(rows) if merge else rows).write.parquet(f"{path}/{folder}")
+
+    def fold(now: manifest.State) -> manifest.State:
+        if now.snapshot != base.snapshot:
+            raise manifest.CommitConflict(f"{path} was folded meanwhile")
+        return now.with_fold(folder, base.batches)
+
+    manifest.commit(spark, path, fold)
+    manifest.expire(spark, path, grace_seconds)
+    return True
 
 
 def write_events(events: DataFrame, target: str, key: str, fmt: str = "text",
@@ -297,6 +345,31 @@ def write_events(events: DataFrame, target: str, key: str, fmt: str = "text",
          .write.format(fmt).options(**(options or {})).save())
 
 
+def publish_events(parts: list[tuple[DataFrame, str]], target: str, run: str, fmt: str = "text",
+                   options: dict | None = None) -> bool:
+    """Publish [(events, message key column)] once per ``run``.
+
+    Files are staged aside and moved to ``target/run=<run>`` in one step, so a run
+    that failed half way has published nothing, and a rerun of a published one is
+    refused (False).  A message topic has no such step: it takes the events at
+    least once, each under its key.
+    """
+    spark = parts[0][0].sparkSession
+    if fmt not in FILE_FORMATS:
+        for events, key in parts:
+            write_events(events, target, key, fmt, options)
+        return True
+    if fs.exists(spark, f"{target}/run={run}"):
+        return False
+    staged = f"{target}/{manifest.new_folder('_staging/')}"
+    for events, key in parts:
+        write_events(events, staged, key, fmt, options)
+    done = fs.rename_new(spark, staged, f"{target}/run={run}")
+    if not done:
+        fs.remove(spark, staged)
+    return done
+
+
 def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str = "parquet",
                   options: dict | None = None) -> None:
     """The serving copy of one micro-batch.  File formats use the same
@@ -320,4 +393,4 @@ def write_serving(df: DataFrame, target: str, batch_id: int, key: str, fmt: str
 
 def verify_written(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     """Re-read a written table and return its row count."""
-    return spark.read.format(fmt).load(path).count()
+    return load_table(spark, path, fmt).count()

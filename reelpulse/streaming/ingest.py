@@ -6,7 +6,8 @@
                        enriched with the movie dimension, search facts,
                        a serving copy; every write is idempotent per batch.
 * ``live_*_counts``  - unbounded running counts (complete mode).
-* ``MetricsListener`` - progress events -> rows.
+* ``start_live_genres`` - live views per genre from per-batch deltas.
+* ``MetricsListener`` - progress events and reject counts -> rows.
 * ``compact``        - fold small per-batch files into a new table version.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from reelpulse import schemas
 from reelpulse.operators import events as ev
-from reelpulse.sources import io
+from reelpulse.sources import fs, io, manifest
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
@@ -42,8 +43,10 @@ def event_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
     return reader.load(path).select(F.col("value").cast("string").alias("value"))
 
 
-def refine(values: DataFrame) -> DataFrame:
-    return ev.parse_events(values)
+def refine(values: DataFrame, observe: str | None = ev.REJECTS) -> DataFrame:
+    """Parsed events with a user; the rejects are counted in the progress of the
+    query that runs it (``MetricsListener`` stores them)."""
+    return ev.parse_events(values, observe=observe if values.isStreaming else None)
 
 
 @dataclass
@@ -56,14 +59,10 @@ class IngestPaths:
 
 
 class RowLog:
-    """A growing log of small driver-side rows.
+    """A growing log of small driver-side rows, appended to a Parquet table every
+    ``flush_every`` rows, so the driver holds no more than that."""
 
-    With a ``path`` the rows are appended to a Parquet table there every
-    ``flush_every`` rows, so the driver holds no more than that; without one
-    only the last ``flush_every`` rows are kept.
-    """
-
-    def __init__(self, schema, path: str | None = None, flush_every: int = 1000):
+    def __init__(self, schema, path: str, flush_every: int = 1000):
         self.schema, self.path, self.flush_every = schema, path, flush_every
         self.seen, self._rows, self._lock = 0, [], threading.Lock()
 
@@ -72,13 +71,11 @@ class RowLog:
         with self._lock:
             return list(self._rows)
 
-    def add(self, spark: SparkSession | None, rows) -> None:
+    def add(self, spark: SparkSession, rows) -> None:
         with self._lock:
             self._rows.extend(rows)
             self.seen += len(rows)
-            if self.path is None:
-                del self._rows[: -self.flush_every]
-        if self.path is not None and len(self._rows) >= self.flush_every:
+        if len(self._rows) >= self.flush_every:
             self.flush(spark)
 
     def flush(self, spark: SparkSession) -> None:
@@ -88,29 +85,26 @@ class RowLog:
             spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.path)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """All rows (without a ``path``, the kept ones)."""
-        if self.path is None:
-            return spark.createDataFrame(self.rows, self.schema)
+        """All rows so far."""
         self.flush(spark)
         return io.load_report(spark, self.path, self.schema)
 
 
-class BatchLog(RowLog):
-    """Per-batch event counts: one row per event_type, null included."""
+class BatchLog:
+    """Per-batch event counts, one row per event_type, null included.  A batch is
+    written once: a retried one leaves the rows it has."""
 
-    def __init__(self, path: str | None = None, flush_every: int = 1000):
-        super().__init__(schemas.BATCH_STATS, path, flush_every)
+    def __init__(self, path: str, fold_at: int = 64):
+        self.path, self.fold_at = path, fold_at
 
-    def append(self, batch_id: int, counts: DataFrame) -> None:
-        """Add the counts of a batch.  With a ``path`` the executors write them to
-        the table (``seen`` does not count them); without one they are read row by
-        row, and the last ``flush_every`` are kept."""
-        stats = _conform(counts.withColumn("batch_id", F.lit(batch_id)), self.schema)
-        if self.path is not None:
-            stats.write.mode("append").parquet(self.path)
-            return
-        for row in stats.toLocalIterator():
-            self.add(None, [tuple(row)])
+    def append(self, batch_id: int, counts: DataFrame) -> bool:
+        stats = _conform(counts.withColumn("batch_id", F.lit(batch_id)), schemas.BATCH_STATS)
+        done = io.append_batch(stats, self.path, batch_id)
+        io.fold_batches(stats.sparkSession, self.path, schemas.BATCH_STATS, at_least=self.fold_at)
+        return done
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return io.read_batches(spark, self.path, schemas.BATCH_STATS)
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
@@ -138,36 +132,28 @@ def batch_writer(movies_loader, paths: IngestPaths, serving_fmt: str = "parquet"
     The batch is persisted once and reused by every branch, released in
     ``finally``.  The movie dimension is re-read per batch by
     ``movies_loader`` so a long-running stream sees dimension updates.
-    Facts land under ``batch_id=N/date_key=H``, each batch overwriting
-    only its own directory, so a retried batch replaces its own output.
-    With a serving copy, the enriched batch is cached once and written to
-    both stores, so both receive the same rows; a failure between the two
-    writes is repaired by the retry of the whole batch.
+    Facts are committed once per batch id (``io.append_fact``), so a retried
+    batch changes nothing that was committed and writes what was not.  With a
+    serving copy, the enriched batch is cached once and written to both stores,
+    so both receive the same rows; a failure between the two writes is repaired
+    by the retry of the whole batch.
     """
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-
-        def folded(fact_path):
-            # a replay of a batch already folded into the compacted snapshot
-            mark = io.compaction_mark(spark, fact_path)
-            return mark is not None and batch_id <= mark[0]
-
         batch_df.persist()
         cached = []
         try:
             if log is not None:
                 log.append(batch_id, ev.kind_counts(batch_df))
             movies = movies_loader()
-            watch = _conform(ev.watch_facts(ev.route(batch_df, "watch"), movies), schemas.WATCH_FACT)
+            watch = _conform(ev.watch_facts(ev.route(batch_df, "watch"), movies, spread=True), schemas.WATCH_FACT)
             search = _conform(ev.search_facts(ev.route(batch_df, "search")), schemas.SEARCH_FACT)
             for frame, fact_path, serving, key in ((watch, paths.watch, paths.serving_watch, "session_id"),
                                                    (search, paths.search, paths.serving_search, "search_id")):
                 if serving:
                     frame = frame.persist()
                     cached.append(frame)
-                if not folded(fact_path):
-                    io.append_fact(frame, fact_path, batch_id)
+                io.append_fact(frame, fact_path, batch_id)
                 if serving:
                     io.write_serving(frame, serving, batch_id, key, fmt=serving_fmt, options=serving_options)
         finally:
@@ -238,14 +224,12 @@ def live_device_counts(watch_events: DataFrame, since: str | None = None) -> Dat
 
 
 def start_live_count(counts: DataFrame, report_path: str, checkpoint: str, trigger: dict | None = None,
-                     fmt: str = "parquet", name: str | None = None, options: dict | None = None,
-                     finish=None):
+                     fmt: str = "parquet", name: str | None = None, options: dict | None = None):
     """Complete-mode sink: every trigger publishes the whole (small) report
-    as a new version, so a reader never finds it missing.  ``finish`` turns
-    the state rows into the report rows, per trigger."""
+    as a new version, so a reader never finds it missing."""
 
     def publish(batch_df: DataFrame, batch_id: int) -> None:
-        io.publish_version(finish(batch_df) if finish else batch_df, report_path, fmt, options)
+        io.publish_report(batch_df, report_path, fmt, options)
 
     writer = (
         counts.writeStream.outputMode("complete").foreachBatch(publish)
@@ -256,27 +240,77 @@ def start_live_count(counts: DataFrame, report_path: str, checkpoint: str, trigg
     return writer.start()
 
 
-def live_movie_counts(watch_events: DataFrame, since: str | None = None) -> DataFrame:
-    """Running views per movie; state holds one row per movie."""
-    return _since(watch_events, since).groupBy("movie_id").count()
-
-
 def genre_totals(movie_counts: DataFrame, movies: DataFrame) -> DataFrame:
     """Views per genre of per-movie views; unknown movies count under a null
-    genre.  Run per trigger with a freshly read dimension, a long-running
-    stream follows dimension updates, for old views as well."""
+    genre."""
     m = movies.select(F.col("movie_id").cast(movie_counts.schema["movie_id"].dataType).alias("movie_id"),
                       "genre_primary")
     return movie_counts.join(m, "movie_id", "left").groupBy("genre_primary").agg(F.sum("count").alias("count"))
 
 
+def _by_movie(deltas: DataFrame) -> DataFrame:
+    return deltas.groupBy("movie_id").agg(F.sum("count").alias("count"))
+
+
+def genre_writer(movies_loader, delta_path: str, totals_path: str, dimension_version=None, fold_at: int = 64,
+                 fmt: str = "parquet", report_path: str | None = None, options: dict | None = None):
+    """The foreachBatch body of the live genre views.
+
+    A micro-batch commits one delta: the views of the movies it touched, once per
+    batch id.  The totals per genre are the last totals plus that delta joined to
+    the movie dimension; their manifest note says up to which batch and with which
+    version of the dimension they were made.  After a new version (or a gap, or
+    without ``dimension_version``) they are made from all deltas, so views counted
+    before follow a movie to its new genre.  Every ``fold_at`` batches the deltas
+    are folded into one row per movie.
+
+    With a connector ``fmt`` the totals are also written to the collection
+    ``report_path``.
+    """
+
+    def publish(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        io.append_batch(_conform(batch_df.groupBy("movie_id").agg(F.count(F.lit(1)).alias("count")), schemas.MOVIE_DELTA),
+                        delta_path, batch_id)
+        version = dimension_version() if dimension_version else None
+        state = manifest.latest(spark, totals_path)
+        note = state.note if state else {}
+        if version is not None and note == {"batch": batch_id, "dimension": version}:
+            return  # a retry after the totals were published
+        if version is not None and note == {"batch": batch_id - 1, "dimension": version}:
+            added = genre_totals(io.read_batches(spark, delta_path, schemas.MOVIE_DELTA, only=batch_id), movies_loader())
+            totals = (io.load_table(spark, totals_path).unionByName(added)
+                      .groupBy("genre_primary").agg(F.sum("count").alias("count")))
+        else:
+            totals = genre_totals(_by_movie(io.read_batches(spark, delta_path, schemas.MOVIE_DELTA)), movies_loader())
+        io.publish_report(totals, totals_path, note={"batch": batch_id, "dimension": version})
+        if fmt not in io.FILE_FORMATS:
+            io.publish_report(io.load_table(spark, totals_path), report_path, fmt, options)
+        io.fold_batches(spark, delta_path, schemas.MOVIE_DELTA, _by_movie, fold_at)
+
+    return publish
+
+
+def start_live_genres(watch_events: DataFrame, movies_loader, delta_path: str, report_path: str, checkpoint: str,
+                      since: str | None = None, trigger: dict | None = None, dimension_version=None,
+                      fmt: str = "parquet", options: dict | None = None, name: str | None = None):
+    """Live views per genre (see ``genre_writer``); the query itself keeps no state."""
+    totals = report_path if fmt in io.FILE_FORMATS else f"{delta_path}_totals"
+    writer = _since(watch_events, since).select("movie_id").writeStream.foreachBatch(
+        genre_writer(movies_loader, delta_path, totals, dimension_version, fmt=fmt, report_path=report_path, options=options))
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
+    if name:
+        writer = writer.queryName(name)
+    return writer.start()
+
+
 class MetricsListener(StreamingQueryListener):
-    """One row per progress event: query id and name, batch id, input rows,
-    input and processing rates, trigger time.  See ``RowLog`` for ``path``."""
+    """One row per query and batch from progress events: input rows, rates, trigger
+    time, and the reject counts that ``refine`` observes (null for other queries)."""
 
-    def __init__(self, spark: SparkSession | None = None, path: str | None = None, flush_every: int = 1000):
+    def __init__(self, spark: SparkSession, path: str, flush_every: int = 1000):
         super().__init__()
-        self._spark = spark
+        self.spark = spark
         self.log = RowLog(schemas.METRICS, path, flush_every)
 
     @property
@@ -289,10 +323,12 @@ class MetricsListener(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         durations = p.durationMs or {}
-        self.log.add(self._spark, [(
+        rejects = (p.observedMetrics or {}).get(ev.REJECTS)
+        self.log.add(self.spark, [(
             str(p.id), p.name, int(p.batchId), int(p.numInputRows),
             float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
             int(durations.get("triggerExecution", 0)),
+            *((rejects[c] if rejects is not None else None) for c in ("records", "malformed", "null_user", "mistyped")),
         )])
 
     def onQueryIdle(self, event):
@@ -302,35 +338,47 @@ class MetricsListener(StreamingQueryListener):
         pass
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        return self.log.frame(spark)
+        """One row per query and batch: a trigger that found nothing reports the id
+        of the next batch, and a restart may report a batch again; the row with
+        the most input counts."""
+        rows = self.log.frame(spark)
+        body = [F.col(c) for c in ("input_rows", *(c for c in rows.columns if c not in ("query_id", "batch_id", "input_rows")))]
+        best = rows.groupBy("query_id", "batch_id").agg(F.max(F.struct(*body)).alias("b"))
+        return best.select("query_id", "batch_id", "b.*").select(*rows.columns)
+
 
+def compact(spark: SparkSession, fact_path: str, out_path: str | None = None, kind: str = "watch") -> str:
+    """Fold the committed micro-batches of a fact table into one snapshot
+    partitioned by hour, late rows in their hours, written to a *new* folder, and
+    commit that folder in place of them.  Returns the snapshot's folder.
 
-def compact(spark: SparkSession, fact_path: str, out_path: str, kind: str = "watch") -> str:
-    """Fold the landed micro-batches of a fact table into one snapshot
-    partitioned by hour, written to a *new* directory (never over the path
-    being read), then record a low-water mark: readers take the snapshot
-    plus only newer batches, and a replay of an already folded batch is
-    skipped by the writer.
+    It works on one manifest version.  A batch that is being written, or commits
+    meanwhile, is not folded and stays beside the snapshot; a replay of a folded
+    batch is refused by the manifest.  Of two compactions at once the second gives
+    up with ``CommitConflict``.
 
     ``rebalance`` lets AQE size the output: small hours are coalesced
     and a hot hour is split, each file close to
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (the compaction
     target, e.g. 128 MB).
     """
-    current = io.read_fact(spark, fact_path, kind, with_batch_id=True)
-    landed = [batch for _, batch, _ in io.batch_dirs(spark, fact_path)]
-    if not landed:
+    base = manifest.ensure(spark, fact_path)
+    if not base.batches:
         raise ValueError(f"nothing to compact under {fact_path}")
-    low = max(landed)
-    # the snapshot so far plus the batches up to the new mark; a batch that
-    # lands meanwhile stays readable as a newer batch
-    upto = current.filter(F.col("batch_id").isNull() | (F.col("batch_id") <= low))
-    (
-        upto.drop("batch_id").hint("rebalance", "date_key")
-        .write.mode("overwrite").partitionBy("date_key").parquet(out_path)
-    )
-    io.write_compaction_mark(spark, fact_path, low, out_path)
-    return out_path
+    folder = out_path or manifest.new_folder("_snapshots/")
+    out = manifest.resolve(fact_path, folder)
+    if fs.exists(spark, out):
+        raise ValueError(f"{out} exists; a snapshot is a new folder")
+    io.read_fact(spark, fact_path, kind, state=base).hint("rebalance", "date_key").write.partitionBy("date_key").parquet(out)
+
+    def fold(now: manifest.State) -> manifest.State:
+        if now.snapshot != base.snapshot:
+            fs.remove(spark, out)
+            raise manifest.CommitConflict(f"{fact_path} was compacted meanwhile")
+        return now.with_fold(folder, base.batches)
+
+    manifest.commit(spark, fact_path, fold)
+    return out
 
 
 @dataclass
@@ -338,6 +386,7 @@ class SpeedLayer:
     ingest: object
     genre: object
     device: object
+    listener: MetricsListener | None = None
 
     @property
     def queries(self):
@@ -348,28 +397,36 @@ class SpeedLayer:
         return spark.streams.awaitAnyTermination(timeout)
 
     def stop(self) -> None:
+        """Stop the queries; the progress rows seen so far are written out."""
         for q in self.queries:
             if q.isActive:
                 q.stop()
+        if self.listener is not None:
+            spark = self.listener.spark
+            spark.streams.removeListener(self.listener)
+            self.listener.log.flush(spark)
+            self.listener = None
 
 
 def start_speed_layer(spark: SparkSession, values: DataFrame, movies_loader, paths: IngestPaths,
                       genre_report: str, device_report: str, checkpoint_root: str,
                       trigger: dict | None = None, serving_fmt: str = "parquet",
                       serving_options: dict | None = None, report_fmt: str = "parquet",
-                      report_options: dict | None = None, since: str | None = None) -> SpeedLayer:
+                      report_options: dict | None = None, since: str | None = None,
+                      log: BatchLog | None = None, genre_deltas: str | None = None,
+                      dimension_version=None) -> SpeedLayer:
     """The whole speed layer: the fact ingest and the two live counts, three
     concurrent queries over one source, each with its own checkpoint.  The
     live counts start at ``since``, where the batch reports end, so that the
-    serving merge counts every event once.  The genre report joins the movie
-    dimension as it stands at each trigger."""
+    serving merge counts every event once.  ``log`` takes the ingest's counts per
+    event kind; ``genre_deltas`` is the table of views per movie and batch."""
     refined = refine(values)
-    watch = refined.filter(F.col("event_type") == "watch")
-    ingest = start_ingest(refined, movies_loader, paths, trigger, serving_fmt, name="ingest",
+    watch = refine(values, observe=None).filter(F.col("event_type") == "watch")
+    ingest = start_ingest(refined, movies_loader, paths, trigger, serving_fmt, log, name="ingest",
                           serving_options=serving_options)
-    genre = start_live_count(live_movie_counts(watch, since), genre_report, f"{checkpoint_root}/genre_hot", trigger,
-                             report_fmt, "genre_hot", report_options,
-                             finish=lambda counts: genre_totals(counts, movies_loader()))
+    genre = start_live_genres(watch, movies_loader, genre_deltas or f"{checkpoint_root}/genre_deltas", genre_report,
+                              f"{checkpoint_root}/genre_hot", since, trigger, dimension_version, report_fmt,
+                              report_options, "genre_hot")
     device = start_live_count(live_device_counts(watch, since), device_report, f"{checkpoint_root}/device_hot",
                               trigger, report_fmt, "device_hot", report_options)
     return SpeedLayer(ingest, genre, device)

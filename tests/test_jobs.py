@@ -22,26 +22,26 @@ def test_warehouse_reports_segments(spark, tmp_path):
     wh_root = str(tmp_path / "warehouse")
     jobs.build_warehouse(spark, str(tmp_path / "users.csv"), str(tmp_path / "movies.csv"),
                          str(tmp_path / "landed/fact_watch_history"), str(tmp_path / "landed/fact_search_logs"), wh_root)
-    ri = {(r["fk"], r["fact"]): r["orphans"] for r in spark.read.parquet(f"{wh_root}/_quality/ri_report").collect()}
+    ri = {(r["fk"], r["fact"]): r["orphans"] for r in io.load_table(spark, f"{wh_root}/_quality/ri_report").collect()}
     assert ri[("user_id", "fact_watch_history")] == 0 and ri[("movie_id", "fact_watch_history")] > 0
-    dq = {r["table"]: r["ok"] for r in spark.read.parquet(f"{wh_root}/_quality/dq_dimensions").collect()}
+    dq = {r["table"]: r["ok"] for r in io.load_table(spark, f"{wh_root}/_quality/dq_dimensions").collect()}
     assert dq == {"dim_users": True, "dim_movies": True, "dim_date": True}
 
     out = str(tmp_path / "reports")
     names = jobs.run_reports(spark, wh_root, out, watch=str(tmp_path / "landed/fact_watch_history"),
                              search=str(tmp_path / "landed/fact_search_logs"))
     assert len(names) == 6
-    assert rows(spark.read.parquet(f"{out}/report_top_devices")) == rows(rp.top_devices(b.fact_watch()))
+    assert rows(io.load_table(spark, f"{out}/report_top_devices")) == rows(rp.top_devices(b.fact_watch()))
 
     seg = jobs.run_segments(spark, wh_root, out, watch=str(tmp_path / "landed/fact_watch_history"), sweep=False)
-    users = spark.read.parquet(f"{out}/ml_user_segments")
+    users = io.load_table(spark, f"{out}/ml_user_segments")
     assert users.count() == users.select("user_id").distinct().count() > 0
     assert "ml_cluster_centroids" in seg
 
     # dashboard views: the live collections were never written -> batch only
     views = jobs.serving_views(spark, out)
     devices = dict(rows(views["device_totals"]))
-    assert devices == dict(rows(spark.read.parquet(f"{out}/report_top_devices")))
+    assert devices == dict(rows(io.load_table(spark, f"{out}/report_top_devices")))
     assert views["kpi"].first()["total_users"] == users.count()
     assert sum(r["count"] for r in views["segment_counts"].collect()) == users.count()
 
@@ -49,7 +49,7 @@ def test_warehouse_reports_segments(spark, tmp_path):
 def test_telemetry_and_lakehouse_jobs(spark, tmp_path):
     bind.telemetry_raw(spark, SF001).write.option("header", True).csv(str(tmp_path / "tel.csv"))
     reports = jobs.run_telemetry(spark, str(tmp_path / "tel.csv"), str(tmp_path / "out"))
-    funnel = {r["step"]: r["rows"] for r in spark.read.parquet(str(tmp_path / "out/telemetry_funnel")).collect()}
+    funnel = {r["step"]: r["rows"] for r in io.load_table(spark, str(tmp_path / "out/telemetry_funnel")).collect()}
     assert funnel["raw"] == bind.telemetry_raw(spark, SF001).count()
     from reelpulse.operators.telemetry import clean_telemetry
     raw = io.read_csv(spark, str(tmp_path / "tel.csv"), schemas.TELEMETRY_RAW)
@@ -72,7 +72,7 @@ def test_cli_telemetry(spark, tmp_path, capsys):
     bind.telemetry_raw(spark, SF001).write.option("header", True).csv(str(tmp_path / "tel.csv"))
     assert jobs.main(["telemetry", "--csv", str(tmp_path / "tel.csv"), "--out", str(tmp_path / "out")]) == 0
     assert "valid_timestamp" in capsys.readouterr().out
-    assert spark.read.parquet(str(tmp_path / "out/telemetry_top_users")).count() == 5
+    assert io.load_table(spark, str(tmp_path / "out/telemetry_top_users")).count() == 5
 
 
 def test_stream_job(spark, tmp_path):
@@ -89,6 +89,17 @@ def test_stream_job(spark, tmp_path):
     finally:
         layer.stop()
         spark.streams.resetTerminated()
+    # the running job keeps its batch log and progress, and its facts can be compacted
+    assert layer.listener is None
+    logged = io.read_batches(spark, str(tmp_path / "chk/batch_log"), schemas.BATCH_STATS)
+    assert logged.filter("event_type = 'watch'").agg(F.sum("count")).first()[0] == io.read_fact(
+        spark, f"{wh_root}/fact_watch_history", "watch").count()
+    progress = spark.read.parquet(str(tmp_path / "chk/progress"))
+    assert {"ingest", "genre_hot", "device_hot"} == {r[0] for r in progress.select("query_name").distinct().collect()}
+    assert progress.filter("query_name = 'ingest'").agg(F.sum("malformed")).first()[0] > 0
+    before = rows(io.read_fact(spark, f"{wh_root}/fact_watch_history", "watch"))
+    assert jobs.main(["compact", "--warehouse", wh_root, "--reports", str(tmp_path / "reports"), "--grace-hours", "0"]) == 0
+    assert rows(io.read_fact(spark, f"{wh_root}/fact_watch_history", "watch")) == before
     watch = io.read_fact(spark, f"{wh_root}/fact_watch_history", "watch")
     devices = io.load_report(spark, str(tmp_path / "reports/report_top_devices_stream"),
                              "device_type string, count long")
@@ -148,17 +159,22 @@ def test_social_and_publish_jobs(spark, tmp_path):
     names = jobs.run_social(spark, str(tmp_path / "users"), str(tmp_path / "posts"), str(tmp_path / "feeds"), out,
                             as_of="2024-06-30")
     assert set(names) == {"users", "posts", "action_distribution", "top_categories", "top_users", "top_users_detail"}
-    assert spark.read.parquet(f"{out}/users").count() == spark.read.parquet(f"{SF001}/customer.parquet").count()
-    assert spark.read.parquet(f"{out}/top_users").count() == 5
+    assert io.load_table(spark, f"{out}/users").count() == spark.read.parquet(f"{SF001}/customer.parquet").count()
+    assert io.load_table(spark, f"{out}/top_users").count() == 5
 
     from reelpulse.operators import events as ev
 
-    jobs.run_publish(spark, str(tmp_path / "watch"), str(tmp_path / "search"), str(tmp_path / "landing"))
+    publish = ["publish", "--watch", str(tmp_path / "watch"), "--search", str(tmp_path / "search"), "--target", str(tmp_path / "landing")]
+    for _ in range(2):  # the second run finds its events published
+        assert jobs.main(publish) == 0
     lines = spark.read.text(str(tmp_path / "landing"))
     back = ev.parse_events(lines)
     cleaned = ev.normalize_watch(bind.watch_history_csv(spark, SF001)).filter("user_id is not null").count()
     assert ev.route(back, "watch").count() == cleaned
     assert back.filter("ts is null or (session_id is null and search_id is null)").count() == 0
+    n = lines.count()
+    assert jobs.run_publish(spark, str(tmp_path / "watch"), str(tmp_path / "search"), str(tmp_path / "landing"), run="second")
+    assert spark.read.text(str(tmp_path / "landing")).count() == 2 * n
 
 
 def test_warehouse_checks_what_it_wrote(spark, tmp_path):

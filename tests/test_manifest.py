@@ -1,0 +1,221 @@
+"""Commit manifest: batches in flight, compaction, expiry, leases, late rows."""
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelpulse import schemas
+from reelpulse.sources import fs, io, manifest
+from reelpulse.streaming import ingest as st
+
+from conftest import rows
+
+
+def _rows(spark, tag, hours=(0, 1, 2), day="20240101"):
+    return spark.createDataFrame([(f"{tag}_{i}", "u", "m", "TV", 1.0, 1.0, "view", "HD", 1, "X", f"{day}{h:02d}")
+                                  for i, h in enumerate(hours)], schemas.WATCH_FACT)
+
+
+def _ids(spark, path):
+    return sorted(r[0] for r in io.read_fact(spark, path).select("session_id").collect())
+
+
+def _paused(monkeypatch, pause):
+    """Run ``pause`` once, after a batch's files are written and before its commit."""
+    real, done = manifest.commit, []
+
+    def commit(spark, path, change, attempts=50):
+        if not done:
+            done.append(1)
+            pause()
+        return real(spark, path, change, attempts)
+
+    monkeypatch.setattr(manifest, "commit", commit)
+
+
+def test_a_batch_in_flight_survives_compaction(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "f")
+    io.append_fact(_rows(spark, "a"), path, 0)
+    seen = []
+
+    def pause():
+        seen.append(_ids(spark, path))
+        st.compact(spark, path)
+        io.expire_folded(spark, path, grace_seconds=3600)
+        seen.append(_ids(spark, path))
+
+    _paused(monkeypatch, pause)
+    assert io.append_fact(_rows(spark, "b"), path, 1)
+    assert seen == [["a_0", "a_1", "a_2"]] * 2
+    assert _ids(spark, path) == ["a_0", "a_1", "a_2", "b_0", "b_1", "b_2"]
+    state = manifest.latest(spark, path)
+    assert list(state.batches) == [1] and state.folded == [[0, 0]]
+    # replays of the folded and of the landed batch are refused
+    assert not io.append_fact(_rows(spark, "a"), path, 0) and not io.append_fact(_rows(spark, "x"), path, 1)
+    st.compact(spark, path)
+    assert manifest.latest(spark, path).folded == [[0, 1]]
+    assert io.expire_folded(spark, path, grace_seconds=0) == 3  # two batches and the first snapshot
+    assert _ids(spark, path) == ["a_0", "a_1", "a_2", "b_0", "b_1", "b_2"]
+
+
+def test_a_batch_that_fails_half_way_is_not_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "f")
+    io.append_fact(_rows(spark, "a"), path, 0)
+
+    def crash():
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        _paused(m, crash)
+        with pytest.raises(OSError):
+            io.append_fact(_rows(spark, "b"), path, 1)
+    assert _ids(spark, path) == ["a_0", "a_1", "a_2"]
+    assert io.append_fact(_rows(spark, "b"), path, 1)  # the retry
+    assert _ids(spark, path) == ["a_0", "a_1", "a_2", "b_0", "b_1", "b_2"]
+    assert io.expire_folded(spark, path, grace_seconds=3600) == 0
+    assert io.expire_folded(spark, path, grace_seconds=0) == 1  # the abandoned attempt
+    assert len(_ids(spark, path)) == 6
+
+
+def test_commits_that_cross(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    manifest.ensure(spark, path)
+
+    def add(n):
+        return lambda s: s.with_batch(n, [f"folder{n}"])
+
+    def slow(s):
+        if s.version == 0:  # another writer commits first
+            manifest.commit(spark, path, add(8))
+        return add(9)(s)
+
+    state = manifest.commit(spark, path, slow)
+    assert state.version == 2 and state.batches == {8: ["folder8"], 9: ["folder9"]}
+    assert not fs.create_new(spark, f"{path}/_manifest/000000000002", "x")
+    assert manifest.latest(spark, path) == state
+    assert not [n for n, _ in fs.list_files(spark, f"{path}/_manifest") if not n.isdigit()]
+
+
+def test_two_compactions_at_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "f")
+    for n in range(2):
+        io.append_fact(_rows(spark, f"b{n}"), path, n)
+    _paused(monkeypatch, lambda: st.compact(spark, path))
+    with pytest.raises(manifest.CommitConflict):
+        st.compact(spark, path)
+    assert len(_ids(spark, path)) == 6
+    with pytest.raises(ValueError, match="nothing to compact"):
+        st.compact(spark, path)
+
+
+def test_folded_ranges():
+    s = manifest.State().with_batch(0, ["a"]).with_batch(1, ["b"]).with_batch(5, ["c"])
+    s = s.with_fold("x", [0, 1])
+    assert s.folded == [[0, 1]] and s.has(1) and not s.has(2) and s.has(5) and s.folders() == {"x", "c"}
+    s = s.with_batch(2, ["d"]).with_fold("y", [2, 5])
+    assert s.folded == [[0, 2], [5, 5]] and not s.has(3) and s.folders() == {"y"}
+
+
+def test_a_table_from_before_manifests(spark, tmp_path):
+    path = str(tmp_path / "f")
+    for n in range(2):
+        _rows(spark, f"b{n}").write.partitionBy("date_key").parquet(f"{path}/batch_id={n}")
+    assert len(_ids(spark, path)) == 6
+    assert not io.append_fact(_rows(spark, "b0"), path, 0)  # taken over as committed
+    assert io.append_fact(_rows(spark, "b2"), path, 2)
+    assert len(_ids(spark, path)) == 9
+    st.compact(spark, path)
+    assert len(_ids(spark, path)) == 9
+
+
+def test_late_rows_open_one_folder(spark, tmp_path):
+    path = str(tmp_path / "f")
+    days = [f"202401{d:02d}" for d in range(1, 11)]
+    batch = _rows(spark, "now", range(24), days[-1])
+    for d in days[:-1]:
+        batch = batch.unionByName(_rows(spark, d, range(24), d))
+    batch = batch.unionByName(_rows(spark, "n", (0,)).withColumn("date_key", F.lit(None).cast("string")))
+    io.append_fact(batch, path, 0)
+    hourly, late = sorted(manifest.latest(spark, path).batches[0], reverse=True)
+    assert late.startswith(manifest.LATE)
+    assert len(fs.list_dirs(spark, f"{path}/{hourly}")) == io.RECENT_HOURS + 1  # and the rows without an hour
+    assert not fs.list_dirs(spark, f"{path}/{late}")
+    assert rows(io.read_fact(spark, path)) == rows(batch)
+    st.compact(spark, path)  # folds the late rows into their hours
+    snapshot = manifest.resolve(path, manifest.latest(spark, path).snapshot)
+    assert len(fs.list_dirs(spark, snapshot)) == 241
+    assert rows(io.read_fact(spark, path)) == rows(batch)
+    io.expire_folded(spark, path, grace_seconds=0)
+    assert rows(io.read_fact(spark, path)) == rows(batch)
+
+
+def test_a_polling_reader_never_sees_a_gap(spark, tmp_path):
+    path, n, stop, bad, polls = str(tmp_path / "dim"), 100, threading.Event(), [], []
+
+    def frame(version):
+        return spark.range(20).select(F.lit(version).alias("v"), "id")
+
+    io.save_dimension(frame(0), path)
+
+    def poll():
+        last = 0
+        while not stop.is_set():
+            try:
+                got = [r["v"] for r in io.load_table(spark, path).collect()]
+                if len(got) != 20 or len(set(got)) != 1 or got[0] < last:
+                    bad.append(got)
+                last = got[0]
+                polls.append(last)
+            except Exception as err:  # any failure is what this test looks for
+                bad.append(repr(err))
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    try:
+        for version in range(1, n + 1):
+            io.save_dimension(frame(version), path)
+    finally:
+        stop.set()
+        reader.join()
+    assert not bad and len(set(polls)) > 3
+    assert {r["v"] for r in io.load_table(spark, path).collect()} == {n}
+
+
+def test_leased_versions_stay(spark, tmp_path):
+    path = str(tmp_path / "report")
+    assert io.load_report(spark, path, "n long").count() == 0
+    io.publish_report(spark.range(3).withColumnRenamed("id", "n"), path, grace_seconds=0)
+    with manifest.reading(spark, path) as held:
+        old = spark.read.parquet(manifest.resolve(path, held.snapshot))
+        for k in (4, 5):
+            io.publish_report(spark.range(k).withColumnRenamed("id", "n"), path, grace_seconds=0)
+        assert old.count() == 3
+        assert len(fs.list_dirs(spark, path)) == 3  # manifest, leased, newest
+        assert manifest.expire(spark, path, 0, lease_seconds=0) == 1  # a lease that was never renewed
+    assert io.load_report(spark, path, "n long").count() == 5
+    with manifest.reading(spark, str(tmp_path / "nothing")) as none:
+        assert none is None
+    (tmp_path / "report" / "version=half").mkdir()  # a write that has not been committed
+    assert io.load_report(spark, path, "n long").count() == 5
+
+
+def test_ranked_numbers_every_row(spark):
+    from reelpulse.operators.ranking import ranked
+
+    df = spark.range(500, numPartitions=7).select(
+        F.when(F.col("id") % 5 == 0, None).otherwise((F.col("id") % 3).cast("string")).alias("g"), (F.col("id") * 37 % 211).alias("v"), "id")
+    out = ranked(df, [F.desc("v"), F.col("id")], by=["g"], size_col="n").collect()
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r["g"], []).append((-r["v"], r["id"]))
+    for r in out:
+        order = sorted(groups[r["g"]])
+        assert order[r["rank"]] == (-r["v"], r["id"]) and r["n"] == len(order)
+    assert len(out) == 500
+    whole = ranked(df, ["v"]).collect()
+    assert sorted(r["rank"] for r in whole) == list(range(500))
+    assert [r["v"] for r in sorted(whole, key=lambda r: r["rank"])] == sorted(r["v"] for r in whole)
+    assert ranked(df.limit(0), ["v"], by=["g"], size_col="n").count() == 0
+    same = spark.range(300, numPartitions=4).select(F.lit(1).alias("v"))  # all rows tie
+    assert sorted(r["rank"] for r in ranked(same, ["v"]).collect()) == list(range(300))

@@ -45,11 +45,11 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_path):
     landing = _land(tmp_path, [(0, lines[:20]), (1, lines[20:])])
     paths = st.IngestPaths(watch=str(tmp_path / "w"), search=str(tmp_path / "s"),
                            serving_watch=str(tmp_path / "sw"), checkpoint=str(tmp_path / "chk"))
-    log = st.BatchLog()
+    log = st.BatchLog(str(tmp_path / "log"))
     q = st.start_ingest(st.refine(st.event_stream(spark, "text", landing, max_per_trigger=1)),
                         lambda: _movies(spark), paths, trigger={"availableNow": True}, log=log)
     q.awaitTermination()
-    assert len({b for b, _, _ in log.rows}) == 2                         # two micro-batches
+    assert log.frame(spark).select("batch_id").distinct().count() == 2   # two micro-batches
 
     batch = ev.parse_events(spark.read.text(landing))
     expected_watch = ev.watch_facts(ev.route(batch, "watch"), _movies(spark))
@@ -58,7 +58,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_path):
     assert rows(io.read_fact(spark, paths.serving_watch, "watch")) == rows(got_watch)   # both stores agree
     assert io.read_fact(spark, paths.search, "search").count() == ev.route(batch, "search").count()
 
-    # a retried micro-batch 0 rewrites its own files: nothing doubles
+    # a retried micro-batch 0 is refused: nothing doubles
     first = ev.parse_events(spark.read.text(f"{landing}/part-000.json"))
     st.batch_writer(lambda: _movies(spark), paths)(first, 0)
     assert rows(io.read_fact(spark, paths.watch, "watch")) == rows(expected_watch)
@@ -86,7 +86,7 @@ def test_live_counts_complete_mode(spark, tmp_path):
 
 def test_metrics_listener(spark, tmp_path):
     landing = _land(tmp_path, [(0, [_event(i, "watch") for i in range(5)])])
-    listener = st.MetricsListener()
+    listener = st.MetricsListener(spark, str(tmp_path / "metrics"))
     spark.streams.addListener(listener)
     try:
         q = (st.refine(st.event_stream(spark, "text", landing)).writeStream.format("noop")
@@ -101,6 +101,9 @@ def test_metrics_listener(spark, tmp_path):
         spark.streams.removeListener(listener)
     df = listener.to_frame(spark)
     assert df.agg(F.sum("input_rows")).first()[0] == 5
+    # a batch reported again, as after a restart, stays one row
+    listener.log.add(spark, [tuple(r) for r in df.collect()])
+    assert rows(listener.to_frame(spark)) == rows(df)
 
 
 def test_compaction_keeps_rows(spark, tmp_path):
@@ -111,7 +114,7 @@ def test_compaction_keeps_rows(spark, tmp_path):
     for b in range(3):
         io.append_fact(df.filter(F.col("session_id").cast("int") % 3 == b), str(tmp_path / "f"), b)
     out = st.compact(spark, str(tmp_path / "f"), str(tmp_path / "f2"))
-    assert rows(io.read_fact(spark, out, "watch")) == rows(df)
+    assert rows(io.read_fact(spark, out, "watch")) == rows(df) == rows(io.read_fact(spark, str(tmp_path / "f"), "watch"))
     assert len(spark.read.parquet(out).inputFiles()) == 3                 # one file per hour key
 
 
@@ -227,40 +230,27 @@ def test_readers_list_only_the_snapshot_and_newer_batches(spark, tmp_path):
     assert io.read_fact(spark, path).count() == 12
 
 
-def test_a_live_report_is_never_missing(spark, tmp_path):
-    path, schema = str(tmp_path / "report"), "n long"
-    assert io.load_report(spark, path, schema).count() == 0
-    for n in range(5):
-        old = io.load_report(spark, path, schema)
-        io.publish_version(spark.range(n).select(F.col("id").alias("n")), path)
-        assert io.load_report(spark, path, schema).count() == n
-        assert old.count() == max(n - 1, 0)  # the version a reader holds stays
-    assert len(io.report_versions(spark, path)) == 3
-    (tmp_path / "report" / "version=000000000099").mkdir()  # a write that has not been committed
-    assert io.load_report(spark, path, schema).count() == 4
-
-
 def test_logs_are_written_out(spark, tmp_path):
-    log = st.BatchLog(str(tmp_path / "log"), flush_every=4)
+    log = st.RowLog("batch_id long, event_type string, count long", str(tmp_path / "log"), flush_every=4)
     for batch in range(5):
         log.add(spark, [(batch, "watch", 3), (batch, "other", 1)])
         assert len(log.rows) < 4
     assert log.frame(spark).count() == 10 and log.seen == 10
-    short = st.BatchLog(flush_every=3)
-    short.add(spark, [(i, "watch", 1) for i in range(9)])
-    assert [r[0] for r in short.rows] == [6, 7, 8]
 
 
-def test_batch_log_has_every_kind(spark, tmp_path):
+def test_batch_log_has_every_kind_once(spark, tmp_path):
     lines = [json.dumps(json.loads(_event(i, "watch")) | {"event_type": kind})
              for i, kind in enumerate(["watch", "search", "watch", "pause", "like", "like", None])]
     batch = ev.parse_events(spark.createDataFrame([(x,) for x in lines], "value string"))
     want = [(4, "like", 2), (4, "pause", 1), (4, "search", 1), (4, "watch", 2), (4, None, 1)]
-    for log in (st.BatchLog(str(tmp_path / "log")), st.BatchLog()):
-        name = "spooled" if log.path else "kept"
-        paths = st.IngestPaths(watch=str(tmp_path / name / "w"), search=str(tmp_path / name / "s"))
+    log = st.BatchLog(str(tmp_path / "log"), fold_at=3)
+    paths = st.IngestPaths(watch=str(tmp_path / "w"), search=str(tmp_path / "s"))
+    for _ in range(2):  # the second one is a retry
         st.batch_writer(lambda: _movies(spark), paths, log=log)(batch, 4)
         assert rows(log.frame(spark)) == want
+    for n in range(5, 9):  # folded on the way, and retries of folded batches are refused too
+        assert log.append(n, ev.kind_counts(batch)) and not log.append(n, ev.kind_counts(batch))
+    assert log.frame(spark).count() == 25 and not log.append(4, ev.kind_counts(batch))
 
 
 def test_unknown_kinds_are_one_row(spark):
@@ -276,6 +266,102 @@ def test_live_genres_follow_the_dimension(spark):
     assert rows(st.genre_totals(counts, after)) == rows(spark.createDataFrame([("Action", 9), (None, 1)], "g string, c long"))
 
 
+def test_live_genre_deltas_touch_only_their_movies(spark, tmp_path):
+    from reelpulse.sources import manifest
+
+    dim, deltas, totals = (str(tmp_path / x) for x in ("dim", "deltas", "totals"))
+    io.publish_report(_movies(spark), dim)
+    read = []
+
+    def movies():
+        read.append(1)
+        return io.load_table(spark, dim)
+
+    write = st.genre_writer(movies, deltas, totals, lambda: manifest.latest(spark, dim).version, fold_at=4)
+
+    def batch(*ids):
+        return spark.createDataFrame([(i,) for i in ids], "movie_id string")
+
+    def now():
+        return dict(rows(io.load_report(spark, totals, "genre_primary string, count long")))
+
+    write(batch(*(str(i) for i in range(200)), "0"), 0)
+    assert now() == {"Drama": 3, "Comedy": 1, None: 197}
+    write(batch("1", "1", None), 1)
+    # the second batch committed two rows, however many movies were ever seen
+    assert rows(io.read_batches(spark, deltas, "movie_id string, count long", only=1)) == [("1", 2), (None, 1)]
+    assert now() == {"Drama": 3, "Comedy": 3, None: 198}
+    write(batch("1", "1", None), 1)  # a retry
+    assert now() == {"Drama": 3, "Comedy": 3, None: 198} and len(read) == 2
+    # a new version of the dimension moves views counted before
+    io.publish_report(spark.createDataFrame([(0, 1.0, "Action"), (7, 1.0, "Action")],
+                                            "movie_id long, duration_minutes double, genre_primary string"), dim)
+    write(batch("2"), 2)
+    assert now() == {"Action": 3, None: 202}
+    for n in range(3, 9):
+        write(batch("7"), n)
+    assert now() == {"Action": 9, None: 202}
+    assert len(manifest.latest(spark, deltas).batches) < 4  # folded into one row per movie
+    write(batch("7"), 5)  # a late replay of a folded batch
+    assert now() == {"Action": 9, None: 202}
+
+
+def test_hot_and_null_keys_are_spread_without_adaptive_execution(spark):
+    from reelpulse.operators.joins import hot_keys, spread_lookup
+
+    n = 60_000
+    facts = spark.range(n, numPartitions=6).select(
+        F.col("id").alias("row"),
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit("hot"))
+        .otherwise(F.concat(F.lit("m"), (F.col("id") % 3001).cast("string"))).alias("movie_id"))
+    dim = spark.range(3001).select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("movie_id"), F.col("id").alias("_length"))
+    dim = dim.unionByName(spark.createDataFrame([("hot", 7)], "movie_id string, _length long"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = spread_lookup(facts, dim, "movie_id")
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        plain = facts.join(dim, "movie_id", "left").select("row", "movie_id", "_length")
+        assert out.select("row", "movie_id", "_length").exceptAll(plain).count() == 0 and out.count() == n
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * 16
+        assert hot_keys(facts.filter("movie_id is not null"), "movie_id").count() <= parts
+        assert spread_lookup(facts.limit(0), dim, "movie_id").count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_rejects_are_counted_per_batch(spark, tmp_path):
+    good = json.loads(_event(1, "watch"))
+    lines = [json.dumps(good), "not json", "", "[1]", "17", "{}", json.dumps(good | {"user_id": None}),
+             json.dumps(good | {"watch_duration_minutes": "long", "user_rating": "x"}),
+             json.dumps(good | {"user_rating": 2.5}), json.dumps(good | {"device_type": 4}),
+             json.dumps(good | {"user_id": None, "user_rating": "x"}), '{"user_id": "u", "event_type"']
+    landing = _land(tmp_path, [(0, lines[:6]), (1, lines[6:])])
+    listener = st.MetricsListener(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(listener)
+    paths = st.IngestPaths(watch=str(tmp_path / "w"), search=str(tmp_path / "s"), checkpoint=str(tmp_path / "chk"))
+    try:
+        q = st.start_ingest(st.refine(st.event_stream(spark, "text", landing, max_per_trigger=1)), lambda: _movies(spark), paths,
+                            trigger={"availableNow": True})
+        q.awaitTermination()
+        import time
+        for _ in range(100):
+            if listener.log.seen >= 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    got = {r["batch_id"]: tuple(r[c] for c in ("records", "malformed", "null_user", "mistyped"))
+           for r in listener.to_frame(spark).collect()}
+    assert got == {0: (6, 4, 1, 0), 1: (6, 1, 2, 4)}
+    # a row with a mistyped field stays, with that field null
+    kept = io.read_fact(spark, paths.watch, "watch")
+    assert kept.count() == 4 and kept.filter("user_rating is null").count() == 2
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     import pytest
 
