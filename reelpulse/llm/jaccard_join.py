@@ -12,8 +12,8 @@ cheapest ``l`` is taken.  Two documents with l1 and l2 must share min(l1, l2).
 Steps:
 
 1. One pass over whole texts: set size and 128-bit fingerprint of every document,
-   and a hashed frequency table (a fixed number of counters) of the shingles of
-   all documents.  Equal fingerprints make a class with one representative.
+   and a hashed frequency table (counters by the amount of text, up to a bound) of
+   the shingles of all documents.  Equal fingerprints make a class with one representative.
 2. A second pass emits every document's prefix.  Shingles that are in only one
    fingerprint's prefix are dropped; the rest are the inverted lists.  Of two
    documents, the one whose prefix ends first in the global order has its dropped
@@ -54,9 +54,11 @@ from reelpulse.llm.ngrams import shingle_sets, slices
 
 WORDS = 5
 PERCENT = 75
-#: Counters of the hashed frequency table (4 bytes each, sent to every task).
-COUNTER_BITS = 20
-CHUNK = 4096
+#: Counters of the hashed frequency table (4 bytes each, sent to every task): one for
+#: every so many bytes of text, between two powers of two.
+COUNTER_TEXT = 64
+LEAST_BITS, MOST_COUNTER_BITS = 16, 24
+CHUNK, CHUNK_BATCH = 4096, 512
 #: Parity bits of a set by its size, and of larger ones.
 BITS, MOST_BITS = ((96, 256), (200, 512)), 1024
 #: Largest l, and the cost of verifying a pair in list entries.
@@ -99,13 +101,20 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def counter_bits(docs: DataFrame) -> int:
+    """Size of the frequency table: more text, more counters, up to a bound."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return min(max((size // COUNTER_TEXT).bit_length(), LEAST_BITS), MOST_COUNTER_BITS)
+
+
+def signatures(docs: DataFrame, bits: int, words: int = WORDS) -> DataFrame:
     """Stored rows: doc_id, n, k1, k2 of every document, and the partial
-    frequency tables of the tasks as (task, chunk, counts) rows."""
+    frequency tables of the tasks as (task, chunk, counts) rows (two bytes a
+    counter, which saturate)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def read(batches):
-        counters = np.zeros(1 << COUNTER_BITS, np.uint32)
+        counters = np.zeros(1 << bits, np.uint32)
         id_kind = None
         names = ["doc_id", "n", "k1", "k2", "task", "chunk", "counts"]
         for batch in batches:
@@ -115,7 +124,7 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
             for i, j in slices(texts):
                 sets = shingle_sets(texts[i:j], words)
                 if sets:
-                    at = (np.concatenate(sets) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+                    at = (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64)
                     np.add.at(counters, at, 1)
                 sizes += [len(s) for s in sets]
                 keys += [xxh3_128_digest(s.tobytes()) for s in sets]
@@ -126,32 +135,37 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
                  pa.array(none, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names=names)
         if id_kind is not None:
             task = TaskContext.get().partitionId()
-            chunks = [c for c in range(len(counters) // CHUNK) if counters[c * CHUNK:(c + 1) * CHUNK].any()]
-            none = [None] * len(chunks)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(none, id_kind), *[pa.array(none, pa.int64())] * 3,
-                 pa.array([task] * len(chunks), pa.int32()), pa.array(chunks, pa.int32()),
-                 pa.array([counters[c * CHUNK:(c + 1) * CHUNK].tobytes() for c in chunks], pa.binary())], names=names)
+            small = np.minimum(counters, 65535).astype(np.uint16)
+            chunks = [c for c in range(len(small) // CHUNK) if small[c * CHUNK:(c + 1) * CHUNK].any()]
+            for i in range(0, len(chunks), CHUNK_BATCH):
+                part = chunks[i:i + CHUNK_BATCH]
+                none = [None] * len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(none, id_kind), *[pa.array(none, pa.int64())] * 3,
+                     pa.array([task] * len(part), pa.int32()), pa.array(part, pa.int32()),
+                     pa.array([small[c * CHUNK:(c + 1) * CHUNK].tobytes() for c in part], pa.binary())], names=names)
 
     return stored(docs.mapInArrow(
         read, f"doc_id {id_type}, n long, k1 long, k2 long, task int, chunk int, counts binary"), "signatures")
 
 
-def frequency_table(rows: DataFrame) -> np.ndarray:
-    """Sum of the partial tables: a fixed number of counters, whatever the
-    input.  Tasks are summed in groups first, so no group holds many parts."""
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(CHUNK, np.uint64)
-        for part in table.column("counts"):
-            total += np.frombuffer(part.as_py(), np.uint32)
-        return pa.table({"chunk": table.column("chunk")[:1],
-                         "counts": pa.array([np.minimum(total, 2 ** 32 - 1).astype(np.uint32).tobytes()], pa.binary())})
+def frequency_table(rows: DataFrame, bits: int) -> np.ndarray:
+    """Sum of the partial tables.  Tasks are summed in groups first, so no group
+    holds many parts."""
+    def adder(kind, to):
+        def add(table: pa.Table) -> pa.Table:
+            total = np.zeros(CHUNK, np.uint64)
+            for part in table.column("counts"):
+                total += np.frombuffer(part.as_buffer(), kind)
+            return pa.table({"chunk": table.column("chunk")[:1],
+                             "counts": pa.array([np.minimum(total, 2 ** 32 - 1).astype(to).tobytes()], pa.binary())})
+        return add
 
     parts = rows.filter("chunk is not null").withColumn("group", F.floor(F.col("task") / 64).cast("int"))
-    summed = (parts.groupBy("chunk", "group").applyInArrow(add, "chunk int, counts binary")
-              .groupBy("chunk").applyInArrow(add, "chunk int, counts binary"))
-    out = np.zeros(1 << COUNTER_BITS, np.uint32)
-    for row in summed.toLocalIterator():  # 2**COUNTER_BITS / CHUNK rows
+    summed = (parts.groupBy("chunk", "group").applyInArrow(adder(np.uint16, np.uint32), "chunk int, counts binary")
+              .groupBy("chunk").applyInArrow(adder(np.uint32, np.uint32), "chunk int, counts binary"))
+    out = np.zeros(1 << bits, np.uint32)
+    for row in summed.toLocalIterator():  # 2**bits / CHUNK rows
         out[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], np.uint32)
     return out
 
@@ -161,6 +175,7 @@ def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent:
     every document that has shingles, k1 being the first half of its fingerprint,
     and the place in the global order where the prefix ends."""
     noise = np.float32(counters.mean())  # chance share of any counter
+    bits = len(counters).bit_length() - 1
 
     def emit(batches):
         for batch in batches:
@@ -171,7 +186,7 @@ def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent:
                 for s in shingle_sets(texts[i:j], words):
                     if not len(s):
                         continue
-                    counted = counters[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+                    counted = counters[(s >> np.uint64(64 - bits)).astype(np.int64)]
                     signed = s.view(np.int64)  # hashes compare as longs, as in Spark
                     order = np.lexsort((signed, counted))
                     l, length = choose_prefix(np.maximum(counted[order] - noise, 0), percent)
@@ -205,24 +220,26 @@ def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
     too small for a link and no other document of the list with a sufficient cap
     ends earlier: such an entry is in no pair that ``_may_link`` passes.
     """
-    entries = prefix_rows.select(F.explode("shingles").alias("shingle"), "k1", "n", "l",
-                                 F.size("shingles").alias("length"))
-    shared = stored(entries.groupBy("shingle").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
-                    .filter("a <> b").select("shingle"), "shared_shingles")
+    # one exchange: the aggregate and the join read the same shuffled entries
+    entries = prefix_rows.select(F.explode("shingles").alias("shingle"), "k1").repartition("shingle")
+    shared = (entries.groupBy("shingle").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
+              .filter("a <> b").select("shingle"))
     kept = stored(entries.join(shared, "shingle", "left_semi").distinct(), "list_entries")
-    cap = F.col("n") - F.col("length") + F.count(F.lit(1))
-    caps = kept.groupBy("k1", "n", "length").agg(cap.cast("int").alias("cap")).select("k1", "cap")
-    caps = stored(caps.join(classes.select("k1", "rep"), "k1").join(
-        prefix_rows.select("k1", "end_count", "end_hash").distinct(), "k1"), "caps")
+    held = prefix_rows.select("k1", "n", "l", F.size("shingles").alias("length"), "end_count", "end_hash").distinct()
+    cap = F.col("n") - F.col("length") + F.col("count")
+    caps = stored(kept.groupBy("k1").count().join(held, "k1").join(classes.select("k1", "rep"), "k1").select(
+        "k1", "rep", "n", "l", cap.cast("int").alias("cap"), "end_count", "end_hash"), "caps")
     every = stored(kept.join(caps, "k1").select("shingle", "rep", *ENTRY).distinct(), "every_entry")
+    drop_stored(kept)
     end, able = F.struct("end_count", "end_hash"), 100 * F.col("cap") >= percent * F.col("n")
     earliest = (every.groupBy("shingle").agg(F.min(F.when(able, end)).alias("earliest"))
                 .filter("earliest is not null"))
     lists = stored(every.join(earliest, "shingle").filter(able | (end > F.col("earliest")))
                    .select("shingle", "rep", *ENTRY), "lists")
+    # an id with several texts stands for several sets: no parity bound for it
     bits = stored(prefix_rows.select("k1", "bits").join(caps, "k1").groupBy("rep").agg(
-        F.min("bits").alias("bits")), "bits")
-    drop_stored(prefix_rows, shared, kept, caps, every)
+        F.when(F.min("k1") == F.max("k1"), F.min("bits")).alias("bits")), "bits")
+    drop_stored(prefix_rows, caps, every)
     return lists, bits
 
 
@@ -249,15 +266,15 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int
     """The (a, b) pairs whose whole sets are similar enough, stored.  Only
     documents of some pair are cut into shingles again."""
     pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
-    sets = whole_sets(docs, stored(ids.distinct(), "pair_ids"), words)
+    ids = stored(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct(), "pair_ids")
+    sets = whole_sets(docs, ids, words)
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     links = stored(both.filter(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared))
                    .select("a", "b").distinct(), "links")
-    drop_stored(sets, pairs)
+    drop_stored(sets, pairs, ids)
     return links
 
 
@@ -276,7 +293,7 @@ def _may_link(mine, other, percent, apart=None):
 
 
 def pivot_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Candidates of every open list with one of its documents.
+    """Stored candidates of every open list with one of its documents.
 
     ``lists`` has a label; a list with one label only is closed.  The first
     round's pivot is the document with the least part of its set to itself, the
@@ -290,13 +307,14 @@ def pivot_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
                            *[F.col(c).alias("p" + c) for c in (*ENTRY, "label")])).alias("p"),
             F.min("label").alias("first"), F.max("label").alias("last"))
         .filter("first <> last").select("shingle", "p.pivot", *[f"p.p{c}" for c in (*ENTRY, "label")]), "pivots")
-    return (
+    pairs = stored(
         lists.join(pivots, "shingle")
         .filter((F.col("label") != F.col("plabel")) & _may_link("", "p", percent))
         .groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(F.least("l", "pl")).alias("l"))
-        .filter("hits >= l").select("a", "b")
-    )
+        .filter("hits >= l").select("a", "b"), "pivot_pairs")
+    drop_stored(pivots)
+    return pairs
 
 
 def list_labels(lists: DataFrame) -> DataFrame:
@@ -311,9 +329,9 @@ def list_labels(lists: DataFrame) -> DataFrame:
 
 
 def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Candidates of different labels on the open lists, with all their shared
-    entries counted: of any two such documents on a list, at least one is not of
-    its main label."""
+    """Stored candidates of different labels on the open lists, with all their
+    shared entries counted: of any two such documents on a list, at least one is
+    not of its main label."""
     n_bits = MOST_BITS // 64
     longs = [F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(f"bits{i}") for i in range(n_bits)]
     entries = stored(
@@ -326,15 +344,16 @@ def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent
     minor, other = side("a", entries.filter("label <> main")), side("b", entries)
     differ = sum((F.bit_count(F.col(f"a_bits{i}").bitwiseXOR(F.col(f"b_bits{i}"))) for i in range(n_bits)), F.lit(0))
     apart = F.when(F.col("a_n_bits") == F.col("b_n_bits"), differ).otherwise(0)
-    return (
+    pairs = stored(
         minor.join(other, "shingle")
         .filter((F.col("a_label") != F.col("b_label"))
                 & ((F.col("b_label") == F.col("b_main")) | (F.col("a_rep") < F.col("b_rep")))
                 & _may_link("a_", "b_", percent) & _may_link("a_", "b_", percent, apart))
         .groupBy(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(F.least("a_l", "b_l")).alias("l"))
-        .filter("hits >= l").select("a", "b")
-    )
+        .filter("hits >= l").select("a", "b"), "full_pairs")
+    drop_stored(entries)
+    return pairs
 
 
 def labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -352,11 +371,12 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     equal sets; null without shingles or id), one row per row of ``docs``; links
     are verified pairs (a, b) of representatives that span every component."""
     docs = docs.select(F.col("doc_id"), F.col("text"))
-    rows = signatures(docs, words)
+    width = counter_bits(docs)
+    rows = signatures(docs, width, words)
     known = rows.filter("chunk is null")
     classes = stored(known.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("rep")), "classes")
-    counters = frequency_table(rows)
+    counters = frequency_table(rows, width)
     lists, bits = inverted_lists(prefixes(docs, counters, words, percent), classes, percent)
 
     links, lists = None, labelled(lists, None)
@@ -364,7 +384,8 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     for seed in range(PIVOT_ROUNDS):
         found = verified(pivot_pairs(lists, seed, percent), docs, words, percent)
         links = found if links is None else links.unionByName(found)
-        lists = labelled(lists, links)
+        older, lists = lists, labelled(lists, links)
+        drop_stored(older)
         open_lists = list_labels(lists)
         left = open_lists.agg(F.sum((F.col("size") - F.col("most")) * F.col("size"))).first()[0] or 0
         if left <= FULL_JOIN_COST * entries or (before is not None and 2 * left > before):
@@ -372,6 +393,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
         before = left
     if left:
         links = links.unionByName(verified(full_pairs(lists, open_lists, bits, percent), docs, words, percent))
+    drop_stored(lists, open_lists, bits)
     members = known.join(classes, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
@@ -382,8 +404,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """One row per row of ``docs``: doc_id, n_shingles, rep, component_id (the
     smallest id reachable by links, its own without any)."""
     members, links = jaccard_links(docs, words, percent)
-    found = stored(components(links), "components")
     members = stored(members, "members")
+    # rows with one id are one node, whatever their texts
+    first = members.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+    several = first.filter("a <> b").select("doc_id", "a")
+    shared_ids = members.join(several, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
+    found = stored(components(links.unionByName(shared_ids)), "components")
     return members.join(found, members["rep"] == found["node"], "left").select(
         "doc_id", "n_shingles", "rep", F.coalesce("component", "rep", "doc_id").alias("component_id"))
 

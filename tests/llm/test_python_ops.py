@@ -101,6 +101,29 @@ def test_one_sided_copies_against_brute_force(spark, monkeypatch, alone):
     assert got == {i: first[distinct[t]] for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("alone", [False, True])
+def test_ids_with_several_texts_are_one_node(spark, monkeypatch, alone):
+    """Groups of four texts A, B, C, D: the middle id has B and C, so it links with
+    the ids of copies of either, and joins their components."""
+    if alone:
+        monkeypatch.setattr(jaccard_join, "PIVOT_ROUNDS", 1)
+        monkeypatch.setattr(jaccard_join, "pivot_pairs",
+                            lambda lists, seed, percent: lists.select(lists.rep.alias("a"), lists.rep.alias("b")).limit(0))
+    rnd, rows = random.Random(12), [(1, "x y", None, None, None), (2, "x y", None, None, None), (2, "p q", None, None, None),
+                                    (3, "p q", None, None, None), (4, "r s", None, None, None), (3, "r s", None, None, None)]
+    word = lambda: "w" + str(rnd.randrange(10**6))
+    for g in range(10, 70, 3):
+        a, b = ([word() for _ in range(rnd.choice([40, 90, 250]))] for _ in range(2))
+        near = lambda w: " ".join([*w[:-2], word(), word()])
+        rows += [(g, near(a), None, None, None), (g + 1, " ".join(a), None, None, None),
+                 (g + 1, " ".join(b), None, None, None), (g + 2, near(b), None, None, None)]
+    rnd.shuffle(rows)
+    want = brute_components(rows)
+    assert want[4] == 1 and want[12] == 10
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(documents(spark, rows)).collect()}
+    assert got == want
+
+
 def test_prefix_choice():
     flat = np.zeros(100)
     assert jaccard_join.choose_prefix(flat) == (1, 26)  # nothing to gain from a longer prefix
