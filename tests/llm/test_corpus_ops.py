@@ -61,13 +61,15 @@ def phrase_result(df):
     return sorted(map(tuple, df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()))
 
 
-def test_phrases_match_brute_force(spark):
+def test_phrases_match_brute_force(spark, monkeypatch):
     rows = phrase_rows()
     docs = documents(spark, rows, extra=True).repartition(3)
     expected = brute_phrases(rows, 30, 12, 80)
     assert {r[0] for r in expected} == {"", "de", "en", "und"}
     assert phrase_result(phrases.collocations(docs, top=12, filter_bits=20)) == expected
-    # many small tries and a filter that lets most words through give the same
+    # many small tries, a filter that lets most words through, and blocks that are
+    # read in small steps give the same
+    monkeypatch.setattr(phrases, "STEP", 17)
     assert phrase_result(phrases.collocations(docs, top=12, trie_phrases=40, filter_bits=4)) == expected
 
 
