@@ -12,8 +12,9 @@ one sequence that stays open is cut into lengths that are powers of two.  So no
 sequence needs padding.
 
 Ids are those of the tokenizer file: its merges run in an encoder for byte-level
-BPE, which tests hold against the ``tokenizers`` library, text by text; strings of
-special tokens are ordinary text.
+BPE, which tests hold against the ``tokenizers`` library, text by text; a text that
+this encoder refuses (its pattern engine gives up on hundreds of thousands of blanks in
+a row) goes to that library itself.  Strings of special tokens are ordinary text.
 
 Defined results: null and empty texts are the end id alone; repeated rows are
 packed each; every id lies in one piece; an empty table gives no rows; other
@@ -46,12 +47,17 @@ PIECE = ("doc_id {id}, start long, length long, doc_tokens long, sequence_id lon
          "offset long, ids binary")
 
 
-def read_bpe(path: str = TOKENIZER) -> list[bytes]:
-    """Pieces by id of a byte-level BPE tokenizer file whose ids follow its merges."""
+def read_file(path: str = TOKENIZER) -> str:
+    """A tokenizer file, which travels to every worker; its size is checked."""
     if os.path.getsize(path) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} is larger than {MAX_VOCABULARY_BYTES} bytes")
     with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
+        return file.read()
+
+
+def read_bpe(text: str, path: str = TOKENIZER) -> list[bytes]:
+    """Pieces by id of a byte-level BPE tokenizer file whose ids follow its merges."""
+    spec = json.loads(text)
     model, split = spec["model"], spec["pre_tokenizer"] or {}
     if (model["type"] != "BPE" or spec["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"]
             or not split["use_regex"] or model.get("ignore_merges")):
@@ -69,6 +75,23 @@ def read_bpe(path: str = TOKENIZER) -> list[bytes]:
     return [bytes(byte_of[c] for c in p) for p in pieces]
 
 
+def encode_with(encoder, tokenizer_file: str):
+    """text -> ids, by ``encoder`` or, where it gives up, by the tokenizer itself."""
+    slow: list = []
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return encoder.encode_to_numpy(text)
+        except ValueError:
+            if not slow:
+                from tokenizers import Tokenizer
+
+                slow.append(Tokenizer.from_str(tokenizer_file))
+                slow[0].encode_special_tokens = True
+            return np.array(slow[0].encode(text, add_special_tokens=False).ids, "<u4")
+    return encode
+
+
 class Tournament:
     """Capacities of bins in a row; the root holds the largest."""
 
@@ -146,8 +169,9 @@ def packed_pieces(docs: DataFrame, tokenizer_path: str = TOKENIZER, seq_len: int
     """One row per piece: doc_id, start and length in its document, doc_tokens,
     sequence_id, sequence_length, offset in the sequence, and ids (little-endian,
     four bytes each)."""
-    vocabulary = read_bpe(tokenizer_path)
-    narrow = "<u2" if max(len(vocabulary) - 1, end_id) < 65536 else "<u4"
+    tokenizer_file = read_file(tokenizer_path)
+    pieces_by_id = read_bpe(tokenizer_file, tokenizer_path)
+    narrow = "<u2" if max(len(pieces_by_id) - 1, end_id) < 65536 else "<u4"
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
@@ -156,13 +180,13 @@ def packed_pieces(docs: DataFrame, tokenizer_path: str = TOKENIZER, seq_len: int
     grp = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(SEED)), F.lit(groups))
 
     def cut(batches):
-        encoder = make_encoder(vocabulary)
+        encode = encode_with(make_encoder(pieces_by_id), tokenizer_file)
         for batch in batches:
             made: list[tuple] = []
             held = 0
             keys = batch.column(1)
             for r, (g, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), strict=True)):
-                ids = np.append(encoder.encode_to_numpy(text.as_py() or ""), end_id).astype(narrow)
+                ids = np.append(encode(text.as_py() or ""), end_id).astype(narrow)
                 for n, at in enumerate(range(0, len(ids), seq_len)):
                     piece = ids[at:at + seq_len]
                     to = (g + 1 + n) % groups if len(piece) == seq_len else g

@@ -29,7 +29,8 @@ from reelpulse.llm.token_count import VOCABULARY, read_vocabulary
 
 SEQ_LEN = 2048
 RUN_TOKENS = 4_000_000
-#: Rows of a result batch, and the longest match of SPLIT given to the encoder.
+#: Rows of a result batch, and the longest match of SPLIT in a text that the encoder
+#: cannot take whole.
 BATCH_ROWS = 256
 MAX_UNBROKEN = 1000
 # Fixed value: how the vocabulary's tokenizer splits a text before merging.
@@ -96,8 +97,7 @@ def best_fit(lengths: list[int], seq_len: int) -> list[list[int]]:
 
 
 def bounded_parts(text: str) -> list[str]:
-    """``text`` in parts without a match of SPLIT over MAX_UNBROKEN characters
-    (the encoder's time grows with the square of a match).  Cuts are where matches
+    """``text`` in parts without a match of SPLIT over MAX_UNBROKEN characters.  Cuts are where matches
     meet and inside the too long ones only, so every other match is encoded as in
     the whole text."""
     if len(text) <= MAX_UNBROKEN or not UNBROKEN.search(text):
@@ -118,6 +118,15 @@ def bounded_parts(text: str) -> list[str]:
     return parts
 
 
+def encoded(encoder, text: str) -> np.ndarray:
+    """Ids of a whole text.  The encoder's pattern engine gives up on hundreds of
+    thousands of blanks in a row; only such a text is encoded in parts."""
+    try:
+        return encoder.encode_to_numpy(text)
+    except ValueError:
+        return np.concatenate([encoder.encode_to_numpy(p) for p in bounded_parts(text)])
+
+
 def make_encoder(vocabulary: list[bytes]):
     import tiktoken
 
@@ -178,8 +187,7 @@ def packed(docs: DataFrame, vocabulary_path: str = VOCABULARY, seq_len: int = SE
                 text = text.as_py()
                 if not text:
                     continue
-                parts = [encoder.encode_to_numpy(p) for p in bounded_parts(text)]
-                ids = (parts[0] if len(parts) == 1 else np.concatenate(parts)).astype(id_kind)
+                ids = encoded(encoder, text).astype(id_kind)
                 for n, at in enumerate(range(0, len(ids), seq_len)):
                     keys.append((key, n))
                     pieces.append(ids[at:at + seq_len])
