@@ -329,6 +329,13 @@ def test_long_runs_keep_the_tokenizers_ids(spark):
     for i, text in want.items():
         assert sum((ids[i][k] for k in sorted(ids[i])), []) == encoder.encode_ordinary(text)
 
+    # one long match has the ids of the text encoded at once, too
+    for text in ("a" * 2500, "7" * 70_001, "x" + " " * 30_000 + "y", "'" * 2001, "\u3042" * 3000):
+        assert packing.encoded(encoder, text).tolist() == encoder.encode_ordinary(text)
+    refused = "\n " * 600_000 + "end"
+    pieces = packing.read_vocabulary(packing.VOCABULARY)
+    assert b"".join(pieces[i] for i in packing.encoded(encoder, refused)) == refused.encode()
+
     split = packing.PATTERN.findall
     for long in ("a" * 2500, " " + "b" * 1000, "7" * 1001, "'" * 2001, " " * 2500, "\n" * 1002, "\u3042" * 3000):
         for before in ("", "x", "it's", "x \n", "\n\n", "  ", "\t\t ", "x\n "):
