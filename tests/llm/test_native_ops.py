@@ -1,5 +1,6 @@
 import hashlib
 import os
+import random
 import re
 import sys
 import zlib
@@ -244,6 +245,54 @@ def test_licenses_against_brute_force(spark, tmp_path):
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
+def test_license_notices_by_rare_words_and_key_phrases(spark):
+    """Notices are found with words changed or left out, and need their key phrase;
+    against the stated rule on small files."""
+    rnd, notices = random.Random(8), [(label, key, licenses.words_of(text)) for label, key, text in licenses.NOTICES]
+    filler = lambda n: [f"w{rnd.randrange(500)}" for _ in range(n)]
+    files, kinds = [], []
+    for label, key, words in notices:
+        whole = [*filler(30), *words, *filler(9)]
+        at = next(i for i in range(len(words)) if all(k in ("_", w) for k, w in zip(key.split(), words[i:], strict=False)))
+        changed = list(words)
+        for i in rnd.sample(range(len(words)), len(words) // 8):
+            if not at <= i < at + len(key.split()):
+                changed[i] = "other"
+        no_key = list(words)
+        no_key[at] = "other"
+        half = words[:at + len(key.split())]
+        for kind, w in (("whole", whole), ("changed", [*filler(3), *changed]), ("no key", no_key), ("half", half),
+                        ("twice", [*words, *filler(4), *words]), ("mixed", [*words, *rnd.choice(notices)[2]])):
+            files.append((len(files), " ".join(w), None, None, None))
+            kinds.append((kind, label))
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, files, extra=True)).collect()}
+    for i, (kind, label) in enumerate(kinds):
+        if kind in ("whole", "changed", "twice"):
+            assert got[i].notices == [label], (kind, label)
+        elif kind == "mixed":
+            assert label in got[i].notices
+        elif kind == "no key":
+            assert label not in got[i].notices
+    # the rule as stated
+    index = licenses.notice_postings()
+    text = {i: alnum(t) for i, t, *_ in files}
+    vocabulary, df = {r[2] for r in index}, {}
+    for w in text.values():
+        for x in set(w) & vocabulary:
+            df[x] = df.get(x, 0) + 1
+    for i, w in text.items():
+        rare = sorted(set(w) & vocabulary, key=lambda x: (df[x], x))[:licenses.FILE_WORDS]
+        want = set()
+        for n, label, word, tpos, size, key, key_at in index:
+            for start in (p - tpos for p, x in enumerate(w) if x == word and word in rare):
+                hits = sum(0 <= start + r[3] < len(w) and w[start + r[3]] == r[2] for r in index if r[0] == n)
+                phrase = licenses.TEMPLATES[key][2].split()
+                in_place = all(k == "_" or 0 <= start + key_at + j < len(w) and w[start + key_at + j] == k for j, k in enumerate(phrase))
+                if 100 * hits >= licenses.SHARE * size and in_place:
+                    want.add(label)
+        assert got[i].notices == sorted(want)
+
+
 def test_native_operators_have_no_python(spark):
     from conftest import plan_text
 
