@@ -65,6 +65,13 @@ def _materialize(spark: SparkSession, d: str, name: str, build, fmt: str = "parq
     return hit[1]
 
 
+def forget(spark: SparkSession, d: str, *names: str) -> None:
+    """Build these stored tables anew at their next use (the benchmark times the
+    work, not the reading back)."""
+    for name in names:
+        _WAREHOUSE.pop((app_key(spark), d, name), None)
+
+
 class Bound:
     """The logical tables of one scale-factor directory.
 
@@ -923,6 +930,31 @@ def q_stream_device_counts(spark, d):
     return io.load_report(spark, report, "device_type string, count long")
 
 
+@query("stream_speed_layer")
+def q_stream_speed_layer(spark, d):
+    """The three queries of the speed layer at once, until all have ended: events in
+    the facts, in the live views per genre and in those per device."""
+    root, paths, loader = _stream_env(spark, d)
+    paths.serving_watch = paths.serving_search = None
+    _land_clickstream(spark, d, root)
+    layer = st.start_speed_layer(
+        spark, st.event_stream(spark, "text", f"{root}/landing"), loader, paths, f"{root}/genre", f"{root}/device",
+        f"{root}/checkpoints", trigger={"availableNow": True})
+    try:
+        layer.await_any(spark)
+        for q in layer.queries:
+            q.awaitTermination()
+    finally:
+        layer.stop()
+        spark.streams.resetTerminated()
+    live = [io.load_report(spark, f"{root}/{name}", f"{name} string, count long").select(
+        F.lit(name).alias("layer"), F.col(f"{column}").alias("value"), "count")
+        for name, column in (("genre", "genre_primary"), ("device", "device_type"))]
+    facts = io.read_fact(spark, paths.watch, "watch").groupBy("device_type").agg(F.count(F.lit(1)).alias("count"))
+    return reduce(DataFrame.unionByName, [*live, facts.select(
+        F.lit("facts").alias("layer"), F.col("device_type").alias("value"), "count")])
+
+
 _REJECT_SUMS = ("records", "malformed", "null_user", "mistyped")
 
 

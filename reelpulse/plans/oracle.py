@@ -828,6 +828,13 @@ sql("stream_rejects", f"""
     SELECT {_COUNTED}, CAST(COUNT(*) FILTER (event_id % 89 = 0
            AND event_type IN ('view', 'click', 'purchase', 'error', 'signup')) AS BIGINT) AS mistyped
     FROM events""")
+sql("stream_speed_layer", f"""
+    SELECT 'genre' AS layer, m.genre_primary AS value, COUNT(*) AS count
+    FROM watch_events w LEFT JOIN dim_movies m ON w.movie_id = m.movie_id
+    WHERE w.{_WATCH_SEEN.replace(' AND ', ' AND w.')} GROUP BY m.genre_primary
+    UNION ALL
+    SELECT layer, device_type, COUNT(*) FROM watch_events, (SELECT UNNEST(['device', 'facts']) AS layer) l
+    WHERE {_WATCH_SEEN} GROUP BY layer, device_type""")
 SQL["stream_batch_log"] = SQL["batch_event_stats"]
 sql("report_replace", """
     SELECT device_type, COUNT(session_id) AS total_views FROM fact_watch GROUP BY device_type""")
