@@ -145,23 +145,28 @@ def without_spans(docs: DataFrame, bench: DataFrame, width: int = WINDOW) -> Dat
 
     Clean rows keep their text as it is.  A row with hits keeps everything but
     the words of its hit windows: the text is taken apart into alternating gaps
-    and words, the hit words become empty, and the rest is put together again.
+    and words (so the k-th word has the place 2 k, or 2 k + 1 after a gap), the hit
+    words become empty, and the rest is put together again.  The work grows with
+    the text, not with its square.
     """
     dirty = dirty_keys(docs, bench, width).select(
         F.col("doc_id").alias("_dirty_id"), F.col("text_key").alias("_dirty_key"), F.col("spans").alias("_spans"))
     joined = docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("_dirty_id"))
                        & (F.xxhash64(F.lit(1), docs["text"]) == F.col("_dirty_key")), "left")
-    # word | gap pieces in order; the k-th word piece has index k
+    # word | gap pieces in order
     pieces = F.regexp_extract_all(F.col("text"), F.lit(r"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"), 1)
-    is_word = lambda p: p.rlike(r"^[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
-    folded = F.aggregate(
-        pieces, F.struct(F.lit(0).alias("k"), F.array().cast("array<string>").alias("out")),
-        lambda acc, p: F.struct(
-            (acc.k + F.when(is_word(p), 1).otherwise(0)).alias("k"),
-            F.concat(acc.out, F.array(F.when(
-                is_word(p) & F.exists("_spans", lambda s: (s.at <= acc.k) & (acc.k < s.at + s.len)), F.lit("")
-            ).otherwise(p))).alias("out")),
-        lambda acc: F.array_join(acc.out, ""))
+    # Each step is bound to a variable, so that no part of it is evaluated per word.
+    hit_words = F.array_sort(F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s.at, s.at + s.len - 1)))))
+    taken = F.array(F.struct(hit_words.alias("at"), pieces.alias("pieces")))
+    flagged = F.transform(taken, lambda t: F.struct(  # one flag per word, up to the last hit word
+        F.flatten(F.transform(t.at, lambda at, i: F.concat(
+            F.array_repeat(F.lit(False), (at - F.coalesce(F.get(t.at, i - 1), F.lit(-1)) - 1).cast("int")),
+            F.array(F.lit(True))))).alias("hit"),
+        F.get(t.pieces, F.lit(0)).rlike(r"^[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]").alias("word_first"),
+        t.pieces.alias("pieces")))
+    folded = F.get(F.transform(flagged, lambda f: F.array_join(F.transform(f.pieces, lambda p, i: F.when(
+        ((i % 2 == 0) == f.word_first) & F.coalesce(F.get(f.hit, F.shiftright(i, 1)), F.lit(False)), F.lit("")
+    ).otherwise(p)), "")), F.lit(0))
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(folded)
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 

@@ -181,6 +181,39 @@ def test_removed_spans_leave_the_rest(spark):
     assert out[2] == "clean text." and out[3] is None
 
 
+def test_spans_cut_from_long_texts(spark):
+    """Against a plain cut, with overlapping windows and many hits in long texts."""
+    import time
+
+    rnd = random.Random(13)
+    bench_text = " ".join(f"b{i}" for i in range(60))
+    texts = []
+    for n in (40, 700, 20_000):
+        words = [f"w{rnd.randrange(9000)}" for _ in range(n)]
+        for _ in range(1 + n // 200):
+            at, start = rnd.randrange(len(words)), rnd.randrange(45)
+            words[at:at] = [f"B{i}" for i in range(start, start + rnd.choice([9, 10, 13, 15]))]
+        texts.append("".join(w + rnd.choice([" ", ", ", "\n", " - "]) for w in words))
+    texts += ["(" + texts[0], "b1 " * 30]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(1, bench_text)], "item_id long, text string")
+    start = time.time()
+    out = {r.doc_id: r.text for r in decontaminate.without_spans(docs, bench).collect()}
+    assert time.time() - start < 60
+    windows = {tuple(alnum(bench_text)[i:i + 10]) for i in range(51)}
+    for i, t in enumerate(texts):
+        words, hit = alnum(t), set()
+        for k in range(len(words) - 9):
+            if tuple(words[k:k + 10]) in windows:
+                hit.update(range(k, k + 10))
+        pieces = re.findall(r"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)|([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)", t)
+        want, k = "", 0
+        for gap, word in pieces:
+            want += gap or ("" if k in hit else word)
+            k += bool(word)
+        assert out[i] == want
+
+
 def test_decontamination_shuffled(spark, monkeypatch):
     """Beyond the broadcast size: the same rows, and no shuffled row holds a
     document's whole word array."""

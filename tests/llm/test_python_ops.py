@@ -310,6 +310,37 @@ def test_nonnegative_risk_and_edge_cases(spark):
     assert pu_quality.quality_scores(documents(spark, []), none).count() == 0
 
 
+def test_pu_risk_and_steps_against_plain_python():
+    """The fit's risk trace and weights, recomputed sum by sum."""
+    import math
+
+    rnd = np.random.default_rng(4)
+    n = len(pu_quality.FEATURES)
+    good, web = rnd.normal(1, 1, (12, n)), np.concatenate([rnd.normal(1, 1, (10, n)), rnd.normal(-1, 1, (20, n))])
+    prior, rate, decay, steps = 0.4, 0.03, 1e-3, 25
+    model = pu_quality.PuModel(web)
+    a, u = model.design(good).tolist(), model.design(web).tolist()
+    trace = model.fit(good, web, prior, steps=steps, rate=rate, decay=decay)
+    k = len(a[0])
+    w, m, v = [0.0] * k, [0.0] * k, [0.0] * k
+    w[-1] = math.log(prior / (1 - prior))
+    sigmoid = lambda x: 1 / (1 + math.exp(-sum(p * q for p, q in zip(x, w, strict=True))))
+    for t in range(1, steps + 1):
+        sa, su = [sigmoid(x) for x in a], [sigmoid(x) for x in u]
+        # unlabelled side of the unbiased risk: E_u[l(-g)] - prior * E_p[l(-g)]
+        loss = lambda s: -math.log(max(1 - s, 1e-12))
+        risk = sum(map(loss, su)) / len(u) - prior * sum(map(loss, sa)) / len(a)
+        assert trace[t - 1] == pytest.approx(risk, rel=1e-7)
+        for j in range(k):
+            positive = prior * sum((s - 1) * x[j] for s, x in zip(sa, a, strict=True)) / len(a)
+            negative = (sum(s * x[j] for s, x in zip(su, u, strict=True)) / len(u)
+                        - prior * sum(s * x[j] for s, x in zip(sa, a, strict=True)) / len(a))
+            step = (positive + negative if risk >= 0 else -negative) + (decay * w[j] if j < k - 1 else 0)
+            m[j], v[j] = 0.9 * m[j] + 0.1 * step, 0.999 * v[j] + 0.001 * step * step
+        w = [w[j] - rate * (m[j] / (1 - 0.9 ** t)) / (math.sqrt(v[j] / (1 - 0.999 ** t)) + 1e-8) for j in range(k)]
+    assert model.weights.tolist() == pytest.approx(w, rel=1e-6, abs=1e-9)
+
+
 # -- packing ----------------------------------------------------------------
 
 def test_long_runs_keep_the_tokenizers_ids(spark):
