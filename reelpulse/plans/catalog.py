@@ -139,8 +139,10 @@ SETTLED_DIGITS = 6
 
 def settled(df: DataFrame) -> DataFrame:
     """Doubles rounded far beyond what a report shows: the order of summation
-    moves the last bits, and the check compares values."""
-    return df.select(*[F.round(c, SETTLED_DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    moves the last bits, and the check compares values.  Rounded twice, so that it
+    cannot flip a value half way between two either (a mean over 32 rows can be)."""
+    return df.select(*[F.round(F.round(c, SETTLED_DIGITS + 3), SETTLED_DIGITS).alias(c) if t == "double" else F.col(c)
+                       for c, t in df.dtypes])
 
 
 def positions(df: DataFrame, *order) -> DataFrame:

@@ -24,7 +24,7 @@ def report(expr: str, digits: int = 2) -> str:
 
 
 def settled(expr: str) -> str:
-    return rnd(expr, 6)
+    return rnd(rnd(expr, 9), 6)
 
 
 def dsum(expr: str) -> str:
