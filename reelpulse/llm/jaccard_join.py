@@ -57,7 +57,7 @@ PERCENT = 75
 #: Counters of the hashed frequency table (4 bytes each, sent to every task): one for
 #: every so many bytes of text, between two powers of two.
 COUNTER_TEXT = 64
-LEAST_BITS, MOST_COUNTER_BITS = 16, 24
+LEAST_BITS, MOST_COUNTER_BITS = 16, 22
 CHUNK, CHUNK_BATCH = 4096, 512
 #: Parity bits of a set by its size, and of larger ones.
 BITS, MOST_BITS = ((96, 256), (200, 512)), 1024
