@@ -198,20 +198,22 @@ def phrase_matches(places: DataFrame, df: DataFrame, index: DataFrame) -> DataFr
 
 
 def notice_matches(places: DataFrame, df: DataFrame, index: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Places of notices: rid, notice, label, start."""
+    """Stored places of notices: rid, notice, label, start."""
     words = places.filter("pos >= 0").select("rid", "pos", "word")
     vocabulary = F.broadcast(index.select("word").distinct().join(df, "word"))  # words of the notices
     rank = Window.partitionBy("rid").orderBy("df", "word")
     rare = (words.join(vocabulary, "word").select("rid", "word", "df").distinct()
             .withColumn("at", F.row_number().over(rank)).filter(F.col("at") <= FILE_WORDS).select("rid", "word"))
-    proposed = (words.join(rare, ["rid", "word"]).join(F.broadcast(index.select("notice", "word", "tpos")), "word")
-                .select("rid", "notice", (F.col("pos") - F.col("tpos")).alias("start")).distinct())
+    proposed = stored(
+        words.join(rare, ["rid", "word"]).join(F.broadcast(index.select("notice", "word", "tpos")), "word")
+        .select("rid", "notice", (F.col("pos") - F.col("tpos")).alias("start")).distinct(), "license_proposals")
     whole = index.select("notice", "label", "n_indexed", "key", "key_at").distinct()
     near = (_intersected(proposed, words, index, "notice").join(F.broadcast(whole), "notice")
             .filter(100 * F.col("matched") >= SHARE * F.col("n_indexed"))
             .withColumn("key_start", F.col("start") + F.col("key_at")))
     keys = phrases.select("rid", F.col("template").alias("key"), F.col("start").alias("key_start"))
-    return near.join(keys, ["rid", "key", "key_start"], "left_semi").select("rid", "notice", "label", "start")
+    return stored(near.join(keys, ["rid", "key", "key_start"], "left_semi").select("rid", "notice", "label", "start"),
+                  "license_notices")
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, notices=NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
