@@ -435,3 +435,26 @@ def test_live_counts_since_cut_off(spark):
     later = dict(rows(st.live_device_counts(events, since="2024-01-02 00:00:00")))
     expected = events.filter(F.col("ts") >= "2024-01-02 00:00:00").count()
     assert sum(later.values()) == expected < sum(all_rows.values())
+
+
+def test_hot_keys_are_joined_as_numbers(spark):
+    from reelpulse.operators.joins import hot_keys
+    from reelpulse.sources.io import key_buckets, spread_hot_keys
+
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit("hot"))
+                                  .otherwise(F.col("id").cast("string")).alias("k"), "id")
+    assert dict(hot_keys(df, "k").dtypes)["_hot"] == "bigint"
+    buckets = key_buckets(df, "k", 500).persist()
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        buckets.count()
+        out = spread_hot_keys(df, "k", 500, buckets=buckets)
+        assert "HashedRelationBroadcastMode(List(input[0, bigint" in plan_text(out, "extended")
+        assert rows(out) == rows(df)                                # null keys and hot ones, each row once
+        for hot in ("k is null", "k = 'hot'"):
+            per_task = [r["count"] for r in out.filter(hot).groupBy(F.spark_partition_id()).count().collect()]
+            assert len(per_task) > 1 and max(per_task) < 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        buckets.unpersist()
