@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from reelpulse.llm.common import drop_stored, stored
+from reelpulse.llm.common import drop_stored, small_batches, stored
 from reelpulse.llm.components import components
 from reelpulse.llm.ngrams import shingle_sets, slices
 
@@ -145,8 +145,9 @@ def signatures(docs: DataFrame, bits: int, words: int = WORDS) -> DataFrame:
                      pa.array([task] * len(part), pa.int32()), pa.array(part, pa.int32()),
                      pa.array([small[c * CHUNK:(c + 1) * CHUNK].tobytes() for c in part], pa.binary())], names=names)
 
-    return stored(docs.mapInArrow(
-        read, f"doc_id {id_type}, n long, k1 long, k2 long, task int, chunk int, counts binary"), "signatures")
+    with small_batches(docs.sparkSession):
+        return stored(docs.mapInArrow(
+            read, f"doc_id {id_type}, n long, k1 long, k2 long, task int, chunk int, counts binary"), "signatures")
 
 
 def frequency_table(rows: DataFrame, bits: int) -> np.ndarray:
@@ -203,8 +204,9 @@ def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent:
                      pa.array([r[5] for r in rows], pa.int64()), pa.array([r[6] for r in rows], pa.int64())],
                     names=["k1", "n", "l", "shingles", "bits", "end_count", "end_hash"])
 
-    return stored(docs.mapInArrow(emit, "k1 long, n int, l int, shingles array<long>, bits array<long>, "
-                                        "end_count long, end_hash long"), "prefixes")
+    with small_batches(docs.sparkSession):
+        return stored(docs.mapInArrow(emit, "k1 long, n int, l int, shingles array<long>, bits array<long>, "
+                                            "end_count long, end_hash long"), "prefixes")
 
 
 def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
@@ -258,8 +260,9 @@ def whole_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))],
                     names=["rep", "shingles"])
 
-    return stored(docs.join(ids, docs["doc_id"] == ids["rep"], "left_semi").select("doc_id", "text")
-                  .mapInArrow(compute, f"rep {id_type}, shingles array<long>"), "sets")
+    with small_batches(docs.sparkSession):
+        return stored(docs.join(ids, docs["doc_id"] == ids["rep"], "left_semi").select("doc_id", "text")
+                      .mapInArrow(compute, f"rep {id_type}, shingles array<long>"), "sets")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

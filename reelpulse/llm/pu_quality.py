@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelpulse.llm.common import stored
+from reelpulse.llm.common import small_batches, stored
 
 SAMPLE = 20_000
 STEPS = 400
@@ -95,8 +95,9 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)],
                                              names=["doc_id", "features"])
 
-    return stored(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-                  .mapInArrow(compute, f"doc_id {id_type}, features array<float>"), "quality_features")
+    with small_batches(docs.sparkSession):
+        return stored(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+                      .mapInArrow(compute, f"doc_id {id_type}, features array<float>"), "quality_features")
 
 
 def held_out(id_col: Column) -> Column:
@@ -186,7 +187,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` without the rows that score below ``threshold``.
+    """``docs`` without the rows that score below ``threshold``, stored.
 
     The model is fitted as in ``quality_scores``; each text is then scored where
     it is read, so whole rows stay together and no text is shuffled.
@@ -202,7 +203,8 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, s
                 x = np.array([text_features(t.as_py()) for t in batch.column(at)], np.float32)
                 yield batch.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(keep, schema)
+    with small_batches(docs.sparkSession):
+        return stored(docs.mapInArrow(keep, schema), "good_documents")
 
 
 def op7_pu_quality(spark, sf_dir: str) -> DataFrame:

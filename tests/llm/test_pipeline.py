@@ -73,3 +73,24 @@ def test_stages_take_awkward_and_empty_tables(spark, tmp_path):
             out = stage(spark, table, str(tmp_path))
             assert set(table.columns) <= set(out.columns)
             out.count()
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    from reelpulse.llm import jaccard_join
+    from reelpulse.llm.common import TEXTS_AT_ONCE
+
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    for module in (jaccard_join, pu_quality):
+        def spy(df, name):
+            seen.setdefault(name, set()).add(spark.conf.get(key))
+            return stored(df, name)
+        monkeypatch.setattr(module, "stored", spy)
+    before = spark.conf.get(key)
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, None), (4, "other words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (4, 0)], "doc_id long, quality int")
+    assert {r.doc_id for r in jaccard_join.one_per_group(docs).collect()} == {1, 3, 4}
+    pu_quality.good_documents(docs, labels).count()
+    for name in ("signatures", "prefixes", "sets", "quality_features", "good_documents"):
+        assert seen[name] == {str(TEXTS_AT_ONCE)}, name
+    assert spark.conf.get(key) == before
