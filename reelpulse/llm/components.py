@@ -1,50 +1,58 @@
 """Connected components of an edge table, on Spark.
 
-Alternates two steps until the edges stop changing: every node connects its
-larger neighbours to its least neighbour, then its smaller neighbours to the
-least of them.  Each step is a map-side combined minimum per node and a join, and
-is written to the shared folder, so the lineage stays short; edges end as a star
-around the least node of every component.
+Repeats two steps until the edges are stars around the least node of every
+component: larger ends move to the least neighbour of their smaller end, then a
+node's smaller neighbours connect to the least of them.  A round is one job of
+three shuffles, written to the shared folder, so the lineage stays short.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelpulse.llm.common import stored
+from reelpulse.llm.common import drop_stored, stored
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, which is no larger end itself."""
+    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("low"), F.lit(False).alias("centre")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(None).cast(edges.schema["b"].dataType).alias("low"),
+                     F.lit(True).alias("centre")))
+    open_nodes = ends.groupBy("node").agg(
+        F.min("low").alias("least"), F.max("low").alias("most"), F.max("centre").alias("centre"))
+    return open_nodes.filter("least <> most or (least is not null and centre)").count() == 0
 
 
-def _to_larger(edges: DataFrame) -> DataFrame:
-    near = stored(_both_ways(edges), "cc_near")
-    least = stored(near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "cc_least")
-    return near.join(least, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+def _nearer(edges: DataFrame) -> DataFrame:
+    """The edges (a > b) after both steps; some may repeat."""
+    least = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    moved = edges.join(least, edges["b"] == least["node"], "left").select("a", F.coalesce("m", "b").alias("b"))
+    # one exchange: by the larger end serve the distinct and the minimum
+    near = moved.repartition("a").distinct().withColumn("m", F.min("b").over(Window.partitionBy("a")))
+    return near.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
+                       F.col("m").alias("b"))
 
 
-def _to_smaller(edges: DataFrame) -> DataFrame:
-    near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = stored(near.groupBy("a").agg(F.min("b").alias("m")), "cc_least")
-    moved = near.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b")))
+def star_edges(edges: DataFrame) -> DataFrame:
+    """Stored (a, b): every node of (a, b) ``edges`` but the least of its component,
+    and that one.  Rows may repeat; stars among the edges need no more work."""
+    edges = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")),
+                   "cc_edges")
+    while not _are_stars(edges):
+        older, edges = edges, stored(_nearer(edges), "cc_edges")
+        drop_stored(older)
+    return edges
+
+
+def star_nodes(stars: DataFrame) -> DataFrame:
+    """(node, component) of all nodes of ``stars``."""
+    return (stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            .unionByName(stars.select(F.col("b").alias("node"), F.col("b").alias("component")))
+            .groupBy("node").agg(F.min("component").alias("component")))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of (a, b) ``edges``; the component is
     its least node.  Nodes without edges are not listed."""
-    def mark(df):
-        return tuple(df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first())
-
-    edges = stored(edges.filter("a <> b").select("a", "b").distinct(), "cc_edges")
-    before = mark(edges)
-    while before[0]:
-        edges = stored(_to_smaller(_to_larger(edges).distinct()).distinct(), "cc_edges")
-        now = mark(edges)
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return star_nodes(star_edges(edges))

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from reelpulse.llm.common import drop_stored, small_batches, stored
-from reelpulse.llm.components import components
+from reelpulse.llm.components import star_edges, star_nodes
 from reelpulse.llm.ngrams import shingle_sets, slices
 
 WORDS = 5
@@ -151,23 +151,26 @@ def signatures(docs: DataFrame, bits: int, words: int = WORDS) -> DataFrame:
 
 
 def frequency_table(rows: DataFrame, bits: int) -> np.ndarray:
-    """Sum of the partial tables.  Tasks are summed in groups first, so no group
-    holds many parts."""
-    def adder(kind, to):
-        def add(table: pa.Table) -> pa.Table:
-            total = np.zeros(CHUNK, np.uint64)
-            for part in table.column("counts"):
-                total += np.frombuffer(part.as_buffer(), kind)
-            return pa.table({"chunk": table.column("chunk")[:1],
-                             "counts": pa.array([np.minimum(total, 2 ** 32 - 1).astype(to).tobytes()], pa.binary())})
-        return add
-
-    parts = rows.filter("chunk is not null").withColumn("group", F.floor(F.col("task") / 64).cast("int"))
-    summed = (parts.groupBy("chunk", "group").applyInArrow(adder(np.uint16, np.uint32), "chunk int, counts binary")
-              .groupBy("chunk").applyInArrow(adder(np.uint32, np.uint32), "chunk int, counts binary"))
+    """Sum of the partial tables, chunk by chunk as they come, so that a task holds
+    only the sums of its chunks."""
+    def add(batches):
+        totals = {}
+        for batch in batches:
+            for chunk, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                total = totals.setdefault(chunk, np.zeros(CHUNK, np.uint64))
+                total += np.frombuffer(part.as_buffer(), np.uint16)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(totals, pa.int32()),
+             pa.array([np.minimum(t, 2 ** 32 - 1).astype(np.uint32).tobytes() for t in totals.values()], pa.binary())],
+            names=["chunk", "counts"])
+
     out = np.zeros(1 << bits, np.uint32)
-    for row in summed.toLocalIterator():  # 2**bits / CHUNK rows
-        out[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], np.uint32)
+    with small_batches(rows.sparkSession):
+        summed = (rows.filter("chunk is not null").select("chunk", "counts").repartition("chunk")
+                  .mapInArrow(add, "chunk int, counts binary"))
+        # 2**bits / CHUNK rows, 16 MB at most; all at once, as an iterator runs a job for each partition
+        for row in summed.collect():
+            out[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], np.uint32)
     return out
 
 
@@ -227,21 +230,26 @@ def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
     shared = (entries.groupBy("shingle").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
               .filter("a <> b").select("shingle"))
     kept = stored(entries.join(shared, "shingle", "left_semi").distinct(), "list_entries")
-    held = prefix_rows.select("k1", "n", "l", F.size("shingles").alias("length"), "end_count", "end_hash").distinct()
-    cap = F.col("n") - F.col("length") + F.col("count")
-    caps = stored(kept.groupBy("k1").count().join(held, "k1").join(classes.select("k1", "rep"), "k1").select(
-        "k1", "rep", "n", "l", cap.cast("int").alias("cap"), "end_count", "end_hash"), "caps")
-    every = stored(kept.join(caps, "k1").select("shingle", "rep", *ENTRY).distinct(), "every_entry")
-    drop_stored(kept)
+    # all rows of a fingerprint have the same prefix
+    held = prefix_rows.groupBy("k1").agg(F.min(F.struct(
+        "n", "l", F.size("shingles").alias("length"), "end_count", "end_hash", "bits")).alias("p")).select("k1", "p.*")
+    cap = F.col("n") - F.col("length") + F.size("shingles")
+    holders = stored(
+        kept.groupBy("k1").agg(F.collect_list("shingle").alias("shingles")).join(held, "k1")
+        .join(classes.select("k1", "rep"), "k1").select(
+            "k1", "rep", "n", "l", cap.cast("int").alias("cap"), "end_count", "end_hash", "shingles", "bits"), "holders")
+    drop_stored(prefix_rows, kept)
+    # one exchange here, too
+    every = holders.select(F.explode("shingles").alias("shingle"), "rep", *ENTRY).repartition("shingle").distinct()
     end, able = F.struct("end_count", "end_hash"), 100 * F.col("cap") >= percent * F.col("n")
     earliest = (every.groupBy("shingle").agg(F.min(F.when(able, end)).alias("earliest"))
                 .filter("earliest is not null"))
     lists = stored(every.join(earliest, "shingle").filter(able | (end > F.col("earliest")))
                    .select("shingle", "rep", *ENTRY), "lists")
     # an id with several texts stands for several sets: no parity bound for it
-    bits = stored(prefix_rows.select("k1", "bits").join(caps, "k1").groupBy("rep").agg(
+    bits = stored(holders.groupBy("rep").agg(
         F.when(F.min("k1") == F.max("k1"), F.min("bits")).alias("bits")), "bits")
-    drop_stored(prefix_rows, caps, every)
+    drop_stored(holders)
     return lists, bits
 
 
@@ -359,12 +367,12 @@ def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent
     return pairs
 
 
-def labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
+def labelled(lists: DataFrame, stars: DataFrame | None) -> DataFrame:
     """``lists`` with the component of every document as its label."""
     plain = lists.select("shingle", "rep", *ENTRY)
-    if links is None:
+    if stars is None:
         return plain.withColumn("label", F.col("rep"))
-    found = components(links)
+    found = star_nodes(stars)
     return stored(plain.join(found, plain["rep"] == found["node"], "left").select(
         "shingle", "rep", *ENTRY, F.coalesce("component", "rep").alias("label")), "lists")
 
@@ -373,6 +381,13 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     """(members, links): members has doc_id, n_shingles and rep (the class of
     equal sets; null without shingles or id), one row per row of ``docs``; links
     are verified pairs (a, b) of representatives that span every component."""
+    members, links, _ = _linked(docs, words, percent)
+    return members, links
+
+
+def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members and links, and edges with the same components as the links: the
+    stars of the pivot rounds and the links found after them."""
     docs = docs.select(F.col("doc_id"), F.col("text"))
     width = counter_bits(docs)
     rows = signatures(docs, width, words)
@@ -382,37 +397,40 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     counters = frequency_table(rows, width)
     lists, bits = inverted_lists(prefixes(docs, counters, words, percent), classes, percent)
 
-    links, lists = None, labelled(lists, None)
+    links, stars, lists = None, None, labelled(lists, None)
     entries, before = max(lists.count(), 1), None
     for seed in range(PIVOT_ROUNDS):
         found = verified(pivot_pairs(lists, seed, percent), docs, words, percent)
         links = found if links is None else links.unionByName(found)
-        older, lists = lists, labelled(lists, links)
+        stars = star_edges(found if stars is None else stars.unionByName(found))
+        older, lists = lists, labelled(lists, stars)
         drop_stored(older)
         open_lists = list_labels(lists)
         left = open_lists.agg(F.sum((F.col("size") - F.col("most")) * F.col("size"))).first()[0] or 0
         if left <= FULL_JOIN_COST * entries or (before is not None and 2 * left > before):
             break
         before = left
+    edges = stars
     if left:
-        links = links.unionByName(verified(full_pairs(lists, open_lists, bits, percent), docs, words, percent))
+        found = verified(full_pairs(lists, open_lists, bits, percent), docs, words, percent)
+        links, edges = links.unionByName(found), stars.unionByName(found)
     drop_stored(lists, open_lists, bits)
     members = known.join(classes, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
-    return members, links
+    return members, links, edges
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, rep, component_id (the
     smallest id reachable by links, its own without any)."""
-    members, links = jaccard_links(docs, words, percent)
+    members, _, edges = _linked(docs, words, percent)
     members = stored(members, "members")
     # rows with one id are one node, whatever their texts
     first = members.filter("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     several = first.filter("a <> b").select("doc_id", "a")
     shared_ids = members.join(several, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
-    found = stored(components(links.unionByName(shared_ids)), "components")
+    found = star_nodes(star_edges(edges.unionByName(shared_ids)))
     return members.join(found, members["rep"] == found["node"], "left").select(
         "doc_id", "n_shingles", "rep", F.coalesce("component", "rep", "doc_id").alias("component_id"))
 

@@ -150,6 +150,57 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_components_of_random_graphs(spark, kind):
+    rnd = random.Random(21)
+    name = int if kind == "long" else "n{:03d}".format
+    edges = [(name(rnd.randrange(300)), name(rnd.randrange(300))) for _ in range(170)] + [(name(7), name(i)) for i in range(0, 300, 9)]
+    least = {n: n for e in edges if e[0] != e[1] for n in e}
+    for _ in least:
+        for a, b in edges:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    got = components(spark.createDataFrame(edges, f"a {kind}, b {kind}")).collect()
+    assert len(got) == len(least) and {r.node: r.component for r in got} == least
+
+
+def test_components_write_little(spark, monkeypatch):
+    """Edges that are stars are written once; a round of others is one table more."""
+    module, written = sys.modules[components.__module__], []
+    keep = module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name: written.append(name) or keep(df, name))
+    stars = [(i, i % 3) for i in range(3, 60)]
+    out = dict(map(tuple, components(spark.createDataFrame(stars, "a long, b long")).collect()))
+    assert out == {i: i % 3 for i in range(60)} and len(written) == 1
+    written.clear()
+    two = [(i, i % 2) for i in range(2, 60)] + [(40, 61), (61, 41)]
+    out = dict(map(tuple, components(spark.createDataFrame(two, "a long, b long")).collect()))
+    assert set(out.values()) == {0} and len(written) <= 5
+
+
+def test_frequency_table_is_no_job_per_partition(spark):
+    rows = spark.createDataFrame(
+        [(task, chunk, np.full(jaccard_join.CHUNK, 60000 + chunk, np.uint16).tobytes()) for task in range(70) for chunk in (0, 3)]
+        + [(None, None, None)], "task int, chunk int, counts binary")
+    bits = (4 * jaccard_join.CHUNK).bit_length() - 1
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    context = spark.sparkContext
+    try:
+        for n, value in zip(names, ("24", "false"), strict=True):
+            spark.conf.set(n, value)
+        context.setJobGroup("frequency_table", "")
+        got = jaccard_join.frequency_table(rows, bits)
+        jobs = context.statusTracker().getJobIdsForGroup("frequency_table")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for n, value in zip(names, before, strict=True):
+            spark.conf.set(n, value)
+    want = np.zeros(4 * jaccard_join.CHUNK, np.uint32)
+    want[:jaccard_join.CHUNK], want[3 * jaccard_join.CHUNK:] = 70 * 60000, 70 * 60003
+    assert (got == want).all() and len(jobs) < 10
+
+
 # -- stupid backoff ---------------------------------------------------------
 
 def brute_scores(texts, alpha=0.4, least=2):
