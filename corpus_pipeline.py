@@ -2,7 +2,8 @@
 
 Each stage works on all that its predecessor kept and returns whole rows; ``run``
 writes every stage's result as Parquet in the shared checkpoint folder and reads
-it again, so a lost executor costs one stage at most.
+it again, so a lost executor costs one stage at most.  A stage's table goes when the
+next one's is written.
 
 1. quality classifier: documents that it rejects go;
 2. n-gram Jaccard join: one document of each group stays;
@@ -17,7 +18,7 @@ against a brute-force version of the stages.
 from __future__ import annotations
 
 from reelpulse.llm import decontaminate, jaccard_join, mix, pu_quality, shards
-from reelpulse.llm.common import stored, table
+from reelpulse.llm.common import drop_stored, stored, table
 
 SHARDS = 8
 
@@ -61,6 +62,9 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
+    before = []
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), "stage_" + name.replace(" ", "_"))
+        drop_stored(*before)  # a stage reads no table but its predecessor's
+        before = [docs]
     return docs

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpulse.llm.common import alnum_words
+from reelpulse.llm.common import alnum_words, without
 
 WINDOW = 10
 #: Text bytes of the benchmark up to which its window set is broadcast (the set
@@ -134,10 +134,8 @@ def dirty_keys(docs: DataFrame, bench: DataFrame, width: int = WINDOW) -> DataFr
 
 def clean_documents(docs: DataFrame, bench: DataFrame, width: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window."""
-    dirty = dirty_keys(docs, bench, width).select(
-        F.col("doc_id").alias("_dirty_id"), F.col("text_key").alias("_dirty_key"))
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("_dirty_id"))
-                     & (F.xxhash64(F.lit(1), docs["text"]) == F.col("_dirty_key")), "left_anti")
+    dirty = dirty_keys(docs, bench, width).select("doc_id", "text_key")
+    return without(docs, dirty, [F.col("doc_id"), F.xxhash64(F.lit(1), F.col("text"))])
 
 
 def without_spans(docs: DataFrame, bench: DataFrame, width: int = WINDOW) -> DataFrame:

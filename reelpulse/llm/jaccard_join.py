@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from reelpulse.llm.common import drop_stored, small_batches, stored
+from reelpulse.llm.common import among, drop_stored, shuffles_dropped, small_batches, stored, without
 from reelpulse.llm.components import star_edges, star_nodes
 from reelpulse.llm.ngrams import shingle_sets, slices
 
@@ -165,7 +165,7 @@ def frequency_table(rows: DataFrame, bits: int) -> np.ndarray:
             names=["chunk", "counts"])
 
     out = np.zeros(1 << bits, np.uint32)
-    with small_batches(rows.sparkSession):
+    with small_batches(rows.sparkSession), shuffles_dropped(rows.sparkSession):
         summed = (rows.filter("chunk is not null").select("chunk", "counts").repartition("chunk")
                   .mapInArrow(add, "chunk int, counts binary"))
         # 2**bits / CHUNK rows, 16 MB at most; all at once, as an iterator runs a job for each partition
@@ -212,6 +212,13 @@ def prefixes(docs: DataFrame, counters: np.ndarray, words: int = WORDS, percent:
                                             "end_count long, end_hash long"), "prefixes")
 
 
+def _dealt(entries: DataFrame) -> DataFrame:
+    """List entries dealt by their shingle, so that an aggregate by list and an inner
+    join with it read one exchange.  No entry has nulls; it is said here as Spark
+    would else add it below one of the two only, and shuffle twice."""
+    return entries.filter(" and ".join(f"{c} is not null" for c in entries.columns)).repartition("shingle")
+
+
 def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
                    percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Stored lists (shingle, rep, n, l, cap, end_count, end_hash) of the shingles
@@ -225,11 +232,10 @@ def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
     too small for a link and no other document of the list with a sufficient cap
     ends earlier: such an entry is in no pair that ``_may_link`` passes.
     """
-    # one exchange: the aggregate and the join read the same shuffled entries
-    entries = prefix_rows.select(F.explode("shingles").alias("shingle"), "k1").repartition("shingle")
+    entries = _dealt(prefix_rows.select(F.explode("shingles").alias("shingle"), "k1"))
     shared = (entries.groupBy("shingle").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
               .filter("a <> b").select("shingle"))
-    kept = stored(entries.join(shared, "shingle", "left_semi").distinct(), "list_entries")
+    kept = stored(entries.join(shared, "shingle").distinct(), "list_entries")
     # all rows of a fingerprint have the same prefix
     held = prefix_rows.groupBy("k1").agg(F.min(F.struct(
         "n", "l", F.size("shingles").alias("length"), "end_count", "end_hash", "bits")).alias("p")).select("k1", "p.*")
@@ -239,8 +245,7 @@ def inverted_lists(prefix_rows: DataFrame, classes: DataFrame,
         .join(classes.select("k1", "rep"), "k1").select(
             "k1", "rep", "n", "l", cap.cast("int").alias("cap"), "end_count", "end_hash", "shingles", "bits"), "holders")
     drop_stored(prefix_rows, kept)
-    # one exchange here, too
-    every = holders.select(F.explode("shingles").alias("shingle"), "rep", *ENTRY).repartition("shingle").distinct()
+    every = _dealt(holders.select(F.explode("shingles").alias("shingle"), "rep", *ENTRY)).distinct()
     end, able = F.struct("end_count", "end_hash"), 100 * F.col("cap") >= percent * F.col("n")
     earliest = (every.groupBy("shingle").agg(F.min(F.when(able, end)).alias("earliest"))
                 .filter("earliest is not null"))
@@ -269,7 +274,7 @@ def whole_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame
                     names=["rep", "shingles"])
 
     with small_batches(docs.sparkSession):
-        return stored(docs.join(ids, docs["doc_id"] == ids["rep"], "left_semi").select("doc_id", "text")
+        return stored(among(docs, ids, "doc_id").select("doc_id", "text")
                       .mapInArrow(compute, f"rep {id_type}, shingles array<long>"), "sets")
 
 
@@ -312,41 +317,39 @@ def pivot_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
     the same one.
     """
     own = F.round((F.col("n") - F.col("cap")) / F.col("n"), 3) if seed == 0 else F.lit(0.0)
-    pivots = stored(
+    lists = _dealt(lists)
+    pivots = (
         lists.groupBy("shingle").agg(
             F.min(F.struct(own.alias("own"), F.xxhash64(F.lit(seed), "rep").alias("h"), F.col("rep").alias("pivot"),
                            *[F.col(c).alias("p" + c) for c in (*ENTRY, "label")])).alias("p"),
             F.min("label").alias("first"), F.max("label").alias("last"))
-        .filter("first <> last").select("shingle", "p.pivot", *[f"p.p{c}" for c in (*ENTRY, "label")]), "pivots")
-    pairs = stored(
+        .filter("first <> last").select("shingle", "p.pivot", *[f"p.p{c}" for c in (*ENTRY, "label")]))
+    return stored(
         lists.join(pivots, "shingle")
         .filter((F.col("label") != F.col("plabel")) & _may_link("", "p", percent))
         .groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"))
         .agg(F.count("*").alias("hits"), F.min(F.least("l", "pl")).alias("l"))
         .filter("hits >= l").select("a", "b"), "pivot_pairs")
-    drop_stored(pivots)
-    return pairs
 
 
-def list_labels(lists: DataFrame) -> DataFrame:
-    """Stored (shingle, size, most, label): entries of every open list and its
-    most frequent label with its entries."""
-    each = lists.groupBy("shingle", "label").agg(F.count("*").alias("k"))
-    return stored(
-        each.groupBy("shingle").agg(
-            F.sum("k").alias("size"), F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("labels"))
-        .filter("labels > 1").select("shingle", "size", F.col("top.k").alias("most"),
-                                     F.col("top.label").alias("main")), "open_lists")
+def open_entries(lists: DataFrame) -> DataFrame:
+    """Stored entries of the lists with several labels, each with the list's size
+    and its most frequent label, ``main``."""
+    lists = _dealt(lists)
+    found = (lists.groupBy("shingle", "label").agg(F.count("*").alias("k")).groupBy("shingle").agg(
+        F.sum("k").alias("size"), F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("labels"))
+        .filter("labels > 1").select("shingle", "size", F.col("top.label").alias("main")))
+    return stored(lists.join(found, "shingle").select("shingle", "rep", *ENTRY, "label", "size", "main"), "open_lists")
 
 
-def full_pairs(lists: DataFrame, open_lists: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+def full_pairs(opened: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Stored candidates of different labels on the open lists, with all their
     shared entries counted: of any two such documents on a list, at least one is
     not of its main label."""
     n_bits = MOST_BITS // 64
     longs = [F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(f"bits{i}") for i in range(n_bits)]
     entries = stored(
-        lists.join(open_lists.select("shingle", "main"), "shingle").join(bits, "rep")
+        opened.join(bits, "rep")
         .select("shingle", "rep", *ENTRY, "label", "main", F.size("bits").alias("n_bits"), *longs), "open_entries")
 
     def side(prefix, rows):
@@ -391,10 +394,11 @@ def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
     docs = docs.select(F.col("doc_id"), F.col("text"))
     width = counter_bits(docs)
     rows = signatures(docs, width, words)
-    known = rows.filter("chunk is null")
+    known = stored(rows.filter("chunk is null").select("doc_id", "n", "k1", "k2"), "fingerprints")
     classes = stored(known.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("rep")), "classes")
     counters = frequency_table(rows, width)
+    drop_stored(rows)
     lists, bits = inverted_lists(prefixes(docs, counters, words, percent), classes, percent)
 
     links, stars, lists = None, None, labelled(lists, None)
@@ -405,16 +409,19 @@ def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
         stars = star_edges(found if stars is None else stars.unionByName(found))
         older, lists = lists, labelled(lists, stars)
         drop_stored(older)
-        open_lists = list_labels(lists)
-        left = open_lists.agg(F.sum((F.col("size") - F.col("most")) * F.col("size"))).first()[0] or 0
+        opened = open_entries(lists)
+        left = opened.filter("label <> main").agg(F.sum("size")).first()[0] or 0
         if left <= FULL_JOIN_COST * entries or (before is not None and 2 * left > before):
             break
         before = left
+        if seed + 1 < PIVOT_ROUNDS:
+            drop_stored(opened)
+    drop_stored(lists)
     edges = stars
     if left:
-        found = verified(full_pairs(lists, open_lists, bits, percent), docs, words, percent)
+        found = verified(full_pairs(opened, bits, percent), docs, words, percent)
         links, edges = links.unionByName(found), stars.unionByName(found)
-    drop_stored(lists, open_lists, bits)
+    drop_stored(opened, bits)
     members = known.join(classes, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
@@ -439,9 +446,8 @@ def one_per_group(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     """``docs`` with one document per component: the one with the component's
     id.  Rows with a null id and rows without shingles all stay; of repeated
     rows with the kept id, all stay too."""
-    found = near_duplicates(docs, words, percent).filter("component_id <> doc_id").select(
-        F.col("doc_id").alias("_copy_id")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_copy_id"], "left_anti")
+    copies = near_duplicates(docs, words, percent).filter("component_id <> doc_id").select("doc_id")
+    return without(docs, copies, [F.col("doc_id")])
 
 
 def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelpulse.llm.common import small_batches, stored
+from reelpulse.llm.common import drop_stored, small_batches, stored
 
 SAMPLE = 20_000
 STEPS = 400
@@ -192,7 +192,9 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, s
     The model is fitted as in ``quality_scores``; each text is then scored where
     it is read, so whole rows stay together and no text is shuffled.
     """
-    model = fit_model(feature_table(docs), labels, sample)
+    features = feature_table(docs)
+    model = fit_model(features, labels, sample)
+    drop_stored(features)
     if model is None:
         return docs
     at, schema = docs.columns.index("text"), docs.schema

@@ -94,3 +94,55 @@ def test_whole_texts_go_to_python_in_small_batches(spark, monkeypatch):
     for name in ("signatures", "prefixes", "sets", "quality_features", "good_documents"):
         assert seen[name] == {str(TEXTS_AT_ONCE)}, name
     assert spark.conf.get(key) == before
+
+
+def test_rows_not_among_keys_are_told_apart_in_place(spark):
+    from pyspark.sql import functions as F
+
+    from reelpulse.llm.common import _with_hit, among, without
+
+    rows = [(i, f"text {i}") for i in range(3000)] * 2 + [(None, "no id"), (None, None), (7, None), (7, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = [(i, f"text {i}") for i in range(0, 3000, 60)] * 2 + [(None, "no id"), (7, None), (9, "elsewhere")]
+    keys = spark.createDataFrame(gone, "k long, t string")
+    left = [(r.doc_id, r.text) for r in without(docs, keys, [F.col("doc_id"), F.col("text")]).collect()]
+    assert sorted(left, key=str) == sorted((r for r in rows if r not in gone), key=str)
+    # what the join gets: the keys' rows and hardly any other
+    held = keys.distinct()
+    hit = {(r.doc_id, r.text) for r in _with_hit(docs, [F.col("doc_id"), F.col("text")], held, 1).filter("_hit").collect()}
+    assert set(gone) & set(rows) <= hit and len(hit) < len(set(gone)) + 300
+    ids = spark.createDataFrame([(7,), (60,)], "rep long")
+    found = sorted((r.doc_id, r.text or "") for r in among(docs, ids, "doc_id").collect())
+    assert found == sorted((i, t or "") for i, t in rows if i in (7, 60))
+    empty = spark.createDataFrame([], "k long, t string")
+    assert without(docs, empty, [F.col("doc_id"), F.col("text")]).count() == len(rows)
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    import time
+
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in (blocks.apply(i).toString() for i in range(blocks.size())) if "shuffle" in b}
+
+    before = shuffled()
+    stored(spark.range(20000).selectExpr("id % 97 AS k", "id").repartition(4, "k"), "test_shuffle")
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:  # removed in the background
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+
+def test_list_entries_are_shuffled_once(spark):
+    from pyspark.sql import functions as F
+
+    from reelpulse.llm.jaccard_join import _dealt
+
+    raw = spark.range(4000).selectExpr("id div 2 AS shingle", "id AS rep", "id % 3 AS label")
+    entries = _dealt(stored(raw, "test_entries"))
+    lists = entries.groupBy("shingle").agg(F.min("label").alias("first"), F.max("label").alias("last"),
+                                           F.min("rep").alias("pivot"))
+    both = entries.hint("merge").join(lists.filter("first <> last"), "shingle").filter("label <> first")
+    assert both.count() == 2 * 2000 - sum(1 for i in range(4000) if (i % 3) == min((i - i % 2) % 3, (i - i % 2 + 1) % 3))
+    both.collect()
+    assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
