@@ -73,6 +73,55 @@ def test_phrases_match_brute_force(spark, monkeypatch):
     assert phrase_result(phrases.collocations(docs, top=12, trie_phrases=40, filter_bits=4)) == expected
 
 
+def test_phrases_take_no_more_passes_for_more_tries(spark, monkeypatch):
+    real, steps = phrases.stored, []
+    monkeypatch.setattr(phrases, "stored", lambda df, name: steps.append(name) or real(df, name))
+    docs = documents(spark, phrase_rows()[:200], extra=True).repartition(2)
+    results = []
+    for trie_phrases in (150_000, 20):
+        steps.append("start")
+        results.append(phrase_result(phrases.collocations(docs, min_count=5, filter_bits=16, trie_phrases=trie_phrases)))
+    again = steps.index("start", 1)
+    assert results[0] == results[1] != []
+    assert steps[:again] == steps[again:]
+
+
+def test_phrases_of_slices_too_large_to_hold(spark, monkeypatch):
+    # trees of a few runs, of which a task holds a few: they go on in parts, with all runs
+    rows = phrase_rows()
+    monkeypatch.setattr(phrases, "FOLD", 300)
+    monkeypatch.setattr(phrases, "HELD", 60)
+    monkeypatch.setattr(phrases, "STEP", 500)
+    docs = documents(spark, rows, extra=True).repartition(3)
+    assert phrase_result(phrases.collocations(docs, top=12, filter_bits=20)) == brute_phrases(rows, 30, 12, 80)
+
+
+def test_prefix_trees_keep_every_run():
+    rnd = np.random.default_rng(5)
+    # the same upper bits in all words, so that sorting by a part of them is not enough
+    runs = rnd.integers(1, 9, (4, 3000)) + (1 << 40)
+    length = rnd.integers(2, 5, 3000)
+    runs[np.arange(4)[:, None] >= length] = 0
+    expected = Counter(tuple(r[:k]) for r, n in zip(runs.T.tolist(), length.tolist(), strict=True) for k in range(2, n + 1))
+
+    def counts(trees):
+        out = Counter()
+        for nodes in trees:
+            names = list(zip(nodes[0].tolist(), nodes[1].tolist(), strict=True))
+            for k in range(0, len(nodes), 3):
+                if k:
+                    names = [names[a] + (w,) for a, w in zip(nodes[k].tolist(), nodes[k + 1].tolist(), strict=True)]
+                for name, n in zip(names, nodes[k + 2].tolist(), strict=True):
+                    out[name] += n
+        return out
+
+    trees = [t for part in (runs[:, ::2], runs[:, 1::2]) for _, t in phrases.prefix_trees(part, 7)]
+    one = phrases.joined_trees(trees)
+    assert counts(trees) == counts([one]) == counts([phrases.merged(one)]) == expected
+    assert sum(map(len, phrases.merged(one)[2::3])) == len(expected)
+    assert counts([phrases.merged(one, 12)]) == {r: n for r, n in expected.items() if n >= 12}
+
+
 def test_phrases_of_little_or_nothing(spark):
     for rows in ([], [(1, None, None, None, None)], [(1, "a b c", "en", "s", 5)], [(1, "word. " * 50, "en", "s", 5)]):
         assert phrase_result(phrases.collocations(documents(spark, rows), filter_bits=16)) == []
